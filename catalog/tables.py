@@ -124,7 +124,8 @@ def delete_ids(spark, sf_dir):
 
 
 def delete_ids_table(spark, sf_dir):
-    asked = order_batch(spark, sf_dir).select("pos", "id")
+    closed = load(spark, sf_dir, "orders").where("o_totalprice > 450000 AND o_orderstatus = 'F'")
+    asked = closed.select(F.col("o_orderkey").alias("pos"), F.col("o_custkey").alias("id"))
     return writes.delete_ids(accounts(spark, sf_dir), asked).table
 
 
@@ -432,7 +433,7 @@ ORACLES = {
               FROM b LEFT JOIN t ON b.id = t.id)
         SELECT pos, id, ok, CASE WHEN NOT ok THEN 'notFound' END AS error_code FROM j""",
     "delete_ids_table": "SELECT c_custkey AS id, c_acctbal, c_mktsegment FROM customer "
-    "WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    "WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 450000 AND o_orderstatus = 'F')",
     "delete_where": """
         WITH t AS (SELECT c_custkey AS id, CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN c_acctbal END AS c_acctbal,
           c_mktsegment FROM customer)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.common import load, shown
+from catalog.common import load, shown, spread
 from plumbline.operators import fulltext
 from plumbline.operators.fulltext import Analyzer, build_text_index, search_index, search_scan
 from plumbline.operators.sparse import sparse_knn
@@ -19,7 +19,7 @@ HAN = "天地玄黄宇宙洪荒日月盈昃辰"
 
 
 def documents(spark, sf_dir):
-    return load(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id")
+    return spread(load(spark, sf_dir, "documents")).withColumnRenamed("doc_id", "id")
 
 
 def parts(spark, sf_dir):

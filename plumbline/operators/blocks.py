@@ -50,19 +50,62 @@ def values_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False)
 
 
-class Best:
-    """Running best-K per query over any number of blocks."""
+class Keeper:
+    """Running best-K per query over any number of blocks; lower cost is better."""
 
-    def __init__(self, queries: np.ndarray, k: int, metric: str, max_norm2: float = 0.0):
-        self.metric, self.k, self.max_norm2 = metric, k, max_norm2
-        self.sign = 1.0 if ASCENDING[metric] else -1.0
-        self.queries = unit(queries) if metric == "cosine" else queries
-        self.norms2 = np.einsum("ij,ij->i", queries, queries)
-        self.bound = np.full(len(queries), np.inf)
+    def __init__(self, queries: int, k: int, ascending: bool):
+        self.k, self.sign = k, 1.0 if ascending else -1.0
+        self.bound = np.full(queries, np.inf)
         self.q = np.empty(0, dtype=np.int64)
         self.cost = np.empty(0)
         self.ids: np.ndarray | None = None
 
+    def near(self, cost: np.ndarray, chunk: np.ndarray, slack: float):
+        """Cells of ``cost`` (queries x rows) that may still enter the best K."""
+        limit = self.bound[chunk]
+        if cost.shape[1] > self.k:
+            limit = np.minimum(limit, np.partition(cost, self.k - 1, axis=1)[:, self.k - 1])
+        room = slack * np.maximum(1.0, np.where(np.isfinite(limit), np.abs(limit), 1.0))
+        return np.nonzero((cost <= (limit + room)[:, None]) & np.isfinite(cost))
+
+    def merge(self, q: np.ndarray, cost: np.ndarray, ids: np.ndarray) -> None:
+        if self.ids is not None:
+            q = np.concatenate([self.q, q])
+            cost = np.concatenate([self.cost, cost])
+            ids = np.concatenate([self.ids, ids])
+        tie = np.unique(ids, return_inverse=True)[1]
+        order = np.lexsort((tie, np.round(cost, TIE_DIGITS), q))
+        q, cost, ids = q[order], cost[order], ids[order]
+        at = np.arange(len(q))
+        first = np.r_[True, q[1:] != q[:-1]] if len(q) else np.empty(0, dtype=bool)
+        place = at - np.maximum.accumulate(np.where(first, at, 0)) if len(q) else at
+        keep = place < self.k
+        self.q, self.cost, self.ids = q[keep], cost[keep], ids[keep]
+        full = place[keep] == self.k - 1
+        self.bound[self.q[full]] = self.cost[full]
+
+    def batch(self, qids: pa.Array, schema: pa.Schema) -> pa.RecordBatch:
+        """What was kept, as ``(qid, id, score)``."""
+        ids = self.ids if self.ids is not None else np.empty(0, dtype=object)
+        return pa.RecordBatch.from_arrays(
+            [
+                qids.take(pa.array(self.q)).cast(schema.field(0).type),
+                pa.array(ids, type=schema.field(1).type),
+                pa.array(self.sign * self.cost, type=pa.float64()),
+            ],
+            schema=schema,
+        )
+
+
+class Best(Keeper):
+    """Dense vectors: queries times a block of rows in one matrix product."""
+
+    def __init__(self, queries: np.ndarray, k: int, metric: str, max_norm2: float = 0.0):
+        super().__init__(len(queries), k, ASCENDING[metric])
+        self.metric, self.max_norm2 = metric, max_norm2
+        self.queries = unit(queries) if metric == "cosine" else queries
+        self.norms2 = np.einsum("ij,ij->i", queries, queries)
+
     def add(self, rows: np.ndarray, ids: np.ndarray, which: np.ndarray | None = None) -> None:
         """Score ``rows`` against all queries, or only those numbered in ``which``."""
         if len(rows) == 0:
@@ -70,15 +113,10 @@ class Best:
         if self.metric == "cosine":
             rows = unit(rows)
         picks = np.arange(len(self.queries)) if which is None else which
-        found_q, found_cost, found_ids = [], [], []
         for start in range(0, len(picks), QUERY_CHUNK):
             chunk = picks[start : start + QUERY_CHUNK]
             q, r, cost = self._candidates(chunk, rows)
-            found_q.append(q)
-            found_cost.append(cost)
-            found_ids.append(ids[r])
-        if found_q:
-            self._merge(np.concatenate(found_q), np.concatenate(found_cost), np.concatenate(found_ids))
+            self.merge(q, cost, ids[r])
 
     def _candidates(self, chunk, rows):
         queries = self.queries[chunk]
@@ -102,11 +140,7 @@ class Best:
         else:
             cost = -dots
         cost = np.where(np.isnan(cost), np.inf, cost)
-        limit = self.bound[chunk]
-        if rows.shape[0] > self.k:
-            limit = np.minimum(limit, np.partition(cost, self.k - 1, axis=1)[:, self.k - 1])
-        room = slack * np.maximum(1.0, np.where(np.isfinite(limit), np.abs(limit), 1.0))
-        q, r = np.nonzero((cost <= (limit + room)[:, None]) & np.isfinite(cost))
+        q, r = self.near(cost, chunk, slack)
         picked = cost[q, r]
         if self.metric == "l2":
             for start in range(0, len(q), GATHER_ROWS):
@@ -115,34 +149,73 @@ class Best:
                 picked[part] = np.sqrt(np.einsum("ij,ij->i", gap, gap))
         return chunk[q], r, picked
 
-    def _merge(self, q, cost, ids):
-        if self.ids is not None:
-            q = np.concatenate([self.q, q])
-            cost = np.concatenate([self.cost, cost])
-            ids = np.concatenate([self.ids, ids])
-        tie = np.unique(ids, return_inverse=True)[1]
-        order = np.lexsort((tie, np.round(cost, TIE_DIGITS), q))
-        q, cost, ids = q[order], cost[order], ids[order]
-        at = np.arange(len(q))
-        first = np.r_[True, q[1:] != q[:-1]] if len(q) else np.empty(0, dtype=bool)
-        place = at - np.maximum.accumulate(np.where(first, at, 0)) if len(q) else at
-        keep = place < self.k
-        self.q, self.cost, self.ids = q[keep], cost[keep], ids[keep]
-        full = place[keep] == self.k - 1
-        self.bound[self.q[full]] = self.cost[full]
-
-    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Query numbers, ids and scores kept so far."""
-        ids = self.ids if self.ids is not None else np.empty(0, dtype=object)
-        return self.q, ids, self.sign * self.cost
 
-    def batch(self, qids: pa.Array, schema: pa.Schema) -> pa.RecordBatch:
-        q, ids, score = self.rows()
-        return pa.RecordBatch.from_arrays(
-            [
-                qids.take(pa.array(q)).cast(schema.field(0).type),
-                pa.array(ids, type=schema.field(1).type),
-                pa.array(score, type=pa.float64()),
-            ],
-            schema=schema,
-        )
+def pair_scores(left: np.ndarray, right: np.ndarray, metric: str) -> np.ndarray:
+    """Row-by-row scores of two equally long matrices; NaN where undefined."""
+    if metric == "l2":
+        gap = left - right
+        return np.sqrt(np.einsum("ij,ij->i", gap, gap))
+    dots = np.einsum("ij,ij->i", left, right)
+    if metric == "cosine":
+        length = np.linalg.norm(left, axis=1) * np.linalg.norm(right, axis=1)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            return np.where(length > 0, 1.0 - dots / length, np.nan)
+    if metric == "hamming":
+        return (left.shape[1] - dots) / 2
+    return dots
+
+
+class SparseQueries:
+    """Weighted terms of a bounded set of queries, listed by term.
+
+    ``role`` is 0 for scored, 1 for required and scored, 2 for excluded entries.
+    """
+
+    def __init__(self, query: np.ndarray, term: np.ndarray, weight: np.ndarray, role: np.ndarray, terms: int, queries: int):
+        order = np.argsort(term, kind="stable")
+        self.query, self.weight, self.role = query[order], weight[order], role[order]
+        self.start = np.searchsorted(term[order], np.arange(terms + 1))
+        self.queries = queries
+        self.required = np.bincount(query[role == 1], minlength=queries)
+        self.strict = bool((role > 0).any())
+
+
+class SparseBest(Keeper):
+    """Sparse rows: each entry meets the queries that hold its term."""
+
+    CELLS = 4_000_000
+
+    def __init__(self, queries: SparseQueries, k: int):
+        super().__init__(queries.queries, k, ascending=False)
+        self.held = queries
+        self.all = np.arange(queries.queries)
+
+    def add(self, row: np.ndarray, term: np.ndarray, value: np.ndarray, ids: np.ndarray) -> None:
+        """Entries ``(row number, term number, value)``, rows ascending; ``ids`` per row."""
+        step = max(1, self.CELLS // max(1, self.held.queries))
+        for start in range(0, len(ids), step):
+            low, high = np.searchsorted(row, [start, start + step])
+            if low < high:
+                part = slice(low, high)
+                self._block(row[part] - start, term[part], value[part], ids[start : start + step])
+
+    def _block(self, row, term, value, ids):
+        held, rows = self.held, len(ids)
+        fan = held.start[term + 1] - held.start[term]
+        entry = np.repeat(np.arange(len(term)), fan)
+        if len(entry) == 0:
+            return
+        offset = np.arange(len(entry)) - np.repeat(np.cumsum(fan) - fan, fan)
+        at = held.start[term][entry] + offset
+        cell = held.query[at] * rows + row[entry]
+        scored = held.role[at] < 2 if held.strict else slice(None)
+        size = held.queries * rows
+        score = np.bincount(cell[scored], value[entry][scored] * held.weight[at][scored], size)
+        met = np.bincount(cell[scored], minlength=size) > 0
+        if held.strict:
+            needed = np.repeat(held.required, rows)
+            met &= np.bincount(cell[held.role[at] == 1], minlength=size) == needed
+            met &= np.bincount(cell[held.role[at] == 2], minlength=size) == 0
+        cost = np.where(met, -score, np.inf).reshape(held.queries, rows)
+        q, r = self.near(cost, self.all, 1e-8)
+        self.merge(q, cost[q, r], ids[r])

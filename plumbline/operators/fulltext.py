@@ -2,23 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from plumbline.errors import InvalidArgument, positive_int32
 from plumbline.functions.ranking import top_k
 from plumbline.functions.sizing import broadcast_if_small, materialize
 from plumbline.functions.text import tokenize
-from plumbline.operators.sparse import meet
+from plumbline.operators.blocks import SparseBest, SparseQueries, values_of
+from plumbline.operators.knn import MAX_BROADCAST_QUERIES, hit_schema
+from plumbline.operators.sparse import MAX_QUERY_ENTRIES, meet
 
 # Usual BM25 constants and result size.
 K1 = 1.2
 B = 0.75
 DEFAULT_K = 10
 
-TERM_BUCKETS = 256
+TERM_BUCKETS = 64
 
 
 @dataclass(frozen=True)
@@ -224,13 +231,90 @@ def search_scan(
     operator: str = "or",
     where: str | None = None,
 ) -> DataFrame:
-    """The same ranking without an index: two passes over ``text``.
+    """The same ranking without an index: two passes over ``text``, next to no shuffle.
 
-    The first measures the corpus; the second keeps only tokens the queries ask for, with
-    the filter ``where`` evaluated on the row instead of joined later.
+    The first pass counts documents per query term and measures the corpus. The second
+    scores whole documents where they are read, after the filter ``where``, and each task
+    returns its best ``k`` per query. Query tables too large to travel are joined instead.
     """
     positive_int32(k, "k")
-    terms = materialize(_query_terms(queries, analyzer, mode, operator), "query-terms")
+    terms = _query_terms(queries, analyzer, mode, operator)
+    head = terms.limit(MAX_QUERY_ENTRIES + 1).toArrow()
+    names = pc.unique(head["qid"])
+    if head.num_rows > MAX_QUERY_ENTRIES or len(names) > MAX_BROADCAST_QUERIES:
+        return _search_join(docs, terms, k, text=text, analyzer=analyzer, where=where)
+    schema = hit_schema(queries.schema["qid"].dataType, docs.schema["id"].dataType)
+    if len(names) == 0:
+        return docs.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(0))
+    words = pc.unique(head["term"])
+    listed = docs.select("id", analyzer.terms(F.col(text)).alias("terms"))
+    frequency, n_docs, total = _measure(listed, words)
+    term = pc.index_in(head["term"], words).to_numpy()
+    role = pc.index_in(head["role"], pa.array(["should", "must", "not"])).to_numpy()
+    idf = np.log(1 + (n_docs - frequency + 0.5) / (frequency + 0.5))
+    held = SparseQueries(
+        pc.index_in(head["qid"], names).to_numpy(), term, idf[term], role, len(words), len(names)
+    )
+    avg_length = total / max(n_docs, 1)
+    arrow = to_arrow_schema(schema)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = SparseBest(held, k)
+        for batch in batches:
+            row, at, tf, length = _counts(batch.column(1), words)
+            part = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[row] / avg_length))
+            best.add(row, at, part, values_of(batch.column(0)))
+        yield best.batch(names, arrow)
+
+    passing = docs.where(where) if where and where.strip() else docs
+    rows = passing.select("id", analyzer.terms(F.col(text)).alias("terms"))
+    hits = rows.where(F.col("terms").isNotNull()).mapInArrow(scan, schema)
+    return top_k(hits, k, ascending=False)
+
+
+def _counts(lists: pa.ListArray, words: pa.Array):
+    """``(row, word, count)`` for the known words of each row, and all row lengths."""
+    length = np.diff(np.asarray(lists.offsets))
+    at = pc.index_in(lists.flatten(), words)
+    row = np.repeat(np.arange(len(lists)), length)
+    hit = np.asarray(at.is_valid())
+    key = row[hit] * len(words) + at.fill_null(0).to_numpy(zero_copy_only=False)[hit]
+    cell, count = np.unique(key, return_counts=True)
+    return cell // len(words), cell % len(words), count, length
+
+
+def _measure(listed: DataFrame, words: pa.Array) -> tuple[np.ndarray, int, int]:
+    """Documents per word, number of documents, number of tokens; a task emits one row per
+    word it met, two more for the totals."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met, rows, total = np.zeros(len(words), np.int64), 0, 0
+        for batch in batches:
+            _, at, _, length = _counts(batch.column(0), words)
+            met += np.bincount(at, minlength=len(words))
+            rows, total = rows + len(length), total + int(length.sum())
+        seen = np.nonzero(met)[0]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.r_[seen, -1, -2].astype(np.int64)),
+                pa.array(np.r_[met[seen], rows, total].astype(np.int64)),
+            ],
+            names=["word", "n"],
+        )
+
+    filled = listed.select(F.coalesce("terms", F.array().cast("array<string>")).alias("terms"))
+    sums = filled.mapInArrow(scan, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    found = {r["word"]: r["n"] for r in sums.collect()}
+    frequency = np.zeros(len(words))
+    for word, n in found.items():
+        if word >= 0:
+            frequency[word] = n
+    return frequency, found.get(-1, 0), found.get(-2, 0)
+
+
+def _search_join(docs, terms, k, *, text, analyzer, where) -> DataFrame:
+    """Scan search for a large query table: tokens and query terms meet in a join."""
+    terms = materialize(terms, "query-terms")
     size = docs.agg(
         F.count("*").alias("n"), F.sum(F.size(analyzer.terms(F.col(text)))).alias("total")
     ).first()

@@ -9,13 +9,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from plumbline.errors import InvalidArgument, positive_int32
-from plumbline.functions.distance import EXPRESSIONS
 from plumbline.functions.ranking import ASCENDING, top_k
 from plumbline.functions.sizing import broadcast_if_small, materialize
 from plumbline.operators import knn as exact
-from plumbline.operators.blocks import matrix
+from plumbline.operators.blocks import matrix, pair_scores
 
 # The largest code of each integer width.
 CODE_LIMIT = {"int8": 127, "int4": 7}
@@ -100,9 +100,19 @@ def rescore(
 ) -> DataFrame:
     """Exact scores for candidate pairs; only the candidates' vectors are read."""
     hits = materialize(hits.select("qid", "id"), "candidates")
-    pairs = hits.join(queries.select("qid", "qvec"), "qid")
-    pairs, _ = broadcast_if_small(pairs)
-    scored = docs.select("id", vector).join(pairs, "id").select(
-        "qid", "id", EXPRESSIONS[metric](F.col(vector), F.col("qvec")).alias("score")
-    )
-    return top_k(scored.where(F.col("score").isNotNull()), k, ascending=ASCENDING[metric])
+    pairs, _ = broadcast_if_small(hits)
+    asked, _ = broadcast_if_small(queries.select("qid", "qvec"))
+    both = docs.select("id", vector).join(pairs, "id").join(asked, "qid")
+    schema = exact.hit_schema(queries.schema["qid"].dataType, docs.schema["id"].dataType)
+    arrow = to_arrow_schema(schema)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            score = pair_scores(matrix(batch.column(2)), matrix(batch.column(3)), metric)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(score)], schema=arrow
+            )
+
+    held = both.select("qid", "id", vector, "qvec").where(F.col(vector).isNotNull())
+    scored = held.mapInArrow(scan, schema).where(~F.isnan("score"))
+    return top_k(scored, k, ascending=ASCENDING[metric])

@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from plumbline.errors import positive_int32
 from plumbline.functions.ranking import top_k
 from plumbline.functions.sizing import broadcast_if_small
+from plumbline.operators.blocks import SparseBest, SparseQueries, values_of
+from plumbline.operators.knn import MAX_BROADCAST_QUERIES, hit_schema
 
 # Rows of one index meeting more than this are spread over several tasks.
 SALT_ROWS = 1_000_000
 
+# Query entries that may travel to every task.
+MAX_QUERY_ENTRIES = 500_000
+
 
 def explode_sparse(df: DataFrame, vector: str, key: str) -> DataFrame:
     """``(key, idx, val)`` from a ``struct<indices, values>`` column."""
@@ -35,12 +46,15 @@ def valid_sparse(vector: F.Column) -> F.Column:
 def meet(left: DataFrame, right: DataFrame, key: str, spread: str, salt_rows: int = SALT_ROWS) -> DataFrame:
     """Equi-join a large ``left`` to ``right`` on ``key`` without one task per hot key.
 
-    A small ``right`` is broadcast and ``left`` stays in place. Otherwise keys heavy on the
-    left are split by ``spread`` and the matching right rows are copied once per split.
+    A small ``right`` is broadcast; the entries of ``left`` it names are placed by
+    ``spread``, so that later grouping by ``spread`` needs no further shuffle. Otherwise
+    keys heavy on the left are split by ``spread`` and the matching right rows are copied
+    once per split.
     """
     right, small = broadcast_if_small(right)
     if small:
-        return left.join(right, key)
+        wanted = F.broadcast(right.select(key).distinct())
+        return left.join(wanted, key, "left_semi").repartition(spread).join(right, key)
     weight = (
         left.groupBy(key)
         .agg(F.count("*").alias("_n"))
@@ -59,12 +73,55 @@ def meet(left: DataFrame, right: DataFrame, key: str, spread: str, salt_rows: in
 def sparse_knn(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """Top ``k`` by inner product from ``rows (id, idx, val)`` and ``queries (qid, idx, val)``.
 
-    Only rows sharing an index with the query are candidates.
+    Only rows sharing an index with the query are candidates. Matching entries move once,
+    by id: a row's products then add up where they are made, and only the best ``k`` per
+    query leave each task.
     """
     positive_int32(k, "k")
     asked = queries.select("qid", "idx", F.col("val").alias("weight"))
-    products = meet(rows.select("id", "idx", "val"), asked, "idx", "id")
-    scored = products.groupBy("qid", "id").agg(
-        F.sum(F.col("val") * F.col("weight")).alias("score")
+    scored = (
+        meet(rows.select("id", "idx", "val"), asked, "idx", "id")
+        .groupBy("qid", "id")
+        .agg(F.sum(F.col("val") * F.col("weight")).alias("score"))
     )
     return top_k(scored, k, ascending=False)
+
+
+def sparse_scan(docs: DataFrame, queries: DataFrame, k: int, *, vector: str) -> DataFrame:
+    """The same ranking over a ``struct<indices, values>`` column, without a shuffle.
+
+    Each task scores whole rows against the queries and returns its best ``k``; query
+    tables too large to travel go through ``sparse_knn``.
+    """
+    positive_int32(k, "k")
+    asked = queries.select("qid", "idx", F.col("val").cast("double").alias("val"))
+    head = asked.limit(MAX_QUERY_ENTRIES + 1).toArrow()
+    names = pc.unique(head["qid"])
+    if head.num_rows > MAX_QUERY_ENTRIES or len(names) > MAX_BROADCAST_QUERIES:
+        return sparse_knn(explode_sparse(docs, vector, "id"), queries, k)
+    schema = hit_schema(queries.schema["qid"].dataType, docs.schema["id"].dataType)
+    arrow = to_arrow_schema(schema)
+    if len(names) == 0:
+        return docs.sparkSession.createDataFrame([], schema)
+    idx, term = np.unique(head["idx"].to_numpy(), return_inverse=True)
+    query = pc.index_in(head["qid"], names).to_numpy()
+    held = SparseQueries(
+        query, term, head["val"].to_numpy(), np.zeros(len(term), int), len(idx), len(names)
+    )
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = SparseBest(held, k)
+        for batch in batches:
+            indices, values = batch.column(1), batch.column(2)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(indices.offsets)))
+            flat = np.asarray(indices.flatten())
+            value = np.asarray(values.flatten(), dtype=np.float64)
+            at = np.minimum(np.searchsorted(idx, flat), len(idx) - 1)
+            hit = idx[at] == flat
+            best.add(row[hit], at[hit], value[hit], values_of(batch.column(0)))
+        yield best.batch(names, arrow)
+
+    rows = docs.where(F.col(vector).isNotNull()).select(
+        "id", F.col(f"{vector}.indices").alias("i"), F.col(f"{vector}.values").alias("v")
+    )
+    return top_k(rows.mapInArrow(scan, schema), k, ascending=False)

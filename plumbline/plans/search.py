@@ -131,8 +131,9 @@ def _run(docs: DataFrame, part: SubQuery, where: str | None) -> SubResult:
         )
         return SubResult(hits, part.metric)
     if part.kind == "sparse":
-        rows = sparse.explode_sparse(reads.filtered(docs, where), part.field, "id")
-        return SubResult(sparse.sparse_knn(rows, part.queries, part.k), "sparse")
+        rows = reads.filtered(docs, where)
+        hits = sparse.sparse_scan(rows, part.queries, part.k, vector=part.field)
+        return SubResult(hits, "sparse")
     if part.kind == "text":
         hits = fulltext.search_scan(
             docs,
