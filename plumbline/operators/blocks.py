@@ -207,15 +207,26 @@ class SparseBest(Keeper):
             return
         offset = np.arange(len(entry)) - np.repeat(np.cumsum(fan) - fan, fan)
         at = held.start[term][entry] + offset
-        cell = held.query[at] * rows + row[entry]
+        query, cell_row = held.query[at], row[entry]
+        cell, size = query * rows + cell_row, held.queries * rows
+        thin = len(entry) * 8 < size
+        if thin:
+            cells, cell = np.unique(cell, return_inverse=True)
+            size = len(cells)
+        else:
+            cells = np.arange(size)
         scored = held.role[at] < 2 if held.strict else slice(None)
-        size = held.queries * rows
         score = np.bincount(cell[scored], value[entry][scored] * held.weight[at][scored], size)
         met = np.bincount(cell[scored], minlength=size) > 0
         if held.strict:
-            needed = np.repeat(held.required, rows)
+            needed = held.required[cells // rows]
             met &= np.bincount(cell[held.role[at] == 1], minlength=size) == needed
             met &= np.bincount(cell[held.role[at] == 2], minlength=size) == 0
-        cost = np.where(met, -score, np.inf).reshape(held.queries, rows)
-        q, r = self.near(cost, self.all, 1e-8)
-        self.merge(q, cost[q, r], ids[r])
+        if thin:
+            q, r, cost = cells // rows, cells % rows, -score
+            good = met & (cost <= self.bound[q] + 1e-8 * np.maximum(1.0, np.abs(cost)))
+            self.merge(q[good], cost[good], ids[r[good]])
+        else:
+            cost = np.where(met, -score, np.inf).reshape(held.queries, rows)
+            q, r = self.near(cost, self.all, 1e-8)
+            self.merge(q, cost[q, r], ids[r])

@@ -16,9 +16,9 @@ from plumbline.errors import InvalidArgument, positive_int32
 from plumbline.functions.ranking import top_k
 from plumbline.functions.sizing import broadcast_if_small, materialize
 from plumbline.functions.text import tokenize
-from plumbline.operators.blocks import SparseBest, SparseQueries, values_of
-from plumbline.operators.knn import MAX_BROADCAST_QUERIES, hit_schema
-from plumbline.operators.sparse import MAX_QUERY_ENTRIES, meet
+from plumbline.operators.blocks import SparseBest, values_of
+from plumbline.operators.knn import hit_schema
+from plumbline.operators.sparse import TermBlock, meet, rank_entries, small_terms, term_block
 
 # Usual BM25 constants and result size.
 K1 = 1.2
@@ -27,6 +27,9 @@ DEFAULT_K = 10
 
 TERM_BUCKETS = 64
 
+# Role numbers of query terms in the scoring block.
+ROLES = ["should", "must", "not"]
+
 
 @dataclass(frozen=True)
 class Analyzer:
@@ -83,8 +86,7 @@ def build_text_index(
     term present in much of the corpus is cut over several tasks by the id.
     """
     spark = docs.sparkSession
-    bucket = F.pmod(F.xxhash64("term"), F.lit(TERM_BUCKETS)).cast("int").alias("bucket")
-    flat = _postings(docs, text, analyzer).select(bucket, "term", "id", "dl")
+    flat = _postings(docs, text, analyzer).select(_bucket(), "term", "id", "dl")
     counted = (
         flat.repartitionByRange(F.col("bucket"), F.col("term"), F.col("id"))
         .groupBy("bucket", "term", "id")
@@ -205,19 +207,46 @@ def search_index(
     """
     positive_int32(k, "k")
     terms = _query_terms(queries, index.analyzer, mode, operator)
-    terms = materialize(terms, "query-terms")
-    small, _ = broadcast_if_small(terms)
-    weighted = index.terms.join(small, "term", "right")
-    buckets = [
-        r[0]
-        for r in terms.select(F.pmod(F.xxhash64("term"), F.lit(TERM_BUCKETS)).cast("int"))
-        .distinct()
-        .collect()
-    ]
-    found = index.postings.where(F.col("bucket").isin(buckets)).select("term", "id", "tf", "dl")
-    if allowed is not None:
-        found = found.join(allowed.select("id"), "id", "left_semi")
-    return _rank(found, weighted, index.n_docs, index.avg_length, k)
+    head = small_terms(terms)
+    if head is None:
+        terms = materialize(terms, "query-terms")
+        weighted = index.terms.join(terms, "term", "right")
+        return _rank(_allowed(index.postings, allowed), weighted, index.n_docs, index.avg_length, k)
+    words = pc.unique(head["term"])
+    wanted = asked_words(index, words)
+    frequency = np.zeros(len(words))
+    for row in index.terms.join(F.broadcast(wanted), "term").select("at", "df").collect():
+        frequency[row["at"]] = row["df"]
+    buckets = [r["bucket"] for r in wanted.select(_bucket()).distinct().collect()]
+    found = _allowed(index.postings.where(F.col("bucket").isin(buckets)), allowed)
+    length = 1 - B + B * F.col("dl") / F.lit(float(index.avg_length or 1.0))
+    value = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * length)
+    block = _weighted_block(head, queries.schema["qid"].dataType, words, frequency, index.n_docs)
+    return rank_entries(found.select("id", "term", value.alias("val")), block, k)
+
+
+def asked_words(index: TextIndex, words: pa.Array) -> DataFrame:
+    """The bounded list of asked words as ``(term, at)``."""
+    table = pa.table({"term": words, "at": pa.array(np.arange(len(words)))})
+    return index.terms.sparkSession.createDataFrame(table)
+
+
+def _allowed(postings: DataFrame, allowed: DataFrame | None) -> DataFrame:
+    if allowed is None:
+        return postings
+    return postings.join(allowed.select("id"), "id", "left_semi")
+
+
+def _bucket() -> F.Column:
+    return F.pmod(F.xxhash64("term"), F.lit(TERM_BUCKETS)).cast("int").alias("bucket")
+
+
+def _weighted_block(head, qid_type, words, frequency, n_docs) -> TermBlock:
+    """Query terms weighted by how rare they are in the corpus."""
+    idf = np.log(1 + (n_docs - frequency + 0.5) / (frequency + 0.5))
+    weight = idf[pc.index_in(head["term"], words).to_numpy()]
+    role = pc.index_in(head["role"], pa.array(ROLES)).to_numpy()
+    return term_block(head["qid"], qid_type, head["term"], weight, role)
 
 
 def search_scan(
@@ -239,22 +268,17 @@ def search_scan(
     """
     positive_int32(k, "k")
     terms = _query_terms(queries, analyzer, mode, operator)
-    head = terms.limit(MAX_QUERY_ENTRIES + 1).toArrow()
-    names = pc.unique(head["qid"])
-    if head.num_rows > MAX_QUERY_ENTRIES or len(names) > MAX_BROADCAST_QUERIES:
+    head = small_terms(terms)
+    if head is None:
         return _search_join(docs, terms, k, text=text, analyzer=analyzer, where=where)
     schema = hit_schema(queries.schema["qid"].dataType, docs.schema["id"].dataType)
-    if len(names) == 0:
-        return docs.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(0))
+    if head.num_rows == 0:
+        return top_k(docs.sparkSession.createDataFrame([], schema), k, ascending=False)
     words = pc.unique(head["term"])
     listed = docs.select("id", analyzer.terms(F.col(text)).alias("terms"))
     frequency, n_docs, total = _measure(listed, words)
-    term = pc.index_in(head["term"], words).to_numpy()
-    role = pc.index_in(head["role"], pa.array(["should", "must", "not"])).to_numpy()
-    idf = np.log(1 + (n_docs - frequency + 0.5) / (frequency + 0.5))
-    held = SparseQueries(
-        pc.index_in(head["qid"], names).to_numpy(), term, idf[term], role, len(words), len(names)
-    )
+    block = _weighted_block(head, schema["qid"].dataType, words, frequency, n_docs)
+    held, qids = block.held, block.qids
     avg_length = total / max(n_docs, 1)
     arrow = to_arrow_schema(schema)
 
@@ -264,7 +288,7 @@ def search_scan(
             row, at, tf, length = _counts(batch.column(1), words)
             part = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[row] / avg_length))
             best.add(row, at, part, values_of(batch.column(0)))
-        yield best.batch(names, arrow)
+        yield best.batch(qids, arrow)
 
     passing = docs.where(where) if where and where.strip() else docs
     rows = passing.select("id", analyzer.terms(F.col(text)).alias("terms"))

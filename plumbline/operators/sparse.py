@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from plumbline.errors import positive_int32
@@ -46,15 +48,9 @@ def valid_sparse(vector: F.Column) -> F.Column:
 def meet(left: DataFrame, right: DataFrame, key: str, spread: str, salt_rows: int = SALT_ROWS) -> DataFrame:
     """Equi-join a large ``left`` to ``right`` on ``key`` without one task per hot key.
 
-    A small ``right`` is broadcast; the entries of ``left`` it names are placed by
-    ``spread``, so that later grouping by ``spread`` needs no further shuffle. Otherwise
-    keys heavy on the left are split by ``spread`` and the matching right rows are copied
+    Keys heavy on the left are split by ``spread`` and the matching right rows are copied
     once per split.
     """
-    right, small = broadcast_if_small(right)
-    if small:
-        wanted = F.broadcast(right.select(key).distinct())
-        return left.join(wanted, key, "left_semi").repartition(spread).join(right, key)
     weight = (
         left.groupBy(key)
         .agg(F.count("*").alias("_n"))
@@ -70,15 +66,100 @@ def meet(left: DataFrame, right: DataFrame, key: str, spread: str, salt_rows: in
     return cut.drop("_splits").join(copies.drop("_splits"), [key, "_salt"]).drop("_salt")
 
 
+@dataclass(frozen=True)
+class TermBlock:
+    """Query terms small enough to travel to every task: ``held`` numbers the distinct
+    ``terms`` and the ``qids``."""
+
+    qids: pa.Array
+    qid_type: T.DataType
+    terms: pa.Array
+    held: SparseQueries
+
+
+def term_block(
+    qid: pa.ChunkedArray, qid_type: T.DataType, term: pa.ChunkedArray, weight: np.ndarray, role: np.ndarray
+) -> TermBlock:
+    qids, terms = pc.unique(qid), pc.unique(term)
+    held = SparseQueries(
+        pc.index_in(qid, qids).to_numpy(),
+        pc.index_in(term, terms).to_numpy(),
+        weight,
+        role,
+        len(terms),
+        len(qids),
+    )
+    return TermBlock(qids, qid_type, terms, held)
+
+
+def small_terms(queries: DataFrame) -> pa.Table | None:
+    """The rows of a query-term table, or None when they are too many to broadcast."""
+    head = queries.limit(MAX_QUERY_ENTRIES + 1).toArrow()
+    if head.num_rows > MAX_QUERY_ENTRIES or len(pc.unique(head["qid"])) > MAX_BROADCAST_QUERIES:
+        return None
+    return head
+
+
+def rank_entries(entries: DataFrame, block: TermBlock, k: int) -> DataFrame:
+    """Top ``k`` from ``entries (id, term, val)``: sums of ``val`` times query weight.
+
+    Entries no query asks for are dropped first; the rest move once, by id, and each task
+    returns its best ``k`` per query. An id has at most one entry per query term.
+    """
+    spark = entries.sparkSession
+    schema = hit_schema(block.qid_type, entries.schema["id"].dataType)
+    if len(block.qids) == 0:
+        return top_k(spark.createDataFrame([], schema), k, ascending=False)
+    kind = entries.schema["term"].dataType
+    wanted = spark.createDataFrame(
+        pa.table({"term": block.terms, "at": pa.array(np.arange(len(block.terms)))}),
+        T.StructType([T.StructField("term", kind), T.StructField("at", T.LongType())]),
+    )
+    found = entries.join(F.broadcast(wanted), "term").select("id", "at", F.col("val").cast("double"))
+    held, qids, arrow = block.held, block.qids, to_arrow_schema(schema)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, rest = SparseBest(held, k), None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if rest is None else pa.concat_tables([rest, table])
+            if table.num_rows == 0:
+                continue
+            ids = values_of(table["id"])
+            # The last id may go on in the next batch.
+            last = int(np.nonzero(ids != ids[-1])[0][-1]) + 1 if (ids != ids[-1]).any() else 0
+            rest = table.slice(last)
+            _add_runs(best, table.slice(0, last), ids[:last])
+        if rest is not None:
+            _add_runs(best, rest, values_of(rest["id"]))
+        yield best.batch(qids, arrow)
+
+    placed = found.repartition("id").sortWithinPartitions("id")
+    return top_k(placed.mapInArrow(scan, schema), k, ascending=False)
+
+
+def _add_runs(best: SparseBest, table: pa.Table, ids: np.ndarray) -> None:
+    if len(ids) == 0:
+        return
+    first = np.r_[True, ids[1:] != ids[:-1]]
+    best.add(np.cumsum(first) - 1, values_of(table["at"]), values_of(table["val"]), ids[first])
+
+
 def sparse_knn(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """Top ``k`` by inner product from ``rows (id, idx, val)`` and ``queries (qid, idx, val)``.
 
-    Only rows sharing an index with the query are candidates. Matching entries move once,
-    by id: a row's products then add up where they are made, and only the best ``k`` per
-    query leave each task.
+    Only rows sharing an index with the query are candidates. A query table too large to
+    travel meets the rows in a salted join.
     """
     positive_int32(k, "k")
-    asked = queries.select("qid", "idx", F.col("val").alias("weight"))
+    asked = queries.select("qid", "idx", F.col("val").cast("double").alias("weight"))
+    head = small_terms(asked)
+    if head is not None:
+        weight = head["weight"].to_numpy()
+        block = term_block(
+            head["qid"], queries.schema["qid"].dataType, head["idx"], weight, np.zeros(len(weight), int)
+        )
+        return rank_entries(rows.select("id", F.col("idx").alias("term"), "val"), block, k)
     scored = (
         meet(rows.select("id", "idx", "val"), asked, "idx", "id")
         .groupBy("qid", "id")
@@ -94,32 +175,26 @@ def sparse_scan(docs: DataFrame, queries: DataFrame, k: int, *, vector: str) ->
     tables too large to travel go through ``sparse_knn``.
     """
     positive_int32(k, "k")
-    asked = queries.select("qid", "idx", F.col("val").cast("double").alias("val"))
-    head = asked.limit(MAX_QUERY_ENTRIES + 1).toArrow()
-    names = pc.unique(head["qid"])
-    if head.num_rows > MAX_QUERY_ENTRIES or len(names) > MAX_BROADCAST_QUERIES:
+    head = small_terms(queries.select("qid", F.col("idx").cast("long"), F.col("val").cast("double")))
+    if head is None:
         return sparse_knn(explode_sparse(docs, vector, "id"), queries, k)
     schema = hit_schema(queries.schema["qid"].dataType, docs.schema["id"].dataType)
-    arrow = to_arrow_schema(schema)
-    if len(names) == 0:
-        return docs.sparkSession.createDataFrame([], schema)
-    idx, term = np.unique(head["idx"].to_numpy(), return_inverse=True)
-    query = pc.index_in(head["qid"], names).to_numpy()
-    held = SparseQueries(
-        query, term, head["val"].to_numpy(), np.zeros(len(term), int), len(idx), len(names)
-    )
+    if head.num_rows == 0:
+        return top_k(docs.sparkSession.createDataFrame([], schema), k, ascending=False)
+    weight = head["val"].to_numpy()
+    block = term_block(head["qid"], schema["qid"].dataType, head["idx"], weight, np.zeros(len(weight), int))
+    arrow, held, qids, terms = to_arrow_schema(schema), block.held, block.qids, block.terms
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = SparseBest(held, k)
         for batch in batches:
             indices, values = batch.column(1), batch.column(2)
             row = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(indices.offsets)))
-            flat = np.asarray(indices.flatten())
-            value = np.asarray(values.flatten(), dtype=np.float64)
-            at = np.minimum(np.searchsorted(idx, flat), len(idx) - 1)
-            hit = idx[at] == flat
-            best.add(row[hit], at[hit], value[hit], values_of(batch.column(0)))
-        yield best.batch(names, arrow)
+            at = pc.index_in(indices.flatten(), terms)
+            hit = np.asarray(at.is_valid())
+            value = np.asarray(values.flatten(), dtype=np.float64)[hit]
+            best.add(row[hit], at.drop_null().to_numpy(), value, values_of(batch.column(0)))
+        yield best.batch(qids, arrow)
 
     rows = docs.where(F.col(vector).isNotNull()).select(
         "id", F.col(f"{vector}.indices").alias("i"), F.col(f"{vector}.values").alias("v")
