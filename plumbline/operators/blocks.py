@@ -13,6 +13,8 @@ from plumbline.functions.ranking import ASCENDING, TIE_DIGITS
 
 QUERY_CHUNK = 512
 GATHER_ROWS = 65_536
+MAX_TABLE_CELLS = 2_000_000
+PRODUCT_GAIN = 250
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, dim: int | None = None) -> np.ndarray:
@@ -178,6 +180,13 @@ class SparseQueries:
         self.queries = queries
         self.required = np.bincount(query[role == 1], minlength=queries)
         self.strict = bool((role > 0).any())
+        # Few terms and queries: a plain matrix product beats meeting entry by entry.
+        self.table = None
+        if not self.strict and 0 < terms * queries <= MAX_TABLE_CELLS:
+            self.table = np.zeros((terms, queries))
+            np.add.at(self.table, (term, query), weight)
+            self.there = np.zeros((terms, queries), dtype=np.float32)
+            self.there[term, query] = 1
 
 
 class SparseBest(Keeper):
@@ -192,7 +201,10 @@ class SparseBest(Keeper):
 
     def add(self, row: np.ndarray, term: np.ndarray, value: np.ndarray, ids: np.ndarray) -> None:
         """Entries ``(row number, term number, value)``, rows ascending; ``ids`` per row."""
-        step = max(1, self.CELLS // max(1, self.held.queries))
+        widest = self.held.queries
+        if self.held.table is not None:
+            widest = max(self.held.table.shape)
+        step = max(1, self.CELLS // max(1, widest))
         for start in range(0, len(ids), step):
             low, high = np.searchsorted(row, [start, start + step])
             if low < high:
@@ -202,6 +214,15 @@ class SparseBest(Keeper):
     def _block(self, row, term, value, ids):
         held, rows = self.held, len(ids)
         fan = held.start[term + 1] - held.start[term]
+        if held.table is not None and rows * held.table.size < PRODUCT_GAIN * fan.sum():
+            dense = np.zeros((rows, len(held.table)))
+            np.add.at(dense, (row, term), value)
+            seen = np.zeros((rows, len(held.table)), dtype=np.float32)
+            seen[row, term] = 1
+            cost = np.where(seen @ held.there > 0, -(dense @ held.table), np.inf).T
+            q, r = self.near(cost, self.all, 1e-8)
+            self.merge(q, cost[q, r], ids[r])
+            return
         entry = np.repeat(np.arange(len(term)), fan)
         if len(entry) == 0:
             return

@@ -56,15 +56,18 @@ class TextIndex:
 
 def tokens(docs: DataFrame, text: str, analyzer: Analyzer = Analyzer()) -> DataFrame:
     """``(id, pos, term)``: every token of every document."""
-    return docs.select("id", F.posexplode(analyzer.terms(F.col(text))).alias("pos", "term"))
+    # The outer form keeps Catalyst from adding a filter that tokenizes a second time.
+    listed = F.posexplode_outer(analyzer.terms(F.col(text))).alias("pos", "term")
+    return docs.select("id", listed).where(F.col("term").isNotNull())
 
 
 def _postings(docs: DataFrame, text: str, analyzer: Analyzer, *keep: str) -> DataFrame:
     """One row per token with the length of its document."""
     listed = docs.select("id", *keep, analyzer.terms(F.col(text)).alias("_terms"))
-    return listed.select(
-        "id", *keep, F.size("_terms").alias("dl"), F.explode("_terms").alias("term")
+    flat = listed.select(
+        "id", *keep, F.size("_terms").alias("dl"), F.explode_outer("_terms").alias("term")
     )
+    return flat.where(F.col("term").isNotNull())
 
 
 def postings(docs: DataFrame, text: str, analyzer: Analyzer = Analyzer()) -> DataFrame:
@@ -291,8 +294,8 @@ def search_scan(
         yield best.batch(qids, arrow)
 
     passing = docs.where(where) if where and where.strip() else docs
-    rows = passing.select("id", analyzer.terms(F.col(text)).alias("terms"))
-    hits = rows.where(F.col("terms").isNotNull()).mapInArrow(scan, schema)
+    held_text = passing.where(F.col(text).isNotNull())
+    hits = held_text.select("id", analyzer.terms(F.col(text)).alias("terms")).mapInArrow(scan, schema)
     return top_k(hits, k, ascending=False)
 
 

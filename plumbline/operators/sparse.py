@@ -22,14 +22,14 @@ from plumbline.operators.knn import MAX_BROADCAST_QUERIES, hit_schema
 # Rows of one index meeting more than this are spread over several tasks.
 SALT_ROWS = 1_000_000
 
-# Query entries that may travel to every task.
-MAX_QUERY_ENTRIES = 500_000
+# Query entries that may travel to every task, about 24 bytes each.
+MAX_QUERY_ENTRIES = 2_000_000
 
 
 def explode_sparse(df: DataFrame, vector: str, key: str) -> DataFrame:
     """``(key, idx, val)`` from a ``struct<indices, values>`` column."""
     pairs = F.arrays_zip(F.col(f"{vector}.indices").alias("i"), F.col(f"{vector}.values").alias("v"))
-    flat = df.where(F.col(vector).isNotNull()).select(key, F.explode(pairs).alias("p"))
+    flat = df.select(key, F.explode_outer(pairs).alias("p")).where(F.col("p").isNotNull())
     return flat.select(
         key, F.col("p")["i"].alias("idx"), F.col("p")["v"].cast("double").alias("val")
     )
