@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.operators.sparse import valid_sparse
-from plumbline.sources.schema import DENSE, RANGES, SPARSES, Field, Schema, spark_type
+from plumbline.sources.schema import ARRAYS, DENSE, RANGES, SPARSES, Field, Schema, spark_type
 
 RESERVED = ("id", "pos", "_set", "op", "seq")
 
@@ -19,8 +19,8 @@ def _dimension(column: F.Column, item: Field) -> F.Column:
 
 
 def _outside(column: F.Column, item: Field) -> F.Column:
-    low, high = (F.lit(v).cast("decimal(20,0)") for v in RANGES[item.vtype])
-    if item.vtype in DENSE:
+    low, high = (F.lit(str(v)).cast("decimal(20,0)") for v in RANGES[item.vtype])
+    if item.vtype in DENSE or item.vtype in ARRAYS:
         return F.exists(column, lambda x: (x < low) | (x > high))
     return (column < low) | (column > high)
 

@@ -55,6 +55,8 @@ SPARSES = {"sparseVectorFloat16": SPARSE, "sparseVectorFloat32": SPARSE}
 RANGES = {
     "uint32": (0, 2**32 - 1),
     "uint64": (0, 2**64 - 1),
+    "arrayUInt32": (0, 2**32 - 1),
+    "arrayUInt64": (0, 2**64 - 1),
     "vectorInt4": (-8, 7),
 }
 
