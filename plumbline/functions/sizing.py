@@ -50,18 +50,23 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> tuple[Dat
     return df, False
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
     A local folder is made only when the setting is absent and the session is local.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="plumbline-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="plumbline-")
+    return _LOCAL_FOLDERS[app]
 
 
 def materialize(df: DataFrame, name: str = "stage", partition_by: list[str] | None = None) -> DataFrame:

