@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -27,7 +29,10 @@ from plumbline.operators.ivf import build_ivf, completeness, search_ivf
 from plumbline.operators.knn import attach, knn, queries_by_id
 from plumbline.operators.lsh import build_lsh, search_lsh
 from plumbline.operators.quantize import half, quantize, refined_knn
+from plumbline.plans.indexes import create_index, search_stored
 from plumbline.plans.search import VectorSearch, vector_search
+from plumbline.sources.schema import Field, Schema, index_settings
+from plumbline.sources.table import Table
 
 K = 10
 
@@ -185,6 +190,19 @@ def knn_grouped_float(spark, sf_dir):
     return groups.withColumn("score", F.round("score", 6))
 
 
+VECTOR_SCHEMA = Schema("vectors", (Field("embedding", "vectorFloat32", dim=64), Field("label", "int32")))
+
+
+def index_reopen(spark, sf_dir):
+    """A stored index opened from its table; as many probes as cells, so exact."""
+    path = f"{shared_dir(spark).rstrip('/')}/plumbline/table-{uuid.uuid4().hex}"
+    docs = vectors(spark, sf_dir)
+    table = Table.create(spark, path, VECTOR_SCHEMA, docs)
+    create_index(table, "embedding", index_settings("ivf", cells=16))
+    hits = search_stored(Table.open(spark, path), "embedding", as_queries(docs), K, effort=16)
+    return shown(hits.withColumn("id", F.col("id").cast("long")))
+
+
 def index_completeness(spark, sf_dir):
     """Coverage of an index built before the rows of the last labels arrived."""
     docs = vectors(spark, sf_dir)
@@ -278,6 +296,7 @@ QUERIES = {
     "knn_refined": knn_refined,
     "knn_grouped": knn_grouped,
     "knn_grouped_float": knn_grouped_float,
+    "index_reopen": index_reopen,
     "index_completeness": index_completeness,
 }
 
@@ -343,6 +362,7 @@ ORACLES = {
         SELECT id, 1.0::DOUBLE AS scale, (generate_subscripts(v, 1) - 1)::INT AS pos, unnest(v) AS code
         FROM d""",
     "knn_refined": _COSINE,
+    "index_reopen": _COSINE,
     "knn_grouped": _sql_grouped(
         "d AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v, lang AS g, source "
         "FROM embeddings JOIN documents ON vec_id = doc_id)",

@@ -12,13 +12,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from plumbline.functions.ranking import ASCENDING, top_k
-from plumbline.functions.sizing import materialize
+from plumbline.functions.sizing import broadcast_if_small, materialize
 from plumbline.operators import knn as exact
 from plumbline.operators.blocks import Best, matrix, unit, values_of
 
@@ -192,7 +192,6 @@ def match_large(
     max_norm2: float = 0.0,
 ) -> DataFrame:
     """Join ``probes (qid, qvec, cell)`` to ``rows`` on the cell, block by block."""
-    spark = rows.sparkSession
     held = rows.groupBy("cell").agg(F.count("*").alias("n_rows"))
     asked = probes.groupBy("cell").agg(F.count("*").alias("n_queries"))
     plan = (
@@ -203,6 +202,8 @@ def match_large(
             F.ceil(F.col("n_queries") / QUERY_BLOCK).cast("int").alias("query_blocks"),
         )
     )
+    # One row per probed cell; unprobed cells drop out before the shuffle when it is small.
+    plan, _ = broadcast_if_small(materialize(plan, "cell-plan"))
     left = (
         rows.select("cell", "id", vector)
         .join(plan, "cell")

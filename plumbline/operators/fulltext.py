@@ -101,7 +101,7 @@ def build_text_index(
         frequency = materialize(stored.groupBy("term").agg(F.count("*").alias("df")), "terms")
     else:
         counted.write.mode("errorifexists").partitionBy("bucket").parquet(f"{path}/postings")
-        stored = spark.read.schema(counted.schema).parquet(f"{path}/postings")
+        stored = spark.read.parquet(f"{path}/postings")
         stored.groupBy("term").agg(F.count("*").alias("df")).write.mode(
             "errorifexists"
         ).parquet(f"{path}/terms")

@@ -71,6 +71,7 @@ def build_lsh(
     tables: int = 16,
     bucket_length: float = 0.5,
     seed: int = 7,
+    path: str | None = None,
 ) -> BucketIndex:
     """Hash every row into ``tables`` buckets and store the rows by bucket."""
     exact.check_search(docs, vector, metric, 1)
@@ -83,7 +84,12 @@ def build_lsh(
         bucketLength=bucket_length,
         seed=seed,
     ).fit(placed)
-    rows = materialize(_buckets(placed, model).select("cell", "id", vector), "lsh")
+    bucketed = _buckets(placed, model).select("cell", "id", vector)
+    if path is None:
+        rows = materialize(bucketed, "lsh")
+    else:
+        bucketed.write.mode("errorifexists").parquet(path)
+        rows = docs.sparkSession.read.parquet(path)
     return BucketIndex(rows, model, docs.select("id", vector), vector, metric, bound)
 
 

@@ -43,6 +43,7 @@ class Version:
     base: Part
     layers: tuple[Part, ...] = ()
     indexes: tuple[tuple[str, str], ...] = ()
+    marks: tuple[tuple[str, int], ...] = ()
 
     def to_json(self) -> str:
         part = lambda p: {"path": p.path, "steps": [list(s) for s in p.steps]}
@@ -52,6 +53,7 @@ class Version:
                 "base": part(self.base),
                 "layers": [part(p) for p in self.layers],
                 "indexes": [list(i) for i in self.indexes],
+                "marks": [list(m) for m in self.marks],
             }
         )
 
@@ -65,6 +67,7 @@ class Version:
             part(raw["base"]),
             tuple(part(p) for p in raw["layers"]),
             tuple(tuple(i) for i in raw["indexes"]),
+            tuple(tuple(m) for m in raw["marks"]),
         )
 
 
@@ -140,8 +143,20 @@ class Table:
     def delete(self, requests: DataFrame) -> tuple[Table, DataFrame]:
         return self._layer(writes.delete_ids(self.scan(), requests))
 
-    def apply(self, changes: DataFrame, order: tuple[str, ...] = ("seq",)) -> tuple[Table, DataFrame]:
-        return self._layer(replay.apply_changes(self.scan(), changes, order=order))
+    def apply(
+        self,
+        changes: DataFrame,
+        order: tuple[str, ...] = ("seq",),
+        mark: tuple[str, int] | None = None,
+    ) -> tuple[Table, DataFrame]:
+        """Replay a change table; ``mark`` records how far a named source has been read, in
+        the same version as its rows."""
+        done = replay.apply_changes(self.scan(), changes, order=order)
+        return self._append(done.rows, mark), done.results
+
+    def mark(self, name: str) -> int:
+        """How far the source ``name`` has been read; -1 at first."""
+        return dict(self.version.marks).get(name, -1)
 
     def delete_where(self, where: str) -> Table:
         """Mark matching rows as removed; only their ids are written."""
@@ -272,7 +287,10 @@ class Table:
     def _layer(self, done) -> tuple[Table, DataFrame]:
         return self._append(done.rows), done.results
 
-    def _append(self, rows: DataFrame) -> Table:
+    def _append(self, rows: DataFrame, mark: tuple[str, int] | None = None) -> Table:
+        marks = self.version.marks
+        if mark is not None:
+            marks = (*[m for m in marks if m[0] != mark[0]], mark)
         part = Part(f"layer-{uuid.uuid4().hex}")
         self._store(self._typed_layer(rows), part)
         return self._commit(
@@ -280,6 +298,7 @@ class Table:
                 self.version,
                 number=self.version.number + 1,
                 layers=(*self.version.layers, part),
+                marks=marks,
             )
         )
 

@@ -16,7 +16,7 @@ class ChangeStream:
 
     A micro-batch costs one append: folder ``batch=<id>`` is overwritten when Spark retries
     a batch, so every change is logged once. ``fold`` writes the outcome as one table layer
-    and remembers the last batch it covers.
+    together with the last batch it covers, so a repeated fold replays nothing twice.
     """
 
     def __init__(self, spark: SparkSession, log_path: str, order: tuple[str, ...] = ("seq",)):
@@ -36,27 +36,26 @@ class ChangeStream:
             .start()
         )
 
-    def pending(self, schema: T.StructType, after: int = -1) -> DataFrame:
-        """Logged changes of batches later than ``after``."""
+    def pending(self, schema: T.StructType, after: int = -1, upto: int | None = None) -> DataFrame:
+        """Logged changes of batches later than ``after``; only their folders are read."""
         numbered = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
         logged = self.spark.read.schema(numbered).option("basePath", self.log_path)
-        return logged.parquet(self.log_path).where(F.col("batch") > after).drop("batch")
+        rows = logged.parquet(self.log_path).where(F.col("batch") > after)
+        if upto is not None:
+            rows = rows.where(F.col("batch") <= upto)
+        return rows.drop("batch")
 
     def current(self, table: DataFrame, schema: T.StructType, after: int = -1) -> Applied:
         """The table with all later changes replayed, without writing it."""
         return apply_changes(table, self.pending(schema, after), order=self.order)
 
-    def fold(self, table: Table, schema: T.StructType, after: int = -1) -> tuple[Table, int]:
-        """Write the replayed changes as one layer; returns the last batch covered."""
-        last = (
-            self.spark.read.schema("batch long")
-            .option("basePath", self.log_path)
-            .parquet(self.log_path)
-            .agg(F.max("batch"))
-            .first()[0]
-        )
+    def fold(self, table: Table, schema: T.StructType) -> Table:
+        """Write the changes the table does not hold yet as one layer."""
+        logged = self.spark.read.schema("batch long").option("basePath", self.log_path)
+        last = logged.parquet(self.log_path).agg(F.max("batch")).first()[0]
+        after = table.mark(self.log_path)
         if last is None or last <= after:
-            return table, after
-        changes = self.pending(schema, after)
-        next_table, _ = table.apply(changes, self.order)
-        return next_table, last
+            return table
+        changes = self.pending(schema, after, last)
+        folded, _ = table.apply(changes, self.order, mark=(self.log_path, last))
+        return folded
