@@ -30,9 +30,11 @@ TARGET_FILE_BYTES = 512 * 1024 * 1024
 
 @dataclass(frozen=True)
 class Part:
-    """A data folder and the column expressions that bring it to the current schema."""
+    """A data folder, the schema it was written with, and the column expressions that bring
+    it to the current schema."""
 
     path: str
+    columns: str
     steps: tuple[tuple[str, ...], ...] = ()
 
 
@@ -46,7 +48,7 @@ class Version:
     marks: tuple[tuple[str, int], ...] = ()
 
     def to_json(self) -> str:
-        part = lambda p: {"path": p.path, "steps": [list(s) for s in p.steps]}
+        part = lambda p: {"path": p.path, "columns": p.columns, "steps": [list(s) for s in p.steps]}
         return json.dumps(
             {
                 "schema": self.schema.to_json(),
@@ -60,7 +62,7 @@ class Version:
     @staticmethod
     def from_json(number: int, text: str) -> Version:
         raw = json.loads(text)
-        part = lambda p: Part(p["path"], tuple(tuple(s) for s in p["steps"]))
+        part = lambda p: Part(p["path"], p["columns"], tuple(tuple(s) for s in p["steps"]))
         return Version(
             number,
             Schema.from_json(raw["schema"]),
@@ -86,10 +88,9 @@ class Table:
             raise AlreadyExists(f"a table exists at {path}")
         if rows is None:
             rows = spark.createDataFrame([], schema.struct())
-        base = Part(f"data-{uuid.uuid4().hex}")
-        table = cls(spark, path, Version(0, schema, base))
-        table._store(table._typed(rows), base)
-        return table._commit(table.version)
+        table = cls(spark, path, Version(0, schema, Part("", "")))
+        base = table._store(table._typed(rows), "data")
+        return table._commit(replace(table.version, base=base))
 
     @classmethod
     def open(cls, spark: SparkSession, path: str, version: int | None = None) -> Table:
@@ -234,8 +235,8 @@ class Table:
         rows = self.scan()
         if files is None:
             files = max(1, -(-measured_bytes(rows) // TARGET_FILE_BYTES))
-        base = Part(f"data-{uuid.uuid4().hex}")
-        self._store(rows.repartitionByRange(int(files), "id").sortWithinPartitions("id"), base)
+        ordered = rows.repartitionByRange(int(files), "id").sortWithinPartitions("id")
+        base = self._store(ordered, "data")
         return self._commit(
             replace(self.version, number=self.version.number + 1, base=base, layers=())
         )
@@ -272,17 +273,20 @@ class Table:
         return rows.select(*out)
 
     def _read(self, part: Part, layered: bool) -> DataFrame:
-        rows = self.spark.read.parquet(f"{self.path}/{part.path}")
+        columns = T.StructType.fromJson(json.loads(part.columns))
+        rows = self.spark.read.schema(columns).parquet(f"{self.path}/{part.path}")
         for step in part.steps:
             rows = rows.selectExpr(*step, *(["_deleted"] if layered else []))
         return rows
 
-    def _store(self, rows: DataFrame, part: Part) -> None:
+    def _store(self, rows: DataFrame, kind: str) -> Part:
+        name = f"{kind}-{uuid.uuid4().hex}"
         (
             rows.write.mode("errorifexists")
             .option("maxRecordsPerFile", self.schema.segment_rows)
-            .parquet(f"{self.path}/{part.path}")
+            .parquet(f"{self.path}/{name}")
         )
+        return Part(name, rows.schema.json())
 
     def _layer(self, done) -> tuple[Table, DataFrame]:
         return self._append(done.rows), done.results
@@ -291,8 +295,7 @@ class Table:
         marks = self.version.marks
         if mark is not None:
             marks = (*[m for m in marks if m[0] != mark[0]], mark)
-        part = Part(f"layer-{uuid.uuid4().hex}")
-        self._store(self._typed_layer(rows), part)
+        part = self._store(self._typed_layer(rows), "layer")
         return self._commit(
             replace(
                 self.version,
@@ -307,7 +310,7 @@ class Table:
         return rows.select(*[F.col(quote(n)) for n in names], "_deleted")
 
     def _evolve(self, schema: Schema, step: list[str]) -> Table:
-        more = lambda part: Part(part.path, (*part.steps, tuple(step)))
+        more = lambda part: Part(part.path, part.columns, (*part.steps, tuple(step)))
         names = {f.name for f in schema.fields}
         return self._commit(
             replace(
