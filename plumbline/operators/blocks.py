@@ -120,6 +120,17 @@ class Best(Keeper):
             q, r, cost = self._candidates(chunk, rows)
             self.merge(q, cost, ids[r])
 
+    def add_pairs(self, rows: np.ndarray, ids: np.ndarray, q: np.ndarray, r: np.ndarray) -> None:
+        """Score the listed (query, row) pairs only; each pair is listed once."""
+        if self.metric == "cosine":
+            rows = unit(rows)
+        for start in range(0, len(q), GATHER_ROWS):
+            part = slice(start, start + GATHER_ROWS)
+            score = pair_scores(self.queries[q[part]], rows[r[part]], self.metric, self.max_norm2)
+            cost = self.sign * score
+            good = cost <= self.bound[q[part]] + 1e-8 * np.maximum(1.0, np.abs(cost))
+            self.merge(q[part][good], cost[good], ids[r[part]][good])
+
     def _candidates(self, chunk, rows):
         queries = self.queries[chunk]
         dots = queries @ rows.T
@@ -152,7 +163,9 @@ class Best(Keeper):
         return chunk[q], r, picked
 
 
-def pair_scores(left: np.ndarray, right: np.ndarray, metric: str) -> np.ndarray:
+def pair_scores(
+    left: np.ndarray, right: np.ndarray, metric: str, max_norm2: float = 0.0
+) -> np.ndarray:
     """Row-by-row scores of two equally long matrices; NaN where undefined."""
     if metric == "l2":
         gap = left - right
@@ -164,6 +177,9 @@ def pair_scores(left: np.ndarray, right: np.ndarray, metric: str) -> np.ndarray:
             return np.where(length > 0, 1.0 - dots / length, np.nan)
     if metric == "hamming":
         return (left.shape[1] - dots) / 2
+    if metric == "mips_l2":
+        norms2 = np.einsum("ij,ij->i", left, left)
+        return np.sqrt(np.maximum(norms2 + max_norm2 - 2 * dots, 0.0))
     return dots
 
 

@@ -182,6 +182,49 @@ def match_small(
     return probed.select("cell", "id", vector).mapInArrow(scan, schema)
 
 
+def match_listed(
+    rows: DataFrame,
+    block: exact.QueryBlock,
+    asked: tuple[np.ndarray, np.ndarray],
+    k: int,
+    *,
+    vector: str,
+    metric: str,
+    max_norm2: float = 0.0,
+) -> DataFrame:
+    """Scan rows that each list several ``cells``; ``asked`` pairs query numbers with cells.
+
+    A row is scored once per query it shares a cell with, however many they share.
+    """
+    schema = exact.hit_schema(block.qid_type, rows.schema["id"].dataType)
+    arrow = to_arrow_schema(schema)
+    qids, vectors = block.qids, block.vectors
+    names, cell = np.unique(asked[1], return_inverse=True)
+    order = np.argsort(cell, kind="stable")
+    held, start = asked[0][order], np.searchsorted(cell[order], np.arange(len(names) + 1))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = Best(vectors, k, metric, max_norm2)
+        for batch in batches:
+            lists = batch.column(2)
+            flat = np.asarray(lists.flatten())
+            row = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(lists.offsets)))
+            at = np.minimum(np.searchsorted(names, flat), len(names) - 1)
+            hit = names[at] == flat
+            row, at = row[hit], at[hit]
+            fan = start[at + 1] - start[at]
+            entry = np.repeat(np.arange(len(at)), fan)
+            offset = np.arange(len(entry)) - np.repeat(np.cumsum(fan) - fan, fan)
+            pair = np.unique(held[start[at][entry] + offset] * batch.num_rows + row[entry])
+            if len(pair):
+                vecs = matrix(batch.column(1), vectors.shape[1])
+                ids = values_of(batch.column(0))
+                best.add_pairs(vecs, ids, pair // batch.num_rows, pair % batch.num_rows)
+        yield best.batch(qids, arrow)
+
+    return rows.select("id", vector, "cells").mapInArrow(scan, schema)
+
+
 def match_large(
     rows: DataFrame,
     probes: DataFrame,

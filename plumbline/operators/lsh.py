@@ -7,8 +7,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,14 +54,10 @@ def _placed(df: DataFrame, vector: str, metric: str, bound: float, query: bool)
     return out.withColumn("at", array_to_vector("at"))
 
 
-def _buckets(df: DataFrame, model: BucketedRandomProjectionLSHModel) -> DataFrame:
-    """One row per (row, hash table); the bucket key plays the role of a cell."""
-    hashed = model.transform(df)
-    return (
-        hashed.select(*[c for c in df.columns if c != "at"], F.posexplode("hashes"))
-        .withColumn("cell", F.xxhash64("pos", vector_to_array("col")))
-        .drop("pos", "col")
-    )
+def _bucketed(df: DataFrame, model: BucketedRandomProjectionLSHModel) -> DataFrame:
+    """Add ``cells``: one bucket key per hash table."""
+    keys = F.transform("hashes", lambda bucket, table: F.xxhash64(table, bucket))
+    return model.transform(df).withColumn("cells", keys).drop("at", "hashes")
 
 
 def build_lsh(
@@ -73,7 +70,7 @@ def build_lsh(
     seed: int = 7,
     path: str | None = None,
 ) -> BucketIndex:
-    """Hash every row into ``tables`` buckets and store the rows by bucket."""
+    """Hash every row into ``tables`` buckets; rows are stored once, with their bucket keys."""
     exact.check_search(docs, vector, metric, 1)
     bound = exact.largest_norm2(docs, vector) if metric in ("ip", "mips_l2") else 0.0
     placed = _placed(docs.select("id", vector), vector, metric, bound, query=False)
@@ -84,7 +81,7 @@ def build_lsh(
         bucketLength=bucket_length,
         seed=seed,
     ).fit(placed)
-    bucketed = _buckets(placed, model).select("cell", "id", vector)
+    bucketed = _bucketed(placed, model).select("id", vector, "cells")
     if path is None:
         rows = materialize(bucketed, "lsh")
     else:
@@ -111,15 +108,18 @@ def search_lsh(
     placed = _placed(
         queries.select("qid", "qvec"), "qvec", metric, index.max_norm2, query=True
     )
-    probes = _buckets(placed, index.model).select("qid", "qvec", "cell")
-    hits = grid.match_large(
-        index.rows,
-        probes,
-        effort,
-        vector=vector,
-        metric=metric,
-        max_norm2=index.max_norm2,
-    )
+    probes = _bucketed(placed, index.model).select("qid", "qvec", "cells")
+    block = exact.small_queries(queries)
+    options = {"vector": vector, "metric": metric, "max_norm2": index.max_norm2}
+    if block is not None:
+        keys = probes.select("qid", F.explode("cells").alias("cell")).toArrow()
+        numbers = pc.index_in(keys["qid"], block.qids).to_numpy()
+        asked = (numbers.astype(np.int64), keys["cell"].to_numpy())
+        hits = grid.match_listed(index.rows, block, asked, effort, **options)
+    else:
+        rows = index.rows.withColumn("cell", F.explode("cells"))
+        asked = probes.withColumn("cell", F.explode("cells")).drop("cells")
+        hits = grid.match_large(rows, asked, effort, **options)
     ascending = ASCENDING[metric]
     found = materialize(top_k(grid.one_per_pair(hits), effort, ascending=ascending), "lsh-hits")
     enough = found.groupBy("qid").count().where(F.col("count") >= effort).select("qid")

@@ -129,7 +129,7 @@ def _store_centers(table: Table, side: str, built: ivf.CellIndex) -> None:
 
 
 def _store_numbers(table: Table, side: str, *numbers: float) -> None:
-    frame = table.spark.createDataFrame([([float(n) for n in numbers],)], "numbers array<double>")
+    frame = table.spark.range(1).select(F.array(*[F.lit(float(n)) for n in numbers]).alias("numbers"))
     frame.coalesce(1).write.mode("errorifexists").parquet(f"{side}/numbers")
 
 

@@ -338,7 +338,10 @@ class Table:
             top = latest.agg(F.max("version")).first()[0]
             if top is not None and top >= version.number:
                 raise FailedPrecondition("the table has a newer version; open it again")
-        record = self.spark.createDataFrame([(version.number, version.to_json())], LOG_SCHEMA)
+        record = self.spark.range(1).select(
+            F.lit(version.number).cast("long").alias("version"),
+            F.lit(version.to_json()).alias("record"),
+        )
         record.coalesce(1).write.mode("append").parquet(f"{self.path}/_log")
         return Table(self.spark, self.path, version)
 

@@ -242,6 +242,18 @@ def test_lsh_recall_floor_and_fallback(embeddings):
     assert _recall(full, exact_hits) == 1.0
 
 
+@pytest.mark.parametrize("metric", ["l2", "ip", "mips_l2"])
+def test_lsh_routes_agree(cloud, metric, monkeypatch):
+    from plumbline.operators import knn as exact
+
+    index = build_lsh(cloud, metric=metric, tables=4, bucket_length=4.0)
+    key = lambda r: (r["qid"], r["rank"], r["id"])
+    small = sorted(map(key, search_lsh(index, queries_of(cloud), 4, effort=4).collect()))
+    monkeypatch.setattr(exact, "MAX_BROADCAST_QUERIES", 10)
+    large = sorted(map(key, search_lsh(index, queries_of(cloud), 4, effort=4).collect()))
+    assert small == large and len(small) == 4 * 300
+
+
 def test_completeness(cloud):
     index = build_ivf(cloud.where("label < 3"), cells=4)
     row = completeness(cloud, index.rows, "embedding").first()
