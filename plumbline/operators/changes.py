@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +17,7 @@ from plumbline.operators.writes import stored_ids
 OPERATIONS = ("insert", "update", "upsert", "delete")
 
 ROWS_PER_CHUNK = 1_000_000
-MAX_CHUNKS = 256
+MAX_CHUNKS = 10_000
 
 
 @dataclass(frozen=True)
@@ -40,7 +41,7 @@ def _cuts(changes: DataFrame, seq: str, chunks: int | None) -> list[float]:
     if chunks == 1:
         return []
     shares = [i / chunks for i in range(1, chunks)]
-    return sorted(set(changes.approxQuantile(seq, shares, 0.001)))
+    return sorted(set(changes.approxQuantile(seq, shares, 1 / (4 * chunks))))
 
 
 def _comparable(changes: DataFrame, seq: str) -> F.Column:
@@ -67,9 +68,12 @@ def judge(
     """
     numbered = changes.withColumn("_at", _comparable(changes, order[0]))
     cuts = _cuts(numbered, "_at", chunks)
-    edges = F.array(*[F.lit(c) for c in cuts]) if cuts else None
-    chunk = F.size(F.filter(edges, lambda e: e <= F.col("_at"))) if cuts else F.lit(0)
-    keyed = numbered.withColumn("_chunk", chunk).drop("_at")
+    if cuts:
+        edges = [float("-inf"), *cuts, float("inf")]
+        keyed = Bucketizer(splits=edges, inputCol="_at", outputCol="_chunk").transform(numbered)
+    else:
+        keyed = numbered.withColumn("_chunk", F.lit(0.0))
+    keyed = keyed.drop("_at")
     leaves = F.when(F.col("op").isin("insert", "upsert"), True).when(F.col("op") == "delete", False)
     keyed = keyed.withColumn("_leaves", leaves)
 

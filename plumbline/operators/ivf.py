@@ -73,9 +73,11 @@ def build_ivf(
         spill_weight=SPILL_WEIGHT if spill else None,
         keep=keep,
     )
-    # One shuffle groups a cell's rows into few files; the id part of the key spreads a
-    # large cell over several tasks.
-    spread = rows.repartition(F.col("cell"), F.pmod(F.xxhash64("id"), F.lit(8)))
+    # Ranges of (cell, hash) hold similar numbers of rows: a small cell lands in one file, a
+    # large one is cut over as many tasks as its size asks for. The assignment is stored
+    # first because placing ranges reads it twice.
+    assigned = materialize(rows, "assigned")
+    spread = assigned.repartitionByRange(F.col("cell"), F.xxhash64("id"))
     if path is None:
         stored = materialize(spread, "ivf", partition_by=["cell"])
     else:
