@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from plumbline.errors import InvalidArgument, positive_int32
+from plumbline.functions.joins import salted_join
 from plumbline.functions.ranking import top_k
 from plumbline.functions.sizing import broadcast_if_small, materialize
 from plumbline.functions.text import tokenize
 from plumbline.operators.blocks import SparseBest, values_of
 from plumbline.operators.knn import hit_schema
-from plumbline.operators.sparse import TermBlock, meet, rank_entries, small_terms, term_block
+from plumbline.operators.sparse import TermBlock, rank_entries, small_terms, term_block
 
 # Usual BM25 constants and result size.
 K1 = 1.2
@@ -169,7 +170,7 @@ def _rank(
     needed = terms.where(F.col("role") == "must").groupBy("qid").agg(F.count("*").alias("n_must"))
     part = bm25(F.col("tf"), F.col("dl"), F.col("df"), n_docs, avg_length)
     scored = (
-        meet(found, terms.where(F.col("df").isNotNull()), "term", "id")
+        salted_join(found, terms.where(F.col("df").isNotNull()), "term", "id")
         .groupBy("qid", "id")
         .agg(
             F.sum(F.when(F.col("role") != "not", part)).alias("score"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.errors import InvalidArgument
+from plumbline.functions.joins import look_up
 from plumbline.functions.sizing import broadcast_if_small
 
 # Bounds and default of a bounded read.
@@ -102,8 +103,8 @@ def fetch_ordered(
     first cut to the asked ids, so a much-repeated id meets one small row.
     """
     rows = fetch(docs, requests, output, include_vector=include_vector, vectors=vectors)
-    rows, _ = broadcast_if_small(rows.withColumn("found", F.lit(True)))
-    joined = requests.select("pos", "id").join(rows, "id", "left")
+    rows = rows.withColumn("found", F.lit(True))
+    joined = look_up(requests.select("pos", "id"), rows, "id", "pos")
     others = [c for c in rows.columns if c not in ("id", "found")]
     return joined.select(
         "pos", "id", F.coalesce("found", F.lit(False)).alias("found"), *others

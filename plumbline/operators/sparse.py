@@ -14,14 +14,11 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from plumbline.errors import positive_int32
+from plumbline.functions.joins import salted_join
 from plumbline.functions.ranking import top_k
-from plumbline.functions.sizing import broadcast_if_small
 from plumbline.operators.blocks import SparseBest, SparseQueries, values_of
 from plumbline.operators.knn import MAX_BROADCAST_QUERIES, hit_schema
 
-# Rows of one index meeting more than this are spread over several tasks.
-SALT_ROWS = 1_000_000
-
 # Query entries that may travel to every task, about 24 bytes each.
 MAX_QUERY_ENTRIES = 2_000_000
 
@@ -45,27 +42,6 @@ def valid_sparse(vector: F.Column) -> F.Column:
     return (F.size(indices) == F.size(values)) & rising
 
 
-def meet(left: DataFrame, right: DataFrame, key: str, spread: str, salt_rows: int = SALT_ROWS) -> DataFrame:
-    """Equi-join a large ``left`` to ``right`` on ``key`` without one task per hot key.
-
-    Keys heavy on the left are split by ``spread`` and the matching right rows are copied
-    once per split.
-    """
-    weight = (
-        left.groupBy(key)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > salt_rows)
-        .select(key, F.ceil(F.col("_n") / salt_rows).cast("int").alias("_splits"))
-    )
-    heavy, _ = broadcast_if_small(weight)
-    splits = F.coalesce(F.col("_splits"), F.lit(1))
-    cut = left.join(heavy, key, "left").withColumn("_salt", F.pmod(F.xxhash64(spread), splits))
-    copies = right.join(heavy, key, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), splits.cast("long") - 1))
-    )
-    return cut.drop("_splits").join(copies.drop("_splits"), [key, "_salt"]).drop("_salt")
-
-
 @dataclass(frozen=True)
 class TermBlock:
     """Query terms small enough to travel to every task: ``held`` numbers the distinct
@@ -161,7 +137,7 @@ def sparse_knn(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         )
         return rank_entries(rows.select("id", F.col("idx").alias("term"), "val"), block, k)
     scored = (
-        meet(rows.select("id", "idx", "val"), asked, "idx", "id")
+        salted_join(rows.select("id", "idx", "val"), asked, "idx", "id")
         .groupBy("qid", "id")
         .agg(F.sum(F.col("val") * F.col("weight")).alias("score"))
     )

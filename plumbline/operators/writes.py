@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.errors import AlreadyExists, InvalidArgument, NotFound
+from plumbline.functions.joins import look_up
 from plumbline.functions.sizing import broadcast_if_small, materialize
 
 BATCH_COLUMNS = ("pos", "id", "_set")
@@ -102,8 +103,7 @@ def update(table: DataFrame, batch: DataFrame) -> Write:
     names = fields_of(table, batch)
     merged = materialize(last_values(batch, names, "pos"), "patch")
     held = materialize(stored_ids(table, merged).withColumn("ok", F.lit(True)), "held")
-    held, _ = broadcast_if_small(held)
-    judged = batch.select("pos", "id").join(held, "id", "left")
+    judged = look_up(batch.select("pos", "id"), held, "id", "pos")
     judged = judged.withColumn("ok", F.coalesce("ok", F.lit(False)))
     results = report(judged, NotFound, "no document has this id")
     patch, _ = broadcast_if_small(merged)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.errors import InvalidArgument
+from plumbline.functions import joins
 from plumbline.functions.text import tokenize
 from plumbline.operators import fulltext, sparse
 from plumbline.operators.fulltext import Analyzer, build_text_index, search_index, search_scan
@@ -103,7 +104,7 @@ def test_three_routes_agree(spark, monkeypatch):
     by_scan = rows(search_scan(docs, queries, 5))
     assert by_scan == rows(search_index(index, queries, 5))
     monkeypatch.setattr(sparse, "MAX_QUERY_ENTRIES", 3)
-    monkeypatch.setattr(sparse, "SALT_ROWS", 20)
+    monkeypatch.setattr(joins, "SALT_ROWS", 20)
     assert by_scan == rows(search_scan(docs, queries, 5))
     assert by_scan == rows(search_index(index, queries, 5))
 
@@ -145,7 +146,7 @@ def test_sparse_routes_agree(spark, sparse_docs, monkeypatch):
     assert found(sparse_scan(sparse_docs, queries, 5, vector="sparse")) == expected
     assert found(sparse_knn(rows, queries, 5)) == expected
     monkeypatch.setattr(sparse, "MAX_QUERY_ENTRIES", 1)
-    monkeypatch.setattr(sparse, "SALT_ROWS", 1)
+    monkeypatch.setattr(joins, "SALT_ROWS", 1)
     assert found(sparse_knn(rows, queries, 5)) == expected
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.errors import InvalidArgument
+from plumbline.functions import joins
 from plumbline.operators import changes as replay
 from plumbline.operators import reads, validation, writes
 from plumbline.sources.schema import Field, Schema
@@ -75,6 +76,20 @@ def test_update_present_null_differs_from_absent(spark, table):
     assert content(done.rows.drop("_deleted")) == content(done.table)
 
 
+def test_hot_ids_are_salted_alike(spark, monkeypatch):
+    """A third of the rows name one id; the unique side is too large to broadcast."""
+    many = spark.range(300).select(
+        F.col("id").alias("pos"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 40)).alias("id"),
+    )
+    unique = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(20)], "id string, v int")
+    expected = sorted(map(tuple, many.join(unique, "id", "left").select("pos", "id", "v").collect()))
+    monkeypatch.setattr(joins, "broadcast_if_small", lambda df: (df, False))
+    monkeypatch.setattr(joins, "SALT_ROWS", 7)
+    found = joins.look_up(many, unique, "id", "pos")
+    assert sorted(map(tuple, found.select("pos", "id", "v").collect())) == expected
+
+
 def test_upsert_replaces_whole_row_last_wins(spark, table):
     done = writes.upsert(table, batch(spark, [(0, "one", 5, "p"), (1, "one", 6, None), (2, "n", 1, "m")]))
     assert content(done.table) == {"one": (6, None), "two": (2, "y"), "n": (1, "m")}
