@@ -3,10 +3,11 @@ the same."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import quality_rules
+from plumbline.llm import byte_bpe, jaccard_join, packing, quality_rules, token_counts, toxicity
 from plumbline.llm.common import load
 
 # Quality rules --------------------------------------------------------------------------
@@ -52,3 +53,40 @@ SQL_MEASURES = rf"""
 SQL_OP7 = f"""
     WITH {SQL_MEASURES}
     SELECT *, fail_bits & 3 <> 0 AS base_failed, fail_bits & 23 = 0 AS kept FROM l"""
+
+
+# Near-duplicate texts, toxicity, packing ------------------------------------------------
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_links(load(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, load(spark, sf_dir, "labels")))
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(load(spark, sf_dir, "documents"))
+
+
+# Tokens ---------------------------------------------------------------------------------
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    counted = token_counts.prefix_counts(load(spark, sf_dir, "documents"), model)
+    return token_counts.with_totals(counted)
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = byte_bpe.encode(load(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    both = byte_bpe.decode(encoded, ranks)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(byte_bpe.ids_text(F.col("ids")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )

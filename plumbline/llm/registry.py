@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from plumbline.llm import queries
 
 QUERIES = {
+    "op3_token_counts": queries.op3_token_counts,
+    "op5_byte_bpe": queries.op5_byte_bpe,
     "op7_quality_rules": queries.op7_quality_rules,
+    "op8_jaccard_join": queries.op8_jaccard_join,
+    "op9_toxicity": queries.op9_toxicity,
+    "op10_best_fit_packing": queries.op10_best_fit_packing,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
     "op7_quality_rules": queries.SQL_OP7,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
