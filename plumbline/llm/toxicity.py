@@ -37,9 +37,9 @@ BUCKETS = 1 << 20
 MIN_TEXTS = 3
 MIN_ERRORS = 4.0
 
-STEPS = 400
+STEPS = 1500
 RATE = 0.05
-PENALTY = 1e-4
+PENALTY = 1e-6
 # How far the corrected negative risk may fall below zero before its gradient is turned.
 SLACK = 0.0
 TURN = 0.5
@@ -156,11 +156,12 @@ def train(
         more.select("doc_id", "place", no.alias("p"), yes.alias("u"))
     )
     both = both.groupBy("doc_id", "place").agg(F.max("p").alias("p"), F.max("u").alias("u"))
-    # At most max_positive + max_unlabelled ids, so this side is always small.
-    chosen = free.join(F.broadcast(both), "doc_id").limit(2 * (max_positive + max_unlabelled))
+    # At most max_positive + max_unlabelled ids, so this side is always small. The limit only
+    # matters where rows repeat an id.
+    chosen = free.join(F.broadcast(both), "doc_id").select("place", "p", "u", "text")
     table = (
-        chosen.select("place", "p", "u", "text")
-        .mapInArrow(_feature_rows, "place long, p boolean, u boolean, f array<int>")
+        chosen.mapInArrow(_feature_rows, "place long, p boolean, u boolean, f array<int>")
+        .limit(2 * (max_positive + max_unlabelled))
         .toArrow()
         .sort_by("place")
     )
