@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.sizing import broadcast_if_small, materialize
 from plumbline.llm.common import binary_rows, mix
-from plumbline.llm.linking import BUCKET_ROW, Sketching, in_batches, link_items
+from plumbline.llm.linking import BUCKET_ROW, LEAF_ROWS, Sketching, in_batches, link_items
 
 WORDS = 5
 # The threshold is a fraction, so that links are decided in integers.
@@ -210,7 +210,7 @@ def jaccard_links(
     id_column: str = "doc_id",
     text_column: str = "text",
     recall: float = RECALL,
-    leaf_rows: int = 64,
+    leaf_rows: int = LEAF_ROWS,
 ) -> DataFrame:
     """One row per document: ``doc_id``, ``class_id`` (smallest id with the same shingles),
     ``component_id`` (smallest id reachable by links), ``n_links`` (other documents linked, copies included),

@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from plumbline.functions.sizing import broadcast_if_small, materialize
 from plumbline.llm.common import BATCH_BYTES, binary_rows, sorted_groups
 
-# A bucket up to this size is compared pair by pair in one task.
-LEAF_ROWS = 64
+# A bucket up to this size is compared pair by pair in one task, so many rows at a time.
+LEAF_ROWS = 1024
+LEAF_STEP = 128
 
 # A block of a cluster holds about this many members and units of payload.
 BLOCK_MEMBERS = 512
@@ -101,7 +102,8 @@ def _leaf_edges(s: Sketching) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
             group = group.combine_chunks()
             ids = group.column("id").to_numpy()
             rows = binary_rows(group.column("sketch"), np.uint8, s.width)
-            linked = s.similarity(rows[:, None, :], rows[None, :, :]) >= s.link
+            steps = range(0, len(rows), LEAF_STEP)
+            linked = np.vstack([s.similarity(rows[k : k + LEAF_STEP, None], rows[None]) >= s.link for k in steps])
             roots = smallest_reachable(linked, ids)
             hung = roots != ids
             if hung.any():

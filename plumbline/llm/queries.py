@@ -7,7 +7,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, jaccard_join, packing, quality_rules, token_counts, toxicity
+from plumbline.llm import (
+    byte_bpe,
+    chat_format,
+    jaccard_join,
+    licenses,
+    near_vectors,
+    packing,
+    quality_rules,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 from plumbline.llm.common import load
 
 # Quality rules --------------------------------------------------------------------------
@@ -90,3 +101,119 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(byte_bpe.ids_text(F.col("ids")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"),
     )
+
+
+# Vectors, chats -------------------------------------------------------------------------
+
+
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.vector_links(load(spark, sf_dir, "embeddings"))
+
+
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.format_chats(load(spark, sf_dir, "conversations"))
+
+
+SQL_OP1 = """
+    WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+    linked AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b
+        WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+    reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN linked l ON r.b = l.a),
+    n AS (SELECT a, count(*) AS n FROM linked GROUP BY a),
+    c AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
+    SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c.c AS component_id, vec_id = c.c AS kept,
+        min(vec_id) OVER (PARTITION BY v.e) AS class_id,
+        (coalesce(n.n, 0) - count(*) OVER (PARTITION BY v.e) + 1)::BIGINT AS n_class_links
+    FROM v JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id"""
+
+# Licences -------------------------------------------------------------------------------
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(load(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.size("sentence_ids").cast("long").alias("n_sentences"),
+        F.array_join("sentence_ids", " ").alias("sentence_ids"),
+        F.array_join("licences", ",").alias("licences"),
+    )
+
+
+def _sql_op4() -> str:
+    quote = lambda text: "'" + text.replace("'", "''") + "'"
+    names = " ".join(f"WHEN {quote(s)} THEN {quote(n)}" for s, n in licenses.KNOWN.items())
+    known = ", ".join(map(quote, licenses.KNOWN))
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+    def ids(pattern: str) -> str:
+        cut = f"string_split(regexp_replace(t, '{pattern}', chr(1), 'g'), chr(1))"
+        clean = f"list_transform({cut}, lambda s: trim(regexp_replace(s, '{licenses.OTHER}', ' ', 'g')))"
+        return f"list_transform(list_filter({clean}, lambda s: s IN ({known})), lambda s: CASE s {names} END)"
+
+    chain = "SELECT doc_id, ids, list_aggregate(list_transform(ids, lambda x: '<' || x || '>'), 'string_agg', '') AS l, []::VARCHAR[] AS f FROM i"
+    for name, sequence in licenses.RULES:
+        marks = "".join(f"<{part}>" for part in sequence)
+        chain = (
+            f"SELECT doc_id, ids, replace(l, '{marks}', '|') AS l, "
+            f"CASE WHEN contains(l, '{marks}') THEN list_append(f, '{name}') ELSE f END AS f FROM ({chain})"
+        )
+    return f"""
+        WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{upper}', '{lower}') AS t FROM documents),
+        s AS (SELECT doc_id, {ids(licenses.END)} AS a, {ids(chr(92) + "n")} AS b FROM d),
+        i AS (SELECT doc_id, CASE WHEN len(b) > len(a) THEN b ELSE a END AS ids FROM s)
+        SELECT doc_id, len(ids)::BIGINT AS n_sentences, array_to_string(ids, ' ') AS sentence_ids,
+            array_to_string(list_sort(list_distinct(f)), ',') AS licences FROM ({chain})"""
+
+
+SQL_OP4 = _sql_op4()
+
+# Pages ----------------------------------------------------------------------------------
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_pages(load(spark, sf_dir, "pages"))
+
+
+def _sql_op6() -> str:
+    rest = "regexp_extract(coalesce({0}, ''), '(?s)^.*?://(.*)$', 1)"
+    low = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    host = low.format(f"regexp_extract({rest.format('url')}, '^[^/?#]*', 0)")
+    path = f"regexp_extract({rest.format('url')}, '^[^/?#]*([^?#]*)', 1)"
+    rules = sorted(url_filter.RULES, key=lambda r: -len(r[1] + r[2]))
+    fits = [f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')" for _, h, p in rules]
+    rule = "CASE " + " ".join(f"WHEN {f} THEN '{h}{p}'" for f, (_, h, p) in zip(fits, rules)) + " END"
+    verdict = "CASE " + " ".join(f"WHEN {f} THEN '{v}'" for f, (v, _, _) in zip(fits, rules)) + " END"
+    link = url_filter.LINK.replace("'", "''")
+    units, damping = url_filter.UNITS, url_filter.DAMPING
+    rounds = "m0 AS (SELECT kind, host, seed AS mass FROM seeds)"
+    for k in range(url_filter.ROUNDS):
+        rounds += f""",
+        m{k + 1} AS (SELECT kind, host, sum(mass)::BIGINT AS mass FROM (
+            SELECT s.kind, s.b AS host, floor({damping}::DOUBLE * m.mass * s.links / s.total)::BIGINT AS mass
+            FROM shares s JOIN m{k} m ON m.kind = s.kind AND m.host = s.a
+            UNION ALL SELECT kind, host, floor((1 - {damping}::DOUBLE) * seed)::BIGINT FROM seeds
+                WHERE (SELECT count(*) FROM shares) > 0
+            UNION ALL SELECT kind, host, seed FROM seeds WHERE (SELECT count(*) FROM shares) = 0)
+            GROUP BY kind, host)"""
+    return f"""
+        WITH p AS (SELECT page_id, html, url, {host} AS host, {path} AS path FROM pages),
+        j AS (SELECT *, {rule} AS rule, {verdict} AS v FROM p),
+        e AS (SELECT host AS src, {low.format("unnest(regexp_extract_all(html, '" + link + "', 1))")} AS dst
+            FROM p WHERE url IS NOT NULL),
+        edges AS (SELECT src, dst, count(*) AS links FROM e WHERE src <> dst AND src <> '' GROUP BY src, dst),
+        both_ways AS (SELECT 'trust' AS kind, src AS a, dst AS b, links FROM edges
+            UNION ALL SELECT 'distrust', dst, src, links FROM edges),
+        shares AS (SELECT *, sum(links) OVER (PARTITION BY kind, a) AS total FROM both_ways),
+        h AS (SELECT host, max(v = 'allow') AS t, max(rule = 'net/') AS b FROM j WHERE rule IS NOT NULL GROUP BY host),
+        seeds AS (SELECT 'trust' AS kind, host, {units}::BIGINT AS seed FROM h WHERE t
+            UNION ALL SELECT 'distrust', host, {units}::BIGINT FROM h WHERE b AND NOT t),
+        {rounds},
+        g AS (SELECT host, sum(CASE WHEN kind = 'trust' THEN mass ELSE 0 END) AS t,
+            sum(CASE WHEN kind = 'distrust' THEN mass ELSE 0 END) AS d FROM m{url_filter.ROUNDS} GROUP BY host)
+        SELECT page_id, j.host, path, rule, coalesce(v, CASE WHEN coalesce(d, 0) >= {int(url_filter.DISTRUST * units)}
+            AND coalesce(d, 0) > coalesce(t, 0) THEN 'block' ELSE 'allow' END) AS verdict,
+            coalesce(t, 0) / {units} AS trust, coalesce(d, 0) / {units} AS distrust
+        FROM j LEFT JOIN g ON g.host = j.host"""
+
+
+SQL_OP6 = _sql_op6()

@@ -6,8 +6,12 @@ import corpus_pipeline
 from plumbline.llm import queries
 
 QUERIES = {
+    "op1_near_vectors": queries.op1_near_vectors,
+    "op2_chat_format": queries.op2_chat_format,
     "op3_token_counts": queries.op3_token_counts,
+    "op4_license_scan": queries.op4_license_scan,
     "op5_byte_bpe": queries.op5_byte_bpe,
+    "op6_url_filter": queries.op6_url_filter,
     "op7_quality_rules": queries.op7_quality_rules,
     "op8_jaccard_join": queries.op8_jaccard_join,
     "op9_toxicity": queries.op9_toxicity,
@@ -16,6 +20,9 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_near_vectors": queries.SQL_OP1,
+    "op4_license_scan": queries.SQL_OP4,
+    "op6_url_filter": queries.SQL_OP6,
     "op7_quality_rules": queries.SQL_OP7,
 }
 if corpus_pipeline.ORACLE_SQL:
