@@ -20,7 +20,7 @@ def corpus(spark, prose):
             for _ in range(3):
                 words[rng.randrange(60)] = rng.choice(BAD)
         rows.append((i, " ".join(words)))
-        if i % 2 == 0:
+        if i % 4 != 3:
             labels.append((i, int(toxic)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     return docs, spark.createDataFrame(labels, "doc_id long, toxic int"), {i for i in range(0, 900, 9)}
