@@ -34,7 +34,7 @@ BRANCHES = 2
 RECALL = 0.999
 
 WORD = re.compile(r"\w+")
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 STEP = 8192
 
 ITEM = pa.schema(

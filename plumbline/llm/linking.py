@@ -25,7 +25,7 @@ LEAF_STEP = 128
 
 # A block of a cluster holds about this many members and units of payload.
 BLOCK_MEMBERS = 512
-BLOCK_UNITS = 1 << 20
+BLOCK_UNITS = 1 << 19
 
 
 @dataclass(frozen=True)

@@ -49,7 +49,7 @@ THRESHOLD = 0.7
 UNKNOWN = -4.0
 
 WORD = re.compile(r"\w+")
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 
 
 @dataclass(frozen=True)
