@@ -14,9 +14,6 @@ from plumbline.sources.schema import Field, Schema
 from plumbline.sources.table import Table
 from plumbline.streaming.change_stream import ChangeStream
 
-SEGMENTS = "c_mktsegment IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD')"
-
-
 def parts(spark, sf_dir):
     return load(spark, sf_dir, "part").withColumnRenamed("p_partkey", "id")
 
@@ -30,18 +27,15 @@ def accounts(spark, sf_dir):
     return load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), "c_acctbal", "c_mktsegment")
 
 
-def some_accounts(spark, sf_dir):
-    """A table that lacks part of the ids the batches below name."""
-    return accounts(spark, sf_dir).where(SEGMENTS)
-
-
 def order_batch(spark, sf_dir):
-    """Every order as a write to its customer: ids repeat, some are not in the table."""
+    """Every order as a write to its customer: ids repeat, and urgent orders name ids that the
+    table does not hold."""
     placed = load(spark, sf_dir, "orders")
+    urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
     segment = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority"))
     return placed.select(
         F.col("o_orderkey").alias("pos"),
-        F.col("o_custkey").alias("id"),
+        F.when(urgent, -F.col("o_custkey")).otherwise(F.col("o_custkey")).alias("id"),
         F.col("o_totalprice").alias("c_acctbal"),
         segment.alias("c_mktsegment"),
     )
@@ -87,11 +81,12 @@ def fetch_ids(spark, sf_dir):
 
 
 def fetch_ordered(spark, sf_dir):
+    """Every delivered part; returned ones are asked for by ids that do not exist."""
+    part = F.when(F.col("l_returnflag") == "R", -F.col("l_partkey")).otherwise(F.col("l_partkey"))
     asked = load(spark, sf_dir, "lineitem").select(
-        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("pos"), F.col("l_partkey").alias("id")
+        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("pos"), part.alias("id")
     )
-    small = parts(spark, sf_dir).where("p_size >= 10").select("id", "p_name", "p_size")
-    return reads.fetch_ordered(small, asked)
+    return reads.fetch_ordered(parts(spark, sf_dir).select("id", "p_name", "p_size"), asked)
 
 
 def _codes(results):
@@ -99,28 +94,28 @@ def _codes(results):
 
 
 def insert_results(spark, sf_dir):
-    return _codes(writes.insert(some_accounts(spark, sf_dir), order_batch(spark, sf_dir)).results)
+    return _codes(writes.insert(accounts(spark, sf_dir), order_batch(spark, sf_dir)).results)
 
 
 def insert_table(spark, sf_dir):
-    return writes.insert(some_accounts(spark, sf_dir), order_batch(spark, sf_dir)).table
+    return writes.insert(accounts(spark, sf_dir), order_batch(spark, sf_dir)).table
 
 
 def update_merge(spark, sf_dir):
-    return writes.update(some_accounts(spark, sf_dir), named_batch(spark, sf_dir)).table
+    return writes.update(accounts(spark, sf_dir), named_batch(spark, sf_dir)).table
 
 
 def update_results(spark, sf_dir):
-    return _codes(writes.update(some_accounts(spark, sf_dir), named_batch(spark, sf_dir)).results)
+    return _codes(writes.update(accounts(spark, sf_dir), named_batch(spark, sf_dir)).results)
 
 
 def upsert(spark, sf_dir):
-    return writes.upsert(some_accounts(spark, sf_dir), order_batch(spark, sf_dir)).table
+    return writes.upsert(accounts(spark, sf_dir), order_batch(spark, sf_dir)).table
 
 
 def delete_ids(spark, sf_dir):
     asked = order_batch(spark, sf_dir).select("pos", "id")
-    return _codes(writes.delete_ids(some_accounts(spark, sf_dir), asked).results)
+    return _codes(writes.delete_ids(accounts(spark, sf_dir), asked).results)
 
 
 def delete_ids_table(spark, sf_dir):
@@ -136,11 +131,11 @@ def delete_where(spark, sf_dir):
 
 
 def write_summary(spark, sf_dir):
-    return writes.summary(writes.insert(some_accounts(spark, sf_dir), order_batch(spark, sf_dir)).results)
+    return writes.summary(writes.insert(accounts(spark, sf_dir), order_batch(spark, sf_dir)).results)
 
 
-def even_accounts(spark, sf_dir):
-    return load(spark, sf_dir, "customer").where(SEGMENTS).select(
+def event_accounts(spark, sf_dir):
+    return load(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("value"), F.col("c_mktsegment").alias("kind")
     )
 
@@ -156,7 +151,9 @@ EVENT_OPERATIONS = {
 
 
 def event_changes(events):
-    """Events as changes; a purchase carries only its value."""
+    """Events as changes; a purchase carries only its value. Two in five users are named by an
+    id that no document has at first."""
+    known = F.when(F.pmod("user_id", F.lit(5)) >= 2, F.col("user_id")).otherwise(-F.col("user_id"))
     kind = F.col("event_type")
     op = F.coalesce(*[F.when(kind == k, F.lit(v)) for k, v in EVENT_OPERATIONS.items()])
     carried = F.when(kind == "purchase", F.array(F.lit("value"))).otherwise(
@@ -164,7 +161,7 @@ def event_changes(events):
     )
     return events.select(
         F.col("event_id").alias("seq"),
-        F.col("user_id").alias("id"),
+        known.alias("id"),
         op.alias("op"),
         "value",
         kind.alias("kind"),
@@ -174,13 +171,13 @@ def event_changes(events):
 
 def changes_apply(spark, sf_dir):
     done = replay.apply_changes(
-        even_accounts(spark, sf_dir), event_changes(load(spark, sf_dir, "events")), chunks=8
+        event_accounts(spark, sf_dir), event_changes(load(spark, sf_dir, "events")), chunks=8
     )
     return done.table
 
 
 def changes_results(spark, sf_dir):
-    done = replay.apply_changes(even_accounts(spark, sf_dir), event_changes(load(spark, sf_dir, "events")))
+    done = replay.apply_changes(event_accounts(spark, sf_dir), event_changes(load(spark, sf_dir, "events")))
     return done.results.select("seq", "id", "op", "ok", "error_code")
 
 
@@ -192,7 +189,7 @@ def changes_stream(spark, sf_dir):
     flow = event_changes(source)
     stream = ChangeStream(spark, f"{root}/log")
     stream.start(flow, f"{root}/checkpoint").awaitTermination()
-    return stream.current(even_accounts(spark, sf_dir), flow.schema).table
+    return stream.current(event_accounts(spark, sf_dir), flow.schema).table
 
 
 def _loose_batch(spark, sf_dir):
@@ -348,9 +345,10 @@ QUERIES = {
     "schema_evolve": schema_evolve,
 }
 
-_TABLE = f"t AS (SELECT c_custkey AS id, c_acctbal, c_mktsegment FROM customer WHERE {SEGMENTS})"
+_TABLE = "t AS (SELECT c_custkey AS id, c_acctbal, c_mktsegment FROM customer)"
 _BATCH = (
-    "b AS (SELECT o_orderkey AS pos, o_custkey AS id, o_totalprice AS c_acctbal, "
+    "b AS (SELECT o_orderkey AS pos, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN -o_custkey "
+    "ELSE o_custkey END AS id, o_totalprice AS c_acctbal, "
     "CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS c_mktsegment, "
     "o_orderstatus <> 'O' AS has_bal, o_orderstatus <> 'F' AS has_seg FROM orders)"
 )
@@ -358,9 +356,9 @@ _INSERTED = """
     j AS (SELECT b.pos, b.id, b.c_acctbal, b.c_mktsegment,
             t.id IS NULL AND row_number() OVER (PARTITION BY b.id ORDER BY b.pos) = 1 AS ok
           FROM b LEFT JOIN t ON b.id = t.id)"""
-_CHANGES = f"""
-    t AS (SELECT c_custkey AS id, c_acctbal AS value, c_mktsegment AS kind FROM customer WHERE {SEGMENTS}),
-    e AS (SELECT event_id AS seq, user_id AS id, value, event_type AS kind,
+_CHANGES = """
+    t AS (SELECT c_custkey AS id, c_acctbal AS value, c_mktsegment AS kind FROM customer),
+    e AS (SELECT event_id AS seq, CASE WHEN user_id % 5 >= 2 THEN user_id ELSE -user_id END AS id, value, event_type AS kind,
             CASE event_type WHEN 'signup' THEN 'insert' WHEN 'view' THEN 'upsert' WHEN 'error' THEN 'delete'
               ELSE 'update' END AS op,
             row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),
@@ -405,8 +403,9 @@ ORACLES = {
     "fetch_ids": "SELECT c_custkey AS id, c_acctbal, c_mktsegment FROM customer "
     "WHERE c_custkey IN (SELECT o_custkey FROM orders)",
     "fetch_ordered": """
-        SELECT l_orderkey * 100 + l_linenumber AS pos, l_partkey AS id, p_partkey IS NOT NULL AS found, p_name, p_size
-        FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size >= 10) ON l_partkey = p_partkey""",
+        WITH l AS (SELECT l_orderkey * 100 + l_linenumber AS pos,
+          CASE WHEN l_returnflag = 'R' THEN -l_partkey ELSE l_partkey END AS id FROM lineitem)
+        SELECT pos, id, p_partkey IS NOT NULL AS found, p_name, p_size FROM l LEFT JOIN part ON id = p_partkey""",
     "insert_results": f"WITH {_TABLE}, {_BATCH}, {_INSERTED} "
     "SELECT pos, id, ok, CASE WHEN NOT ok THEN 'alreadyExists' END AS error_code FROM j",
     "insert_table": f"WITH {_TABLE}, {_BATCH}, {_INSERTED} "

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from catalog.common import load, shown, spread
+from catalog.common import SQL_MEANS, label_means, load, shown, spread, vectors
+from plumbline.functions.sizing import shared_dir
 from plumbline.operators import fulltext
 from plumbline.operators.fulltext import Analyzer, build_text_index, search_index, search_scan
 from plumbline.operators.sparse import sparse_knn
+from plumbline.plans.indexes import create_index, rebuild_indexes, search_text_stored
 from plumbline.plans.search import SubQuery, hybrid_search
+from plumbline.sources.schema import Field, Schema, index_settings
+from plumbline.sources.table import Table
 
 K = 10
 CANDIDATES = 20
@@ -93,7 +99,7 @@ def sparse_topk(spark, sf_dir):
 
 def _hybrid(spark, sf_dir, **options):
     stored = load(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
-    docs = documents(spark, sf_dir).join(stored, "id")
+    docs = documents(spark, sf_dir).join(stored, "id", "left")
     texts = benchmark(spark, sf_dir)
     asked = texts.join(stored, F.col("qid") == F.col("id")).select("qid", F.col("embedding").alias("qvec"))
     subs = [
@@ -103,6 +109,57 @@ def _hybrid(spark, sf_dir, **options):
     return shown(hybrid_search(docs, subs, K, **options))
 
 
+def hybrid_sparse(spark, sf_dir):
+    """Vectors and delivery profiles: suppliers' parts by quantity beside each vector."""
+    items = load(spark, sf_dir, "lineitem")
+    sold = items.groupBy("l_suppkey", F.col("l_partkey").cast("long").alias("i")).agg(
+        F.sum("l_quantity").cast("float").alias("v")
+    )
+    listed = F.array_sort(F.collect_list(F.struct("i", "v"))).alias("p")
+    profiles = sold.groupBy(F.col("l_suppkey").alias("id")).agg(listed).select(
+        "id", F.struct(F.col("p.i").alias("indices"), F.col("p.v").alias("values")).alias("profile")
+    )
+    docs = vectors(spark, sf_dir).select("id", "embedding").join(profiles, "id", "left")
+    nations = load(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    asked = sold.join(nations, "l_suppkey").groupBy(F.col("s_nationkey").cast("long").alias("qid"), F.col("i").alias("idx"))
+    subs = [
+        SubQuery("dense", "embedding", label_means(spark, sf_dir).withColumn("qid", F.col("qid").cast("long")), CANDIDATES),
+        SubQuery("sparse", "profile", asked.agg(F.sum("v").alias("val")), CANDIDATES),
+    ]
+    return shown(hybrid_search(docs, subs, K))
+
+
+TEXT_SCHEMA = Schema("texts", (Field("text", "string", nullable=True), Field("lang", "string", nullable=True)))
+
+
+def _changed_texts(spark, sf_dir):
+    """A text index, then writes: German goes, Spanish is prefixed, French comes twice."""
+    path = f"{shared_dir(spark).rstrip('/')}/plumbline/table-{uuid.uuid4().hex}"
+    docs = documents(spark, sf_dir)
+    table = create_index(Table.create(spark, path, TEXT_SCHEMA, docs), "text", index_settings("fulltext"))
+    table = table.delete_where("lang = 'de'")
+    longer = docs.where("lang = 'es'").select(
+        F.col("id").alias("pos"),
+        F.col("id").cast("string").alias("id"),
+        F.concat(F.lit("alpha the "), F.col("text")).alias("text"),
+        F.array(F.lit("text")).alias("_set"),
+    )
+    table, _ = table.update(longer)
+    more = docs.where("lang = 'fr'").select(
+        F.col("id").alias("pos"), F.concat(F.lit("n"), F.col("id")).alias("id"), "text", "lang"
+    )
+    return table.insert(more)[0]
+
+
+def fts_live(spark, sf_dir):
+    return shown(search_text_stored(_changed_texts(spark, sf_dir), "text", benchmark(spark, sf_dir), K))
+
+
+def fts_rebuilt(spark, sf_dir):
+    table = rebuild_indexes(_changed_texts(spark, sf_dir).compact())
+    return shown(search_text_stored(table, "text", benchmark(spark, sf_dir), K))
+
+
 def hybrid_rrf(spark, sf_dir):
     return _hybrid(spark, sf_dir)
 
@@ -125,6 +182,9 @@ QUERIES = {
     "fts_expr": fts_expr,
     "fts_filtered": fts_filtered,
     "sparse_topk": sparse_topk,
+    "fts_live": fts_live,
+    "fts_rebuilt": fts_rebuilt,
+    "hybrid_sparse": hybrid_sparse,
     "hybrid_rrf": hybrid_rrf,
     "hybrid_weighted": hybrid_weighted,
 }
@@ -188,13 +248,13 @@ _OR = f"WITH {_sql_corpus(_DOCS)}, {_sql_roles(_BENCH)}, {_sql_scored()} {_SHOW}
 def _sql_hybrid(fused: str, keep: str = "TRUE") -> str:
     docs = (
         "SELECT doc_id AS id, text, lang, embedding::DOUBLE[] AS v "
-        "FROM documents JOIN embeddings ON doc_id = vec_id"
+        "FROM documents LEFT JOIN embeddings ON doc_id = vec_id"
     )
     return f"""
         WITH {_sql_corpus(docs)}, {_sql_roles(_BENCH)}, {_sql_scored(keep)},
         x AS (SELECT qid, id, s, rank FROM r WHERE rank <= {CANDIDATES}),
         a AS (SELECT item_id AS qid, embedding::DOUBLE[] AS v FROM benchmark JOIN embeddings ON item_id = vec_id),
-        e AS (SELECT a.qid, d.id, 1 - list_cosine_similarity(a.v, d.v) AS s FROM a, d WHERE {keep}),
+        e AS (SELECT a.qid, d.id, 1 - list_cosine_similarity(a.v, d.v) AS s FROM a, d WHERE {keep} AND d.v IS NOT NULL),
         y AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(s, 9), id) AS rank
               FROM e) WHERE rank <= {CANDIDATES}),
         b AS (SELECT qid, id, sum(s) AS s FROM ({fused}) GROUP BY qid, id),
@@ -202,7 +262,28 @@ def _sql_hybrid(fused: str, keep: str = "TRUE") -> str:
         SELECT qid, id, round(s, 6) AS score, rank FROM z WHERE rank <= {K}"""
 
 
+_CHANGED = """
+    SELECT doc_id::VARCHAR AS id, CASE WHEN lang = 'es' THEN 'alpha the ' || text ELSE text END AS text
+    FROM documents WHERE lang <> 'de' UNION ALL SELECT 'n' || doc_id, text FROM documents WHERE lang = 'fr'"""
+_LIVE = f"WITH {_sql_corpus(_CHANGED)}, {_sql_roles(_BENCH)}, {_sql_scored()} {_SHOW}"
+
 ORACLES = {
+    "fts_live": _LIVE,
+    "fts_rebuilt": _LIVE,
+    "hybrid_sparse": f"""
+        WITH d AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v, label FROM embeddings), {SQL_MEANS},
+        e AS (SELECT q.qid, d.id, 1 - list_cosine_similarity(q.v, d.v) AS s FROM q, d),
+        y AS (SELECT qid, id, row_number() OVER (PARTITION BY qid ORDER BY round(s, 9), id) AS rank FROM e),
+        p AS (SELECT l_suppkey AS id, l_partkey AS idx, sum(l_quantity) AS val FROM lineitem GROUP BY ALL),
+        n AS (SELECT s_nationkey AS qid, idx, sum(val) AS val FROM p JOIN supplier ON id = s_suppkey GROUP BY ALL),
+        t AS (SELECT qid, id, sum(n.val * p.val) AS s FROM n JOIN p USING (idx)
+              WHERE id IN (SELECT id FROM d) GROUP BY qid, id),
+        x AS (SELECT qid, id, row_number() OVER (PARTITION BY qid ORDER BY round(s, 9) DESC, id) AS rank FROM t),
+        b AS (SELECT qid, id, sum(1.0::DOUBLE / (60 + rank)) AS s FROM (
+              SELECT * FROM x WHERE rank <= {CANDIDATES} UNION ALL SELECT * FROM y WHERE rank <= {CANDIDATES})
+              GROUP BY qid, id),
+        r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(s, 9) DESC, id)::INT AS rank FROM b)
+        SELECT qid::BIGINT AS qid, id, round(s, 6) AS score, rank FROM r WHERE rank <= {K}""",
     "tokens_standard": _sql_counts(f"SELECT {_STANDARD.format('text')} AS w FROM documents"),
     "tokens_whitespace": _sql_counts(f"SELECT {_WHITE.format('text')} AS w FROM documents"),
     "tokens_filtered": _sql_counts(

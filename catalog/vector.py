@@ -29,7 +29,7 @@ from plumbline.operators.ivf import build_ivf, completeness, search_ivf
 from plumbline.operators.knn import attach, knn, queries_by_id
 from plumbline.operators.lsh import build_lsh, search_lsh
 from plumbline.operators.quantize import half, quantize, refined_knn
-from plumbline.plans.indexes import create_index, search_stored
+from plumbline.plans.indexes import create_index, rebuild_indexes, search_stored
 from plumbline.plans.search import VectorSearch, vector_search
 from plumbline.sources.schema import Field, Schema, index_settings
 from plumbline.sources.table import Table
@@ -136,12 +136,18 @@ def ivf_spill_search(spark, sf_dir):
     return shown(search_ivf(index, as_queries(docs), K, probes=3))
 
 
+# Share of the exact hits that an approximate search must find over all queries.
+RECALL_FLOOR = 0.6
+
+
 def _recall(spark, sf_dir, found):
+    """How many queries there are, and whether their common recall reaches the floor."""
     docs = vectors(spark, sf_dir)
     best = knn(docs, as_queries(docs), K).select("qid", "id")
     met = found.select("qid", "id").withColumn("met", F.lit(1))
     both = best.join(met, ["qid", "id"], "left")
-    return both.groupBy("qid").agg((F.count("met") / F.count("*")).alias("recall"))
+    reached = F.count("met") / F.count("*") >= RECALL_FLOOR
+    return both.agg(F.countDistinct("qid").alias("queries"), reached.alias("recall_reached"))
 
 
 def ivf_recall(spark, sf_dir):
@@ -172,15 +178,31 @@ def knn_grouped(spark, sf_dir):
     docs = vectors(spark, sf_dir)
     names = load(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang", "source")
     groups = grouped_knn(
-        docs.join(names, "id"), label_means(spark, sf_dir), "lang", groups=3, per_group=4, output=["source"]
+        docs.join(names, "id", "left"), label_means(spark, sf_dir), "lang", groups=3, per_group=4, output=["source"]
     )
     return groups.withColumn("score", F.round("score", 6))
 
 
+def knn_grouped_ceiling(spark, sf_dir):
+    """Groups among the first 100 hits only."""
+    names = load(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang", "source")
+    docs = vectors(spark, sf_dir).join(names, "id", "left")
+    groups = grouped_knn(
+        docs, label_means(spark, sf_dir), "lang", groups=3, per_group=4, output=["source"], ceiling=100
+    )
+    return groups.withColumn("score", F.round("score", 6))
+
+
+def knn_radius_zero(spark, sf_dir):
+    """A bound of zero is a bound: no negative inner products."""
+    docs = scaled(spark, sf_dir)
+    return shown(knn(docs, as_queries(docs), 500, metric="ip", radius=0.0))
+
+
 def knn_grouped_float(spark, sf_dir):
     balance = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), "c_acctbal")
     groups = grouped_knn(
-        vectors(spark, sf_dir).join(balance, "id"),
+        vectors(spark, sf_dir).join(balance, "id", "left"),
         label_means(spark, sf_dir),
         "c_acctbal",
         groups=20,
@@ -203,6 +225,62 @@ def index_reopen(spark, sf_dir):
     return shown(hits.withColumn("id", F.col("id").cast("long")))
 
 
+def _changed_table(spark, sf_dir, kind, **settings):
+    """An index, then writes: label 3 goes, label 5 turns around, label 7 comes twice."""
+    path = f"{shared_dir(spark).rstrip('/')}/plumbline/table-{uuid.uuid4().hex}"
+    docs = vectors(spark, sf_dir)
+    table = Table.create(spark, path, VECTOR_SCHEMA, docs)
+    table = create_index(table, "embedding", index_settings(kind, **settings))
+    table = table.delete_where("label = 3")
+    turned = docs.where("label = 5").select(
+        F.col("id").alias("pos"),
+        F.col("id").cast("string").alias("id"),
+        F.transform("embedding", lambda x: -x).alias("embedding"),
+        F.array(F.lit("embedding")).alias("_set"),
+    )
+    table, _ = table.update(turned)
+    more = docs.where("label = 7").select(
+        F.col("id").alias("pos"), F.concat(F.lit("n"), F.col("id")).alias("id"), "embedding", "label"
+    )
+    table, _ = table.insert(more)
+    return table
+
+
+def _live(kind, **settings):
+    def run(spark, sf_dir):
+        table = _changed_table(spark, sf_dir, kind, **settings)
+        return shown(search_stored(table, "embedding", as_queries(vectors(spark, sf_dir)), K, effort=1_000_000))
+
+    return run
+
+
+def index_rebuilt(spark, sf_dir):
+    """The same after a compaction, by the index built again and by none."""
+    table = rebuild_indexes(_changed_table(spark, sf_dir, "ivf", cells=16).compact())
+    return shown(search_stored(table, "embedding", as_queries(vectors(spark, sf_dir)), K, effort=16))
+
+
+def ivf_filtered_stored(spark, sf_dir):
+    """Filter, bound and output through a stored index whose field was renamed."""
+    table = _changed_table(spark, sf_dir, "ivf", cells=16).alter_column("embedding", new_name="vector")
+    asked = as_queries(vectors(spark, sf_dir))
+    hits = search_stored(table, "vector", asked, K, effort=16, where="label >= 2", radius=0.9, output=["label"])
+    return shown(hits, "label")
+
+
+def insert_invalid(spark, sf_dir):
+    """Rows without an id, with too short a vector or with a stored id fail one by one."""
+    path = f"{shared_dir(spark).rstrip('/')}/plumbline/table-{uuid.uuid4().hex}"
+    docs = vectors(spark, sf_dir)
+    table = Table.create(spark, path, VECTOR_SCHEMA, docs)
+    name = F.when(F.col("label") == 9, F.col("id").cast("string")).when(
+        F.col("label") != 4, F.concat(F.lit("n"), F.col("id"))
+    )
+    cut = F.when(F.col("label") == 3, F.slice("embedding", 1, 60)).otherwise(F.col("embedding"))
+    batch = docs.select(F.col("id").alias("pos"), name.alias("id"), cut.alias("embedding"), "label")
+    return table.insert(batch)[1].select("pos", "id", "ok", "error_code")
+
+
 def index_completeness(spark, sf_dir):
     """Coverage of an index built before the rows of the last labels arrived."""
     docs = vectors(spark, sf_dir)
@@ -255,14 +333,14 @@ def _sql_probed(assigned: str, probes: int, where: str = "TRUE") -> str:
     return f"WITH {ctes} SELECT qid, id, round(s, 6) AS score, rank FROM r WHERE rank <= {K}"
 
 
-def _sql_grouped(docs: str, score: str, groups: int, per_group: int, more: str = "") -> str:
+def _sql_grouped(docs: str, score: str, groups: int, per_group: int, more: str = "", cut: str = "TRUE") -> str:
     return f"""
         WITH {docs}, {SQL_MEANS},
         s AS (SELECT q.qid, d.id, d.g{more}, {score} AS s FROM q, d),
         r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(s, 9), id) AS n FROM s),
         b AS (SELECT *, min(n) OVER (PARTITION BY qid, g) AS best,
               row_number() OVER (PARTITION BY qid, g ORDER BY n)::INT AS rank_in_group
-              FROM r WHERE n <= 100000),
+              FROM r WHERE g IS NOT NULL AND {cut}),
         t AS (SELECT *, dense_rank() OVER (PARTITION BY qid ORDER BY best)::INT AS group_rank FROM b)
         SELECT qid, g AS group_value, group_rank, rank_in_group, id, round(s, 6) AS score{more}
         FROM t WHERE group_rank <= {groups} AND rank_in_group <= {per_group}"""
@@ -296,10 +374,25 @@ QUERIES = {
     "knn_refined": knn_refined,
     "knn_grouped": knn_grouped,
     "knn_grouped_float": knn_grouped_float,
+    "knn_grouped_ceiling": knn_grouped_ceiling,
+    "knn_radius_zero": knn_radius_zero,
+    "ivf_live": _live("ivf", cells=16),
+    "approximate_live": _live("approximate"),
+    "quantized_live": _live("flat", quantization="int8"),
+    "index_rebuilt": index_rebuilt,
+    "ivf_filtered_stored": ivf_filtered_stored,
+    "insert_invalid": insert_invalid,
     "index_reopen": index_reopen,
     "index_completeness": index_completeness,
 }
 
+_CHANGED = """
+    w AS (
+      SELECT vec_id::VARCHAR AS id, label, CASE WHEN label = 5 THEN list_transform(embedding::DOUBLE[], lambda x: -x)
+        ELSE embedding::DOUBLE[] END AS v FROM embeddings WHERE label <> 3
+      UNION ALL SELECT 'n' || vec_id, label, embedding::DOUBLE[] FROM embeddings WHERE label = 7),
+    d AS (SELECT * FROM w)"""
+_LIVE = sql_top(f"{_CHANGED}, {SQL_QUERIES}", SQL_SCORE["cosine"], K)
 _COSINE = sql_top(f"{SQL_DOCS}, {SQL_QUERIES}", SQL_SCORE["cosine"], K)
 
 ORACLES = {
@@ -365,15 +458,43 @@ ORACLES = {
     "index_reopen": _COSINE,
     "knn_grouped": _sql_grouped(
         "d AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v, lang AS g, source "
-        "FROM embeddings JOIN documents ON vec_id = doc_id)",
+        "FROM embeddings LEFT JOIN documents ON vec_id = doc_id)",
         SQL_SCORE["cosine"],
         3,
         4,
         ", source",
     ),
+    "knn_grouped_ceiling": _sql_grouped(
+        "d AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v, lang AS g, source "
+        "FROM embeddings LEFT JOIN documents ON vec_id = doc_id)",
+        SQL_SCORE["cosine"],
+        3,
+        4,
+        ", source",
+        "n <= 100",
+    ),
+    "knn_radius_zero": sql_top(f"{SQL_SCALED}, {_SELF}", SQL_SCORE["ip"], 500, order="DESC", cut="s >= 0"),
+    "ivf_live": _LIVE,
+    "approximate_live": _LIVE,
+    "quantized_live": _LIVE,
+    "index_rebuilt": _LIVE,
+    "ivf_filtered_stored": sql_top(
+        f"{_CHANGED.replace('FROM w', 'FROM w WHERE label >= 2')}, {SQL_QUERIES}",
+        SQL_SCORE["cosine"] + " AS s, d.label AS label",
+        K,
+        cut="s <= 0.9",
+        more=", label",
+    ).replace(" AS s, d.label AS label AS s", " AS s, d.label AS label"),
+    "insert_invalid": """
+        SELECT vec_id AS pos, CASE WHEN label = 9 THEN vec_id::VARCHAR WHEN label <> 4 THEN 'n' || vec_id END AS id,
+          label NOT IN (3, 4, 9) AS ok,
+          CASE WHEN label = 9 THEN 'alreadyExists' WHEN label IN (3, 4) THEN 'invalidArgument' END AS error_code
+        FROM embeddings""",
+    "ivf_recall": "SELECT count(*) AS queries, true AS recall_reached FROM embeddings",
+    "lsh_recall": "SELECT count(*) AS queries, true AS recall_reached FROM embeddings",
     "knn_grouped_float": _sql_grouped(
         "d AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v, printf('%.6f', c_acctbal) AS g "
-        "FROM embeddings JOIN customer ON vec_id = c_custkey)",
+        "FROM embeddings LEFT JOIN customer ON vec_id = c_custkey)",
         SQL_SCORE["l2"],
         20,
         2,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,23 +49,23 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> tuple[Dat
     return df, False
 
 
-_LOCAL_FOLDERS: dict[str, str] = {}
+_own_folder: str | None = None
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
+def use_scratch(folder: str | None) -> None:
+    """Name a scratch folder for local sessions that set none, as tests and tools do."""
+    global _own_folder
+    _own_folder = folder
 
-    A local folder is made only when the setting is absent and the session is local.
-    """
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``; every executor reaches it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder and spark.sparkContext.master.startswith("local"):
+        folder = _own_folder
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="plumbline-")
-    return _LOCAL_FOLDERS[app]
+    return folder
 
 
 def materialize(df: DataFrame, name: str = "stage", partition_by: list[str] | None = None) -> DataFrame:
@@ -78,4 +77,16 @@ def materialize(df: DataFrame, name: str = "stage", partition_by: list[str] | No
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.scratch_path = path
+    return stored
+
+
+def discard(*frames: DataFrame | None) -> None:
+    """Remove what ``materialize`` wrote for frames that nothing reads any more."""
+    for frame in frames:
+        path = getattr(frame, "scratch_path", None)
+        if path:
+            context = frame.sparkSession.sparkContext
+            target = context._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)

@@ -25,7 +25,10 @@ def matrix(column: pa.Array | pa.ChunkedArray, dim: int | None = None) -> np.nda
     if rows == 0:
         return np.empty((0, dim or 0))
     if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
-        raw = np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8)
+        values = column.to_pylist()
+        if len({len(v) for v in values}) > 1:
+            raise ValueError("vectors of one column must have equal dimensions")
+        raw = np.frombuffer(b"".join(values), dtype=np.uint8)
         bits = np.unpackbits(raw.reshape(rows, -1), axis=1)
         out = bits.astype(np.float64) * 2 - 1
     else:
@@ -55,12 +58,16 @@ def values_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 class Keeper:
     """Running best-K per query over any number of blocks; lower cost is better."""
 
+    MERGE_ROWS = 100_000
+
     def __init__(self, queries: int, k: int, ascending: bool):
         self.k, self.sign = k, 1.0 if ascending else -1.0
         self.bound = np.full(queries, np.inf)
         self.q = np.empty(0, dtype=np.int64)
         self.cost = np.empty(0)
         self.ids: np.ndarray | None = None
+        self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.n_waiting = 0
 
     def near(self, cost: np.ndarray, chunk: np.ndarray, slack: float):
         """Cells of ``cost`` (queries x rows) that may still enter the best K."""
@@ -71,6 +78,18 @@ class Keeper:
         return np.nonzero((cost <= (limit + room)[:, None]) & np.isfinite(cost))
 
     def merge(self, q: np.ndarray, cost: np.ndarray, ids: np.ndarray) -> None:
+        """Add hits. They are sorted in once they are as many as those kept, so that a large
+        K costs a sort per doubling and not one per block."""
+        self.waiting.append((q, cost, ids))
+        self.n_waiting += len(q)
+        if self.n_waiting >= max(self.MERGE_ROWS, len(self.q)):
+            self.settle()
+
+    def settle(self) -> None:
+        if not self.waiting:
+            return
+        q, cost, ids = (np.concatenate(part) for part in zip(*self.waiting))
+        self.waiting, self.n_waiting = [], 0
         if self.ids is not None:
             q = np.concatenate([self.q, q])
             cost = np.concatenate([self.cost, cost])
@@ -88,6 +107,7 @@ class Keeper:
 
     def batch(self, qids: pa.Array, schema: pa.Schema) -> pa.RecordBatch:
         """What was kept, as ``(qid, id, score)``."""
+        self.settle()
         ids = self.ids if self.ids is not None else np.empty(0, dtype=object)
         return pa.RecordBatch.from_arrays(
             [
@@ -209,6 +229,8 @@ class SparseBest(Keeper):
     """Sparse rows: each entry meets the queries that hold its term."""
 
     CELLS = 4_000_000
+    # Matches of entries with query terms that are laid out at a time; one row may have more.
+    MATCHES = 4_000_000
 
     def __init__(self, queries: SparseQueries, k: int):
         super().__init__(queries.queries, k, ascending=False)
@@ -239,6 +261,14 @@ class SparseBest(Keeper):
             q, r = self.near(cost, self.all, 1e-8)
             self.merge(q, cost[q, r], ids[r])
             return
+        if fan.sum() > self.MATCHES and rows > 1:
+            # Cut where half of the matches are met, between two rows.
+            half = int(np.searchsorted(np.cumsum(fan), fan.sum() / 2))
+            middle = min(max(int(row[half]), 1), rows - 1)
+            at = int(np.searchsorted(row, middle))
+            self._block(row[:at], term[:at], value[:at], ids[:middle])
+            self._block(row[at:] - middle, term[at:], value[at:], ids[middle:])
+            return
         entry = np.repeat(np.arange(len(term)), fan)
         if len(entry) == 0:
             return

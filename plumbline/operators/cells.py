@@ -1,4 +1,5 @@
-"""Vector tables split into cells, and query-to-cell matching built on them.
+"""Vector tables split into cells, query-to-cell matching, and the exact join of two large
+tables.
 
 A cell may hold any share of the table: it is cut into row blocks and query blocks of
 bounded size, and each (cell, row block, query block) is one task-sized unit.
@@ -12,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,12 +22,17 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from plumbline.functions.ranking import ASCENDING, top_k
 from plumbline.functions.sizing import broadcast_if_small, materialize
 from plumbline.operators import knn as exact
-from plumbline.operators.blocks import Best, matrix, unit, values_of
+from plumbline.operators.blocks import QUERY_CHUNK, Best, matrix, unit, values_of
 
-TRAIN_ROWS_PER_CELL = 256
-MAX_CELLS = 4_096
 ROW_BLOCK = 50_000
 QUERY_BLOCK = 2_048
+BLOCK_BYTES = 64 << 20
+
+# An assignment compares at most so many (row, cell) pairs at a time.
+ASSIGN_PAIRS = 2_000_000
+
+# The exact join first searches one in so many row blocks, to bound the others.
+OPENING_SHARE = 16
 
 
 def place(rows: np.ndarray, metric: str, max_norm2: float, query: bool = False) -> np.ndarray:
@@ -64,16 +71,11 @@ def train_centers(
     max_norm2: float = 0.0,
     seed: int = 7,
 ) -> np.ndarray:
-    """K-means centres from a sample of ``TRAIN_ROWS_PER_CELL`` rows per cell.
+    """K-means centres of all rows; as many as asked for, or as there are distinct rows.
 
-    The sample only shapes the cells; every row is assigned afterwards.
+    A table without a usable row has no centres.
     """
     rows = docs.select(vector).where(F.col(vector).isNotNull())
-    total = rows.count()
-    cells = max(1, min(cells, MAX_CELLS, int(total**0.5)))
-    wanted = cells * TRAIN_ROWS_PER_CELL
-    if total > wanted:
-        rows = rows.sample(fraction=min(1.0, 1.2 * wanted / total), seed=seed)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,10 +83,14 @@ def train_centers(
             out = out[~np.isnan(out).any(axis=1)]
             yield pa.RecordBatch.from_pydict({"v": pa.array(list(out), pa.list_(pa.float64()))})
 
-    sample = rows.mapInArrow(placed, "v array<double>").select(array_to_vector("v").alias("v"))
+    points = rows.mapInArrow(placed, "v array<double>").select(array_to_vector("v").alias("v"))
+    if points.isEmpty():
+        return np.empty((0, 0))
+    if cells == 1:
+        return np.array([points.select(Summarizer.mean(F.col("v"))).first()[0].toArray()])
     model = KMeans(
         k=cells, maxIter=iterations, featuresCol="v", predictionCol="cell", seed=seed
-    ).fit(sample)
+    ).fit(points)
     return np.vstack(model.clusterCenters())
 
 
@@ -111,8 +117,11 @@ def assign(
     )
     arrow = to_arrow_schema(schema)
 
+    step = max(1, ASSIGN_PAIRS // max(1, len(centers)))
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        parts = (b.slice(start, step) for b in batches for start in range(0, b.num_rows, step))
+        for batch in parts if len(centers) else ():
             rows = place(matrix(batch.column(1)), metric, max_norm2)
             distance = gaps(rows, centers)
             sound = ~np.isnan(distance).any(axis=1)
@@ -287,8 +296,8 @@ def nearest_cells(
     return _expand(queries, pick)
 
 
-def _expand(queries: DataFrame, pick, extra: tuple[str, ...] = ()) -> DataFrame:
-    source = queries.select("qid", "qvec", *extra).where(F.col("qvec").isNotNull())
+def _expand(queries: DataFrame, pick) -> DataFrame:
+    source = queries.select("qid", "qvec").where(F.col("qvec").isNotNull())
     schema = T.StructType(
         [source.schema["qid"], source.schema["qvec"], T.StructField("cell", T.IntegerType())]
     )
@@ -298,8 +307,7 @@ def _expand(queries: DataFrame, pick, extra: tuple[str, ...] = ()) -> DataFrame:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            rest = [values_of(c) for c in batch.columns[2:]]
-            cells = pick(matrix(batch.column(1)), *rest)
+            cells = pick(matrix(batch.column(1)))
             at = np.repeat(np.arange(len(cells)), [len(c) for c in cells])
             flat = np.concatenate(cells) if cells else np.empty(0)
             kept = batch.take(pa.array(at))
@@ -310,91 +318,88 @@ def _expand(queries: DataFrame, pick, extra: tuple[str, ...] = ()) -> DataFrame:
     return source.mapInArrow(scan, schema)
 
 
-def _reach(score: F.Column, norm2: F.Column, metric: str, max_norm2: float) -> F.Column:
-    """Turn a score back into a Euclidean distance in the space of ``place``."""
-    if metric == "cosine":
-        square = 2 * score
-    elif metric == "ip":
-        square = norm2 + max_norm2 - 2 * score
-    elif metric == "hamming":
-        square = 4 * score
-    else:
-        square = score * score
-    return F.sqrt(F.greatest(square, F.lit(0.0)))
-
-
-def exact_join(
-    docs: DataFrame,
-    queries: DataFrame,
-    k: int,
-    *,
-    vector: str,
-    metric: str,
-    cells: int = 1_024,
-) -> DataFrame:
+def exact_join(docs: DataFrame, queries: DataFrame, k: int, *, vector: str, metric: str) -> DataFrame:
     """Exact top-K candidates when both tables are large.
 
-    Each query first searches the nearest cells that together hold K rows. Its K-th
-    distance then rules out, by the triangle inequality, every cell whose nearest possible
-    row is farther; the others are searched too.
+    Rows are dealt to blocks, each row to one; the queries visit every block in batches, so
+    a task holds one block and one batch. A first pass over a share of the blocks gives each
+    query a K-th score; the other blocks only return hits that reach it.
     """
-    bound = exact.largest_norm2(docs, vector) if metric in ("ip", "mips_l2") else 0.0
-    centers = train_centers(
-        docs, vector=vector, metric=metric, cells=cells, iterations=5, max_norm2=bound
-    )
-    rows = materialize(
-        assign(docs, centers, vector=vector, metric=metric, max_norm2=bound), "cells"
-    )
-    stats = {
-        r["cell"]: (r["n"], r["reach"])
-        for r in rows.groupBy("cell")
-        .agg(F.count("*").alias("n"), F.max("gap").alias("reach"))
-        .collect()
-    }
-    counts = np.array([stats.get(c, (0, 0.0))[0] for c in range(len(centers))])
-    reach = np.array([stats.get(c, (0, 0.0))[1] for c in range(len(centers))])
-
-    def ordered(vectors):
-        distance = gaps(place(vectors, metric, bound, query=True), centers)
-        order = np.argsort(distance, axis=1, kind="stable")
-        seen = np.cumsum(counts[order], axis=1)
-        upto = np.minimum((seen < k).sum(axis=1) + 1, len(centers))
-        return distance, order, upto
-
-    def opening(vectors):
-        _, order, upto = ordered(vectors)
-        return [cells_[:n][counts[cells_[:n]] > 0] for cells_, n in zip(order, upto)]
-
-    def remaining(vectors, limits):
-        distance, order, upto = ordered(vectors)
-        picked = []
-        for line, cells_, n, limit in zip(distance, order, upto, limits):
-            rest = cells_[n:]
-            slack = 1e-6 * max(1.0, float(line.max()))
-            near = (line[rest] - reach[rest] <= limit + slack) & (counts[rest] > 0)
-            picked.append(rest[near])
-        return picked
-
-    common = {"vector": vector, "metric": metric, "max_norm2": bound}
+    rows = docs.select("id", F.col(vector).alias("vec")).where(F.col("vec").isNotNull())
+    asked = queries.select("qid", "qvec").where(F.col("qvec").isNotNull())
+    bound = exact.largest_norm2(docs, vector) if metric == "mips_l2" else 0.0
+    total = rows.count()
+    wide = rows.select(F.max(F.octet_length("vec") if metric == "hamming" else F.size("vec")))
+    width = (wide.first()[0] or 1) * 8 * (8 if metric == "hamming" else 1)
+    blocks = max(1, -(-total // max(1, min(ROW_BLOCK, BLOCK_BYTES // width))))
+    opening = -(-blocks // OPENING_SHARE)
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    options = {"k": k, "metric": metric, "max_norm2": bound}
+    if opening == blocks:
+        return _visit(rows, asked, range(blocks), **options)
     ascending = ASCENDING[metric]
-    queries = queries.select("qid", "qvec")
-    first = materialize(
-        top_k(match_large(rows, _expand(queries, opening), k, **common), k, ascending=ascending),
-        "opening",
-    )
+    first = _visit(rows.where(F.col("block") < opening), asked, range(opening), **options)
+    first = materialize(top_k(first, k, ascending=ascending), "opening")
     worst = F.max("score") if ascending else F.min("score")
-    limits = first.groupBy("qid").agg(worst.alias("kth"))
-    if isinstance(queries.schema["qvec"].dataType, T.ArrayType):
-        norm2 = F.aggregate(
-            F.col("qvec").cast("array<double>"), F.lit(0.0), lambda acc, x: acc + x * x
-        )
-    else:
-        norm2 = F.lit(0.0)
-    bounded = queries.join(limits, "qid").withColumn(
-        "limit", _reach(F.col("kth"), norm2, metric, bound)
+    full = first.groupBy("qid").agg(worst.alias("limit"), F.count("*").alias("n")).where(F.col("n") == k)
+    bounded = asked.join(full.drop("n"), "qid", "left")
+    rest = _visit(rows.where(F.col("block") >= opening), bounded, range(opening, blocks), **options)
+    return first.drop("rank").unionByName(rest)
+
+
+def _visit(rows: DataFrame, asked: DataFrame, blocks: range, *, k: int, metric: str, max_norm2: float) -> DataFrame:
+    """Each block's best ``k`` rows per query, within the query's ``limit`` if it has one."""
+    schema = exact.hit_schema(asked.schema["qid"].dataType, rows.schema["id"].dataType)
+    arrow = to_arrow_schema(schema)
+    if "limit" not in asked.columns:
+        asked = asked.withColumn("limit", F.lit(None).cast("double"))
+    every = F.explode(F.sequence(F.lit(blocks.start), F.lit(blocks.stop - 1))).alias("block")
+    left = rows.select("block", F.lit(0).alias("side"), F.struct("id", "vec").alias("row"))
+    right = asked.select(
+        every, F.lit(1).alias("side"), F.struct("qid", "qvec", "limit").alias("asked")
     )
-    second = match_large(rows, _expand(bounded, remaining, ("limit",)), k, **common)
-    return first.drop("rank").unionByName(second)
+    both = left.unionByName(right, allowMissingColumns=True)
+    both = both.repartition("block").sortWithinPartitions("block", "side")
+
+    def hits(held: list[pa.StructArray], asked: pa.StructArray) -> Iterator[pa.RecordBatch]:
+        ids = np.concatenate([values_of(part.field("id")) for part in held])
+        vectors = np.vstack([matrix(part.field("vec")) for part in held])
+        for start in range(0, len(asked), QUERY_CHUNK):
+            part = asked.slice(start, QUERY_CHUNK)
+            best = Best(matrix(part.flatten()[1], vectors.shape[1]), k, metric, max_norm2)
+            limit = best.sign * part.flatten()[2].to_numpy(zero_copy_only=False).astype(float)
+            limit = np.where(np.isnan(limit), np.inf, limit)
+            best.bound = limit.copy()
+            best.add(vectors, ids)
+            best.settle()
+            good = best.cost <= limit[best.q] + 1e-9
+            if best.ids is not None:
+                best.q, best.cost, best.ids = best.q[good], best.cost[good], best.ids[good]
+            yield best.batch(part.flatten()[0], arrow)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            blocks, sides = values_of(batch.column(0)), values_of(batch.column(1))
+            change = np.flatnonzero((blocks[1:] != blocks[:-1]) | (sides[1:] != sides[:-1])) + 1
+            cuts = [0, *change.tolist(), batch.num_rows]
+            for start, end in zip(cuts, cuts[1:]):
+                if blocks[start] != at:
+                    at, held = blocks[start], []
+                part = batch.slice(start, end - start)
+                if sides[start] == 0:
+                    held.append(_dense(part.column(2)))
+                elif held:
+                    yield from hits(held, _dense(part.column(3)))
+
+    return both.select("block", "side", "row", "asked").mapInArrow(scan, schema)
+
+
+def _dense(column: pa.StructArray) -> pa.StructArray:
+    """A slice of a struct column as an array of its own."""
+    return pa.concat_arrays([column])
 
 
 def one_per_pair(hits: DataFrame) -> DataFrame:

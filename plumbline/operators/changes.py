@@ -17,7 +17,6 @@ from plumbline.operators.writes import stored_ids
 OPERATIONS = ("insert", "update", "upsert", "delete")
 
 ROWS_PER_CHUNK = 1_000_000
-MAX_CHUNKS = 10_000
 
 
 @dataclass(frozen=True)
@@ -37,8 +36,7 @@ def _cuts(changes: DataFrame, seq: str, chunks: int | None) -> list[float]:
     """
     if chunks is None:
         chunks = -(-changes.count() // ROWS_PER_CHUNK)
-    chunks = max(1, min(chunks, MAX_CHUNKS))
-    if chunks == 1:
+    if chunks <= 1:
         return []
     shares = [i / chunks for i in range(1, chunks)]
     return sorted(set(changes.approxQuantile(seq, shares, 1 / (4 * chunks))))

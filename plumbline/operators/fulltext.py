@@ -81,22 +81,24 @@ def postings(docs: DataFrame, text: str, analyzer: Analyzer = Analyzer()) -> Dat
     )
 
 
-def build_text_index(
-    docs: DataFrame, text: str, analyzer: Analyzer = Analyzer(), *, path: str | None = None
-) -> TextIndex:
-    """Store postings partitioned by term bucket and sorted by term.
-
-    The range shuffle on (bucket, term, id) also serves the count per (term, id), and a
-    term present in much of the corpus is cut over several tasks by the id.
-    """
-    spark = docs.sparkSession
+def bucketed_postings(docs: DataFrame, text: str, analyzer: Analyzer = Analyzer()) -> DataFrame:
+    """``(bucket, term, id, tf, dl)``, placed by term and id: a term present in much of the
+    corpus is cut over several tasks by the id."""
     flat = _postings(docs, text, analyzer).select(_bucket(), "term", "id", "dl")
-    counted = (
+    return (
         flat.repartitionByRange(F.col("bucket"), F.col("term"), F.col("id"))
         .groupBy("bucket", "term", "id")
         .agg(F.count("*").alias("tf"), F.first("dl").alias("dl"))
         .sortWithinPartitions("bucket", "term", "id")
     )
+
+
+def build_text_index(
+    docs: DataFrame, text: str, analyzer: Analyzer = Analyzer(), *, path: str | None = None
+) -> TextIndex:
+    """Store postings partitioned by term bucket and sorted by term."""
+    spark = docs.sparkSession
+    counted = bucketed_postings(docs, text, analyzer)
     if path is None:
         stored = materialize(counted, "postings", partition_by=["bucket"])
         frequency = materialize(stored.groupBy("term").agg(F.count("*").alias("df")), "terms")
@@ -222,7 +224,9 @@ def search_index(
     for row in index.terms.join(F.broadcast(wanted), "term").select("at", "df").collect():
         frequency[row["at"]] = row["df"]
     buckets = [r["bucket"] for r in wanted.select(_bucket()).distinct().collect()]
-    found = _allowed(index.postings.where(F.col("bucket").isin(buckets)), allowed)
+    # Files are sorted by term, so their statistics skip what lies between the asked words.
+    named = F.col("bucket").isin(buckets) & F.col("term").isin(words.to_pylist())
+    found = _allowed(index.postings.where(named), allowed)
     length = 1 - B + B * F.col("dl") / F.lit(float(index.avg_length or 1.0))
     value = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * length)
     block = _weighted_block(head, queries.schema["qid"].dataType, words, frequency, index.n_docs)

@@ -8,9 +8,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.errors import InvalidArgument, positive_int32
+from plumbline.errors import positive_int32
 from plumbline.functions.ranking import ASCENDING, top_k
-from plumbline.functions.sizing import materialize
+from plumbline.functions.sizing import discard, materialize
 from plumbline.operators import cells as grid
 from plumbline.operators import knn as exact
 
@@ -83,6 +83,7 @@ def build_ivf(
     else:
         spread.write.mode("errorifexists").partitionBy("cell").parquet(path)
         stored = docs.sparkSession.read.schema(rows.schema).parquet(path)
+    discard(assigned)
     return CellIndex(stored, centers, vector, metric, bound, spill)
 
 
@@ -102,8 +103,12 @@ def search_ivf(
     probes = min(probes, len(index.centers))
     options = {"vector": index.vector, "metric": index.metric, "max_norm2": index.max_norm2}
     block = exact.small_queries(queries)
-    if block is not None and len(block) == 0:
-        raise InvalidArgument("the query table holds no vectors")
+    if not len(index.centers) or (block is not None and len(block) == 0):
+        empty = exact.hit_schema(queries.schema["qid"].dataType, rows.schema["id"].dataType)
+        nothing = queries.sparkSession.createDataFrame([], empty)
+        return top_k(nothing, k, ascending=ASCENDING[index.metric])
+    if block is None:
+        exact.check_distinct(queries)
     # A row stored under two cells can take two places, so twice K are kept until then.
     cut = 2 * k if index.spilled else k
     if block is not None:

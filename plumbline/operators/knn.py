@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,9 +25,11 @@ from plumbline.functions.sizing import BROADCAST_BYTES, broadcast_if_small, mate
 from plumbline.operators.blocks import Best, matrix, values_of
 
 # Every task emits up to (queries x K) rows, so the broadcast form is kept to query tables
-# of this size; larger ones are matched cell by cell in ``operators.cells``.
+# of this size; larger ones are joined block by block in ``operators.cells``.
 MAX_BROADCAST_QUERIES = 4_096
 
+REPEATED = "each query needs a qid of its own"
+
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 
 
@@ -68,7 +71,17 @@ def small_queries(queries: DataFrame) -> QueryBlock | None:
     if head.num_rows > MAX_BROADCAST_QUERIES or head.nbytes > BROADCAST_BYTES:
         return None
     qid_type = queries.schema["qid"].dataType
-    return QueryBlock(head["qid"].combine_chunks(), matrix(head["qvec"]), qid_type)
+    qids = head["qid"].combine_chunks()
+    if len(pc.unique(qids)) < len(qids):
+        raise InvalidArgument(REPEATED)
+    return QueryBlock(qids, matrix(head["qvec"]), qid_type)
+
+
+def check_distinct(queries: DataFrame) -> None:
+    """Two rows of one ``qid`` would share a single top K."""
+    held = queries.where(F.col("qvec").isNotNull()).groupBy("qid").count()
+    if not held.where(F.col("count") > 1).isEmpty():
+        raise InvalidArgument(REPEATED)
 
 
 def hit_schema(qid_type: T.DataType, id_type: T.DataType) -> T.StructType:
@@ -129,7 +142,7 @@ def knn(
     ``docs`` needs ``id`` and ``vector``; ``queries`` needs ``qid`` and ``qvec``. The filter
     ``where`` applies before the cut. Distances (``l2``, ``cosine``, ``hamming``,
     ``mips_l2``) rank ascending, ``ip`` descending; ``radius`` keeps rows on the better
-    side of the bound and 0 or None means no bound.
+    side of the bound, None means no bound. A repeated ``qid`` is an error.
     """
     check_search(docs, vector, metric, k)
     if where and where.strip():
@@ -138,6 +151,7 @@ def knn(
     if block is None:
         from plumbline.operators.cells import exact_join
 
+        check_distinct(queries)
         hits = exact_join(docs, queries, k, vector=vector, metric=metric)
     elif len(block) == 0:
         empty = hit_schema(block.qid_type, docs.schema["id"].dataType)
@@ -149,8 +163,8 @@ def knn(
 
 
 def within(hits: DataFrame, metric: str, radius: float | None) -> DataFrame:
-    """Keep hits inside ``radius``; unset or 0 keeps all."""
-    if not radius:
+    """Keep hits inside ``radius``; None keeps all."""
+    if radius is None:
         return hits
     score = F.col("score")
     return hits.where(score <= radius if ASCENDING[metric] else score >= radius)

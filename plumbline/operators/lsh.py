@@ -8,8 +8,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,41 +21,55 @@ from plumbline.operators.blocks import matrix
 # Fixed value: the usual default search effort.
 DEFAULT_EFFORT = 50
 
+TABLES = 16
+BUCKET_LENGTH = 0.5
+SEED = 7
+
+# A key is the table's number above, the bucket's number below.
+MIDDLE = 1 << 31
+
 
 @dataclass(frozen=True)
 class BucketIndex:
+    """Rows with the keys of their buckets, one per table, and how the keys are made."""
+
     rows: DataFrame
-    model: BucketedRandomProjectionLSHModel
-    docs: DataFrame
     vector: str
     metric: str
     max_norm2: float = 0.0
+    tables: int = TABLES
+    bucket_length: float = BUCKET_LENGTH
+    seed: int = SEED
+
 
+def _keys(rows: np.ndarray, index: BucketIndex) -> np.ndarray:
+    rng = np.random.default_rng([index.seed, rows.shape[1]])
+    axes = rng.standard_normal((rows.shape[1], index.tables))
+    axes /= np.linalg.norm(axes, axis=0)
+    # Far buckets of extreme vectors fold into the outermost ones.
+    bucket = np.clip(np.floor(rows @ axes / index.bucket_length), -MIDDLE, MIDDLE - 1)
+    return (np.arange(index.tables) << 32) + (bucket.astype(np.int64) + MIDDLE)
 
-def _placed(df: DataFrame, vector: str, metric: str, bound: float, query: bool) -> DataFrame:
-    """Add ``at``, the vector in the space where Euclidean order is the metric's order."""
+
+def _bucketed(df: DataFrame, vector: str, index: BucketIndex, query: bool) -> DataFrame:
+    """Add ``cells``: one bucket key per hash table; rows no metric can place drop out."""
+    name = df.columns[0]
+    metric, bound = index.metric, index.max_norm2
+    plain = BucketIndex(None, vector, metric, bound, index.tables, index.bucket_length, index.seed)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = grid.place(matrix(batch.column(1)), metric, bound, query)
             sound = np.nonzero(~np.isnan(rows).any(axis=1))[0]
+            if not len(sound):
+                continue
             kept = batch.take(pa.array(sound))
-            yield pa.RecordBatch.from_arrays(
-                [*kept.columns, pa.array(list(rows[sound]), pa.list_(pa.float64()))],
-                names=[*kept.schema.names, "at"],
-            )
+            keys = pa.array(list(_keys(rows[sound], plain)), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*kept.columns, keys], names=[*kept.schema.names, "cells"])
 
-    name, dtype = df.columns[0], df.schema[0].dataType.simpleString()
-    kind = df.schema[vector].dataType.simpleString()
+    dtype, kind = df.schema[0].dataType.simpleString(), df.schema[vector].dataType.simpleString()
     held = df.select(name, vector).where(F.col(vector).isNotNull())
-    out = held.mapInArrow(scan, f"`{name}` {dtype}, `{vector}` {kind}, at array<double>")
-    return out.withColumn("at", array_to_vector("at"))
-
-
-def _bucketed(df: DataFrame, model: BucketedRandomProjectionLSHModel) -> DataFrame:
-    """Add ``cells``: one bucket key per hash table."""
-    keys = F.transform("hashes", lambda bucket, table: F.xxhash64(table, bucket))
-    return model.transform(df).withColumn("cells", keys).drop("at", "hashes")
+    return held.mapInArrow(scan, f"`{name}` {dtype}, `{vector}` {kind}, cells array<bigint>")
 
 
 def build_lsh(
@@ -65,29 +77,52 @@ def build_lsh(
     *,
     vector: str = "embedding",
     metric: str = "cosine",
-    tables: int = 16,
-    bucket_length: float = 0.5,
-    seed: int = 7,
+    tables: int = TABLES,
+    bucket_length: float = BUCKET_LENGTH,
+    seed: int = SEED,
     path: str | None = None,
 ) -> BucketIndex:
     """Hash every row into ``tables`` buckets; rows are stored once, with their bucket keys."""
     exact.check_search(docs, vector, metric, 1)
     bound = exact.largest_norm2(docs, vector) if metric in ("ip", "mips_l2") else 0.0
-    placed = _placed(docs.select("id", vector), vector, metric, bound, query=False)
-    model = BucketedRandomProjectionLSH(
-        inputCol="at",
-        outputCol="hashes",
-        numHashTables=tables,
-        bucketLength=bucket_length,
-        seed=seed,
-    ).fit(placed)
-    bucketed = _bucketed(placed, model).select("id", vector, "cells")
+    index = BucketIndex(None, vector, metric, bound, tables, bucket_length, seed)
+    bucketed = _bucketed(docs.select("id", vector), vector, index, query=False)
     if path is None:
         rows = materialize(bucketed, "lsh")
     else:
         bucketed.write.mode("errorifexists").parquet(path)
-        rows = docs.sparkSession.read.parquet(path)
-    return BucketIndex(rows, model, docs.select("id", vector), vector, metric, bound)
+        rows = docs.sparkSession.read.schema(bucketed.schema).parquet(path)
+    return BucketIndex(rows, vector, metric, bound, tables, bucket_length, seed)
+
+
+def _widest(index: BucketIndex, queries: DataFrame) -> int:
+    """How many buckets rows and queries span in the widest table."""
+    placed = _bucketed(queries.select("qid", "qvec"), "qvec", index, query=True)
+    cells = index.rows.select("cells").union(placed.select("cells"))
+    key = cells.select(F.explode("cells").alias("key"))
+    table, bucket = F.shiftright("key", 32), F.col("key").bitwiseAND(F.lit((1 << 32) - 1))
+    spans = key.groupBy(table.alias("table")).agg((F.max(bucket) - F.min(bucket)).alias("span"))
+    return int(spans.agg(F.max("span")).first()[0] or 0)
+
+
+def _hits(index: BucketIndex, queries: DataFrame, effort: int, reach: int) -> DataFrame:
+    """The best ``effort`` rows per query among those at most ``reach`` buckets away."""
+    placed = _bucketed(queries.select("qid", "qvec"), "qvec", index, query=True)
+    steps = F.sequence(F.lit(-reach).cast("long"), F.lit(reach).cast("long"))
+    near = F.flatten(F.transform("cells", lambda key: F.transform(steps, lambda step: key + step)))
+    probes = placed.withColumn("cells", near)
+    block = exact.small_queries(queries)
+    options = {"vector": index.vector, "metric": index.metric, "max_norm2": index.max_norm2}
+    if block is not None:
+        keys = probes.select("qid", F.explode("cells").alias("cell")).toArrow()
+        numbers = pc.index_in(keys["qid"], block.qids).to_numpy()
+        asked = (numbers.astype(np.int64), keys["cell"].to_numpy())
+        hits = grid.match_listed(index.rows, block, asked, effort, **options)
+    else:
+        rows = index.rows.withColumn("cell", F.explode("cells"))
+        asked = probes.withColumn("cell", F.explode("cells")).drop("cells")
+        hits = grid.match_large(rows, asked, effort, **options)
+    return top_k(grid.one_per_pair(hits), effort, ascending=ASCENDING[index.metric])
 
 
 def search_lsh(
@@ -100,32 +135,26 @@ def search_lsh(
 ) -> DataFrame:
     """Top ``k`` by exact score among rows sharing a bucket with the query.
 
-    A query that meets fewer than ``max(k, effort)`` rows is answered exactly instead.
+    A query that meets fewer than ``max(k, effort)`` rows looks into the neighbouring buckets,
+    twice as far each time, until it has met that many or there are no more.
     """
     positive_int32(k, "k")
     effort = max(k, positive_int32(effort, "effort"))
-    vector, metric = index.vector, index.metric
-    placed = _placed(
-        queries.select("qid", "qvec"), "qvec", metric, index.max_norm2, query=True
-    )
-    probes = _bucketed(placed, index.model).select("qid", "qvec", "cells")
-    block = exact.small_queries(queries)
-    options = {"vector": vector, "metric": metric, "max_norm2": index.max_norm2}
-    if block is not None:
-        keys = probes.select("qid", F.explode("cells").alias("cell")).toArrow()
-        numbers = pc.index_in(keys["qid"], block.qids).to_numpy()
-        asked = (numbers.astype(np.int64), keys["cell"].to_numpy())
-        hits = grid.match_listed(index.rows, block, asked, effort, **options)
-    else:
-        rows = index.rows.withColumn("cell", F.explode("cells"))
-        asked = probes.withColumn("cell", F.explode("cells")).drop("cells")
-        hits = grid.match_large(rows, asked, effort, **options)
-    ascending = ASCENDING[metric]
-    found = materialize(top_k(grid.one_per_pair(hits), effort, ascending=ascending), "lsh-hits")
-    enough = found.groupBy("qid").count().where(F.col("count") >= effort).select("qid")
-    enough, _ = broadcast_if_small(enough)
-    asked = queries.join(enough, "qid", "left_anti")
-    rest = exact.knn(index.docs, asked, k, vector=vector, metric=metric).drop("rank")
-    kept = found.join(enough, "qid", "left_semi").drop("rank")
-    ranked = top_k(kept.unionByName(rest), k, ascending=ascending)
-    return exact.within(ranked, metric, radius)
+    exact.check_distinct(queries)
+    widest, reach, kept = None, 0, None
+    asked = queries.select("qid", "qvec").where(F.col("qvec").isNotNull())
+    while True:
+        found = materialize(_hits(index, asked, effort, reach).drop("rank"), "lsh-hits")
+        enough = found.groupBy("qid").count().where(F.col("count") >= effort).select("qid")
+        enough = materialize(enough, "lsh-answered")
+        lacking = asked.join(broadcast_if_small(enough)[0], "qid", "left_anti")
+        if widest is None:
+            widest = _widest(index, queries)
+        if reach >= widest or lacking.isEmpty():
+            kept = found if kept is None else kept.unionByName(found)
+            break
+        done = found.join(broadcast_if_small(enough)[0], "qid", "left_semi")
+        kept = done if kept is None else kept.unionByName(done)
+        asked, reach = materialize(lacking, "lsh-lacking"), 2 * reach + 1
+    ranked = top_k(kept, k, ascending=ASCENDING[index.metric])
+    return exact.within(ranked, index.metric, radius)

@@ -25,6 +25,46 @@ def _outside(column: F.Column, item: Field) -> F.Column:
     return (column < low) | (column > high)
 
 
+def blank_id() -> F.Column:
+    return F.col("id").isNull() | (F.trim(F.regexp_replace("id", r"\s+", " ")) == "")
+
+
+def _value_checks(item: Field, value: F.Column, present: F.Column) -> list[tuple[str, F.Column]]:
+    """Rules on a value of the declared type."""
+    held, out = present & value.isNotNull(), []
+    if not item.nullable:
+        out.append(("notNullable", present & value.isNull()))
+    if item.vtype in DENSE:
+        out.append(("dimension", held & _dimension(value, item)))
+    if item.vtype in SPARSES:
+        out.append(("sparse", held & ~valid_sparse(value)))
+    if item.vtype in RANGES:
+        out.append(("range", held & _outside(value, item)))
+    return out
+
+
+def _present(batch: DataFrame, name: str) -> F.Column:
+    return F.array_contains("_set", name) if "_set" in batch.columns else F.lit(True)
+
+
+def unsound(batch: DataFrame, schema: Schema) -> F.Column:
+    """Whether a row of a write breaks a rule once its values have the declared types."""
+    checks = [blank_id()]
+    for column in batch.schema.fields:
+        item = next((f for f in schema.fields if f.name == column.name), None)
+        if item is None or column.name in RESERVED:
+            continue
+        given, kind = F.col(f"`{column.name}`"), spark_type(item.vtype)
+        value = given if same_type(column.dataType, kind) else given.try_cast(kind)
+        present = _present(batch, column.name)
+        checks.append(present & given.isNotNull() & value.isNull())
+        checks += [broken for _, broken in _value_checks(item, value, present)]
+    broken = F.lit(False)
+    for check in checks:
+        broken = broken | F.coalesce(check, F.lit(False))
+    return broken
+
+
 def violations(batch: DataFrame, schema: Schema) -> DataFrame:
     """``(id, field, rule)`` for every broken rule, in one pass over the batch.
 
@@ -33,31 +73,20 @@ def violations(batch: DataFrame, schema: Schema) -> DataFrame:
     names it; without a ``_set`` column every column is present. Missing fields are fine.
     """
     declared = {f.name: f for f in schema.fields}
-    checks: list[tuple[str, str, F.Column]] = [
-        ("id", "blankId", F.col("id").isNull() | (F.trim(F.regexp_replace("id", r"\s+", " ")) == ""))
-    ]
+    checks: list[tuple[str, str, F.Column]] = [("id", "blankId", blank_id())]
     for column in batch.schema.fields:
         name = column.name
         if name in RESERVED:
             continue
-        value = F.col(f"`{name}`")
-        present = F.array_contains("_set", name) if "_set" in batch.columns else F.lit(True)
-        held = present & value.isNotNull()
-        item = declared.get(name)
+        value, present, item = F.col(f"`{name}`"), _present(batch, name), declared.get(name)
         if item is None:
             checks.append((name, "unknownField", present))
-            continue
-        if not item.nullable:
-            checks.append((name, "notNullable", present & value.isNull()))
-        if not same_type(column.dataType, spark_type(item.vtype)):
-            checks.append((name, "typeMismatch", held))
-            continue
-        if item.vtype in DENSE:
-            checks.append((name, "dimension", held & _dimension(value, item)))
-        if item.vtype in SPARSES:
-            checks.append((name, "sparse", held & ~valid_sparse(value)))
-        if item.vtype in RANGES:
-            checks.append((name, "range", held & _outside(value, item)))
+        elif same_type(column.dataType, spark_type(item.vtype)):
+            checks += [(name, rule, broken) for rule, broken in _value_checks(item, value, present)]
+        else:
+            if not item.nullable:
+                checks.append((name, "notNullable", present & value.isNull()))
+            checks.append((name, "typeMismatch", present & value.isNotNull()))
     found = F.array(
         *[
             F.when(

@@ -44,13 +44,15 @@ def stored_ids(table: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def report(judged: DataFrame, error: type, text: str) -> DataFrame:
-    failed = ~F.col("ok")
+    """Per-row results; a row without an id is invalid whatever else holds."""
+    nameless = F.col("id").isNull()
+    ok = F.col("ok") & ~nameless
     return judged.select(
         "pos",
         "id",
-        "ok",
-        F.when(failed, F.lit(error.code)).alias("error_code"),
-        F.when(failed, F.lit(text)).alias("message"),
+        ok.alias("ok"),
+        F.when(nameless, InvalidArgument.code).when(~ok, F.lit(error.code)).alias("error_code"),
+        F.when(nameless, F.lit("the id is missing")).when(~ok, F.lit(text)).alias("message"),
     )
 
 
@@ -93,6 +95,7 @@ def insert(table: DataFrame, batch: DataFrame) -> Write:
     judged = batch.select("pos", "id").join(first, ["id", "pos"], "left")
     ok = F.coalesce(~F.col("stored"), F.lit(False))
     results = report(judged.withColumn("ok", ok), AlreadyExists, "the id already exists")
+    # A missing id joins with nothing, so such a row is not added.
     added = batch.join(first.where(~F.col("stored")).select("id", "pos"), ["id", "pos"], "left_semi")
     rows = _shaped(added, table)
     return Write(results, rows.withColumn("_deleted", F.lit(False)), table.unionByName(rows))
@@ -144,7 +147,7 @@ def upsert(table: DataFrame, batch: DataFrame) -> Write:
     names = fields_of(table, batch)
     results = batch.select("pos", "id", F.lit(True).alias("ok"))
     results = report(results, AlreadyExists, "")
-    last = batch.groupBy("id").agg(F.max(F.struct("pos", *names)).alias("r"))
+    last = batch.where(F.col("id").isNotNull()).groupBy("id").agg(F.max(F.struct("pos", *names)).alias("r"))
     rows = _shaped(last.select("id", *[F.col(f"r.{n}").alias(n) for n in names]), table)
     rows = materialize(rows.withColumn("_deleted", F.lit(False)), "upserts")
     return Write(results, rows, _replace(table, rows, rows))

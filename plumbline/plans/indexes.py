@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 import numpy as np
-from pyspark.ml.feature import BucketedRandomProjectionLSHModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.errors import InvalidArgument, NotFound
-from plumbline.functions.ranking import ASCENDING
+from plumbline.functions.ranking import ASCENDING, top_k
+from plumbline.functions.sizing import broadcast_if_small, materialize
 from plumbline.operators import fulltext, ivf, knn, lsh, quantize
-from plumbline.sources.table import Table
+from plumbline.sources.schema import index_settings
+from plumbline.sources.table import StoredIndex, Table
+
+POSTINGS = "bucket int, term string, id string, tf long, dl int"
 
 VECTOR_KINDS = ("flat", "ivf", "approximate")
 
@@ -46,7 +51,6 @@ def create_index(table: Table, name: str, settings: dict) -> Table:
         stored = f"{side}/rows"
     elif kind == "approximate":
         built = lsh.build_lsh(docs, vector=name, metric=settings["metric"], path=f"{side}/rows")
-        built.model.write().save(f"{side}/model")
         _store_numbers(table, side, built.max_norm2)
         stored = f"{side}/rows"
     elif kind == "flat" and settings["quantization"] != "none":
@@ -65,53 +69,166 @@ def create_index(table: Table, name: str, settings: dict) -> Table:
 
 
 def open_index(table: Table, name: str):
-    """The stored index of a field, ready for its search function."""
-    settings = table.schema[name].index
-    stored = dict(table.version.indexes).get(name)
+    """The stored index of a field as it was built, ready for its search function."""
+    settings, stored = table.schema[name].index, table.stored_index(name)
     if settings is None or stored is None:
         raise NotFound(f"no stored index on {name!r}")
-    side, spark = stored.rsplit("/", 1)[0], table.spark
+    side, spark = stored.path.rsplit("/", 1)[0], table.spark
     if settings["kind"] == "fulltext":
         n_docs, avg_length = _numbers(table, side)
         return fulltext.TextIndex(
-            spark.read.parquet(stored),
-            spark.read.parquet(f"{side}/terms"),
+            spark.read.schema(POSTINGS).parquet(stored.path),
+            spark.read.schema("term string, df long").parquet(f"{side}/terms"),
             int(n_docs),
             avg_length,
             _analyzer(settings),
         )
-    rows = spark.read.parquet(stored)
+    vector = table.schema[name].struct_field().dataType.simpleString()
     if settings["kind"] == "ivf":
-        lines = spark.read.parquet(f"{side}/centers").orderBy("cell").collect()
-        centers = np.array([line["center"] for line in lines])
+        rows = _rows(table, stored, f"id string, `{stored.column}` {vector}, gap double, cell int")
+        lines = spark.read.schema("cell int, center array<double>").parquet(f"{side}/centers")
+        centers = np.array([line["center"] for line in lines.orderBy("cell").collect()])
         bound = _numbers(table, side)[0]
+        centers = centers if len(centers) else np.empty((0, 0))
         return ivf.CellIndex(rows, centers, name, settings["metric"], bound, settings["spill"])
     if settings["kind"] == "approximate":
-        model = BucketedRandomProjectionLSHModel.load(f"{side}/model")
+        rows = _rows(table, stored, f"id string, `{stored.column}` {vector}, cells array<bigint>")
         bound = _numbers(table, side)[0]
-        return lsh.BucketIndex(rows, model, table.scan(), name, settings["metric"], bound)
-    return rows
+        return lsh.BucketIndex(rows, name, settings["metric"], bound)
+    return spark.read.parquet(stored.path)
+
+
+def _rows(table: Table, stored: StoredIndex, schema: str) -> DataFrame:
+    rows = table.spark.read.schema(schema).parquet(stored.path)
+    return rows.withColumnRenamed(stored.column, stored.name)
+
+
+def rebuild_indexes(table: Table) -> Table:
+    """Build every stored index again, as after ``compact``, whose files none of them covers."""
+    for stored in table.version.indexes:
+        table = create_index(table, stored.name, table.schema[stored.name].index)
+    return table
+
+
+@dataclass(frozen=True)
+class _Live:
+    """What an index still answers for: ``kept`` cuts its rows to those unchanged and passing
+    the filter; ``fresh`` are the rows to search exactly."""
+
+    kept: Callable[[DataFrame], DataFrame]
+    fresh: DataFrame | None
+    changed: DataFrame | None
+
+
+def _live(table: Table, name: str, where: str | None) -> _Live | None:
+    """None when no stored index covers the table's files: then the scan answers."""
+    stored = table.stored_index(name)
+    if stored is None or not table.covers(stored):
+        return None
+    changed = table.changed_since(stored)
+    if changed is not None:
+        changed = materialize(changed, "changed-ids")
+    filtering = bool(where and where.strip())
+    passing = table.scan().where(where) if filtering else table.scan()
+
+    def kept(rows: DataFrame) -> DataFrame:
+        if changed is not None:
+            rows = rows.join(broadcast_if_small(changed)[0], "id", "left_anti")
+        if filtering:
+            rows = rows.join(passing.select("id"), "id", "left_semi")
+        return rows
+
+    fresh = None
+    if changed is not None:
+        fresh = passing.join(broadcast_if_small(changed)[0], "id", "left_semi")
+    return _Live(kept, fresh, changed)
 
 
 def search_stored(
-    table: Table, name: str, queries: DataFrame, k: int, *, effort: int = lsh.DEFAULT_EFFORT
+    table: Table,
+    name: str,
+    queries: DataFrame,
+    k: int,
+    *,
+    effort: int = lsh.DEFAULT_EFFORT,
+    where: str | None = None,
+    radius: float | None = None,
+    linear: bool = False,
+    output: list[str] | None = None,
 ) -> DataFrame:
-    """Top ``k`` through whichever vector index the field has; the exact scan without one.
+    """Top ``k`` live rows through whichever vector index the field has.
 
-    Probed cells for ``ivf`` and least candidates for ``approximate`` follow ``effort``.
+    Rows written since the build are searched exactly and rows removed since are left out, so
+    a search is never behind the table. The exact scan answers without an index, when
+    ``linear`` asks for it, and after a compaction until ``rebuild_indexes``. Probed cells for ``ivf`` and
+    least candidates for ``approximate`` follow ``effort``.
     """
-    settings = table.schema[name].index or {"kind": "flat", "metric": "cosine", "quantization": "none"}
-    metric = settings["metric"]
+    settings = table.schema[name].index or index_settings("flat")
+    metric, ascending = settings["metric"], ASCENDING[settings["metric"]]
+    live = None if linear else _live(table, name, where)
+    if live is None:
+        hits = knn.knn(table.scan(), queries, k, vector=name, metric=metric, where=where, radius=radius)
+        return knn.attach(hits, table.scan(), list(output or []))
+    index = open_index(table, name)
     if settings["kind"] == "ivf":
-        return ivf.search_ivf(open_index(table, name), queries, k, probes=effort)
-    if settings["kind"] == "approximate":
-        return lsh.search_lsh(open_index(table, name), queries, k, effort=effort)
-    if settings["quantization"] != "none":
-        codes, factor = open_index(table, name), max(1.0, effort / k)
-        return quantize.refined_knn(
-            table.scan(), codes, queries, k, vector=name, metric=metric, scale_factor=factor
+        found = ivf.search_ivf(replace(index, rows=live.kept(index.rows)), queries, k, probes=effort)
+    elif settings["kind"] == "approximate":
+        rows = materialize(live.kept(index.rows), "live-rows") if live.changed is not None or where else index.rows
+        found = lsh.search_lsh(replace(index, rows=rows), queries, k, effort=effort)
+    else:
+        factor = max(1.0, effort / k)
+        found = quantize.refined_knn(
+            table.scan(), live.kept(index), queries, k, vector=name, metric=metric, scale_factor=factor
+        )
+    if live.fresh is not None:
+        fresh = knn.knn(live.fresh, queries, k, vector=name, metric=metric)
+        found = found.drop("rank").unionByName(fresh.drop("rank"))
+        found = top_k(found, k, ascending=ascending)
+    return knn.attach(knn.within(found, metric, radius), table.scan(), list(output or []))
+
+
+def search_text_stored(
+    table: Table,
+    name: str,
+    queries: DataFrame,
+    k: int = fulltext.DEFAULT_K,
+    *,
+    mode: str = "match",
+    operator: str = "or",
+    where: str | None = None,
+    output: list[str] | None = None,
+) -> DataFrame:
+    """Top ``k`` live rows by text, with the statistics of the table as it is now."""
+    live = _live(table, name, None)
+    settings = table.schema[name].index or index_settings("fulltext")
+    if live is None:
+        hits = fulltext.search_scan(
+            table.scan(), queries, k, text=name, analyzer=_analyzer(settings), mode=mode, operator=operator, where=where
         )
-    return knn.knn(table.scan(), queries, k, vector=name, metric=metric)
+        return knn.attach(hits, table.scan(), list(output or []))
+    index = open_index(table, name)
+    if live.fresh is not None:
+        index = _refreshed(table, name, index, live)
+    allowed = table.scan().where(where).select("id") if where and where.strip() else None
+    hits = fulltext.search_index(index, queries, k, mode=mode, operator=operator, allowed=allowed)
+    return knn.attach(hits, table.scan(), list(output or []))
+
+
+def _refreshed(table: Table, name: str, index: fulltext.TextIndex, live: _Live) -> fulltext.TextIndex:
+    """The index without the postings of changed rows and with those of their new texts."""
+    hinted, _ = broadcast_if_small(live.changed)
+    gone = materialize(index.postings.join(hinted, "id", "left_semi"), "gone-postings")
+    added = materialize(fulltext.bucketed_postings(live.fresh, name, index.analyzer), "new-postings")
+    count = lambda rows, sign: rows.groupBy("term").agg((F.lit(sign) * F.count("*")).alias("df"))
+    terms = index.terms.unionByName(count(gone, -1)).unionByName(count(added, 1))
+    terms = terms.groupBy("term").agg(F.sum("df").alias("df")).where("df > 0")
+    length = lambda rows: rows.agg(F.sum("tf")).first()[0] or 0
+    total = index.avg_length * index.n_docs - length(gone) + length(added)
+    n_docs = table.scan().count()
+    postings = index.postings.join(hinted, "id", "left_anti").unionByName(added)
+    return replace(
+        index, postings=postings, terms=terms, n_docs=n_docs, avg_length=total / n_docs if n_docs else 0.0
+    )
 
 
 def _analyzer(settings: dict) -> fulltext.Analyzer:
@@ -121,7 +238,7 @@ def _analyzer(settings: dict) -> fulltext.Analyzer:
 
 
 def _store_centers(table: Table, side: str, built: ivf.CellIndex) -> None:
-    """At most ``MAX_CELLS`` centres, one row each."""
+    """One row per centre."""
     lines = [(n, [float(x) for x in c]) for n, c in enumerate(built.centers)]
     frame = table.spark.createDataFrame(lines, "cell int, center array<double>")
     frame.coalesce(1).write.mode("errorifexists").parquet(f"{side}/centers")

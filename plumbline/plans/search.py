@@ -11,9 +11,6 @@ from plumbline.errors import InvalidArgument, positive_int32
 from plumbline.operators import fulltext, fusion, ivf, knn, quantize, reads, sparse
 from plumbline.operators.fusion import SubResult
 
-# Below this share of rows passing the filter, scanning them beats probing the index.
-SCAN_SHARE = 0.05
-
 
 @dataclass(frozen=True)
 class VectorSearch:
@@ -30,19 +27,20 @@ class VectorSearch:
     linear: bool = False
     codes: DataFrame | None = None
     scale_factor: float = 1.0
-    scan_share: float = SCAN_SHARE
+    scan_share: float = 0.0
     output: list[str] = field(default_factory=list)
 
 
 def vector_search(plan: VectorSearch, queries: DataFrame) -> DataFrame:
     """Ranked hits ``(qid, id, score, rank, *output)``.
 
-    The index is used when there is one, the search is not ``linear``, and the filter
-    leaves more than ``scan_share`` of the rows. ``codes`` ask for a coarse pass on
+    The index is used when there is one and the search is not ``linear``. A caller who
+    prefers a scan for narrow filters sets ``scan_share``: the index is then used only if the
+    filter leaves more than that share of the rows. ``codes`` ask for a coarse pass on
     quantized vectors, refined exactly.
     """
     use_index = plan.index is not None and not plan.linear
-    if use_index and plan.where:
+    if use_index and plan.where and plan.scan_share > 0:
         kept = F.count(F.when(F.expr(plan.where), 1)) / F.greatest(F.count("*"), F.lit(1))
         use_index = plan.docs.agg(kept.alias("share")).first()["share"] > plan.scan_share
     if use_index:

@@ -69,17 +69,11 @@ INDEXES = {
     "flat": {"metric": "cosine", "quantization": "none"},
     "ivf": {
         "metric": "cosine",
-        "quantization": "none",
         "cells": 1_024,
         "iterations": 10,
         "spill": False,
     },
-    "approximate": {
-        "metric": "cosine",
-        "quantization": "none",
-        "m": 16,
-        "build_effort": 200,
-    },
+    "approximate": {"metric": "cosine"},
     "inverted": {"range": True, "wildcard": False},
     "fulltext": {"tokenizer": "standard", "filters": [], "options": {}},
 }

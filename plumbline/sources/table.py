@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, replace
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +21,7 @@ from pyspark.sql.utils import AnalysisException
 from plumbline.errors import AlreadyExists, FailedPrecondition, InvalidArgument, NotFound
 from plumbline.functions.sizing import broadcast_if_small, measured_bytes
 from plumbline.operators import changes as replay
-from plumbline.operators import validation, writes
+from plumbline.operators import quantize, validation, writes
 from plumbline.operators.reads import filtered
 from plumbline.sources.schema import Field, Schema, spark_type
 
@@ -38,13 +39,25 @@ class Part:
     steps: tuple[tuple[str, ...], ...] = ()
 
 
+@dataclass(frozen=True)
+class StoredIndex:
+    """An index of field ``name``: where it is, the column it was built on, and the base and
+    number of layers it covers."""
+
+    name: str
+    path: str
+    column: str
+    base: str
+    layers: int
+
+
 @dataclass(frozen=True)
 class Version:
     number: int
     schema: Schema
     base: Part
     layers: tuple[Part, ...] = ()
-    indexes: tuple[tuple[str, str], ...] = ()
+    indexes: tuple[StoredIndex, ...] = ()
     marks: tuple[tuple[str, int], ...] = ()
 
     def to_json(self) -> str:
@@ -54,7 +67,7 @@ class Version:
                 "schema": self.schema.to_json(),
                 "base": part(self.base),
                 "layers": [part(p) for p in self.layers],
-                "indexes": [list(i) for i in self.indexes],
+                "indexes": [asdict(i) for i in self.indexes],
                 "marks": [list(m) for m in self.marks],
             }
         )
@@ -68,7 +81,7 @@ class Version:
             Schema.from_json(raw["schema"]),
             part(raw["base"]),
             tuple(part(p) for p in raw["layers"]),
-            tuple(tuple(i) for i in raw["indexes"]),
+            tuple(StoredIndex(**i) for i in raw["indexes"]),
             tuple(tuple(m) for m in raw["marks"]),
         )
 
@@ -89,6 +102,8 @@ class Table:
         if rows is None:
             rows = spark.createDataFrame([], schema.struct())
         table = cls(spark, path, Version(0, schema, Part("", "")))
+        if not rows.where(validation.unsound(rows, schema)).isEmpty():
+            raise InvalidArgument("some rows break the declared schema")
         base = table._store(table._typed(rows), "data")
         return table._commit(replace(table.version, base=base))
 
@@ -133,17 +148,25 @@ class Table:
     # -- writes ------------------------------------------------------------------------
 
     def insert(self, batch: DataFrame) -> tuple[Table, DataFrame]:
-        return self._layer(writes.insert(self.scan(), batch))
+        return self._write(writes.insert, batch)
 
     def update(self, batch: DataFrame) -> tuple[Table, DataFrame]:
-        return self._layer(writes.update(self.scan(), batch))
+        return self._write(writes.update, batch)
 
     def upsert(self, batch: DataFrame) -> tuple[Table, DataFrame]:
-        return self._layer(writes.upsert(self.scan(), batch))
+        return self._write(writes.upsert, batch)
 
     def delete(self, requests: DataFrame) -> tuple[Table, DataFrame]:
         return self._layer(writes.delete_ids(self.scan(), requests))
 
+    def _write(self, operation, batch: DataFrame) -> tuple[Table, DataFrame]:
+        """Rows that break the declared schema fail on their own; the others are written."""
+        broken = validation.unsound(batch, self.schema)
+        table, results = self._layer(operation(self.scan(), batch.where(~broken)))
+        failed = batch.where(broken).select("pos", "id", F.lit(False).alias("ok"))
+        text = "the row breaks the declared schema"
+        return table, results.unionByName(writes.report(failed, InvalidArgument, text))
+
     def apply(
         self,
         changes: DataFrame,
@@ -184,7 +207,8 @@ class Table:
         value = default if default is not None else "NULL"
         self._check_stable(value)
         kind = spark_type(item.vtype).simpleString()
-        step = [*map(quote, ["id", *self._names()]), f"CAST({value} AS {kind}) AS {quote(item.name)}"]
+        self._check_cast(value, kind)
+        step = [*map(quote, ["id", *self._names()]), f"TRY_CAST({value} AS {kind}) AS {quote(item.name)}"]
         schema = replace(self.schema, fields=(*self.schema.fields, item))
         return self._evolve(schema, step)
 
@@ -201,14 +225,24 @@ class Table:
             raise InvalidArgument("give a new name or a new type")
         if new_name is not None and new_name != name and new_name in [*self._names(), "id"]:
             raise AlreadyExists(f"field {new_name!r} exists")
+        retyped = vtype is not None and vtype != old.vtype
         new = replace(old, name=new_name or name, vtype=vtype or old.vtype)
         kind = spark_type(new.vtype).simpleString()
+        if retyped:
+            self._check_cast(quote(name), kind)
+            new = replace(new, index=None)
         step, fields = [quote("id")], []
         for item in self.schema.fields:
             fields.append(new if item.name == name else item)
             text = quote(item.name)
-            step.append(f"CAST({text} AS {kind}) AS {quote(new.name)}" if item.name == name else text)
-        return self._evolve(replace(self.schema, fields=tuple(fields)), step)
+            # Rows that a later layer replaced are read too, and need not fit the new type.
+            step.append(f"TRY_CAST({text} AS {kind}) AS {quote(new.name)}" if item.name == name else text)
+        kept = tuple(
+            replace(i, name=new.name) if i.name == name else i
+            for i in self.version.indexes
+            if not (retyped and i.name == name)
+        )
+        return self._evolve(replace(self.schema, fields=tuple(fields)), step, kept)
 
     def set_index(self, name: str, settings: dict, side_table: str | None = None) -> Table:
         """Record an index on a field, replacing an earlier one, and where it is stored."""
@@ -216,9 +250,10 @@ class Table:
         fields = tuple(
             replace(f, index=settings) if f.name == name else f for f in self.schema.fields
         )
-        indexes = tuple(i for i in self.version.indexes if i[0] != name)
+        indexes = tuple(i for i in self.version.indexes if i.name != name)
         if side_table:
-            indexes = (*indexes, (name, side_table))
+            covered = self.version.base.path, len(self.version.layers)
+            indexes = (*indexes, StoredIndex(name, side_table, name, *covered))
         return self._commit(
             replace(
                 self.version,
@@ -245,14 +280,40 @@ class Table:
         """``(documents)``: the number of live rows."""
         return self.scan().agg(F.count("*").alias("documents"))
 
+    def stored_index(self, name: str) -> StoredIndex | None:
+        return next((i for i in self.version.indexes if i.name == name), None)
+
+    def covers(self, index: StoredIndex) -> bool:
+        """False once the rows an index was built on have been folded into new files."""
+        return index.base == self.version.base.path
+
+    def changed_since(self, index: StoredIndex) -> DataFrame | None:
+        """Ids written or removed after an index was built; None when there are none."""
+        later = self.version.layers[index.layers :]
+        if not later:
+            return None
+        ids = [self._read(part, layered=True).select("id") for part in later]
+        return reduce(DataFrame.unionByName, ids).distinct()
+
     def index_statistics(self) -> DataFrame:
-        """``(index_name, completeness)`` per stored index: covered share of eligible rows."""
+        """``(index_name, completeness)`` per stored index: the share of the rows with a value
+        that the index holds as they are now."""
         rows, out = self.scan(), []
-        for name, side in self.version.indexes:
-            covered = self.spark.read.parquet(side).select("id").distinct().withColumn("_hit", F.lit(1))
-            held = rows.where(F.col(quote(name)).isNotNull()).select("id").join(covered, "id", "left")
-            share = F.when(F.count("*") == 0, 1.0).otherwise(F.count("_hit") / F.count("*"))
-            out.append(held.agg(share.alias("completeness")).select(F.lit(name).alias("index_name"), "completeness"))
+        for index in self.version.indexes:
+            held = rows.where(F.col(quote(index.name)).isNotNull()).select("id")
+            kind = (self.schema[index.name].index or {}).get("kind")
+            changed = self.changed_since(index)
+            good = F.lit(self.covers(index))
+            if kind != "fulltext":  # a text without a term has no posting and is covered
+                ids = self.spark.read.parquet(index.path).select("id").distinct()
+                held = held.join(ids.withColumn("_hit", F.lit(1)), "id", "left")
+                good = good & F.col("_hit").isNotNull()
+            if changed is not None:
+                held = held.join(changed.withColumn("_new", F.lit(1)), "id", "left")
+                good = good & F.col("_new").isNull()
+            share = F.when(F.count("*") == 0, 1.0).otherwise(F.count(F.when(good, 1)) / F.count("*"))
+            name = F.lit(index.name).alias("index_name")
+            out.append(held.agg(share.alias("completeness")).select(name, "completeness"))
         if not out:
             return self.spark.createDataFrame([], "index_name string, completeness double")
         return reduce(DataFrame.unionByName, out)
@@ -269,7 +330,10 @@ class Table:
         for item in self.schema.fields:
             column = item.struct_field()
             value = F.col(quote(item.name)) if item.name in have else F.lit(None)
-            out.append(value.cast(column.dataType).alias(item.name, metadata=column.metadata))
+            value = value.cast(column.dataType)
+            if item.vtype == "vectorFloat16":
+                value = quantize.half(value).cast(column.dataType)
+            out.append(value.alias(item.name, metadata=column.metadata))
         return rows.select(*out)
 
     def _read(self, part: Part, layered: bool) -> DataFrame:
@@ -309,7 +373,9 @@ class Table:
         names = ["id", *self._names()]
         return rows.select(*[F.col(quote(n)) for n in names], "_deleted")
 
-    def _evolve(self, schema: Schema, step: list[str]) -> Table:
+    def _evolve(
+        self, schema: Schema, step: list[str], indexes: tuple[StoredIndex, ...] | None = None
+    ) -> Table:
         more = lambda part: Part(part.path, part.columns, (*part.steps, tuple(step)))
         names = {f.name for f in schema.fields}
         return self._commit(
@@ -319,7 +385,7 @@ class Table:
                 schema=schema,
                 base=more(self.version.base),
                 layers=tuple(more(p) for p in self.version.layers),
-                indexes=tuple(i for i in self.version.indexes if i[0] in names),
+                indexes=tuple(i for i in (self.version.indexes if indexes is None else indexes) if i.name in names),
             )
         )
 
@@ -332,6 +398,16 @@ class Table:
         if not plan.deterministic() or any(w in text for w in ("current_", "now(", "localtimestamp")):
             raise InvalidArgument("a default must give the same value on every read")
 
+    def _check_cast(self, expression: str, kind: str) -> None:
+        """Every live row must yield a value of the type wherever the expression has one."""
+        lost = f"({expression}) IS NOT NULL AND TRY_CAST({expression} AS {kind}) IS NULL"
+        try:
+            fails = not self.scan().where(lost).isEmpty()
+        except PySparkException as error:
+            raise InvalidArgument(str(error)) from error
+        if fails:
+            raise InvalidArgument(f"{expression} does not fit {kind} in every row")
+
     def _commit(self, version: Version) -> Table:
         latest = self._records(self.spark, self.path)
         if latest is not None:

@@ -7,9 +7,12 @@ from pyspark.sql import SparkSession
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+from plumbline.functions.sizing import use_scratch  # noqa: E402
+
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    use_scratch(str(tmp_path_factory.mktemp("scratch")))
     session = (
         SparkSession.builder.master("local[8]")
         .appName("plumbline-tests")

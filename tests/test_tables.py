@@ -2,16 +2,23 @@ import datetime
 import decimal
 import uuid
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from plumbline.errors import AlreadyExists, FailedPrecondition, InvalidArgument, NotFound
 from plumbline.functions import sizing
 from plumbline.operators import changes as replay
-from plumbline.operators.fulltext import Analyzer, search_index
+from plumbline.operators.fulltext import Analyzer, search_index, search_scan
 from plumbline.operators.ivf import build_ivf
 from plumbline.operators.knn import knn
-from plumbline.plans.indexes import create_index, open_index, search_stored
+from plumbline.plans.indexes import (
+    create_index,
+    open_index,
+    rebuild_indexes,
+    search_stored,
+    search_text_stored,
+)
 from plumbline.sources.schema import Field, Schema, index_settings, spark_type
 from plumbline.sources.table import Table
 from plumbline.streaming.change_stream import ChangeStream
@@ -259,3 +266,112 @@ def test_broadcast_follows_measured_size(spark):
     assert hinted
     large, hinted = sizing.broadcast_if_small(spark.range(1000), limit=1_000)
     assert not hinted
+
+
+VECTORS = Schema("v", (Field("embedding", "vectorFloat32", dim=2), Field("label", "int32", nullable=True)))
+
+
+def vector_rows(spark, n=60):
+    rows = [(str(i), [float(np.cos(i)), float(np.sin(i))], i % 5) for i in range(n)]
+    return spark.createDataFrame(rows, "id string, embedding array<float>, label int")
+
+
+@pytest.mark.parametrize("kind, more", [("ivf", {"cells": 4}), ("approximate", {}), ("flat", {"quantization": "int8"})])
+def test_stored_index_answers_over_live_rows(spark, path, kind, more):
+    rows = vector_rows(spark)
+    table = create_index(Table.create(spark, path, VECTORS, rows), "embedding", index_settings(kind, **more))
+    table = table.delete_where("id = '7'")
+    new = spark.createDataFrame([(1, "twin", [float(np.cos(7)), float(np.sin(7))], 1)], "pos long, id string, embedding array<float>, label int")
+    table, _ = table.insert(new)
+    query = spark.createDataFrame([("q", [float(np.cos(7)), float(np.sin(7))])], "qid string, qvec array<float>")
+
+    def found(t, name="embedding", **options):
+        hits = search_stored(t, name, query, 3, effort=1_000, **options)
+        return [r["id"] for r in hits.orderBy("rank").collect()]
+
+    expected = found(table, linear=True)
+    assert expected[0] == "twin" and "7" not in expected
+    assert found(table) == expected
+    assert found(table, where="label = 2") == found(table, where="label = 2", linear=True)
+    renamed = table.alter_column("embedding", new_name="vector")
+    assert found(Table.open(spark, path), "vector") == expected
+    assert renamed.index_statistics().count() == 1
+    folded = renamed.compact()
+    assert found(folded, "vector") == expected
+    again = rebuild_indexes(folded)
+    assert found(again, "vector") == expected
+    assert again.index_statistics().first()["completeness"] == 1.0
+
+
+def test_index_built_before_any_row(spark, path):
+    empty = Table.create(spark, path, VECTORS)
+    for kind, more in (("ivf", {"cells": 4}), ("approximate", {})):
+        table = create_index(Table.open(spark, path), "embedding", index_settings(kind, **more))
+        table, _ = table.insert(vector_rows(spark, 3).withColumn("pos", F.monotonically_increasing_id()))
+        query = spark.createDataFrame([("q", [1.0, 0.0])], "qid string, qvec array<float>")
+        assert search_stored(table, "embedding", query, 5).count() == 3
+        table = table.delete_where("id IS NOT NULL")
+    assert empty.scan().count() == 0
+
+
+def test_alter_column_refuses_what_does_not_fit(spark, path):
+    schema = Schema("t", (Field("word", "string", nullable=True), Field("n", "string", nullable=True)))
+    rows = spark.createDataFrame([("1", "x", "5"), ("2", "7", "6")], "id string, word string, n string")
+    table = Table.create(spark, path, schema, rows)
+    with pytest.raises(InvalidArgument):
+        table.alter_column("word", vtype="int32")
+    assert Table.open(spark, path).scan().count() == 2
+    gone = table.delete_where("word = 'x'").alter_column("word", vtype="int32").alter_column("n", vtype="int64")
+    assert [tuple(r) for r in gone.scan().collect()] == [("2", 7, 6)]
+    with pytest.raises(InvalidArgument):
+        gone.add_column(Field("bad", "int32"), "'text'")
+
+
+def test_rows_that_break_the_schema_fail_alone(spark, path):
+    schema = Schema("t", (Field("v", "vectorFloat32", dim=2), Field("u", "uint32", nullable=True)))
+    table = Table.create(spark, path, schema)
+    batch = spark.createDataFrame(
+        [(0, "a", [1.0, 2.0], 1), (1, " ", [1.0, 2.0], 1), (2, "b", [1.0], 1), (3, "c", [1.0, 2.0], -5),
+         (4, "d", None, 1), (5, None, [1.0, 2.0], 1)],
+        "pos long, id string, v array<float>, u long",
+    )
+    table, results = table.insert(batch)
+    codes = {r["pos"]: r["error_code"] for r in results.collect()}
+    assert codes == {0: None, 1: "invalidArgument", 2: "invalidArgument", 3: "invalidArgument", 4: "invalidArgument", 5: "invalidArgument"}
+    assert [r["id"] for r in table.scan().collect()] == ["a"]
+    with pytest.raises(InvalidArgument):
+        Table.create(spark, path + "-2", schema, batch.select("id", "v", "u"))
+
+
+def test_half_precision_is_stored_rounded(spark, path):
+    schema = Schema("h", (Field("v", "vectorFloat16", dim=1),))
+    rows = spark.createDataFrame([("a", [0.1])], "id string, v array<float>")
+    assert Table.create(spark, path, schema, rows).scan().first()["v"] == [float(np.float16(0.1))]
+
+
+def test_text_index_stays_live_and_complete(spark, path):
+    schema = Schema("t", (Field("text", "string", nullable=True),))
+    rows = [(str(i), f"word{i % 7} common") for i in range(40)] + [("blank", "...")]
+    table = Table.create(spark, path, schema, spark.createDataFrame(rows, "id string, text string"))
+    table = create_index(table, "text", index_settings("fulltext"))
+    assert table.index_statistics().first()["completeness"] == 1.0
+    table = table.delete_where("id = '3'")
+    patch = spark.createDataFrame([(1, "10", "word0 word0 common"), (2, "50", "word3")], "pos long, id string, text string")
+    table, _ = table.upsert(patch)
+    assert table.index_statistics().first()["completeness"] < 1.0
+    asked = spark.createDataFrame([("a", "word3 common"), ("b", "+word0 -word1")], "qid string, text string")
+    for mode in ("match", "query"):
+        key = lambda r: (r["qid"], r["rank"], r["id"], round(r["score"], 9))
+        stored = search_text_stored(table, "text", asked, 5, mode=mode)
+        scanned = search_scan(table.scan(), asked, 5, mode=mode)
+        assert sorted(map(key, stored.collect())) == sorted(map(key, scanned.collect()))
+
+
+def test_discard_removes_scratch(spark):
+    frame = sizing.materialize(spark.range(3), "gone")
+    files = frame.inputFiles()
+    assert files
+    sizing.discard(frame, None, spark.range(1))
+    import os
+
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in files)

@@ -96,7 +96,10 @@ def test_filter_before_cut_and_radius(spark, docs):
     assert ids(knn(docs, query, 1, where="rank_no <= 2")) == ["server"]
     assert ids(knn(docs, query, 3, metric="l2", radius=0.5)) == ["swift", "server"]
     assert ids(knn(docs, query, 3, metric="ip", radius=0.5)) == ["swift", "server"]
-    assert len(ids(knn(docs, query, 3, metric="l2", radius=0.0))) == 3
+    assert ids(knn(docs, query, 3, metric="l2", radius=0.0)) == ["swift"]
+    assert len(ids(knn(docs, query, 3, metric="l2", radius=None))) == 3
+    turned = one(spark, [0.0, -1.0])
+    assert ids(knn(docs, turned, 3, metric="ip", radius=0.0)) == ["swift"]
 
 
 def test_no_length_never_ranks_under_cosine(spark, docs):
@@ -143,16 +146,79 @@ def test_attach_output(spark, docs, pairs):
     assert pairs(hits, "id", "rank_no") == [("server", 2), ("swift", 3)]
 
 
-@pytest.mark.parametrize("metric", ["l2", "cosine", "ip"])
-def test_cell_join_is_exact(cloud, metric, monkeypatch):
-    """Small blocks, so that the cell of copies is cut into several."""
-    monkeypatch.setattr(cells, "ROW_BLOCK", 40)
-    monkeypatch.setattr(cells, "QUERY_BLOCK", 50)
-    hits = cells.exact_join(cloud, queries_of(cloud), 6, vector="embedding", metric=metric, cells=9)
-    same(top_k(hits, 6, ascending=ASCENDING[metric]), brute(cloud, 6, metric))
+@pytest.mark.parametrize("metric", ["l2", "cosine", "ip", "mips_l2"])
+def test_block_join_is_exact(cloud, metric, monkeypatch):
+    """Small blocks: an opening block bounds the others."""
+    monkeypatch.setattr(cells, "ROW_BLOCK", 10)
+    hits = cells.exact_join(cloud, queries_of(cloud), 6, vector="embedding", metric=metric)
+    expected = knn(cloud, queries_of(cloud), 6, metric=metric)
+    same(top_k(hits, 6, ascending=ASCENDING[metric]), expected)
 
 
-def test_many_queries_take_the_cell_join(cloud, monkeypatch):
+def test_block_join_returns_improving_hits_only(cloud, monkeypatch):
+    monkeypatch.setattr(cells, "ROW_BLOCK", 10)
+    monkeypatch.setattr(cells, "OPENING_SHARE", 2)
+    rows = cells.exact_join(cloud, queries_of(cloud), 5, vector="embedding", metric="l2").collect()
+    # A block of 10 rows may return 5 hits per query; most queries know a better bound.
+    assert len(rows) < 300 * 5 * 30 / 3
+    worst = {}
+    for r in rows:
+        worst.setdefault(r["qid"], []).append(r["score"])
+    assert all(len(scores) >= 5 for scores in worst.values())
+
+
+def test_no_rows_give_no_hits_on_either_route(spark, cloud, monkeypatch):
+    from plumbline.operators import knn as exact
+
+    empty = cloud.limit(0)
+    assert knn(empty, queries_of(cloud), 5).count() == 0
+    monkeypatch.setattr(exact, "MAX_BROADCAST_QUERIES", 10)
+    assert knn(empty, queries_of(cloud), 5).count() == 0
+    assert knn(cloud, queries_of(empty), 5).count() == 0
+
+
+def test_a_repeated_qid_is_an_error_on_either_route(cloud, monkeypatch):
+    from plumbline.operators import knn as exact
+
+    twice = queries_of(cloud.limit(20)).union(queries_of(cloud.limit(1)))
+    with pytest.raises(InvalidArgument):
+        knn(cloud, twice, 3)
+    monkeypatch.setattr(exact, "MAX_BROADCAST_QUERIES", 10)
+    with pytest.raises(InvalidArgument):
+        knn(cloud, twice, 3)
+
+
+def test_binary_vectors_of_unequal_length_are_an_error(spark):
+    from plumbline.operators.blocks import matrix
+    import pyarrow as pa
+
+    with pytest.raises(ValueError):
+        matrix(pa.array([b"a", b"bcd"], pa.binary()))
+
+
+def test_as_many_cells_as_asked_for(cloud):
+    index = build_ivf(cloud.where("id <= 200"), cells=64)
+    assert len(index.centers) == 64
+    few = build_ivf(cloud.where("id < 3"), cells=1)
+    assert len(few.centers) == 1 and search_ivf(few, queries_of(cloud), 2).count() == 600
+
+
+def test_indexes_over_no_rows(cloud):
+    empty = cloud.limit(0)
+    assert search_ivf(build_ivf(empty, cells=4), queries_of(cloud), 3).count() == 0
+    assert search_lsh(build_lsh(empty), queries_of(cloud), 3).count() == 0
+    assert search_ivf(build_ivf(cloud, cells=4), queries_of(empty), 3).count() == 0
+
+
+def test_assignment_in_small_steps(cloud, monkeypatch):
+    whole = build_ivf(cloud, cells=8)
+    monkeypatch.setattr(cells, "ASSIGN_PAIRS", 20)
+    cut = build_ivf(cloud, centers=whole.centers)
+    key = lambda r: (r["id"], r["cell"])
+    assert sorted(map(key, cut.rows.collect())) == sorted(map(key, whole.rows.collect()))
+
+
+def test_many_queries_take_the_block_join(cloud, monkeypatch):
     from plumbline.operators import knn as exact
 
     expected = knn(cloud, queries_of(cloud), 5).collect()
@@ -233,11 +299,11 @@ def test_ivf_recall_floor(embeddings):
     assert _recall(search_ivf(index, queries_of(embeddings), 10), exact_hits) > 0.8
 
 
-def test_lsh_recall_floor_and_fallback(embeddings):
+def test_lsh_recall_floor_and_full_reach(embeddings):
     exact_hits = knn(embeddings, queries_of(embeddings), 10)
     index = build_lsh(embeddings)
     assert _recall(search_lsh(index, queries_of(embeddings), 10), exact_hits) > 0.6
-    # An effort beyond the table size sends every query to the exact scan.
+    # An effort beyond the table size lets every query look into every bucket.
     full = search_lsh(index, queries_of(embeddings), 10, effort=1_000)
     assert _recall(full, exact_hits) == 1.0
 
@@ -292,7 +358,7 @@ def test_plan_choice(spark, cloud):
     exact_hits = knn(cloud, query, 5, where="label = 1")
     linear = VectorSearch(cloud, 5, where="label = 1", index=index, linear=True)
     same(vector_search(linear, query), exact_hits)
-    # Few rows pass the filter: the scan is taken and the result is exact.
+    # The caller asked for a scan where few rows pass the filter.
     narrow = VectorSearch(cloud, 5, where="label = 1", index=index, probes=1, scan_share=0.9)
     same(vector_search(narrow, query), exact_hits)
     codes = quantize(cloud, "int8")
@@ -323,6 +389,22 @@ def test_grouped_search(spark, pairs):
         grouped_knn(docs, one(spark, [1.0, 0.0]), "category", groups=0, per_group=1)
 
 
+@pytest.mark.parametrize("metric", ["cosine", "l2", "ip", "mips_l2"])
+def test_groups_without_a_ceiling_equal_groups_of_all_hits(cloud, metric, monkeypatch):
+    from plumbline.operators import grouped
+    from plumbline.operators import knn as exact
+
+    named = cloud.withColumn("g", F.when(F.col("label") > 0, F.col("id") % 7))
+    asked = queries_of(cloud).where("qid < 30")
+    key = lambda r: tuple(r[c] for c in ("qid", "group_value", "group_rank", "rank_in_group", "id"))
+    options = {"groups": 3, "per_group": 4, "metric": metric}
+    expected = sorted(map(key, grouped_knn(named, asked, "g", ceiling=300, **options).collect()))
+    assert sorted(map(key, grouped_knn(named, asked, "g", **options).collect())) == expected
+    monkeypatch.setattr(exact, "MAX_BROADCAST_QUERIES", 10)
+    monkeypatch.setattr(grouped, "MAX_BROADCAST_QUERIES", 10)
+    assert sorted(map(key, grouped_knn(named, asked, "g", **options).collect())) == expected
+
+
 def test_grouping_an_empty_table(spark):
     docs = spark.createDataFrame([], "id string, category string, embedding array<float>")
     assert grouped_knn(docs, one(spark, [1.0, 0.0]), "category", groups=2, per_group=2).count() == 0
