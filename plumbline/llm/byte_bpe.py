@@ -13,13 +13,14 @@ import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Column
+from plumbline.llm.common import Column, small_batches
 
 CACHED_PRETOKENS = 300_000
 # Longer pre-tokens are rare and not worth remembering.
@@ -89,27 +90,34 @@ class Codec:
         self.visible = str.maketrans({chr(b): c for b, c in enumerate(byte_characters())})
         # A pre-token that is a token stays whole even where merges would not build it.
         self.whole = {token: rank for rank, token in enumerate(self.tokens)}
-        self.cache: dict[str, list[int]] = {}
+        self.cache: dict[str, bytes] = {}
 
-    def _fill(self, pretokens: set[str]) -> dict[str, list[int]]:
+    def _fill(self, pretokens: set[str]) -> dict[str, bytes]:
+        """The ids of new pre-tokens, as the bytes of 32-bit integers."""
         new = list(pretokens)
         raw = [p.encode() for p in new]
         shown = [r.decode("latin-1").translate(self.visible) for r in raw]
         found = self.model.encode(shown, num_threads=1)
-        return {p: [self.whole[r]] if r in self.whole else ids for p, r, ids in zip(new, raw, found)}
+        ids = ([self.whole[r]] if r in self.whole else ids for r, ids in zip(raw, found))
+        return {p: np.array(x, dtype=np.int32).tobytes() for p, x in zip(new, ids)}
 
-    def encode(self, text: str) -> list[int]:
+    def encode_bytes(self, text: str) -> bytes:
         parts, known = self.split(text), self.cache
-        missing = {p for p in parts if p not in known}
+        missing = set(parts).difference(known)
         fresh = self._fill(missing) if missing else {}
-        ids: list[int] = []
-        for part in parts:
-            ids += known.get(part) or fresh[part]
         if len(known) + len(fresh) > CACHED_PRETOKENS:
             known.clear()
-        known.update((p, found) for p, found in fresh.items() if len(p) <= LONG_PRETOKEN)
+            fresh |= self._fill(set(parts).difference(fresh))
+        known.update(fresh)
+        ids = b"".join([known[part] for part in parts])
+        for part in fresh:
+            if len(part) > LONG_PRETOKEN:
+                del known[part]
         return ids
 
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.encode_bytes(text), dtype=np.int32).tolist()
+
 
 @lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> Codec:
@@ -118,8 +126,8 @@ def codec(path: str, pattern: str) -> Codec:
 
 
 @lru_cache(maxsize=2)
-def tokens_of(path: str) -> list[bytes]:
-    return read_ranks(path)
+def tokens_of(path: str) -> pa.BinaryArray:
+    return pa.array(read_ranks(path), pa.binary())
 
 
 def encode(
@@ -127,6 +135,7 @@ def encode(
 ) -> DataFrame:
     """``doc_id`` and ``ids`` (array of int) of every whole text; null and empty texts have no
     ids. Repeated rows and null ids stay; other columns are not carried."""
+    small_batches(docs.sparkSession)
     chosen = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(text_column, F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,8 +143,10 @@ def encode(
         for batch in batches:
             for start in range(0, batch.num_rows, PART_ROWS):
                 part = batch.slice(start, PART_ROWS)
-                ids = [coder.encode(text.as_py()) for text in part.column("text")]
-                arrays = [part.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))]
+                found = [coder.encode_bytes(text.as_py()) for text in part.column("text")]
+                ends = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
+                flat = pa.array(np.frombuffer(b"".join(found), dtype=np.int32))
+                arrays = [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), flat)]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "ids"])
 
     kind = chosen.schema["doc_id"].dataType.simpleString()
@@ -147,12 +158,24 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     no bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = tokens_of(path).__getitem__
+        tokens = tokens_of(path)
         for batch in batches:
             for start in range(0, batch.num_rows, PART_ROWS):
                 part = batch.slice(start, PART_ROWS)
-                found = [b"".join(map(token, ids.as_py() or [])) for ids in part.column("ids")]
-                arrays = [part.column("doc_id"), part.column("ids"), pa.array(found, pa.binary())]
+                lists = part.column("ids").fill_null([])
+                # Tokens taken one after the other already lie as the bytes of the texts.
+                taken = tokens.take(lists.flatten())
+                if not len(taken):
+                    found = pa.array([b""] * len(lists), pa.binary())
+                    arrays = [part.column("doc_id"), part.column("ids"), found]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "ids", "bytes"])
+                    continue
+                ends = np.cumsum([0, *lists.value_lengths().to_numpy()])
+                cuts = np.frombuffer(taken.buffers()[1], dtype=np.int32)[ends]
+                found = pa.BinaryArray.from_buffers(
+                    pa.binary(), len(lists), [None, pa.py_buffer(cuts.astype(np.int32)), taken.buffers()[2]]
+                )
+                arrays = [part.column("doc_id"), part.column("ids"), found]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "ids", "bytes"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
