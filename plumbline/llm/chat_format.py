@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.sizing import broadcast_if_small, materialize
-from plumbline.llm.common import sorted_groups
+from plumbline.llm.common import small_batches, sorted_groups
 from plumbline.llm.linking import in_batches
 
 START, SYSTEM, USER, ASSISTANT = range(4)
@@ -219,6 +219,7 @@ def format_chats(turns: DataFrame) -> DataFrame:
     null or unknown role can become any role, a null text is empty, null turns come first, and rows with a
     null ``conv_id`` form one conversation. Other columns are ignored.
     """
+    small_batches(turns.sparkSession)
     chosen = turns.select(
         "conv_id",
         "turn",

@@ -14,6 +14,9 @@ Column = F.Column
 # Output rows of a task are handed over in batches of about this many bytes.
 BATCH_BYTES = 4 << 20
 
+# Most bytes that Spark hands to a Python task at once.
+INPUT_BYTES = 4 << 20
+
 # ASCII white space: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = " \t\n\x0b\f\r"
 
@@ -22,6 +25,12 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Set the session's limit on Arrow batches to ``INPUT_BYTES``: texts and payloads vary
+    in length by orders of magnitude, and both sides hold a few batches at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(INPUT_BYTES))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` over ``value``, which is computed once per row however often it is used."""
     return F.transform(F.array(value), body)[0]

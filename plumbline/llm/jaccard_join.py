@@ -22,8 +22,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.sizing import broadcast_if_small, materialize
-from plumbline.llm.common import binary_rows, mix
+from plumbline.functions.sizing import broadcast_if_small, discard, materialize
+from plumbline.llm.common import binary_rows, mix, small_batches
 from plumbline.llm.linking import BUCKET_ROW, LEAF_ROWS, Sketching, in_batches, link_items
 
 WORDS = 5
@@ -34,7 +34,7 @@ BRANCHES = 2
 RECALL = 0.999
 
 WORD = re.compile(r"\w+")
-CACHED_WORDS = 200_000
+CACHED_WORDS = 50_000
 STEP = 8192
 
 ITEM = pa.schema(
@@ -219,6 +219,7 @@ def jaccard_links(
     Texts without a word, null texts and rows with a null id link with nothing and are
     kept. Rows that repeat an id and its text count as one document. Other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     chosen = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     schema = "id long, class_key binary, units long, coordinates binary, payload binary"
     items = materialize(chosen.mapInArrow(_items(WORDS, COORDINATES), schema), "shingle-sets")
@@ -239,6 +240,8 @@ def jaccard_links(
         F.lit(0).cast("long").alias("n_links"),
         F.lit(0).cast("long").alias("n_class_links"),
     )
+    alone = materialize(alone, "unlinked")
+    discard(items)
     every = found.select(*alone.columns).union(alone).withColumnRenamed("id", "doc_id")
     return every.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 

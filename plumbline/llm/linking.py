@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.sizing import broadcast_if_small, materialize
+from plumbline.functions.sizing import broadcast_if_small, discard, materialize
 from plumbline.llm.common import BATCH_BYTES, binary_rows, sorted_groups
 
 # A bucket up to this size is compared pair by pair in one task, so many rows at a time.
@@ -24,8 +25,8 @@ LEAF_ROWS = 1024
 LEAF_STEP = 128
 
 # A block of a cluster holds about this many members and units of payload.
-BLOCK_MEMBERS = 512
-BLOCK_UNITS = 1 << 19
+BLOCK_MEMBERS = 384
+BLOCK_UNITS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -79,8 +80,10 @@ def components(edges: DataFrame) -> DataFrame:
         large = materialize(large.distinct(), "large-star")
         under = materialize(large.groupBy("hi").agg(F.min("lo").alias("m")), "under")
         small = large.join(under, "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        stars = under.select("hi", F.col("m").alias("lo")).union(small.where("hi <> lo"))
-        stars = materialize(stars.distinct(), "edges")
+        hung = under.select("hi", F.col("m").alias("lo")).union(small.where("hi <> lo"))
+        hung = materialize(hung.distinct(), "edges")
+        discard(stars, lowest, large, under)
+        stars = hung
         now = stars.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
         if now == before or not now[0]:
             break
@@ -152,16 +155,17 @@ BUCKET_ROW = "key long, id long, open boolean, sketch binary"
 
 
 def bucket_edges(rows: DataFrame, s: Sketching, limit: int = LEAF_ROWS) -> DataFrame:
-    """Edges ``a``, ``b`` that connect similar rows of the same bucket.
+    """Written edges ``a``, ``b`` that connect similar rows of the same bucket.
 
     ``rows`` has the columns of ``BUCKET_ROW``. Buckets of up to ``limit`` rows are brute
     force. A larger one is connected to a pivot and divided further; it is done when no row
     is left that its pivot did not reach.
     """
-    edges, level = [], 0
+    edges, scratch, level = [], [], 0
     while True:
         sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.max("open").alias("open"))
         large = materialize(sizes.where(F.col("n") > limit).select("key", "open"), "large-buckets")
+        scratch.append(large)
         done = large.isEmpty()
         small = rows
         if not done:
@@ -176,15 +180,16 @@ def bucket_edges(rows: DataFrame, s: Sketching, limit: int = LEAF_ROWS) -> DataF
         first = F.min(F.struct("id", "sketch")).alias("p")
         pivots = rows.join(hinted, "key").groupBy("key").agg(first)
         pivots = pivots.select("key", F.col("p.id").alias("pivot"), F.col("p.sketch").alias("pivot_sketch"))
-        hinted, _ = broadcast_if_small(materialize(pivots, "pivots"))
+        pivots = materialize(pivots, "pivots")
+        hinted, _ = broadcast_if_small(pivots)
         step = rows.join(hinted, "key").mapInArrow(_pivot_step(s), f"a long, b long, {BUCKET_ROW}")
         step = materialize(step, f"bucket-level-{level}")
+        scratch += [edges[-1], pivots, step]
         edges.append(step.where("a is not null").select("a", "b"))
         rows = step.where("key is not null").select("key", "id", "open", "sketch")
         level += 1
-    found = edges[0]
-    for more in edges[1:]:
-        found = found.union(more)
+    found = materialize(reduce(DataFrame.union, edges), "candidates")
+    discard(*scratch)
     return found
 
 
@@ -287,9 +292,10 @@ def link_items(
     heads = keyed.drop("payload").join(own.drop("copies"), ["class_key", "id"])
     heads = materialize(heads.drop("class_key"), "heads")
 
-    edges = materialize(bucket_edges(bucket_rows(heads), sketching, leaf_rows), "candidates")
+    edges = bucket_edges(bucket_rows(heads), sketching, leaf_rows)
     clusters = components(edges).toDF("id", "cluster")
-    wanted, _ = broadcast_if_small(materialize(own.join(clusters, "id"), "cluster-members"))
+    clusters = materialize(own.join(clusters, "id"), "cluster-members")
+    wanted, _ = broadcast_if_small(clusters)
     members = keyed.select("id", "class_key", "units", "payload").join(wanted, ["class_key", "id"])
     found = materialize(block_links(members, linked), "links")
     counts = found.groupBy("id").agg(F.sum("n_classes").alias("n_classes"), F.sum("n_copies").alias("n_copies"))
@@ -307,6 +313,7 @@ def link_items(
         ),
         "judged-classes",
     )
+    discard(heads, edges, clusters, found, classes)
     return ids.join(judged, "class_key").drop("class_key")
 
 

@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.sizing import materialize
-from plumbline.llm.common import binary_rows, mix
+from plumbline.functions.sizing import discard, materialize
+from plumbline.llm.common import binary_rows, mix, small_batches
 from plumbline.llm.linking import BUCKET_ROW, LEAF_ROWS, Sketching, in_batches, link_items
 
 COSINE = 0.95
@@ -189,6 +189,7 @@ def vector_links(
     id, link with nothing and are kept; so do vectors of different dimensions among each
     other. Rows that repeat an id and its vector count as one. Other columns are ignored.
     """
+    small_batches(vectors.sparkSession)
     chosen = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector_column).alias("v"))
     schema = "id long, class_key binary, units long, payload binary, vector binary"
     items = materialize(chosen.mapInArrow(_items, schema), "vectors")
@@ -210,5 +211,7 @@ def vector_links(
         nothing.alias("n_links"),
         nothing.alias("n_class_links"),
     )
+    alone = materialize(alone, "unlinked")
+    discard(items)
     every = found.select(*alone.columns).union(alone).withColumnRenamed("id", "vec_id")
     return every.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

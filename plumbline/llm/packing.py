@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Column, sorted_groups, words_of
+from plumbline.llm.common import Column, small_batches, sorted_groups, words_of
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 SHARD_PIECES = 20_000
@@ -119,6 +119,7 @@ def pack(
     ``length`` counts a document's places (default: its words and a separator). Documents
     of no length have no row. Null ids and repeated rows are packed like others; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     sizes = tuple(sorted(capacities))
     length = word_length(F.col("text")) if length is None else length
     cut = pieces(docs, length, sizes[-1], id_column)

@@ -26,7 +26,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import BATCH_BYTES, Column
+from plumbline.llm.common import BATCH_BYTES, Column, small_batches
 
 SPACE = "▁"
 LIMIT = 4096
@@ -130,6 +130,7 @@ def prefix_counts(
     Null and empty texts have no bytes and an empty array. Repeated rows and null ids stay;
     other columns are not carried.
     """
+    small_batches(docs.sparkSession)
     chosen = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(text_column, F.lit("")).alias("text"))
     chosen = chosen.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "text")
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Column, held_out
+from plumbline.llm.common import Column, held_out, small_batches
 
 # The model is fitted on at most so many confirmed and unlabelled texts, those with the
 # smallest hashed ids.
@@ -49,7 +49,7 @@ THRESHOLD = 0.7
 UNKNOWN = -4.0
 
 WORD = re.compile(r"\w+")
-CACHED_WORDS = 200_000
+CACHED_WORDS = 50_000
 
 
 @dataclass(frozen=True)
@@ -140,6 +140,7 @@ def train(
     The class prior is the share of toxic rows among them. Null ids and null labels are
     passed over; an id labelled twice counts as toxic if one label says so.
     """
+    small_batches(docs.sparkSession)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
     known = known.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))

@@ -15,7 +15,7 @@ import string
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.sizing import materialize
+from plumbline.functions.sizing import discard, materialize
 from plumbline.llm.common import Column
 
 # (verdict, host, path)
@@ -72,7 +72,6 @@ def judged_pages(pages: DataFrame, rules=RULES) -> DataFrame:
 def host_edges(pages: DataFrame) -> DataFrame:
     """``src``, ``dst``, ``links``: absolute links between different hosts, counted. Links
     within a host say nothing about it and are left out."""
-    # Counted per page first: a page's host is known where its links are.
     found = pages.where("url is not null and html is not null").select(
         host_of(F.col("url")).alias("src"),
         F.explode(F.regexp_extract_all(F.col("html"), F.lit(LINK), F.lit(1))).alias("dst"),
@@ -115,8 +114,10 @@ def propagate(edges: DataFrame, seeded: DataFrame, rounds: int = ROUNDS, damping
     for _ in range(rounds):
         flow = F.floor(damping * F.col("mass") * F.col("links") / F.col("total")).alias("mass")
         moved = shares.join(mass, ["kind", "host"]).select("kind", F.col("b").alias("host"), flow)
-        mass = moved.union(refill).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
-        mass = materialize(mass, "host-mass")
+        after = moved.union(refill).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
+        after = materialize(after, "host-mass")
+        discard(mass)
+        mass = after
     return mass
 
 
