@@ -32,6 +32,8 @@ def salted_join(
 
 def look_up(rows: DataFrame, unique: DataFrame, key: str, spread: str) -> DataFrame:
     """Left join to a side with one row per key; a small one travels to ``rows``."""
+    # Stored, because it is measured before it is joined.
+    unique = materialize(unique, "look-up")
     small, hinted = broadcast_if_small(unique)
     if hinted:
         return rows.join(small, key, "left")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.errors import InvalidArgument
 from plumbline.functions.joins import look_up
-from plumbline.functions.sizing import broadcast_if_small
+from plumbline.functions.sizing import broadcast_if_small, materialize
 
 # Bounds and default of a bounded read.
 BROWSE_MIN = 1
@@ -85,7 +85,7 @@ def fetch(
 ) -> DataFrame:
     """Documents whose id is asked for; unknown ids give no row."""
     rows = project(docs, output, include_vector=include_vector, vectors=vectors)
-    wanted, _ = broadcast_if_small(ids.select("id").distinct())
+    wanted, _ = broadcast_if_small(materialize(ids.select("id").distinct(), "wanted-ids"))
     return rows.join(wanted, "id", "left_semi")
 
 

@@ -39,7 +39,7 @@ def fields_of(table: DataFrame, batch: DataFrame) -> list[str]:
 
 def stored_ids(table: DataFrame, ids: DataFrame) -> DataFrame:
     """Which of ``ids`` the table holds; the table stays in place when they are few."""
-    wanted, _ = broadcast_if_small(ids.select("id").distinct())
+    wanted, _ = broadcast_if_small(materialize(ids.select("id").distinct(), "wanted-ids"))
     return table.select("id").join(wanted, "id", "left_semi")
 
 
