@@ -26,7 +26,8 @@ K1 = 1.2
 B = 0.75
 DEFAULT_K = 10
 
-TERM_BUCKETS = 64
+# A bucket of terms holds the postings of about so many bytes of text.
+BUCKET_BYTES = 64 << 20
 
 # Role numbers of query terms in the scoring block.
 ROLES = ["should", "must", "not"]
@@ -53,6 +54,7 @@ class TextIndex:
     n_docs: int
     avg_length: float
     analyzer: Analyzer
+    buckets: int = 1
 
 
 def tokens(docs: DataFrame, text: str, analyzer: Analyzer = Analyzer()) -> DataFrame:
@@ -81,10 +83,10 @@ def postings(docs: DataFrame, text: str, analyzer: Analyzer = Analyzer()) -> Dat
     )
 
 
-def bucketed_postings(docs: DataFrame, text: str, analyzer: Analyzer = Analyzer()) -> DataFrame:
+def bucketed_postings(docs: DataFrame, text: str, analyzer: Analyzer, buckets: int) -> DataFrame:
     """``(bucket, term, id, tf, dl)``, placed by term and id: a term present in much of the
     corpus is cut over several tasks by the id."""
-    flat = _postings(docs, text, analyzer).select(_bucket(), "term", "id", "dl")
+    flat = _postings(docs, text, analyzer).select(_bucket(buckets), "term", "id", "dl")
     return (
         flat.repartitionByRange(F.col("bucket"), F.col("term"), F.col("id"))
         .groupBy("bucket", "term", "id")
@@ -98,7 +100,9 @@ def build_text_index(
 ) -> TextIndex:
     """Store postings partitioned by term bucket and sorted by term."""
     spark = docs.sparkSession
-    counted = bucketed_postings(docs, text, analyzer)
+    size = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+    buckets = max(1, -(-size // BUCKET_BYTES))
+    counted = bucketed_postings(docs, text, analyzer, buckets)
     if path is None:
         stored = materialize(counted, "postings", partition_by=["bucket"])
         frequency = materialize(stored.groupBy("term").agg(F.count("*").alias("df")), "terms")
@@ -111,7 +115,7 @@ def build_text_index(
         frequency = spark.read.parquet(f"{path}/terms")
     n_docs = docs.count()
     total = stored.agg(F.sum("tf")).first()[0] or 0
-    return TextIndex(stored, frequency, n_docs, total / n_docs if n_docs else 0.0, analyzer)
+    return TextIndex(stored, frequency, n_docs, total / n_docs if n_docs else 0.0, analyzer, buckets)
 
 
 def bm25(tf: F.Column, dl: F.Column, df: F.Column, n_docs: float, avg_length: float) -> F.Column:
@@ -223,7 +227,7 @@ def search_index(
     frequency = np.zeros(len(words))
     for row in index.terms.join(F.broadcast(wanted), "term").select("at", "df").collect():
         frequency[row["at"]] = row["df"]
-    buckets = [r["bucket"] for r in wanted.select(_bucket()).distinct().collect()]
+    buckets = [r["bucket"] for r in wanted.select(_bucket(index.buckets)).distinct().collect()]
     # Files are sorted by term, so their statistics skip what lies between the asked words.
     named = F.col("bucket").isin(buckets) & F.col("term").isin(words.to_pylist())
     found = _allowed(index.postings.where(named), allowed)
@@ -245,8 +249,8 @@ def _allowed(postings: DataFrame, allowed: DataFrame | None) -> DataFrame:
     return postings.join(allowed.select("id"), "id", "left_semi")
 
 
-def _bucket() -> F.Column:
-    return F.pmod(F.xxhash64("term"), F.lit(TERM_BUCKETS)).cast("int").alias("bucket")
+def _bucket(buckets: int) -> F.Column:
+    return F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int").alias("bucket")
 
 
 def _weighted_block(head, qid_type, words, frequency, n_docs) -> TermBlock:

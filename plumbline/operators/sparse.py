@@ -16,6 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from plumbline.errors import positive_int32
 from plumbline.functions.joins import salted_join
 from plumbline.functions.ranking import top_k
+from plumbline.functions.sizing import BROADCAST_BYTES
 from plumbline.operators.blocks import SparseBest, SparseQueries, values_of
 from plumbline.operators.knn import MAX_BROADCAST_QUERIES, hit_schema
 
@@ -71,7 +72,9 @@ def term_block(
 def small_terms(queries: DataFrame) -> pa.Table | None:
     """The rows of a query-term table, or None when they are too many to broadcast."""
     head = queries.limit(MAX_QUERY_ENTRIES + 1).toArrow()
-    if head.num_rows > MAX_QUERY_ENTRIES or len(pc.unique(head["qid"])) > MAX_BROADCAST_QUERIES:
+    if head.num_rows > MAX_QUERY_ENTRIES or head.nbytes > BROADCAST_BYTES:
+        return None
+    if len(pc.unique(head["qid"])) > MAX_BROADCAST_QUERIES:
         return None
     return head
 

@@ -61,7 +61,7 @@ def create_index(table: Table, name: str, settings: dict) -> Table:
     elif kind == "fulltext":
         analyzer = _analyzer(settings)
         built = fulltext.build_text_index(docs, name, analyzer, path=side)
-        _store_numbers(table, side, float(built.n_docs), built.avg_length)
+        _store_numbers(table, side, float(built.n_docs), built.avg_length, float(built.buckets))
         stored = f"{side}/postings"
     else:
         return table.set_index(name, settings)
@@ -75,13 +75,14 @@ def open_index(table: Table, name: str):
         raise NotFound(f"no stored index on {name!r}")
     side, spark = stored.path.rsplit("/", 1)[0], table.spark
     if settings["kind"] == "fulltext":
-        n_docs, avg_length = _numbers(table, side)
+        n_docs, avg_length, buckets = _numbers(table, side)
         return fulltext.TextIndex(
             spark.read.schema(POSTINGS).parquet(stored.path),
             spark.read.schema("term string, df long").parquet(f"{side}/terms"),
             int(n_docs),
             avg_length,
             _analyzer(settings),
+            int(buckets),
         )
     vector = table.schema[name].struct_field().dataType.simpleString()
     if settings["kind"] == "ivf":
@@ -218,7 +219,7 @@ def _refreshed(table: Table, name: str, index: fulltext.TextIndex, live: _Live)
     """The index without the postings of changed rows and with those of their new texts."""
     hinted, _ = broadcast_if_small(live.changed)
     gone = materialize(index.postings.join(hinted, "id", "left_semi"), "gone-postings")
-    added = materialize(fulltext.bucketed_postings(live.fresh, name, index.analyzer), "new-postings")
+    added = materialize(fulltext.bucketed_postings(live.fresh, name, index.analyzer, index.buckets), "new-postings")
     count = lambda rows, sign: rows.groupBy("term").agg((F.lit(sign) * F.count("*")).alias("df"))
     terms = index.terms.unionByName(count(gone, -1)).unionByName(count(added, 1))
     terms = terms.groupBy("term").agg(F.sum("df").alias("df")).where("df > 0")

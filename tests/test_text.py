@@ -205,3 +205,64 @@ def test_fusion_order_does_not_matter(spark):
     top = fuse_weighted([a, b], 1, [0.5, 0.5]).first()
     assert top["id"] == "y"
     assert top["score"] == pytest.approx(0.5 * 0.9 + 0.5 * 2 * math.atan(9.0) / math.pi)
+
+
+def test_sparse_kernel_cuts_by_matches(monkeypatch):
+    """Any limit on matches gives the same hits, and no step lays out more than it."""
+    import numpy as np
+
+    from plumbline.operators import blocks
+
+    rng = np.random.default_rng(3)
+    query, term = np.repeat(np.arange(40), 30), rng.integers(0, 50, 1200)
+    pairs = np.unique(query * 50 + term)
+    query, term = pairs // 50, pairs % 50
+    weight, role = rng.random(len(query)), (rng.random(len(query)) < 0.05).astype(int)
+    held = blocks.SparseQueries(query, term, weight, role, 50, 40)
+    row = np.repeat(np.arange(200), 8)
+    at = np.unique(row * 50 + rng.integers(0, 50, len(row)))
+    row, at = at // 50, at % 50
+    value, ids = rng.random(len(row)), np.arange(200)
+    seen = []
+
+    def run(limit):
+        best = blocks.SparseBest(held, 5)
+        monkeypatch.setattr(blocks.SparseBest, "MATCHES", limit)
+        plain = np.repeat
+        monkeypatch.setattr(blocks.np, "repeat", lambda a, n: seen.append(np.sum(n)) or plain(a, n))
+        best.add(row, at, value, ids)
+        monkeypatch.setattr(blocks.np, "repeat", plain)
+        best.settle()
+        order = np.lexsort((best.ids, best.q))
+        return list(zip(best.q[order], best.ids[order], np.round(best.cost[order], 9)))
+
+    whole = run(10**9)
+    seen.clear()
+    assert run(2_000) == whole
+    widest = max(int((held.start[at[row == r] + 1] - held.start[at[row == r]]).sum()) for r in range(200))
+    assert max(seen) <= 2_000 + widest
+
+
+def test_kept_hits_are_sorted_once_per_doubling(monkeypatch):
+    import numpy as np
+
+    from plumbline.operators import blocks
+
+    monkeypatch.setattr(blocks.Keeper, "MERGE_ROWS", 10)
+    rng, keeper = np.random.default_rng(1), blocks.Keeper(3, 40, True)
+    hits = [(rng.integers(0, 3, 25), rng.random(25), np.arange(k * 25, k * 25 + 25)) for k in range(20)]
+    for q, cost, ids in hits:
+        keeper.merge(q, cost, ids)
+    keeper.settle()
+    q, cost, ids = (np.concatenate(part) for part in zip(*hits))
+    for number in range(3):
+        mine = np.flatnonzero(q == number)
+        best = mine[np.argsort(cost[mine], kind="stable")][:40]
+        assert set(keeper.ids[keeper.q == number]) == set(ids[best])
+
+
+def test_asked_terms_reach_the_scan(spark, docs):
+    index = build_text_index(docs, "title")
+    plan = search_index(index, ask(spark, "swift"), 3)._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    assert "term" in pushed and "swift" in pushed
