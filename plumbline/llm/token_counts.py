@@ -31,11 +31,18 @@ from plumbline.llm.common import BATCH_BYTES, Column, small_batches
 SPACE = "▁"
 LIMIT = 4096
 
-CACHED_SEGMENTS = 400_000
-CACHED_PAIRS = 1_000_000
+CACHED_SEGMENTS = 200_000
+CACHED_PREFIXES = 200_000
+CACHED_PAIRS = 300_000
 # Longer segments are rare and not worth remembering.
 LONG_SEGMENT = 64
 
+# Letters and digits but for raised digits; those and underscores stand before other marks.
+WORD = re.compile(r"[^\W_²³¹]")
+SEGMENT = re.compile(
+    rf"{SPACE}*[^\W_²³¹]+|{SPACE}*(?:[^\w{SPACE}\n]|[_²³¹])+[^\W_²³¹]*|{SPACE}+|\n"
+)
+
 
 class PrefixCounter:
     """Counts for one vocabulary file. Texts are taken as the library takes them: spaces
@@ -46,16 +53,37 @@ class PrefixCounter:
         ids = range(model.get_piece_size())
         plain = [i for i in ids if not (model.IsControl(i) or model.IsUnknown(i) or model.IsByte(i) or model.IsUnused(i))]
         self.score = {model.id_to_piece(i): model.get_score(i) for i in plain}
-        self.longest = max(map(len, self.score))
         self.bytes_known = any(model.IsByte(i) for i in ids)
-        # Space markers stand only in front of a piece, and some characters are in no piece
-        # of two or more: such places cut a text. Otherwise it stays whole.
-        inner = any(SPACE in piece.lstrip(SPACE) for piece in self.score)
-        breaks = any("\n" in piece for piece in self.score)
-        self.segment = re.compile(rf"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n" if not (inner or breaks) else r"(?s).+")
-        self.known: dict[str, tuple[int, np.ndarray]] = {}
+        # A text is cut where no piece has the two characters beside each other: in front of
+        # space markers, around line ends, and between a word and what is no word.
+        joined = {piece[k : k + 2] for piece in self.score for k in range(len(piece) - 1)}
+        cuts = [(a, b) for a, b in joined if a != SPACE and b == SPACE or "\n" in a + b]
+        cuts += [(a, b) for a, b in joined if WORD.match(a) and not WORD.match(b) and b != SPACE]
+        self.segment = re.compile(r"(?s).+") if cuts else SEGMENT
+        # By the last four characters: the lengths of the pieces that end so, longest first.
+        ends: dict[str, set[int]] = {}
+        for piece in self.score:
+            if len(piece) >= 4:
+                ends.setdefault(piece[-4:], set()).add(len(piece))
+        self.ends = {end: sorted(found, reverse=True) for end, found in ends.items()}
+        self.lengths: dict[str, tuple[int, ...]] = {}
+        # Two generations each: what is asked for again moves to the younger one.
+        self.known: dict[str, bytes] = {}
+        self.known_before: dict[str, bytes] = {}
+        self.state: dict[str, tuple[int, str]] = {}
+        self.state_before: dict[str, tuple[int, str]] = {}
         self.fits: dict[tuple[str, str], bool] = {}
 
+    def _lengths(self, end: str) -> tuple[int, ...]:
+        """Lengths, from two on, of the pieces that may end in these (up to four) characters."""
+        found = self.lengths.get(end)
+        if found is None:
+            if len(self.lengths) >= CACHED_PAIRS:
+                self.lengths.clear()
+            short = [n for n in (3, 2) if n <= len(end) and end[-n:] in self.score]
+            found = self.lengths[end] = (*self.ends.get(end, ()), *short)
+        return found
+
     def merged(self, text: str) -> list[str]:
         """The pieces of a short text, by plain merging; used for pairs of pieces only."""
         parts = list(text)
@@ -79,41 +107,56 @@ class PrefixCounter:
             answer = self.fits[key] = self.merged(before + piece) == expected
         return answer
 
-    def _count(self, segment: str) -> np.ndarray:
-        n = len(segment)
-        counts, last = [0] * (n + 1), [""] * (n + 1)
-        for i in range(1, n + 1):
-            for length in range(min(i, self.longest), 0, -1):
+    def _last(self, segment: str, i: int, count: list[int], last: list[str]) -> tuple[int, str]:
+        """Count and last piece of ``segment[:i]``, from those of the shorter prefixes."""
+        for length in self._lengths(segment[max(0, i - 4) : i]):
+            if length <= i:
                 piece = segment[i - length : i]
-                if length > 1:
-                    if piece in self.score and self._stays(last[i - length], piece):
-                        counts[i], last[i] = counts[i - length] + 1, piece
-                        break
-                else:
-                    # A character outside the vocabulary falls back to its bytes.
-                    cost = 1 if piece in self.score or not self.bytes_known else len(piece.encode())
-                    counts[i], last[i] = counts[i - 1] + cost, piece
-        return np.array(counts[1:], dtype=np.int32)
-
-    def segment_counts(self, segment: str) -> tuple[int, np.ndarray]:
-        found = self.known.get(segment)
-        if found is None:
-            counts = self._count(segment)
-            found = int(counts[-1]), counts
-            if len(segment) <= LONG_SEGMENT:
-                if len(self.known) >= CACHED_SEGMENTS:
-                    self.known.clear()
-                self.known[segment] = found
-        return found
+                if piece in self.score and self._stays(last[i - length], piece):
+                    return count[i - length] + 1, piece
+        # A character outside the vocabulary falls back to its bytes.
+        piece = segment[i - 1]
+        return count[i - 1] + (1 if piece in self.score or not self.bytes_known else len(piece.encode())), piece
+
+    def steps(self, segment: str) -> bytes:
+        """By how much the count changes with each character, one signed byte each: a piece
+        spans few characters, so no step is larger than their bytes.
+
+        Words share beginnings, so what is known of a beginning is looked up.
+        """
+        if len(self.state) > CACHED_PREFIXES:
+            self.state, self.state_before = {}, self.state
+        count, last, state, before = [0], [""], self.state, self.state_before
+        short = len(segment) <= LONG_SEGMENT
+        for i in range(1, len(segment) + 1):
+            start = segment[:i] if short else ""
+            found = state.get(start)
+            if found is None:
+                found = before.get(start) or self._last(segment, i, count, last)
+                if short:
+                    state[start] = found
+            count.append(found[0])
+            last.append(found[1])
+        return np.diff(np.array(count)).astype(np.int8).tobytes()
 
     def prefixes(self, text: str) -> np.ndarray:
         """Tokens of ``text[:i]`` for i = 1 … len(text)."""
         if not text:
             return np.empty(0, dtype=np.int32)
-        parts = [self.segment_counts(s) for s in self.segment.findall(SPACE + text.replace(" ", SPACE))]
-        totals = np.array([p[0] for p in parts], dtype=np.int64)
-        base = np.repeat(np.cumsum(totals) - totals, [len(p[1]) for p in parts])
-        return (base + np.concatenate([p[1] for p in parts]))[1:].astype(np.int32)
+        parts, known = self.segment.findall(SPACE + text.replace(" ", SPACE)), self.known
+        before = self.known_before
+        fresh = {part: before.get(part) or self.steps(part) for part in set(parts).difference(known)}
+        if fresh:
+            known.update(fresh)
+            steps = b"".join([known[part] for part in parts])
+            for part in fresh:
+                if len(part) > LONG_SEGMENT:
+                    del known[part]
+            if len(known) > CACHED_SEGMENTS:
+                self.known, self.known_before = {}, known
+        else:
+            steps = b"".join([known[part] for part in parts])
+        return np.frombuffer(steps, dtype=np.int8).cumsum(dtype=np.int32)[1:]
 
 
 @lru_cache(maxsize=2)
