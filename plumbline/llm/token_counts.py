@@ -137,7 +137,7 @@ class PrefixCounter:
                     state[start] = found
             count.append(found[0])
             last.append(found[1])
-        return np.diff(np.array(count)).astype(np.int8).tobytes()
+        return bytes([(b - a) & 0xFF for a, b in zip(count, count[1:])])
 
     def prefixes(self, text: str) -> np.ndarray:
         """Tokens of ``text[:i]`` for i = 1 … len(text)."""
