@@ -1,8 +1,8 @@
 """Byte-level BPE through a sentencepiece model that is serialised from the vocabulary.
 
 Each byte of a token becomes one visible character, the token's score is its negative rank,
-and normalisation is the identity; the model so written merges the same pairs in the same order as the
-ranks do. Texts are cut into pre-tokens by the published pattern, pre-tokens are encoded as
+and normalisation is the identity; the model so written merges the same pairs in the same
+order as the ranks do. Texts are cut into pre-tokens by the published pattern, pre-tokens are encoded as
 byte characters, and ids decode through the inverse mapping.
 """
 

@@ -1,9 +1,10 @@
 """Chat formatting with minimum-cost role repair.
 
 A legal conversation is a walk of a small automaton: an optional system turn, then user and
-assistant in turn, ending with the assistant. Every turn as found either keeps its role, is relabelled, is merged
-into the turn before it, and may have empty turns put in front of it. Dynamic programming over
-the automaton's states finds the cheapest repair, which is then rendered.
+assistant in turn, ending with the assistant. Every turn as found keeps its role, is
+relabelled or is merged into the turn before it, and may have empty turns put in front of it.
+Dynamic programming over the automaton's states finds the cheapest repair, which is then
+rendered.
 
 The costs of a stretch of turns form a small (min, +) matrix, and such matrices multiply. So a
 conversation needs not fit into one task: turns are placed in ranges of (conversation, turn),
@@ -168,7 +169,13 @@ def _matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The states between the stretches of each conversation."""
     schema = pa.schema(
-        [("talk", pa.string()), ("part", pa.int32()), ("before", pa.int32()), ("after", pa.int32()), ("last", pa.bool_())]
+        [
+            ("talk", pa.string()),
+            ("part", pa.int32()),
+            ("before", pa.int32()),
+            ("after", pa.int32()),
+            ("last", pa.bool_()),
+        ]
     )
 
     def rows():
@@ -215,9 +222,9 @@ def format_chats(turns: DataFrame) -> DataFrame:
     ``cost`` and ``fragment``. A conversation's fragments in order are its rendered sequence,
     so that none has to fit into one row.
 
-    Turns are ordered by ``turn``, then role and a hash of the text; repeated rows are turns of their own. A
-    null or unknown role can become any role, a null text is empty, null turns come first, and rows with a
-    null ``conv_id`` form one conversation. Other columns are ignored.
+    Turns are ordered by ``turn``, then role and a hash of the text; repeated rows are turns of
+    their own. A null or unknown role can become any role, a null text is empty, null turns come
+    first, and rows with a null ``conv_id`` form one conversation. Other columns are ignored.
     """
     small_batches(turns.sparkSession)
     chosen = turns.select(

@@ -1,10 +1,10 @@
 """Packing of documents into training sequences of several permitted lengths.
 
 Variable-capacity best fit: pieces go, longest first, into the open bin they fill best; when
-none has room, the permitted length that costs least is opened; at the end each bin shrinks to the shortest
-length that holds its contents. Which lengths may be *opened* is itself optimised: a shard is
-packed once for every smallest permitted opening, and the packing that costs least after the
-shrinking is kept.
+none has room, the permitted length that costs least is opened; at the end each bin shrinks to
+the shortest length that holds its contents. Which lengths may be *opened* is itself optimised:
+a shard is packed once for every smallest permitted opening, and the packing that costs least
+after the shrinking is kept.
 
 Pieces are dealt to shards by hash. A shard is a bounded piece of the corpus, so memory and
 task time do not grow with it; the price is one partly filled bin of each size per shard.
@@ -117,7 +117,8 @@ def pack(
     ``bin_offset``, ``bin_capacity``, ``bin_used``.
 
     ``length`` counts a document's places (default: its words and a separator). Documents
-    of no length have no row. Null ids and repeated rows are packed like others; other columns are ignored.
+    of no length have no row. Null ids and repeated rows are packed like others; other columns
+    are ignored.
     """
     small_batches(docs.sparkSession)
     sizes = tuple(sorted(capacities))

@@ -51,7 +51,8 @@ class PrefixCounter:
     def __init__(self, model_file: str):
         model = sentencepiece.SentencePieceProcessor(model_file=model_file)
         ids = range(model.get_piece_size())
-        plain = [i for i in ids if not (model.IsControl(i) or model.IsUnknown(i) or model.IsByte(i) or model.IsUnused(i))]
+        odd = (model.IsControl, model.IsUnknown, model.IsByte, model.IsUnused)
+        plain = [i for i in ids if not any(kind(i) for kind in odd)]
         self.score = {model.id_to_piece(i): model.get_score(i) for i in plain}
         self.bytes_known = any(model.IsByte(i) for i in ids)
         # A text is cut where no piece has the two characters beside each other: in front of

@@ -202,7 +202,11 @@ def score_column(model: Model, text: Column) -> Column:
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` and ``predicted`` of every row; other columns are
     not carried, and a null id counts as not held out."""
-    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score_column(model, F.col("text")).alias("score"))
+    scored = docs.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        score_column(model, F.col("text")).alias("score"),
+    )
     return scored.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
 
 

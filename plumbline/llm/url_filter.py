@@ -3,7 +3,8 @@
 Rules on hosts and paths decide where they apply. Elsewhere a host is judged by two
 personalised PageRanks over the edges between hosts: trust starts at hosts with allowed pages
 and follows links forward; distrust starts at hosts that are blocked as a whole and follows
-links backward, to those who link there. A host whose distrust is high enough and above its trust is blocked.
+links backward, to those who link there. A host whose distrust is high enough and above its
+trust is blocked.
 
 Mass is counted in whole units, so that results do not depend on the order of additions.
 """
