@@ -148,7 +148,8 @@ def _wave(held, block, vector, metric, groups, per_group, bound) -> DataFrame:
         best = GroupBest(vectors, groups, metric, bound)
         for batch in batches:
             if batch.num_rows:
-                best.add(matrix(batch.column(1), vectors.shape[1]), values_of(batch.column(0)), values_of(batch.column(2)))
+                rows, ids = matrix(batch.column(1), vectors.shape[1]), values_of(batch.column(0))
+                best.add(rows, ids, values_of(batch.column(2)))
         yield best.batch(arrow)
 
     source = held.select("id", vector, "group_value")
