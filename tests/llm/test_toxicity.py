@@ -13,7 +13,8 @@ BAD = ["grumble", "snarl", "sneer", "scoff"]
 def corpus(spark, prose):
     rng = random.Random(2)
     rows, labels = [], []
-    for i in range(900):
+    # Some hundreds of confirmed texts: with a few dozen the corrected risk is too noisy.
+    for i in range(4500):
         words = prose(60, "abcd").split()
         toxic = i % 9 == 0
         if toxic:
@@ -23,7 +24,7 @@ def corpus(spark, prose):
         if i % 4 != 3:
             labels.append((i, int(toxic)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    return docs, spark.createDataFrame(labels, "doc_id long, toxic int"), {i for i in range(0, 900, 9)}
+    return docs, spark.createDataFrame(labels, "doc_id long, toxic int"), set(range(0, 4500, 9))
 
 
 def test_toxic_texts_are_found_beyond_the_labels(corpus):
@@ -31,7 +32,7 @@ def test_toxic_texts_are_found_beyond_the_labels(corpus):
     rows = toxicity.score(docs, toxicity.train(docs, labels)).collect()
     found = {r.doc_id for r in rows if r.predicted == 1}
     assert len(found & toxic) >= 0.95 * len(toxic)
-    assert len(found - toxic) <= 3
+    assert len(found - toxic) <= 5
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
 
 
