@@ -26,6 +26,9 @@ K1 = 1.2
 B = 0.75
 DEFAULT_K = 10
 
+# So many asked words are pushed into the scan of the postings.
+PUSHED_WORDS = 256
+
 # A bucket of terms holds the postings of about so many bytes of text.
 BUCKET_BYTES = 64 << 20
 
@@ -228,8 +231,11 @@ def search_index(
     for row in index.terms.join(F.broadcast(wanted), "term").select("at", "df").collect():
         frequency[row["at"]] = row["df"]
     buckets = [r["bucket"] for r in wanted.select(_bucket(index.buckets)).distinct().collect()]
-    # Files are sorted by term, so their statistics skip what lies between the asked words.
-    named = F.col("bucket").isin(buckets) & F.col("term").isin(words.to_pylist())
+    # Files are sorted by term, so their statistics skip what lies between a few asked words;
+    # many words leave nothing to skip, and the join below drops what none of them asks for.
+    named = F.col("bucket").isin(buckets)
+    if len(words) <= PUSHED_WORDS:
+        named = named & F.col("term").isin(words.to_pylist())
     found = _allowed(index.postings.where(named), allowed)
     length = 1 - B + B * F.col("dl") / F.lit(float(index.avg_length or 1.0))
     value = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * length)
