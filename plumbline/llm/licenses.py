@@ -54,6 +54,7 @@ SENTENCES = [
     ("spdx_mit", "SPDX-License-Identifier: MIT"),
     ("spdx_gpl3", "SPDX-License-Identifier: GPL-3.0-only"),
     ("all_rights", "Copyright, all rights reserved"),
+    ("all_rights", "All rights reserved"),
 ]
 
 # (licence, identifiers in sequence), tried from the top.
@@ -79,15 +80,29 @@ RULES = [
     ("CC-BY-NC-4.0", ("cc_by_nc_4",)),
     ("CC-BY-SA-4.0", ("cc_by_sa_4",)),
     ("CC-BY-4.0", ("cc_by_4",)),
+    # Counts only where no other sentence of a licence is found.
+    ("proprietary", ("all_rights",)),
 ]
 
+# SPDX tags, and what stands behind them by AND and OR. Identifiers with a sentence of their
+# own keep its name; the others are named as written, ``spdx:`` in front.
+SPDX_TAG = "spdx-license-identifier:"
+SPDX = (
+    rf"(?:(?i:{SPDX_TAG})|\G(?!\A)[ \t)]+(?:AND|OR)\b)[ \t(]*"
+    r"[a-zA-Z0-9.+:-]*[a-zA-Z0-9+](?:[ \t]+WITH[ \t]+[a-zA-Z0-9.-]*[a-zA-Z0-9])?"
+)
+SPDX_HEAD = rf"^(?:(?i:{SPDX_TAG})|[ \t)]+(?:AND|OR)\b)[ \t(]*"
+SPDX_SENTENCES = {"apache-2.0": "spdx_apache", "mit": "spdx_mit", "gpl-3.0-only": "spdx_gpl3"}
+SPDX_NONE = ("none", "noassertion")
+SPDX_NAMES = {name.lower(): name for name, _ in RULES if name != "proprietary"}
+
 # Sentences end at these marks before white space, or at an empty line.
 END = r"[.!?]+([ \t\r\n\f\x0B]|\z)|\n[ \t\r]*\n"
 CUT = "\x01"
 OTHER = "[^a-z0-9]+"
 
 # Every known sentence holds one of these, so texts without them need no look.
-HINTS = ("licens", "redistribut", "warrant", "permission", "copyright")
+HINTS = ("licens", "redistribut", "warrant", "permission", "copyright", "reserved")
 
 
 def normalised(sentence: str) -> str:
@@ -102,21 +117,47 @@ def _lower(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def _map(pairs: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
+
+
+def spdx_ids(text: Column) -> Column:
+    """One identifier for each licence named by the SPDX tags of a text."""
+    tags = F.transform(
+        F.regexp_extract_all(text, F.lit(SPDX), F.lit(0)),
+        lambda tag: F.regexp_replace(F.regexp_replace(tag, SPDX_HEAD, ""), "[ \t]+", "_"),
+    )
+    named = F.filter(tags, lambda name: ~_lower(name).isin(*SPDX_NONE))
+    return F.transform(
+        named,
+        lambda name: F.coalesce(
+            F.try_element_at(_map(SPDX_SENTENCES), _lower(name)),
+            F.concat(F.lit("spdx:"), F.coalesce(F.try_element_at(_map(SPDX_NAMES), _lower(name)), name)),
+        ),
+    )
+
+
 def identifiers(sentences: Column) -> Column:
-    """The identifiers of the known sentences, in order."""
-    names = F.create_map(*[F.lit(x) for pair in KNOWN.items() for x in pair])
-    clean = F.transform(sentences, lambda s: F.trim(F.regexp_replace(s, OTHER, " ")))
-    return F.transform(F.filter(clean, lambda s: s.isin(list(KNOWN))), lambda s: names[s])
+    """The identifiers of the known sentences and SPDX tags, in order."""
+    names = _map(KNOWN)
+
+    def of(sentence: Column) -> Column:
+        clean = F.trim(F.regexp_replace(_lower(sentence), OTHER, " "))
+        known = let(clean, lambda s: F.when(s.isin(list(KNOWN)), F.array(names[s])).otherwise(F.array().cast("array<string>")))
+        return F.when(F.contains(_lower(sentence), F.lit(SPDX_TAG)), spdx_ids(sentence)).otherwise(known)
+
+    return F.flatten(F.transform(sentences, of))
 
 
 def sentence_ids(text: Column) -> Column:
     """Identifiers by sentences; where the lines of the text hold more of them (notices
     without a full stop), by lines."""
-    lower = _lower(F.coalesce(text, F.lit("")))
+    text = F.coalesce(text, F.lit(""))
+    lower = _lower(text)
 
-    def of(lower: Column) -> Column:
-        by_sentence = identifiers(F.split(F.regexp_replace(lower, END, CUT), CUT))
-        by_line = identifiers(F.split(F.regexp_replace(lower, "\n", CUT), CUT))
+    def of(text: Column) -> Column:
+        by_sentence = identifiers(F.split(F.regexp_replace(text, END, CUT), CUT))
+        by_line = identifiers(F.split(F.regexp_replace(text, "\n", CUT), CUT))
         return let(
             F.struct(by_sentence.alias("s"), by_line.alias("l")),
             lambda both: F.when(F.size(both["l"]) > F.size(both["s"]), both["l"]).otherwise(both["s"]),
@@ -125,11 +166,12 @@ def sentence_ids(text: Column) -> Column:
     hinted = F.lit(False)
     for hint in HINTS:
         hinted = hinted | F.contains(lower, F.lit(hint))
-    return F.when(hinted, let(lower, of)).otherwise(F.array().cast("array<string>"))
+    return F.when(hinted, let(text, of)).otherwise(F.array().cast("array<string>"))
 
 
 def matched(ids: Column) -> Column:
-    """The licences of a sequence of identifiers, by the ordered rules, each once."""
+    """The licences of a sequence of identifiers, by the ordered rules, each once, and those
+    that SPDX tags name. Rights reserved beside a sentence of a licence are no licence."""
     marked = F.concat_ws("", F.transform(ids, lambda name: F.concat(F.lit("<"), name, F.lit(">"))))
     state = F.struct(marked.alias("left"), F.array().cast("array<string>").alias("found"))
     rules = F.array(
@@ -144,7 +186,14 @@ def matched(ids: Column) -> Column:
             F.when(hit, F.array_append(acc["found"], rule["name"])).otherwise(acc["found"]).alias("found"),
         )
 
-    found = F.aggregate(rules, state, apply, lambda acc: F.array_sort(F.array_distinct(acc["found"])))
+    tagged = F.transform(
+        F.filter(ids, lambda name: F.startswith(name, F.lit("spdx:"))),
+        lambda name: F.translate(F.substring(name, 6, 1 << 30), "_", " "),
+    )
+    by_rule = F.aggregate(rules, state, apply, lambda acc: acc["found"])
+    other = F.exists(ids, lambda name: name != "all_rights")
+    by_rule = F.when(other, F.array_remove(by_rule, "proprietary")).otherwise(by_rule)
+    found = F.array_sort(F.array_distinct(F.concat(by_rule, tagged)))
     return F.when(F.size(ids) > 0, found).otherwise(F.array().cast("array<string>"))
 
 

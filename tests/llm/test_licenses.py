@@ -71,3 +71,26 @@ def test_odd_documents(odd_docs, no_docs):
     assert licenses.scan(no_docs).count() == 0
     plan = licenses.scan(odd_docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_notices_as_they_stand_in_documents_and_spdx_identifiers(spark):
+    cases = [
+        ("It byanthblely anreed hestwh of.\nAll rights reserved.", ["all_rights"], ["proprietary"]),
+        ("Prose.\nLicensed under CC BY-NC 4.0.", ["cc_by_nc_4"], ["CC-BY-NC-4.0"]),
+        ("Prose.\nReleased under the MIT License.", ["mit_short"], ["MIT"]),
+        ("Prose.\nLicensed under the Apache License, Version 2.0.", ["apache_short"], ["Apache-2.0"]),
+        ("All rights reserved.\nReleased under the MIT License.", ["all_rights", "mit_short"], ["MIT"]),
+        ("All of them reserved a seat.", [], []),
+        ("// SPDX-License-Identifier: BSD-3-Clause\ncode", ["spdx:BSD-3-Clause"], ["BSD-3-Clause"]),
+        ("/* SPDX-License-Identifier: bsd-2-clause */", ["spdx:BSD-2-Clause"], ["BSD-2-Clause"]),
+        (
+            "# SPDX-License-Identifier: (MIT OR LGPL-2.1+) AND GPL-2.0-only WITH Classpath-exception-2.0\nx",
+            ["spdx_mit", "spdx:LGPL-2.1+", "spdx:GPL-2.0-only_WITH_Classpath-exception-2.0"],
+            ["GPL-2.0-only WITH Classpath-exception-2.0", "LGPL-2.1+", "MIT"],
+        ),
+        ("SPDX-License-Identifier: NONE", [], []),
+    ]
+    docs = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "doc_id long, text string")
+    for row in licenses.scan(docs).collect():
+        assert list(row.sentence_ids) == cases[row.doc_id][1], row
+        assert list(row.licences) == cases[row.doc_id][2], row
