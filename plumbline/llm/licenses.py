@@ -1,7 +1,7 @@
 """Licence recognition by sentences and ordered rules.
 
 A text is cut into sentences, each sentence is normalised and looked up among the known
-sentences of licences, and the sequence of identifiers found is matched against rules. Rules
+sentences of licences, unknown ones by their parts and lines, and the sequence of identifiers found is matched against rules. Rules
 come in order, the most specific first; what a rule has matched is taken out of the sequence, so a
 weaker rule cannot claim the same sentences again.
 """
@@ -101,6 +101,25 @@ END = r"[.!?]+([ \t\r\n\f\x0B]|\z)|\n[ \t\r]*\n"
 CUT = "\x01"
 OTHER = "[^a-z0-9]+"
 
+# The cuts of the scan. What stands at line starts besides words is dropped, so lines of
+# comment markers are empty ones.
+MARKERS = r"(?md)^[ \t*#/;%!|<>=~_+'\"\\.:-]*+(?:@?(?i:rem|dnl)(?=[ \t\r\n]|\z)[ \t]*+)?"
+SENTENCE_END = r"(?<![.!?])[.!?]++(?:[ \t\r\n\f\x0B]|\z)|\n[ \t\r]*+\n"
+# Labels of list items.
+LABEL = r"\(?(?:[0-9]{1,2}|[a-z])[.)]"
+# Names of holders stand for the words of the published text.
+HOLDER = r"(?is)\bneither\s{1,40}the\s{1,40}names?\s{1,40}of\s.{1,200}?\snor\s{1,40}the\s{1,40}names?\s{1,40}of\b"
+HOLDER_WORDS = "neither the name of the copyright holder nor the names of"
+
+
+def _part_end() -> str:
+    """Ends of parts of an unknown sentence: a colon before a list or at a line end, and a line
+    end before the first words of a known sentence."""
+    starts = sorted({"[^a-z0-9]{1,40}".join(sentence.split()[:3]) for sentence in KNOWN})
+    first = rf"[^a-z0-9\n]{{0,40}}(?:{LABEL}[ \t]{{1,40}})?(?:{'|'.join(starts)})\b"
+    return rf"(?i):[^a-z0-9\n]{{0,80}}+(?=\n)|:[ \t]{{1,80}}(?={LABEL})|\n(?={first})"
+
+
 # Every known sentence holds one of these, so texts without them need no look.
 HINTS = ("licens", "redistribut", "warrant", "permission", "copyright", "reserved")
 
@@ -137,36 +156,48 @@ def spdx_ids(text: Column) -> Column:
     )
 
 
-def identifiers(sentences: Column) -> Column:
-    """The identifiers of the known sentences and SPDX tags, in order."""
-    names = _map(KNOWN)
+def _nothing() -> Column:
+    return F.array().cast("array<string>")
+
+
+def _hinted(text: Column) -> Column:
+    lower, hinted = _lower(text), F.lit(False)
+    for hint in HINTS:
+        hinted = hinted | F.contains(lower, F.lit(hint))
+    return hinted
+
 
-    def of(sentence: Column) -> Column:
-        clean = F.trim(F.regexp_replace(_lower(sentence), OTHER, " "))
-        known = let(clean, lambda s: F.when(s.isin(list(KNOWN)), F.array(names[s])).otherwise(F.array().cast("array<string>")))
-        return F.when(F.contains(_lower(sentence), F.lit(SPDX_TAG)), spdx_ids(sentence)).otherwise(known)
+def _known(sentence: Column) -> Column:
+    """The identifier of a known sentence, with or without the label of a list item."""
+    bare = F.regexp_replace(_lower(sentence), rf"^[^a-z0-9]*+(?:[0-9]{{1,2}}|[a-z])[.)][ \t]+", "")
+    return F.try_element_at(_map(KNOWN), F.trim(F.regexp_replace(bare, OTHER, " ")))
 
-    return F.flatten(F.transform(sentences, of))
+
+def _cut(text: Column, end: str, otherwise) -> Column:
+    """The identifiers of the pieces between ends, in order; unknown ones are cut further."""
+
+    def of(piece: Column) -> Column:
+        def named(found: Column) -> Column:
+            return F.when(found.isNotNull(), F.array(found)).otherwise(otherwise(piece))
+
+        tagged = F.contains(_lower(piece), F.lit(SPDX_TAG))
+        whole = F.when(tagged, F.lit(None).cast("string")).otherwise(_known(piece))
+        return F.when(_hinted(piece), let(whole, named)).otherwise(_nothing())
+
+    return F.flatten(F.transform(F.split(F.regexp_replace(text, end, CUT), CUT), of))
 
 
 def sentence_ids(text: Column) -> Column:
-    """Identifiers by sentences; where the lines of the text hold more of them (notices
-    without a full stop), by lines."""
+    """Identifiers by sentences; an unknown sentence is cut into parts, an unknown part into
+    lines, so that notices without a full stop are found where they stand."""
     text = F.coalesce(text, F.lit(""))
-    lower = _lower(text)
-
-    def of(text: Column) -> Column:
-        by_sentence = identifiers(F.split(F.regexp_replace(text, END, CUT), CUT))
-        by_line = identifiers(F.split(F.regexp_replace(text, "\n", CUT), CUT))
-        return let(
-            F.struct(by_sentence.alias("s"), by_line.alias("l")),
-            lambda both: F.when(F.size(both["l"]) > F.size(both["s"]), both["l"]).otherwise(both["s"]),
-        )
+    ends = _part_end()
 
-    hinted = F.lit(False)
-    for hint in HINTS:
-        hinted = hinted | F.contains(lower, F.lit(hint))
-    return F.when(hinted, let(text, of)).otherwise(F.array().cast("array<string>"))
+    def parts(sentence: Column) -> Column:
+        return _cut(sentence, ends, lambda part: _cut(part, "\n", spdx_ids))
+
+    plain = F.regexp_replace(F.regexp_replace(text, MARKERS, ""), HOLDER, HOLDER_WORDS)
+    return F.when(_hinted(text), let(plain, lambda t: _cut(t, SENTENCE_END, parts))).otherwise(_nothing())
 
 
 def matched(ids: Column) -> Column:

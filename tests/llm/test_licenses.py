@@ -94,3 +94,49 @@ def test_notices_as_they_stand_in_documents_and_spdx_identifiers(spark):
     for row in licenses.scan(docs).collect():
         assert list(row.sentence_ids) == cases[row.doc_id][1], row
         assert list(row.licences) == cases[row.doc_id][2], row
+
+
+def commented(text, first, mark, last):
+    lines = [f"{mark} {line}".rstrip() for line in text.strip().split("\n")]
+    return "\n".join([first, *lines, last])
+
+
+BSD = """Copyright (c) 2012, Google Inc.
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice,
+   this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+ENDORSE = """3. Neither the name of Google Inc. nor the names of its contributors may be
+   used to endorse or promote products derived from this software without
+   specific prior written permission.
+"""
+
+
+def test_wrapped_commented_and_mixed_texts(spark):
+    mit, bsd = ["mit_title", "mit_grant", "mit_notice", "mit_as_is"], ["bsd_grant", "bsd_source", "bsd_binary"]
+    lines = "Released under the MIT License\ncode\n" * 3
+    tight = MIT.replace("License\n\nCopyright", "License\nCopyright").replace("Someone\n\n", "Someone\n")
+    cases = [
+        (commented(MIT, "/*", " *", " */"), mit, ["MIT"]),
+        (commented(MIT, "", "#", ""), mit, ["MIT"]),
+        (commented(MIT, "", "!", ""), mit, ["MIT"]),
+        (commented(MIT, "", "dnl", ""), mit, ["MIT"]),
+        (commented(tight, "/*", " *", " */"), mit, ["MIT"]),
+        (BSD, ["all_rights", *bsd], ["BSD-2-Clause"]),
+        (BSD.replace("1. ", "(1) ").replace("2. R", "(2) R"), ["all_rights", *bsd], ["BSD-2-Clause"]),
+        (BSD + ENDORSE, ["all_rights", *bsd, "bsd_endorse"], ["BSD-3-Clause"]),
+        (commented(BSD + ENDORSE, "/*", " *", " */"), ["all_rights", *bsd, "bsd_endorse"], ["BSD-3-Clause"]),
+        (APACHE + "\n" + lines, ["apache_grant", "apache_copy", "apache_see"] + ["mit_short"] * 3, ["Apache-2.0", "MIT"]),
+        (lines + "\n" + APACHE, ["mit_short"] * 3 + ["apache_grant", "apache_copy", "apache_see"], ["Apache-2.0", "MIT"]),
+        ("-" * 50_000 + "." * 50_000 + "licence: " + ":" * 50_000, [], []),
+    ]
+    docs = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "doc_id long, text string")
+    for row in licenses.scan(docs).collect():
+        assert list(row.sentence_ids) == cases[row.doc_id][1], (row.doc_id, row.sentence_ids)
+        assert list(row.licences) == cases[row.doc_id][2], row.doc_id
