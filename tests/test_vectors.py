@@ -417,3 +417,23 @@ def test_group_keys(spark):
     )
     keys = row.select(*[group_key(F.col(f.name), f.dataType) for f in row.schema.fields]).first()
     assert list(keys) == ["true", "7", "1.500000", "0.123457", "x", None]
+
+
+@pytest.mark.parametrize("name", ["ivf", "lsh"])
+def test_registered_recall_is_measured_and_held_to_nine_tenths(spark, embeddings, name):
+    from catalog import vector
+
+    data = "/root/testdata/sf0.01"
+    each = vector.QUERIES[f"{name}_recall_each"](spark, data).collect()
+    assert len({r["qid"] for r in each}) == len(each) == embeddings.count()
+    assert sum(r["recall"] for r in each) / len(each) >= 0.9
+    row = vector.QUERIES[f"{name}_recall"](spark, data).first()
+    assert (row["queries"], row["recall_reached"]) == (len(each), True)
+
+
+def test_recall_below_nine_tenths_is_not_reached(spark):
+    from catalog import vector
+
+    # A search that lacks three of ten hits.
+    search = lambda docs: knn(docs, queries_of(docs), 7)
+    assert vector._recall(search)(spark, "/root/testdata/sf0.01").first()["recall_reached"] is False
