@@ -153,6 +153,24 @@ def encode(
     return chosen.mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
 
+def lengths(
+    docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """``doc_id`` and ``n_tokens``, the number of ids of every whole text; rows as in ``encode``."""
+    small_batches(docs.sparkSession)
+    chosen = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(text_column, F.lit("")).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = codec(path, pattern)
+        for batch in batches:
+            found = [len(coder.encode_bytes(text.as_py())) // 4 for text in batch.column("text")]
+            arrays = [batch.column("doc_id"), pa.array(found, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens"])
+
+    kind = chosen.schema["doc_id"].dataType.simpleString()
+    return chosen.mapInArrow(run, f"doc_id {kind}, n_tokens long")
+
+
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``doc_id``, ``ids`` and their ``bytes``, the inverse of ``encode``; null ids decode to
     no bytes."""

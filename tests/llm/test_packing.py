@@ -1,10 +1,11 @@
 import random
 from collections import defaultdict
 
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.llm import packing
+from plumbline.llm import byte_bpe, packing, queries
 
 
 def check(rows, capacities=packing.CAPACITIES):
@@ -104,3 +105,24 @@ def test_rows_that_repeat_are_packed_each(spark):
     rows = packing.pack(docs).collect()
     check(rows)
     assert len(rows) == 4
+
+
+def test_the_query_counts_tokens_also_without_white_space(spark, tmp_path):
+    rng = random.Random(5)
+    texts = [
+        "".join(rng.choice("ABCDEFGHabcdefgh0123456789+/") for _ in range(30_000)),
+        "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(9_000)),
+        "Some ordinary prose, shorter than its tokens.",
+        "",
+        None,
+    ]
+    rows = [(i, text) for i, text in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    coder = byte_bpe.codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    rows = queries.op10_best_fit_packing(spark, str(tmp_path)).collect()
+    check(rows)
+    found = defaultdict(int)
+    for r in rows:
+        found[r.doc_id] += r.length
+    assert found == {i: len(coder.encode(t or "")) + packing.SEPARATOR for i, t in enumerate(texts)}
+    assert found[0] > 8192 and found[1] > 8192
