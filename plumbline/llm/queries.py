@@ -16,6 +16,7 @@ from plumbline.llm import (
     near_vectors,
     packing,
     quality_rules,
+    token_alignment,
     token_counts,
     toxicity,
     url_filter,
@@ -107,6 +108,11 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.align_corpus(load(spark, sf_dir, "documents"), a, b)
+
+
 # Vectors, chats -------------------------------------------------------------------------
 
 
