@@ -15,13 +15,14 @@ from plumbline.llm import (
     licenses,
     near_vectors,
     packing,
+    periodic_runs,
     quality_rules,
     token_alignment,
     token_counts,
     toxicity,
     url_filter,
 )
-from plumbline.llm.common import load
+from plumbline.llm.common import Column, let, load, words_of
 
 # Quality rules --------------------------------------------------------------------------
 
@@ -113,6 +114,49 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align_corpus(load(spark, sf_dir, "documents"), a, b)
 
 
+# Periodic runs ---------------------------------------------------------------------------
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``; in every tenth document by the hash h of its id the words from
+    place a on repeat with period p, both given by h and the number of words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def rewritten(words: Column) -> Column:
+        n = F.greatest(F.size(words), F.lit(1))
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        again = lambda i: F.get(words, (a + (i - a) % p).cast("int"))
+        return F.transform(words, lambda word, i: F.when(i < a, word).otherwise(again(i)))
+
+    planted = F.array_join(let(words_of(F.coalesce("text", F.lit(""))), rewritten), " ")
+    return docs.select("doc_id", F.when(h % 10 == 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def run_digests(found: DataFrame) -> DataFrame:
+    """The longest run (ties: first start, then period) and digests of all runs and of the rest."""
+    ranked = F.transform("runs", lambda r: F.struct(r["length"].alias("l"), -r["start"], -r["period"], r.alias("run")))
+    best = F.array_max(ranked)["run"]
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(periodic_runs.find_runs(with_planted_runs(load(spark, sf_dir, "documents"))))
+
+
 # Vectors, chats -------------------------------------------------------------------------
 
 

@@ -16,6 +16,7 @@ QUERIES = {
     "op8_jaccard_join": queries.op8_jaccard_join,
     "op9_toxicity": queries.op9_toxicity,
     "op10_best_fit_packing": queries.op10_best_fit_packing,
+    "op11_periodic_runs": queries.op11_periodic_runs,
     "op12_token_alignment": queries.op12_token_alignment,
     "pipeline": corpus_pipeline.run,
 }
