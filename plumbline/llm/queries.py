@@ -17,6 +17,7 @@ from plumbline.llm import (
     packing,
     periodic_runs,
     quality_rules,
+    suffix_family,
     token_alignment,
     token_counts,
     toxicity,
@@ -157,6 +158,20 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(periodic_runs.find_runs(with_planted_runs(load(spark, sf_dir, "documents"))))
 
 
+# Repeated passages -----------------------------------------------------------------------
+
+
+def op13_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_family.remove_repeats(load(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        suffix_family.removed_bytes(F.col("starts"), F.col("ends")).alias("n_removed"),
+        F.when(F.col("starts").isNull(), 0).otherwise(F.size("starts")).cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 # Vectors, chats -------------------------------------------------------------------------
 
 

@@ -18,6 +18,7 @@ QUERIES = {
     "op10_best_fit_packing": queries.op10_best_fit_packing,
     "op11_periodic_runs": queries.op11_periodic_runs,
     "op12_token_alignment": queries.op12_token_alignment,
+    "op13_suffix_family": queries.op13_suffix_family,
     "pipeline": corpus_pipeline.run,
 }
 
