@@ -124,6 +124,17 @@ def ivf_fixed_centroids(spark, sf_dir):
     return shown(search_ivf(index, as_queries(docs), K, probes=2, where="label >= 1"))
 
 
+# Few rows pass, so the nearest cells alone do not hold K of them.
+NARROW = "label = 3 AND id % 4 = 1"
+
+
+def ivf_narrow(spark, sf_dir):
+    """A filter that few rows pass; cells are asked until they hold K passing rows."""
+    docs = vectors(spark, sf_dir)
+    index = build_ivf(docs, metric="l2", centers=_label_centers(spark, sf_dir), keep=("label",))
+    return shown(search_ivf(index, as_queries(docs), K, probes=1, where=NARROW))
+
+
 def ivf_spill_assign(spark, sf_dir):
     docs = vectors(spark, sf_dir)
     index = build_ivf(docs, metric="l2", centers=_label_centers(spark, sf_dir), spill=True)
@@ -191,6 +202,12 @@ def knn_refined(spark, sf_dir):
     return shown(refined_knn(docs, quantize(docs, "int8"), as_queries(docs), K, scale_factor=4.0))
 
 
+def knn_refined_int4(spark, sf_dir):
+    """Coarse codes and no factor; the error bound makes it exact all the same."""
+    docs = vectors(spark, sf_dir)
+    return shown(refined_knn(docs, quantize(docs, "int4"), as_queries(docs), K))
+
+
 def knn_grouped(spark, sf_dir):
     docs = vectors(spark, sf_dir)
     names = load(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang", "source")
@@ -350,6 +367,21 @@ def _sql_probed(assigned: str, probes: int, where: str = "TRUE") -> str:
     return f"WITH {ctes} SELECT qid, id, round(s, 6) AS score, rank FROM r WHERE rank <= {K}"
 
 
+def _sql_filled(assigned: str, where: str) -> str:
+    """The nearest cell, and further ones as long as those before hold fewer than K passing rows."""
+    ctes = (
+        f"{assigned}, p AS (SELECT id, v, cell FROM f WHERE {where}), "
+        "n AS (SELECT c.cell, c.v, count(p.id) AS held FROM c LEFT JOIN p ON p.cell = c.cell GROUP BY ALL), "
+        "o AS (SELECT d.id AS qid, d.v, n.cell, n.held, row_number() OVER nearest AS place, "
+        "coalesce(sum(n.held) OVER (nearest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before "
+        "FROM d, n WINDOW nearest AS (PARTITION BY d.id ORDER BY list_distance(d.v, n.v), n.cell)), "
+        "s AS (SELECT qid, p.id, round(list_distance(o.v, p.v), 12) AS s FROM o JOIN p USING (cell) "
+        f"WHERE place = 1 OR before < {K}), "
+        "r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(s, 9), id)::INT AS rank FROM s)"
+    )
+    return f"WITH {ctes} SELECT qid, id, round(s, 6) AS score, rank FROM r WHERE rank <= {K}"
+
+
 def _sql_grouped(docs: str, score: str, groups: int, per_group: int, more: str = "", cut: str = "TRUE") -> str:
     return f"""
         WITH {docs}, {SQL_MEANS},
@@ -381,6 +413,7 @@ QUERIES = {
     "knn_linear": knn_linear,
     "ivf_full_probe": ivf_full_probe,
     "ivf_fixed_centroids": ivf_fixed_centroids,
+    "ivf_narrow": ivf_narrow,
     "ivf_soar_assign": ivf_spill_assign,
     "ivf_soar_search": ivf_spill_search,
     "ivf_recall": _recall(_ivf),
@@ -391,6 +424,7 @@ QUERIES = {
     "quant_int4": _quantized("int4"),
     "quant_f16": _quantized("float16"),
     "knn_refined": knn_refined,
+    "knn_refined_int4": knn_refined_int4,
     "knn_grouped": knn_grouped,
     "knn_grouped_float": knn_grouped_float,
     "knn_grouped_ceiling": knn_grouped_ceiling,
@@ -457,6 +491,7 @@ ORACLES = {
     "ivf_fixed_centroids": _sql_probed(
         f"{_CELLS}, t AS (SELECT id, v, cell, label FROM f)", 2, "t.label >= 1"
     ),
+    "ivf_narrow": _sql_filled(_CELLS, NARROW),
     "ivf_soar_assign": f"WITH {_SPILL} SELECT id, cell, round(gap, 6) AS gap FROM a",
     "ivf_soar_search": _sql_probed(f"{_SPILL}, t AS (SELECT id, v, cell FROM a)", 3),
     "quant_int8": """
@@ -474,6 +509,7 @@ ORACLES = {
         SELECT id, 1.0::DOUBLE AS scale, (generate_subscripts(v, 1) - 1)::INT AS pos, unnest(v) AS code
         FROM d""",
     "knn_refined": _COSINE,
+    "knn_refined_int4": _COSINE,
     "index_reopen": _COSINE,
     "knn_grouped": _sql_grouped(
         "d AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v, lang AS g, source "

@@ -283,15 +283,33 @@ def match_large(
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, schema)
 
 
+def probed_cells(
+    distance: np.ndarray, probes: int, sizes: np.ndarray | None = None, need: int = 0
+) -> list[np.ndarray]:
+    """The cells that each query asks, nearest first: ``probes`` of them, and with ``sizes`` as
+    many more as it takes to hold ``need`` rows. Cells without a row are left out then."""
+    order = np.argsort(distance, axis=1, kind="stable")
+    if sizes is None:
+        return list(order[:, :probes])
+    held = np.cumsum(sizes[order], axis=1)
+    enough = np.where(held[:, -1] >= need, (held >= need).argmax(axis=1) + 1, order.shape[1])
+    return [line[:n][sizes[line[:n]] > 0] for line, n in zip(order, np.maximum(enough, probes))]
+
+
 def nearest_cells(
-    queries: DataFrame, centers: np.ndarray, probes: int, *, metric: str, max_norm2: float = 0.0
+    queries: DataFrame,
+    centers: np.ndarray,
+    probes: int,
+    *,
+    metric: str,
+    max_norm2: float = 0.0,
+    sizes: np.ndarray | None = None,
+    need: int = 0,
 ) -> DataFrame:
-    """``(qid, qvec, cell)`` for the ``probes`` nearest cells of each query."""
+    """``(qid, qvec, cell)`` for the cells that each query asks, as in ``probed_cells``."""
 
     def pick(rows: np.ndarray) -> list[np.ndarray]:
-        distance = gaps(place(rows, metric, max_norm2, query=True), centers)
-        order = np.argsort(distance, axis=1, kind="stable")[:, :probes]
-        return list(order)
+        return probed_cells(gaps(place(rows, metric, max_norm2, query=True), centers), probes, sizes, need)
 
     return _expand(queries, pick)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,6 +29,14 @@ DEFAULT_K = 10
 # So many asked words are pushed into the scan of the postings.
 PUSHED_WORDS = 256
 
+# Where the frequent words of a search have fewer postings than this, all are moved at once.
+PHASE_ROWS = 200_000
+# Words whose largest worth sums up to no more than this share of a query's are left for later.
+LATER_SHARE = 0.5
+
+# The columns of the stored table of terms.
+TERMS = "term string, df long, max_tf long, min_dl int"
+
 # A bucket of terms holds the postings of about so many bytes of text.
 BUCKET_BYTES = 64 << 20
 
@@ -50,7 +58,10 @@ class Analyzer:
 
 @dataclass(frozen=True)
 class TextIndex:
-    """``postings (bucket, term, id, tf, dl)``, ``terms (term, df)`` and corpus size."""
+    """``postings (bucket, term, id, tf, dl)``, ``terms (term, df, max_tf, min_dl)`` and corpus size.
+
+    ``max_tf`` and ``min_dl`` bound what a posting of the term can be worth under any average length.
+    """
 
     postings: DataFrame
     terms: DataFrame
@@ -108,19 +119,24 @@ def build_text_index(
     counted = bucketed_postings(docs, text, analyzer, buckets)
     if path is None:
         stored = materialize(counted, "postings", partition_by=["bucket"])
-        frequency = materialize(stored.groupBy("term").agg(F.count("*").alias("df")), "terms")
+        frequency = materialize(term_statistics(stored), "terms")
     else:
         counted.write.mode("errorifexists").partitionBy("bucket").parquet(f"{path}/postings")
         stored = spark.read.parquet(f"{path}/postings")
-        stored.groupBy("term").agg(F.count("*").alias("df")).write.mode(
-            "errorifexists"
-        ).parquet(f"{path}/terms")
+        term_statistics(stored).write.mode("errorifexists").parquet(f"{path}/terms")
         frequency = spark.read.parquet(f"{path}/terms")
     n_docs = docs.count()
     total = stored.agg(F.sum("tf")).first()[0] or 0
     return TextIndex(stored, frequency, n_docs, total / n_docs if n_docs else 0.0, analyzer, buckets)
 
 
+def term_statistics(stored: DataFrame) -> DataFrame:
+    """``(term, df, max_tf, min_dl)`` from postings."""
+    return stored.groupBy("term").agg(
+        F.count("*").alias("df"), F.max("tf").alias("max_tf"), F.min("dl").cast("int").alias("min_dl")
+    )
+
+
 def bm25(tf: F.Column, dl: F.Column, df: F.Column, n_docs: float, avg_length: float) -> F.Column:
     idf = F.log(1 + (F.lit(float(n_docs)) - df + 0.5) / (df + 0.5))
     length = 1 - B + B * dl / F.lit(float(avg_length))
@@ -212,11 +228,13 @@ def search_index(
     mode: str = "match",
     operator: str = "or",
     allowed: DataFrame | None = None,
+    phase_rows: int = PHASE_ROWS,
 ) -> DataFrame:
     """Top ``k`` per query from a stored index, ``(qid, id, score, rank)``.
 
     Only the buckets of the asked terms are read. ``allowed (id)`` restricts the results;
-    corpus statistics stay those of the whole table.
+    corpus statistics stay those of the whole table. Lists of frequent words, from ``phase_rows``
+    postings on, are only moved for documents that can still be among the hits.
     """
     positive_int32(k, "k")
     terms = _query_terms(queries, index.analyzer, mode, operator)
@@ -227,9 +245,10 @@ def search_index(
         return _rank(_allowed(index.postings, allowed), weighted, index.n_docs, index.avg_length, k)
     words = pc.unique(head["term"])
     wanted = asked_words(index, words)
-    frequency = np.zeros(len(words))
-    for row in index.terms.join(F.broadcast(wanted), "term").select("at", "df").collect():
-        frequency[row["at"]] = row["df"]
+    frequency, most, shortest = (np.zeros(len(words)) for _ in range(3))
+    # One row per asked word.
+    for at, *found in index.terms.join(F.broadcast(wanted), "term").select("at", "df", "max_tf", "min_dl").collect():
+        frequency[at], most[at], shortest[at] = found
     buckets = [r["bucket"] for r in wanted.select(_bucket(index.buckets)).distinct().collect()]
     # Files are sorted by term, so their statistics skip what lies between a few asked words;
     # many words leave nothing to skip, and the join below drops what none of them asks for.
@@ -237,10 +256,96 @@ def search_index(
     if len(words) <= PUSHED_WORDS:
         named = named & F.col("term").isin(words.to_pylist())
     found = _allowed(index.postings.where(named), allowed)
-    length = 1 - B + B * F.col("dl") / F.lit(float(index.avg_length or 1.0))
-    value = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * length)
-    block = _weighted_block(head, queries.schema["qid"].dataType, words, frequency, index.n_docs)
-    return rank_entries(found.select("id", "term", value.alias("val")), block, k)
+    average = float(index.avg_length or 1.0)
+    value = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.lit(average)))
+    entries = found.select("id", "term", value.alias("val"))
+    qid_type = queries.schema["qid"].dataType
+    block = lambda some: _weighted_block(some, qid_type, words, frequency, index.n_docs)
+    worth = most * (K1 + 1) / np.maximum(most + K1 * (1 - B + B * shortest / average), 1e-9)
+    worth *= np.log(1 + (index.n_docs - frequency + 0.5) / (frequency + 0.5))
+    reached = lambda some: rank_entries(entries, block(some), k)
+    entries = within_reach(entries, head, words, frequency, worth, k, reached, phase_rows)
+    return rank_entries(entries, block(head), k)
+
+
+def word_phases(
+    head: pa.Table, words: pa.Array, frequency: np.ndarray, worth: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every entry of the query terms: is it read first, what can the others of its query add at
+    most, and must its query's hits hold its word.
+
+    Of a query with required words the rarest of those comes first. Of others the frequent words
+    wait as long as they are worth no more than a share; with excluded words none waits.
+    """
+    _, query = np.unique(pc.index_in(head["qid"], pc.unique(head["qid"])).to_numpy(), return_inverse=True)
+    word = pc.index_in(head["term"], words).to_numpy()
+    role = pc.index_in(head["role"], pa.array(ROLES)).to_numpy()
+    must, barred = role == ROLES.index("must"), role == ROLES.index("not")
+    n = int(query.max()) + 1 if len(query) else 0
+    required, excluded = (np.bincount(query[x], minlength=n)[query] > 0 for x in (must, barred))
+    order = np.lexsort((word, -frequency[word], query))
+    total = np.bincount(query, weights=np.where(barred, 0, worth[word]), minlength=n)
+    # From the most frequent word on, what all up to each one are worth together.
+    running = np.cumsum(worth[word][order])
+    start = np.searchsorted(query[order], np.arange(n))
+    running -= (running[start] - worth[word][order][start])[query[order]]
+    later = np.empty(len(word), dtype=bool)
+    later[order] = running <= LATER_SHARE * total[query[order]]
+    later &= ~excluded
+    rarest = np.zeros(len(word), dtype=bool)
+    ranked = np.lexsort((word, frequency[word], ~must, query))
+    rarest[ranked[start]] = True
+    first = np.where(required, rarest & must, ~later)
+    rest = np.bincount(query, weights=np.where(first | barred, 0, worth[word]), minlength=n)[query]
+    return first, rest, required
+
+
+def within_reach(
+    entries: DataFrame,
+    head: pa.Table,
+    words: pa.Array,
+    frequency: np.ndarray,
+    worth: np.ndarray,
+    k: int,
+    reached: Callable[[pa.Table], DataFrame],
+    phase_rows: int,
+) -> DataFrame:
+    """The entries without those that cannot matter: of the words that wait, only the postings of
+    documents that some query has met among its first words.
+
+    That loses no hit where the words that wait are worth less together than the ``k``-th score by
+    the first ones alone; other queries have all their words read.
+    """
+    if not head.num_rows:
+        return entries
+    first, rest, required = word_phases(head, words, frequency, worth)
+    word = pc.index_in(head["term"], words).to_numpy()
+    open_ = ~first & ~required
+    if open_.any():
+        some = head.filter(pa.array(first & ~required))
+        scores = reached(some).where(F.col("rank") == k).select("qid", "score").toArrow()
+        at = pc.index_in(head["qid"], scores["qid"].combine_chunks())
+        score = np.append(scores["score"].to_numpy(), -np.inf)[at.fill_null(len(scores)).to_numpy()]
+        first |= ~required & (rest >= score - 1e-6)
+    whole = np.zeros(len(words), dtype=bool)
+    whole[word[first]] = True
+    if frequency[~whole].sum() < phase_rows:
+        return entries
+    # Where all words of a query are read, its documents need not be met.
+    waits = np.zeros(len(words), dtype=bool)
+    queries = pc.index_in(head["qid"], pc.unique(head["qid"])).to_numpy()
+    pending = np.bincount(queries[~first], minlength=queries.max() + 1) > 0
+    waits[word[first & pending[queries]]] = True
+    listed = entries.sparkSession.createDataFrame(
+        pa.table({"term": words, "whole": pa.array(whole), "meets": pa.array(waits)})
+    )
+    marked = entries.join(F.broadcast(listed), "term")
+    met = materialize(marked.where("meets").select("id").distinct(), "met-ids")
+    small, hinted = broadcast_if_small(met)
+    if not hinted:
+        return entries
+    late = marked.where("NOT whole").join(small, "id", "left_semi")
+    return marked.where("whole").unionByName(late).select(*entries.columns)
 
 
 def asked_words(index: TextIndex, words: pa.Array) -> DataFrame:

@@ -95,8 +95,14 @@ def search_ivf(
     probes: int = DEFAULT_PROBES,
     where: str | None = None,
     radius: float | None = None,
+    fill: bool | None = None,
 ) -> DataFrame:
-    """Top ``k`` among the rows of each query's ``probes`` nearest cells."""
+    """Top ``k`` among the rows of each query's ``probes`` nearest cells.
+
+    With ``fill`` (by default under a filter) a query goes on to further cells, in order of
+    distance, until those it has asked hold ``k`` passing rows or none is left; how many pass in
+    each cell is told by one grouped count.
+    """
     positive_int32(k, "k")
     positive_int32(probes, "probes")
     rows = index.rows.where(where) if where and where.strip() else index.rows
@@ -111,18 +117,23 @@ def search_ivf(
         exact.check_distinct(queries)
     # A row stored under two cells can take two places, so twice K are kept until then.
     cut = 2 * k if index.spilled else k
+    sizes = None
+    if where and where.strip() if fill is None else fill:
+        sizes = np.zeros(len(index.centers), dtype=np.int64)
+        # One row per cell.
+        for cell, n in rows.groupBy("cell").count().collect():
+            sizes[cell] = n
     if block is not None:
         placed = grid.place(block.vectors, index.metric, index.max_norm2, query=True)
-        order = np.argsort(grid.gaps(placed, index.centers), axis=1, kind="stable")[:, :probes]
         asked: dict[int, list[int]] = {}
-        for number, line in enumerate(order.tolist()):
-            for cell in line:
+        for number, line in enumerate(grid.probed_cells(grid.gaps(placed, index.centers), probes, sizes, cut)):
+            for cell in line.tolist():
                 asked.setdefault(cell, []).append(number)
         lists = {cell: np.array(numbers) for cell, numbers in asked.items()}
         hits = grid.match_small(rows, block, lists, cut, **options)
     else:
         near = grid.nearest_cells(
-            queries, index.centers, probes, metric=index.metric, max_norm2=index.max_norm2
+            queries, index.centers, probes, metric=index.metric, max_norm2=index.max_norm2, sizes=sizes, need=cut
         )
         hits = grid.match_large(rows, near, cut, **options)
     if index.spilled:

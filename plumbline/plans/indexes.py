@@ -78,7 +78,7 @@ def open_index(table: Table, name: str):
         n_docs, avg_length, buckets = _numbers(table, side)
         return fulltext.TextIndex(
             spark.read.schema(POSTINGS).parquet(stored.path),
-            spark.read.schema("term string, df long").parquet(f"{side}/terms"),
+            spark.read.schema(fulltext.TERMS).parquet(f"{side}/terms"),
             int(n_docs),
             avg_length,
             _analyzer(settings),
@@ -172,7 +172,9 @@ def search_stored(
         return knn.attach(hits, table.scan(), list(output or []))
     index = open_index(table, name)
     if settings["kind"] == "ivf":
-        found = ivf.search_ivf(replace(index, rows=live.kept(index.rows)), queries, k, probes=effort)
+        rows = live.kept(index.rows)
+        fill = live.changed is not None or bool(where and where.strip())
+        found = ivf.search_ivf(replace(index, rows=rows), queries, k, probes=effort, fill=fill)
     elif settings["kind"] == "approximate":
         rows = materialize(live.kept(index.rows), "live-rows") if live.changed is not None or where else index.rows
         found = lsh.search_lsh(replace(index, rows=rows), queries, k, effort=effort)
@@ -220,9 +222,11 @@ def _refreshed(table: Table, name: str, index: fulltext.TextIndex, live: _Live)
     hinted, _ = broadcast_if_small(live.changed)
     gone = materialize(index.postings.join(hinted, "id", "left_semi"), "gone-postings")
     added = materialize(fulltext.bucketed_postings(live.fresh, name, index.analyzer, index.buckets), "new-postings")
-    count = lambda rows, sign: rows.groupBy("term").agg((F.lit(sign) * F.count("*")).alias("df"))
-    terms = index.terms.unionByName(count(gone, -1)).unionByName(count(added, 1))
-    terms = terms.groupBy("term").agg(F.sum("df").alias("df")).where("df > 0")
+    left = fulltext.term_statistics(gone).withColumn("df", -F.col("df"))
+    terms = index.terms.unionByName(left).unionByName(fulltext.term_statistics(added))
+    # Bounds may stay wider than the postings that are left.
+    bounds = (F.max("max_tf").alias("max_tf"), F.min("min_dl").alias("min_dl"))
+    terms = terms.groupBy("term").agg(F.sum("df").alias("df"), *bounds).where("df > 0")
     length = lambda rows: rows.agg(F.sum("tf")).first()[0] or 0
     total = index.avg_length * index.n_docs - length(gone) + length(added)
     n_docs = table.scan().count()

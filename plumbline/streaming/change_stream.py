@@ -37,7 +37,10 @@ class ChangeStream:
         )
 
     def pending(self, schema: T.StructType, after: int = -1, upto: int | None = None) -> DataFrame:
-        """Logged changes of batches later than ``after``; only their folders are read."""
+        """Logged changes of batches later than ``after``; only their folders are read. No rows
+        where nothing was logged yet."""
+        if not self._logged():
+            return self.spark.createDataFrame([], schema)
         numbered = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
         logged = self.spark.read.schema(numbered).option("basePath", self.log_path)
         rows = logged.parquet(self.log_path).where(F.col("batch") > after)
@@ -45,12 +48,19 @@ class ChangeStream:
             rows = rows.where(F.col("batch") <= upto)
         return rows.drop("batch")
 
+    def _logged(self) -> bool:
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(self.log_path)
+        return path.getFileSystem(context._jsc.hadoopConfiguration()).exists(path)
+
     def current(self, table: DataFrame, schema: T.StructType, after: int = -1) -> Applied:
         """The table with all later changes replayed, without writing it."""
         return apply_changes(table, self.pending(schema, after), order=self.order)
 
     def fold(self, table: Table, schema: T.StructType) -> Table:
         """Write the changes the table does not hold yet as one layer."""
+        if not self._logged():
+            return table
         logged = self.spark.read.schema("batch long").option("basePath", self.log_path)
         last = logged.parquet(self.log_path).agg(F.max("batch")).first()[0]
         after = table.mark(self.log_path)

@@ -253,6 +253,28 @@ def test_stream_equals_batch(spark, path, tmp_path):
     assert stream.fold(Table.open(spark, path), changes.schema).version == again.version
 
 
+def test_nothing_logged_yet(spark, path):
+    table = Table.create(spark, path, EVOLUTION, spark.createDataFrame([("k0", 0)], "id string, rank long"))
+    stream = ChangeStream(spark, f"{path}-log")
+    shape = spark.createDataFrame([], CHANGES).schema
+    assert stream.pending(shape).count() == 0
+    assert content(stream.current(table.scan(), shape).table) == content(table.scan())
+    assert stream.fold(table, shape).version == table.version
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_changes_stream_from_a_file_or_a_folder(spark, tmp_path, parts):
+    from catalog import tables
+
+    source = "/root/testdata/sf0.001"
+    for name in ("events", "customer"):
+        frame = spark.read.parquet(f"{source}/{name}.parquet")
+        frame.repartition(parts).write.parquet(str(tmp_path / f"{name}.parquet"))
+    expected = sorted(map(tuple, tables.changes_apply(spark, source).collect()))
+    assert sorted(map(tuple, tables.changes_stream(spark, str(tmp_path)).collect())) == expected
+    assert sorted(map(tuple, tables.changes_stream(spark, source).collect())) == expected
+
+
 def test_shared_folder_comes_from_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     folder = sizing.shared_dir(spark)

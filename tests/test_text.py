@@ -266,3 +266,56 @@ def test_asked_terms_reach_the_scan(spark, docs):
     plan = search_index(index, ask(spark, "swift"), 3)._jdf.queryExecution().executedPlan().toString()
     pushed = plan.split("PushedFilters: [")[1].split("]")[0]
     assert "term" in pushed and "swift" in pushed
+
+
+@pytest.fixture(scope="module")
+def listed(spark):
+    """400 texts of common and rare words."""
+    import random
+
+    rng = random.Random(3)
+    common, rare = [f"c{i}" for i in range(8)], [f"r{i}" for i in range(150)]
+    texts = [
+        (i, " ".join(rng.choices(common, k=rng.randint(3, 30)) + rng.choices(rare, k=rng.randint(0, 4))))
+        for i in range(400)
+    ]
+    docs = spark.createDataFrame(texts, "id long, text string").cache()
+    return docs, build_text_index(docs, "text")
+
+
+BOUNDED = [
+    ("match", "or", ["r1 c0", "r1 r2 r3 c0 c1", "c0 c1 c2", "r5", "r7 r8 c3 c3", "absent c1", "absent r9 c1"]),
+    ("match", "and", ["r1 c0", "c0 c1 c2 c3", "r2 r3", "absent c0", "r4 c0 c1 c2"]),
+    ("query", "or", ["+r1 c0 -c1", "r1 r2 -c0", "+c0 +c1 r3", "-c0", "+r6 -c2 c3", "c4 r9"]),
+]
+
+
+@pytest.mark.parametrize("mode, operator, texts", BOUNDED)
+def test_waiting_words_change_no_hit(spark, listed, mode, operator, texts):
+    docs, index = listed
+    asked = spark.createDataFrame(list(enumerate(texts)), "qid int, text string")
+    flat = lambda hits: sorted((r["qid"], r["rank"], r["id"], round(r["score"], 6)) for r in hits.collect())
+    for k in (1, 3, 50):
+        expected = flat(search_scan(docs, asked, k, mode=mode, operator=operator))
+        for rows in (0, 10**9):
+            assert flat(search_index(index, asked, k, mode=mode, operator=operator, phase_rows=rows)) == expected
+    # Each query alone, so that others do not bring in its documents.
+    for text in texts:
+        alone = asked.where(F.col("text") == text)
+        expected = flat(search_scan(docs, alone, 2, mode=mode, operator=operator))
+        assert flat(search_index(index, alone, 2, mode=mode, operator=operator, phase_rows=0)) == expected
+    allowed = docs.where("id % 3 = 0").select("id")
+    expected = flat(search_scan(docs, asked, 3, mode=mode, operator=operator, where="id % 3 = 0"))
+    found = search_index(index, asked, 3, mode=mode, operator=operator, allowed=allowed, phase_rows=0)
+    assert flat(found) == expected
+
+
+def test_postings_out_of_reach_stay_where_they_are(spark, listed, monkeypatch):
+    docs, index = listed
+    moved = []
+    plain = fulltext.rank_entries
+    monkeypatch.setattr(fulltext, "rank_entries", lambda e, b, k: (moved.append(e.count()), plain(e, b, k))[1])
+    asked = spark.createDataFrame([(1, "+r1 c0 c1 c2 c3")], "qid int, text string")
+    for rows, mode in ((10**9, "query"), (0, "query")):
+        search_index(index, asked, 1, mode=mode, phase_rows=rows).collect()
+    assert moved[1] < 0.1 * moved[0]

@@ -437,3 +437,77 @@ def test_recall_below_nine_tenths_is_not_reached(spark):
     # A search that lacks three of ten hits.
     search = lambda docs: knn(docs, queries_of(docs), 7)
     assert vector._recall(search)(spark, "/root/testdata/sf0.01").first()["recall_reached"] is False
+
+
+@pytest.mark.parametrize("spill", [False, True])
+@pytest.mark.parametrize("route", ["small", "large"])
+def test_narrow_filters_still_give_k_rows(cloud, spill, route, monkeypatch):
+    """Cells in order of distance until they hold K passing rows, by hand."""
+    from plumbline.operators import knn as exact
+
+    index = build_ivf(cloud, cells=12, metric="l2", keep=("label",), spill=spill)
+    where = "label = 1 AND id % 3 = 0"
+    if route == "large":
+        monkeypatch.setattr(exact, "MAX_BROADCAST_QUERIES", 10)
+    found = search_ivf(index, queries_of(cloud), 6, probes=1, where=where)
+    got = {}
+    for r in found.collect():
+        got.setdefault(r["qid"], {})[r["id"]] = round(r["score"], 6)
+    rows = index.rows.where(where).collect()
+    need = 12 if spill else 6
+    for q in cloud.collect():
+        gaps = np.linalg.norm(index.centers - np.array(q["embedding"]), axis=1)
+        held = []
+        for n, cell in enumerate(np.argsort(gaps, kind="stable")):
+            if n and len(held) >= need:
+                break
+            held += [r for r in rows if r["cell"] == cell]
+        score = {r["id"]: round(float(np.linalg.norm(np.array(r["embedding"]) - q["embedding"])), 6) for r in held}
+        best = sorted(score.items(), key=lambda x: (x[1], x[0]))[:6]
+        assert got[q["id"]] == dict(best) and len(best) == 6
+    few = search_ivf(index, queries_of(cloud), 6, probes=1, where=where, fill=False)
+    assert few.count() < found.count()
+
+
+def test_a_filter_that_passes_less_than_k_rows(cloud):
+    index = build_ivf(cloud, cells=12, keep=("label",))
+    hits = search_ivf(index, queries_of(cloud), 6, probes=1, where="id IN (3, 200)")
+    assert hits.count() == 2 * 300
+    assert search_ivf(index, queries_of(cloud), 6, probes=1, where="id < 0").count() == 0
+
+
+@pytest.mark.parametrize("metric", ["l2", "ip", "cosine", "mips_l2"])
+@pytest.mark.parametrize("kind", ["int8", "int4", "float16"])
+def test_refined_is_exact_without_a_factor(cloud, metric, kind):
+    same(
+        refined_knn(cloud, quantize(cloud, kind), queries_of(cloud), 5, metric=metric),
+        knn(cloud, queries_of(cloud), 5, metric=metric),
+    )
+
+
+def test_odd_vectors_are_refined_exactly(spark):
+    rows = [(1, [0.0, 0.0]), (2, [1e-9, 0.0]), (3, [70_000.0, 1.0]), (4, [1.0, 1.0]), (5, None), (6, [1e-30, 1e-30])]
+    docs = spark.createDataFrame(rows, "id long, embedding array<double>")
+    asked = docs.where("embedding IS NOT NULL")
+    for kind in ("int8", "float16"):
+        for metric in ("cosine", "l2", "ip"):
+            got = refined_knn(docs, quantize(docs, kind), queries_of(asked), 2, metric=metric)
+            same(got, knn(docs, queries_of(asked), 2, metric=metric))
+
+
+def test_codes_bound_the_scores(spark):
+    """No row may lie further from its restored code than the bound says, and few are scored again."""
+    from plumbline.operators import knn as exact
+    from plumbline.operators.quantize import bounded_candidates, code_errors
+
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(2000, 16)) * 10.0 ** rng.integers(-4, 3, (2000, 1))
+    docs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, embedding array<double>")
+    for kind, name in (("int8", "int"), ("int4", "int"), ("float16", "half")):
+        rows = quantize(docs, kind).orderBy("id").collect()
+        scale = np.array([r["scale"] for r in rows], dtype=float)
+        code = np.array([r["code"] for r in rows], dtype=float) * scale[:, None]
+        assert (np.linalg.norm(x - code, axis=1) <= code_errors(code, scale, name)).all()
+    asked = queries_of(docs.where("id < 50"))
+    pairs = bounded_candidates(quantize(docs, "int8"), exact.small_queries(asked), 5, 5, "cosine")
+    assert 50 * 5 <= pairs.count() < 0.05 * 50 * 2000
