@@ -35,9 +35,9 @@ def no_docs(spark):
     return spark.createDataFrame([], "doc_id long, text string, source string")
 
 
-@pytest.fixture(scope="session")
+@pytest.fixture(scope="module")
 def prose():
-    """A function that makes texts of so many random words."""
+    """A function that makes texts of so many random words; it starts anew in every module."""
     rng = random.Random(7)
 
     def make(n, letters="abcdefghij"):
