@@ -246,18 +246,41 @@ def jaccard_links(
     return every.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _numbered(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """Add ``__row``: the id, or a number of its own for each text of an id that has several."""
+    text = (F.xxhash64(text_column), F.xxhash64(F.lit(1), text_column))
+    key = F.col(id_column).cast("long")
+    pairs = docs.select(key.alias("__id"), F.struct(*text).alias("__text")).where("__id is not null")
+    several = F.min("__text") != F.max("__text")
+    mixed = materialize(pairs.groupBy("__id").agg(several.alias("several")).where("several").drop("several"), "mixed")
+    if mixed.isEmpty():
+        return docs.withColumn("__row", key)
+    last = pairs.agg(F.max("__id")).first()[0]
+    texts = pairs.join(broadcast_if_small(mixed)[0], "__id", "left_semi").distinct()
+    own = materialize(texts.withColumn("__own", F.lit(last) + 1 + F.monotonically_increasing_id()), "own-rows")
+    known = docs.withColumns({"__id": key, "__text": F.struct(*text)})
+    joined = known.join(broadcast_if_small(own)[0], ["__id", "__text"], "left")
+    return joined.withColumn("__row", F.coalesce("__own", "__id")).drop("__id", "__text", "__own")
+
+
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The documents with one of each linked group left, that with the smallest id; rows that
-    repeat an id are cut to one. All columns as they are."""
-    verdict = materialize(jaccard_links(docs, id_column, text_column), "jaccard")
+    """The documents with one of each linked group left, that with the smallest id; all columns as
+    they are.
+
+    An id with several texts is several documents, each judged by its text; they stay only where
+    no document with an id of its own does. Rows that repeat an id and its text are cut to one.
+    Null ids, null texts and texts without a word stay.
+    """
+    numbered = _numbered(docs, id_column, text_column)
+    verdict = materialize(jaccard_links(numbered, "__row", text_column), "jaccard")
     gone, _ = broadcast_if_small(
-        materialize(verdict.where("not kept").select(F.col("doc_id").alias("__gone")), "dropped")
+        materialize(verdict.where("not kept").select(F.col("doc_id").alias("__row")), "dropped")
     )
-    stay = docs.join(gone, docs[id_column] == gone["__gone"], "left_anti")
-    ids = stay.select(F.col(id_column).alias("__gone")).where("__gone is not null")
-    again = materialize(ids.groupBy("__gone").count().where("count > 1").select("__gone"), "repeated")
-    if again.isEmpty():
-        return stay
-    again, _ = broadcast_if_small(again)
-    once = stay.join(again, stay[id_column] == again["__gone"], "left_semi").dropDuplicates([id_column])
-    return stay.join(again, stay[id_column] == again["__gone"], "left_anti").unionByName(once)
+    stay = numbered.join(gone, "__row", "left_anti")
+    rows = stay.select("__row").where("__row is not null")
+    again = materialize(rows.groupBy("__row").count().where("count > 1").select("__row"), "repeated")
+    if not again.isEmpty():
+        again, _ = broadcast_if_small(again)
+        once = stay.join(again, "__row", "left_semi").dropDuplicates(["__row"])
+        stay = stay.join(again, "__row", "left_anti").unionByName(once)
+    return stay.select(*docs.columns)

@@ -96,6 +96,17 @@ def test_keep_one_of_each_group(spark, odd_docs, no_docs):
     assert sorted(r.doc_id for r in jaccard_join.keep_one(twice).collect()) == [1, 2]
 
 
+def test_texts_under_one_id_are_judged_each(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    near = a + " more"
+    rows = [(1, a), (1, b), (1, b), (2, near), (3, c), (4, None), (4, "word"), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(((r.doc_id, r.text) for r in jaccard_join.keep_one(docs).collect()), key=str)
+    assert kept == sorted([(1, b), (2, near), (3, c), (4, None), (4, "word"), (None, a)], key=str)
+    alone = sorted(tuple(r) for r in jaccard_join.keep_one(docs.where("doc_id = 1")).collect())
+    assert alone == [(1, a), (1, b)]
+
+
 def test_runs_reach_the_recall():
     assert jaccard_join.runs_needed(0.8, 0.999) == 3
     assert jaccard_join.runs_needed(0.6, 0.999) > 3
