@@ -9,8 +9,9 @@ byte characters, and ids decode through the inverse mapping.
 from __future__ import annotations
 
 import base64
+import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -20,9 +21,15 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Column, small_batches
+from plumbline.llm.common import DOUBTFUL, Column, small_batches
 
 CACHED_PRETOKENS = 300_000
+# Chunks and pre-tokens with their counts, in each of two generations.
+CACHED_COUNTS = 200_000
+# The usual pattern of byte-level vocabularies, a fixed value. No match of it goes on across a
+# single space between two characters that are no white space: the space begins the next one.
+SPACED_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+BEFORE_SPACE = re.compile(rf"(?<=[^\s{DOUBTFUL}])(?= [^\s{DOUBTFUL}])")
 # Longer pre-tokens are rare and not worth remembering.
 LONG_PRETOKEN = 64
 # Texts handed over at once.
@@ -80,6 +87,34 @@ def read_ranks(path: str) -> list[bytes]:
     return [tokens[rank] for rank in range(len(tokens))]
 
 
+class Remembered:
+    """Numbers by text in two generations: what is asked for again moves to the younger one."""
+
+    def __init__(self) -> None:
+        self.young: dict[str, int] = {}
+        self.old: dict[str, int] = {}
+        self.long: list[str] = []
+
+    def all(self, asked: set[str], compute: Callable[[list[str]], list[int]]) -> dict[str, int]:
+        """A table that holds all that is asked for, until ``settle`` is called."""
+        missing = asked.difference(self.young)
+        if missing:
+            new = [text for text in missing if text not in self.old]
+            self.young.update({text: self.old[text] for text in missing if text in self.old})
+            if new:
+                self.young.update(zip(new, compute(new)))
+            self.long += [text for text in missing if len(text) > LONG_PRETOKEN]
+        return self.young
+
+    def settle(self) -> None:
+        """Forget long texts, and the older generation when the younger is full."""
+        for text in self.long:
+            self.young.pop(text, None)
+        self.long.clear()
+        if len(self.young) > CACHED_COUNTS:
+            self.young, self.old = {}, self.young
+
+
 class Codec:
     """Encodes and decodes whole texts with the ranks of one file."""
 
@@ -91,6 +126,8 @@ class Codec:
         # A pre-token that is a token stays whole even where merges would not build it.
         self.whole = {token: rank for rank, token in enumerate(self.tokens)}
         self.cache: dict[str, bytes] = {}
+        self.chunks = BEFORE_SPACE.split if pattern == SPACED_PATTERN else self.split
+        self.counted, self.pretokens = Remembered(), Remembered()
 
     def _fill(self, pretokens: set[str]) -> dict[str, bytes]:
         """The ids of new pre-tokens, as the bytes of 32-bit integers."""
@@ -115,6 +152,33 @@ class Codec:
                 del known[part]
         return ids
 
+    def _counts(self, pretokens: list[str]) -> list[int]:
+        """How many ids each pre-token has; all are encoded together, a line each, as a line end
+        is in no token and so comes back as the unknown piece."""
+        raw = [p.encode() for p in pretokens]
+        shown = [r.decode("latin-1").translate(self.visible) for r in raw]
+        ids = np.array(self.model.encode("\n".join(shown)), dtype=np.int32)
+        ends = np.append(np.flatnonzero(ids == len(self.tokens)), len(ids))
+        if len(ends) != len(raw):
+            return [len(self.encode_bytes(p)) // 4 for p in pretokens]
+        sizes = np.diff(ends, prepend=-1) - 1
+        return [1 if r in self.whole else n for r, n in zip(raw, sizes.tolist())]
+
+    def _count_chunks(self, chunks: list[str]) -> list[int]:
+        parts = [self.split(chunk) for chunk in chunks]
+        known = self.pretokens.all({p for part in parts for p in part}, self._counts)
+        counts = [sum([known[p] for p in part]) for part in parts]
+        self.pretokens.settle()
+        return counts
+
+    def count(self, text: str) -> int:
+        """The number of ids, without building them."""
+        parts = self.chunks(text)
+        known = self.counted.all(set(parts), self._count_chunks)
+        total = sum([known[part] for part in parts])
+        self.counted.settle()
+        return total
+
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), dtype=np.int32).tolist()
 
@@ -163,7 +227,7 @@ def lengths(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path, pattern)
         for batch in batches:
-            found = [len(coder.encode_bytes(text.as_py())) // 4 for text in batch.column("text")]
+            found = [coder.count(text.as_py()) for text in batch.column("text")]
             arrays = [batch.column("doc_id"), pa.array(found, pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens"])
 

@@ -20,6 +20,9 @@ INPUT_BYTES = 4 << 20
 # ASCII white space: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = " \t\n\x0b\f\r"
 
+# Some Unicode versions count these as white space, others do not.
+DOUBTFUL = "\u180e\u200b\u2060\ufeff"
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

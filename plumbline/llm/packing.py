@@ -3,8 +3,8 @@
 Variable-capacity best fit: pieces go, longest first, into the open bin they fill best; when
 none has room, the permitted length that costs least is opened; at the end each bin shrinks to
 the shortest length that holds its contents. Which lengths may be *opened* is itself optimised:
-a shard is packed once for every smallest permitted opening, and the packing that costs least
-after the shrinking is kept.
+a shard is packed once for every choice of openings with the largest length among them, and the
+packing that costs least after the shrinking is kept.
 
 Pieces are dealt to shards by hash. A shard is a bounded piece of the corpus, so memory and
 task time do not grow with it; the price is one partly filled bin of each size per shard.
@@ -13,12 +13,15 @@ task time do not grow with it; the price is one partly filled bin of each size p
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions.sizing import materialize
+from plumbline.llm import byte_bpe
 from plumbline.llm.common import Column, small_batches, sorted_groups, words_of
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
@@ -39,13 +42,16 @@ def best_fit(
     capacities: Sequence[int] = CAPACITIES,
     cost: Callable[[int], float] = sequence_cost,
     smallest: int = 0,
+    openings: Sequence[int] | None = None,
 ) -> tuple[list[int], list[int]]:
     """The bin of each piece and the final capacity of each bin.
 
-    ``lengths`` descend and none is above the largest capacity. Openings below ``smallest``
-    are not considered. Ties go to the bin opened last and to the shorter capacity.
+    ``lengths`` descend and none is above the largest capacity. Only ``openings`` (default: all
+    capacities) of ``smallest`` or more are opened. Ties go to the bin opened last and to the
+    shorter capacity.
     """
     sizes = sorted(capacities)
+    opened = [c for c in sizes if c >= smallest and (openings is None or c in openings)]
     price = {c: cost(c) for c in sizes}
     unit = min(price[c] / c for c in sizes)
     roomy: dict[int, list[int]] = {}
@@ -64,7 +70,7 @@ def best_fit(
                 present ^= 1 << room
         else:
             # What an opening costs, less what its free places are worth to later pieces.
-            allowed = [c for c in sizes if c >= length and c >= smallest] or [sizes[-1]]
+            allowed = [c for c in opened if c >= length] or [sizes[-1]]
             room = min(allowed, key=lambda c: (price[c] - unit * min(c - length, rest), c))
             number = len(used)
             used.append(0)
@@ -83,8 +89,10 @@ def best_fit(
 def best_packing(
     lengths: Sequence[int], capacities: Sequence[int] = CAPACITIES, cost: Callable[[int], float] = sequence_cost
 ) -> tuple[list[int], list[int]]:
-    """The cheapest of the packings over all smallest openings; ties go to the smallest."""
-    tried = [best_fit(lengths, capacities, cost, smallest) for smallest in sorted(capacities)]
+    """The cheapest of the packings over all choices of openings; ties go to the most openings."""
+    *smaller, largest = sorted(capacities)
+    chosen = [some for n in range(len(smaller), -1, -1) for some in combinations(smaller, n)]
+    tried = (best_fit(lengths, capacities, cost, openings=(*some, largest)) for some in chosen)
     return min(tried, key=lambda t: sum(map(cost, t[1])))
 
 
@@ -116,7 +124,8 @@ def pack(
     """One row per piece: ``doc_id``, ``piece``, ``start``, ``length``, ``bin_id``,
     ``bin_offset``, ``bin_capacity``, ``bin_used``.
 
-    ``length`` counts a document's places (default: its words and a separator). Documents
+    ``length`` counts a document's places (default: its words and a separator) and is read twice, so a
+    costly one should be stored. Documents
     of no length have no row. Null ids and repeated rows are packed like others; other columns
     are ignored.
     """
@@ -124,9 +133,11 @@ def pack(
     sizes = tuple(sorted(capacities))
     length = word_length(F.col("text")) if length is None else length
     cut = pieces(docs, length, sizes[-1], id_column)
-    shards = max(1, -(-docs.count() // shard_pieces))
-    shard = F.pmod(F.xxhash64("doc_id", "piece", "length"), F.lit(shards)).cast("int")
-    dealt = cut.withColumn("shard", shard).repartition("shard")
+    shards = max(1, -(-cut.count() // shard_pieces))
+    # The number of the row tells apart null ids and rows that repeat.
+    row = F.monotonically_increasing_id()
+    shard = F.pmod(F.xxhash64("doc_id", "piece", "length", row), F.lit(shards)).cast("int")
+    dealt = cut.withColumn("shard", shard).repartition(shards, "shard")
     dealt = dealt.sortWithinPartitions("shard", F.desc("length"), "doc_id", "piece")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,3 +170,10 @@ def pack(
         "bin_id long, bin_offset long, bin_capacity long, bin_used long"
     )
     return dealt.select("doc_id", "piece", "start", "length", "shard").mapInArrow(run, schema)
+
+
+def pack_tokens(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id") -> DataFrame:
+    """``pack`` by the tokens of every whole text under the ranks of a file, and a separator each."""
+    counted = byte_bpe.lengths(docs, path, pattern, id_column)
+    # Written, as the lengths are read twice.
+    return pack(materialize(counted, "lengths"), F.col("n_tokens") + SEPARATOR)

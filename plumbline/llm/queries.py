@@ -7,7 +7,6 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.functions.sizing import materialize
 from plumbline.llm import (
     byte_bpe,
     chat_format,
@@ -84,9 +83,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    counted = byte_bpe.lengths(load(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    # Written, as the packing reads the lengths twice.
-    return packing.pack(materialize(counted, "lengths"), F.col("n_tokens") + packing.SEPARATOR)
+    return packing.pack_tokens(load(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
 # Tokens ---------------------------------------------------------------------------------

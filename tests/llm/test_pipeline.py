@@ -1,6 +1,9 @@
+import base64
 import os
 
+import public_tokenizers
 import pytest
+import tiktoken
 
 import corpus_pipeline
 from plumbline.llm import jaccard_join, packing, quality_rules, registry, toxicity
@@ -45,11 +48,19 @@ def test_stages_follow_each_other(spark, data):
     words = {}
     for r in rows:
         words[r.doc_id] = words.get(r.doc_id, 0) + r.length
-    assert words == {i: len(quality_words(texts[i])) + packing.SEPARATOR for i in expected}
+    path = public_tokenizers.path(corpus_pipeline.RANKS)
+    with open(path, "rb") as file:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    assert words == {i: len(library.encode_ordinary(texts[i])) + packing.SEPARATOR for i in expected}
 
 
-def quality_words(text):
-    return [w for w in text.translate(str.maketrans("\t\n\x0b\f\r", " " * 5)).split(" ") if w]
+def test_long_texts_without_white_space_fill_their_sequences(spark, data):
+    text = "".join(chr(0x4E00 + (i * i) % 20_000) for i in range(12_000))
+    docs = spark.createDataFrame([(1, text, "zh", "web", len(text))], "doc_id long, text string, lang string, source string, n_chars long")
+    rows = corpus_pipeline.STAGES[-1][1](spark, docs, data).collect()
+    assert sum(r.length for r in rows) > 12_000
+    assert all(r.bin_used <= r.bin_capacity <= 8192 for r in rows)
 
 
 def test_stages_keep_columns_and_take_odd_rows(spark, odd_docs, no_docs, data):
