@@ -7,12 +7,16 @@ Parquet to the shared folder and read again.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.functions.sizing import materialize
 from plumbline.llm import jaccard_join, packing, quality_rules, toxicity
 from plumbline.llm.common import load
 
+# The vocabulary whose tokens fill the sequences.
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the current quality policy."""
@@ -30,8 +34,8 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of every document and the sequences they lie in."""
-    return packing.pack(docs)
+    """The pieces of every document and the sequences they lie in, by exact token counts."""
+    return packing.pack_tokens(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
 STAGES = [
