@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalog.common import load
 from plumbline.functions.sizing import shared_dir
@@ -13,6 +14,7 @@ from plumbline.operators import reads, validation, writes
 from plumbline.sources.schema import Field, Schema
 from plumbline.sources.table import Table
 from plumbline.streaming.change_stream import ChangeStream
+from plumbline.streaming.keyed_changes import CLOSE, KeyedChanges
 
 def parts(spark, sf_dir):
     return load(spark, sf_dir, "part").withColumnRenamed("p_partkey", "id")
@@ -150,7 +152,7 @@ EVENT_OPERATIONS = {
 }
 
 
-def event_changes(events):
+def event_changes(events, *more):
     """Events as changes; a purchase carries only its value. Two in five users are named by an
     id that no document has at first."""
     known = F.when(F.pmod("user_id", F.lit(5)) >= 2, F.col("user_id")).otherwise(-F.col("user_id"))
@@ -166,6 +168,7 @@ def event_changes(events):
         "value",
         kind.alias("kind"),
         carried.alias("_set"),
+        *more,
     )
 
 
@@ -193,6 +196,44 @@ def changes_stream(spark, sf_dir):
     return stream.current(event_accounts(spark, sf_dir), flow.schema).table
 
 
+# The events of `changes_keyed` arrive in so many batches; some come one batch late, some three.
+ARRIVALS = 5
+
+
+def arriving(events):
+    """Events with the batch they arrive in, and the width of a batch in microseconds."""
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(at), F.max(at)).first()
+    width = ((high or 0) - (low or 0)) // ARRIVALS + 1
+    lag = F.when(F.col("event_id") % 50 == 7, 3).when(F.col("event_id") % 10 == 3, 1).otherwise(0)
+    batch = F.floor((at - F.lit(low or 0)) / width) + lag
+    return events.withColumn("batch", F.least(batch, F.lit(ARRIVALS + 1)).cast("int")), width
+
+
+def changes_keyed(spark, sf_dir):
+    """What becomes of every event when they stream in out of order, each id by its own state."""
+    root = f"{shared_dir(spark).rstrip('/')}/plumbline/stream-{uuid.uuid4().hex}"
+    events, width = arriving(load(spark, sf_dir, "events"))
+    changes = event_changes(events, "ts", "batch")
+    stored = event_accounts(spark, sf_dir).select(
+        F.lit(-1).cast("long").alias("seq"), "id", F.lit("upsert").alias("op"), "value", "kind",
+        F.lit(None).cast("array<string>").alias("_set"), F.timestamp_seconds(F.lit(0)).alias("ts"),
+    )
+    ids = changes.select("id").union(stored.select("id")).distinct()
+    last = ids.withColumns({"seq": F.lit(-2).cast("long"), "op": F.lit(CLOSE), "ts": F.timestamp_seconds(F.lit(0))})
+    shape = stored.schema
+    fields = T.StructType([shape["value"], shape["kind"]])
+    stream = KeyedChanges(fields, width)
+    steps = [stored, *(changes.where(F.col("batch") == n).drop("batch") for n in range(ARRIVALS + 2)), last]
+    for step in steps:
+        missing = [c for c in shape.names if c not in step.columns]
+        step = step.withColumns({c: F.lit(None).cast(shape[c].dataType) for c in missing})
+        step.select(*(F.col(c).cast(shape[c].dataType) for c in shape.names)).write.mode("append").parquet(f"{root}/in")
+        flow = spark.readStream.schema(shape).parquet(f"{root}/in")
+        stream.start(flow, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return stream.settled(spark, f"{root}/out").where("seq >= 0").select("seq", "id", "op", "outcome")
+
+
 def _loose_batch(spark, sf_dir):
     """Vectors and label facts joined loosely: gaps, odd lengths, undeclared fields."""
     docs = load(spark, sf_dir, "documents")
@@ -338,6 +379,7 @@ QUERIES = {
     "changes_apply": changes_apply,
     "changes_results": changes_results,
     "changes_stream": changes_stream,
+    "changes_keyed": changes_keyed,
     "validate_batch": validate_batch,
     "validate_counts": validate_counts,
     "merge_docs": merge_docs,
@@ -380,6 +422,26 @@ _REPLAYED = f"""
     WITH RECURSIVE {_CHANGES}
     SELECT id, value, kind FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY n DESC) AS last FROM w)
     WHERE last = 1 AND here"""
+# An event is late when its id has applied what is as new, after the batches before.
+_KEYED = f"""
+    WITH RECURSIVE t AS (SELECT c_custkey AS id FROM customer),
+    b AS (SELECT min(epoch_us(ts)) AS low, (max(epoch_us(ts)) - min(epoch_us(ts))) // {ARRIVALS} + 1 AS width FROM events),
+    a AS (SELECT event_id AS seq, CASE WHEN user_id % 5 >= 2 THEN user_id ELSE -user_id END AS id, epoch_us(ts) AS us, width,
+            CASE event_type WHEN 'signup' THEN 'insert' WHEN 'view' THEN 'upsert' WHEN 'error' THEN 'delete'
+              ELSE 'update' END AS op,
+            least((epoch_us(ts) - low) // width + CASE WHEN event_id % 50 = 7 THEN 3 WHEN event_id % 10 = 3 THEN 1 ELSE 0 END,
+              {ARRIVALS + 1}) AS batch FROM events, b),
+    l AS (SELECT *, us <= coalesce(max(us) OVER before, -1) - width AS late FROM a
+          WINDOW before AS (PARTITION BY id ORDER BY batch RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    e AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY us, seq) AS n FROM l WHERE NOT late),
+    w AS (SELECT i.id, 0::BIGINT AS n, t.id IS NOT NULL AS here, NULL::BIGINT AS seq, NULL::BOOLEAN AS ok
+          FROM (SELECT id FROM e UNION SELECT id FROM t) i LEFT JOIN t ON i.id = t.id
+          UNION ALL
+          SELECT w.id, e.n, CASE e.op WHEN 'delete' THEN false WHEN 'update' THEN w.here ELSE true END, e.seq,
+            CASE e.op WHEN 'upsert' THEN true WHEN 'insert' THEN NOT w.here ELSE w.here END
+          FROM w JOIN e ON e.id = w.id AND e.n = w.n + 1)
+    SELECT l.seq, l.id, l.op, CASE WHEN late THEN 'late' WHEN ok THEN 'ok' WHEN op = 'insert' THEN 'alreadyExists'
+      ELSE 'notFound' END AS outcome FROM l LEFT JOIN w ON w.seq = l.seq"""
 _LOOSE = """
     b AS (SELECT CASE WHEN lang <> 'es' THEN d.doc_id::VARCHAR ELSE ' ' END AS id, quality, label, n_chars,
             vec_id IS NOT NULL AS stored
@@ -446,6 +508,7 @@ ORACLES = {
         SELECT seq, id, op, ok, CASE WHEN ok THEN NULL WHEN op = 'insert' THEN 'alreadyExists'
           ELSE 'notFound' END AS error_code FROM w WHERE n > 0""",
     "changes_stream": _REPLAYED,
+    "changes_keyed": _KEYED,
     "validate_batch": f"WITH {_LOOSE} SELECT id, field, rule FROM v",
     "validate_counts": f"WITH {_LOOSE} SELECT field, rule, count(*) AS n FROM v GROUP BY field, rule",
     "merge_docs": """
