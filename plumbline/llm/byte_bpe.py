@@ -25,7 +25,7 @@ from plumbline.llm.common import DOUBTFUL, Column, small_batches
 
 CACHED_PRETOKENS = 300_000
 # Chunks and pre-tokens with their counts, in each of two generations.
-CACHED_COUNTS = 200_000
+CACHED_COUNTS = 500_000
 # The usual pattern of byte-level vocabularies, a fixed value. No match of it goes on across a
 # single space between two characters that are no white space: the space begins the next one.
 SPACED_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
