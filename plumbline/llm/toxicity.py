@@ -36,14 +36,14 @@ MAX_POSITIVE = 4_000
 MAX_UNLABELLED = 8_000
 
 BUCKETS = 1 << 20
-# A word enters the model when it is in so many confirmed texts, and when chance would bring any
-# of the words tried into so many with no more than this probability.
+# A word enters the model when it is in so many confirmed texts, and when chance brings no more than
+# this many words, of all that are tried, into as many.
 MIN_TEXTS = 3
-CHANCE = 0.01
+CHANCE = 0.5
 
-STEPS = 1500
+STEPS = 1000
 RATE = 0.05
-PENALTY = 1e-6
+PENALTY = 3e-6
 # How far the corrected negative risk may fall below zero before its gradient is turned.
 SLACK = 0.0
 TURN = 0.5
