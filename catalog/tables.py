@@ -179,6 +179,14 @@ def changes_apply(spark, sf_dir):
     return done.table
 
 
+def changes_by_day(spark, sf_dir):
+    """Changes in the order of their day first; a day of one id is cut into several chunks."""
+    day = F.col("ts").cast("date").alias("day")
+    changes = event_changes(load(spark, sf_dir, "events"), day)
+    done = replay.apply_changes(event_accounts(spark, sf_dir), changes, order=("day", "seq"), chunks=64)
+    return done.results.select("seq", "id", "op", "ok", "error_code")
+
+
 def changes_results(spark, sf_dir):
     done = replay.apply_changes(event_accounts(spark, sf_dir), event_changes(load(spark, sf_dir, "events")))
     return done.results.select("seq", "id", "op", "ok", "error_code")
@@ -378,6 +386,7 @@ QUERIES = {
     "write_summary": write_summary,
     "changes_apply": changes_apply,
     "changes_results": changes_results,
+    "changes_by_day": changes_by_day,
     "changes_stream": changes_stream,
     "changes_keyed": changes_keyed,
     "validate_batch": validate_batch,
@@ -507,6 +516,10 @@ ORACLES = {
         WITH RECURSIVE {_CHANGES}
         SELECT seq, id, op, ok, CASE WHEN ok THEN NULL WHEN op = 'insert' THEN 'alreadyExists'
           ELSE 'notFound' END AS error_code FROM w WHERE n > 0""",
+    "changes_by_day": f"""
+        WITH RECURSIVE {_CHANGES.replace("ORDER BY event_id", "ORDER BY ts::DATE, event_id")}
+        SELECT seq, id, op, ok, CASE WHEN ok THEN NULL WHEN op = 'insert' THEN 'alreadyExists'
+          ELSE 'notFound' END AS error_code FROM w WHERE n > 0""",
     "changes_stream": _REPLAYED,
     "changes_keyed": _KEYED,
     "validate_batch": f"WITH {_LOOSE} SELECT id, field, rule FROM v",

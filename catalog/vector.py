@@ -294,6 +294,15 @@ def index_rebuilt(spark, sf_dir):
     return shown(search_stored(table, "embedding", as_queries(vectors(spark, sf_dir)), K, effort=16))
 
 
+def index_compacted(spark, sf_dir):
+    """After writes, a compaction and more writes the index still answers, built only once."""
+    table = _changed_table(spark, sf_dir, "ivf", cells=16).compact()
+    table = table.delete_where("label = 8").compact()
+    gone = vectors(spark, sf_dir).where("label = 9").select(F.col("id").cast("string").alias("id"))
+    table, _ = table.delete(gone.withColumn("pos", F.monotonically_increasing_id()))
+    return shown(search_stored(table, "embedding", as_queries(vectors(spark, sf_dir)), K, effort=16))
+
+
 def ivf_filtered_stored(spark, sf_dir):
     """Filter, bound and output through a stored index whose field was renamed."""
     table = _changed_table(spark, sf_dir, "ivf", cells=16).alter_column("embedding", new_name="vector")
@@ -433,6 +442,7 @@ QUERIES = {
     "approximate_live": _live("approximate"),
     "quantized_live": _live("flat", quantization="int8"),
     "index_rebuilt": index_rebuilt,
+    "index_compacted": index_compacted,
     "ivf_filtered_stored": ivf_filtered_stored,
     "insert_invalid": insert_invalid,
     "index_reopen": index_reopen,
@@ -533,6 +543,9 @@ ORACLES = {
     "approximate_live": _LIVE,
     "quantized_live": _LIVE,
     "index_rebuilt": _LIVE,
+    "index_compacted": sql_top(
+        f"{_CHANGED.replace('FROM w', 'FROM w WHERE label < 8')}, {SQL_QUERIES}", SQL_SCORE["cosine"], K
+    ),
     "ivf_filtered_stored": sql_top(
         f"{_CHANGED.replace('FROM w', 'FROM w WHERE label >= 2')}, {SQL_QUERIES}",
         SQL_SCORE["cosine"] + " AS s, d.label AS label",

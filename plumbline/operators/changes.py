@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from plumbline.errors import AlreadyExists, InvalidArgument, NotFound
 from plumbline.functions.sizing import broadcast_if_small, materialize
@@ -29,26 +27,18 @@ class Applied:
     table: DataFrame
 
 
-def _cuts(changes: DataFrame, seq: str, chunks: int | None) -> list[float]:
-    """Sequence values that cut the changes into chunks of similar size.
+def _chunked(changes: DataFrame, order: tuple[str, ...], chunks: int | None) -> DataFrame:
+    """Add ``_chunk``: ranges of the whole order with similar numbers of rows.
 
-    One busy id gets as many of the cuts as its share of the rows.
+    One busy id, also with a single date, gets as many of the chunks as its share of the rows.
     """
     if chunks is None:
         chunks = -(-changes.count() // ROWS_PER_CHUNK)
     if chunks <= 1:
-        return []
-    shares = [i / chunks for i in range(1, chunks)]
-    return sorted(set(changes.approxQuantile(seq, shares, 1 / (4 * chunks))))
-
-
-def _comparable(changes: DataFrame, seq: str) -> F.Column:
-    dtype = changes.schema[seq].dataType
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(seq).cast("timestamp")).cast("double")
-    if isinstance(dtype, T.NumericType):
-        return F.col(seq).cast("double")
-    raise InvalidArgument("the sequence column must be a number or a timestamp")
+        return changes.withColumn("_chunk", F.lit(0))
+    ranged = changes.repartitionByRange(chunks, *order).withColumn("_chunk", F.spark_partition_id())
+    # Stored, as ranges are sampled anew whenever they are asked for.
+    return materialize(ranged, "chunked-changes")
 
 
 def judge(
@@ -61,17 +51,10 @@ def judge(
     """The changes with ``ok``: did the operation find the state it needs?
 
     Whether a document exists before a change follows from the last insert, upsert or
-    delete before it. That is looked up inside a chunk of the sequence, then carried from
+    delete before it. That is looked up inside a chunk of the order, then carried from
     earlier chunks, so the history of one id is never sorted in one piece.
     """
-    numbered = changes.withColumn("_at", _comparable(changes, order[0]))
-    cuts = _cuts(numbered, "_at", chunks)
-    if cuts:
-        edges = [float("-inf"), *cuts, float("inf")]
-        keyed = Bucketizer(splits=edges, inputCol="_at", outputCol="_chunk").transform(numbered)
-    else:
-        keyed = numbered.withColumn("_chunk", F.lit(0.0))
-    keyed = keyed.drop("_at")
+    keyed = _chunked(changes, order, chunks)
     leaves = F.when(F.col("op").isin("insert", "upsert"), True).when(F.col("op") == "delete", False)
     keyed = keyed.withColumn("_leaves", leaves)
 

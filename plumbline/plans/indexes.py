@@ -105,7 +105,7 @@ def _rows(table: Table, stored: StoredIndex, schema: str) -> DataFrame:
 
 
 def rebuild_indexes(table: Table) -> Table:
-    """Build every stored index again, as after ``compact``, whose files none of them covers."""
+    """Build every stored index again, so that rows written since are searched through it too."""
     for stored in table.version.indexes:
         table = create_index(table, stored.name, table.schema[stored.name].index)
     return table
@@ -160,8 +160,8 @@ def search_stored(
     """Top ``k`` live rows through whichever vector index the field has.
 
     Rows written since the build are searched exactly and rows removed since are left out, so
-    a search is never behind the table. The exact scan answers without an index, when
-    ``linear`` asks for it, and after a compaction until ``rebuild_indexes``. Probed cells for ``ivf`` and
+    a search is never behind the table; a compaction changes nothing in that. The exact scan
+    answers without an index and when ``linear`` asks for it. Probed cells for ``ivf`` and
     least candidates for ``approximate`` follow ``effort``.
     """
     settings = table.schema[name].index or index_settings("flat")

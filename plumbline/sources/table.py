@@ -41,14 +41,15 @@ class Part:
 
 @dataclass(frozen=True)
 class StoredIndex:
-    """An index of field ``name``: where it is, the column it was built on, and the base and
-    number of layers it covers."""
+    """An index of field ``name``: where it is, the column it was built on, the base and number of
+    layers it covers, and the folder of ids that changed after it before the base was made."""
 
     name: str
     path: str
     column: str
     base: str
     layers: int
+    changed: str = ""
 
 
 @dataclass(frozen=True)
@@ -266,16 +267,29 @@ class Table:
     # -- maintenance -------------------------------------------------------------------
 
     def compact(self, files: int | None = None) -> Table:
-        """Fold base and layers into well-sized files ordered by id; the rows stay equal."""
+        """Fold base and layers into well-sized files ordered by id; the rows stay equal.
+
+        Indexes know rows by their ids, so they stay in use: the ids that changed since an index was
+        built are written beside the new base.
+        """
         rows = self.scan()
         if files is None:
             files = max(1, -(-measured_bytes(rows) // TARGET_FILE_BYTES))
         ordered = rows.repartitionByRange(int(files), "id").sortWithinPartitions("id")
         base = self._store(ordered, "data")
+        indexes = tuple(self._carried(index, base) for index in self.version.indexes)
         return self._commit(
-            replace(self.version, number=self.version.number + 1, base=base, layers=())
+            replace(self.version, number=self.version.number + 1, base=base, layers=(), indexes=indexes)
         )
 
+    def _carried(self, index: StoredIndex, base: Part) -> StoredIndex:
+        if not self.covers(index):
+            return index
+        changed, kept = self.changed_since(index), index.changed
+        if changed is not None and self.version.layers[index.layers :]:
+            kept = self._store(changed, "changed").path
+        return replace(index, base=base.path, layers=0, changed=kept)
+
     def statistics(self) -> DataFrame:
         """``(documents)``: the number of live rows."""
         return self.scan().agg(F.count("*").alias("documents"))
@@ -284,15 +298,17 @@ class Table:
         return next((i for i in self.version.indexes if i.name == name), None)
 
     def covers(self, index: StoredIndex) -> bool:
-        """False once the rows an index was built on have been folded into new files."""
+        """Whether what changed since an index was built is known."""
         return index.base == self.version.base.path
 
     def changed_since(self, index: StoredIndex) -> DataFrame | None:
         """Ids written or removed after an index was built; None when there are none."""
         later = self.version.layers[index.layers :]
-        if not later:
-            return None
         ids = [self._read(part, layered=True).select("id") for part in later]
+        if index.changed:
+            ids.append(self.spark.read.schema("id string").parquet(f"{self.path}/{index.changed}"))
+        if not ids:
+            return None
         return reduce(DataFrame.unionByName, ids).distinct()
 
     def index_statistics(self) -> DataFrame:

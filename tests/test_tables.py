@@ -320,6 +320,13 @@ def test_stored_index_answers_over_live_rows(spark, path, kind, more):
     assert renamed.index_statistics().count() == 1
     folded = renamed.compact()
     assert found(folded, "vector") == expected
+    # Twice, and with a write in between; the index is asked and not the table alone.
+    stored = folded.stored_index("vector")
+    assert folded.covers(stored) and stored.changed and not folded.version.layers
+    assert Table.open(spark, path).compact().compact().stored_index("vector").changed == stored.changed
+    folded = Table.open(spark, path)
+    assert found(folded, "vector") == expected
+    assert folded.index_statistics().first()["completeness"] < 1.0
     again = rebuild_indexes(folded)
     assert found(again, "vector") == expected
     assert again.index_statistics().first()["completeness"] == 1.0

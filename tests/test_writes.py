@@ -155,6 +155,21 @@ def test_change_replay_equals_row_by_row(spark, seed, chunks):
     assert content(live).items() <= state.items()
 
 
+def test_one_id_on_one_date_is_cut_into_chunks(spark):
+    rng = random.Random(9)
+    ops = ["insert", "update", "upsert", "delete"]
+    changes = [(seq, "k0", rng.choice(ops), seq, "z", ["a"]) for seq in range(300)]
+    state, ok = _replay_in_order({}, changes)
+    table = spark.createDataFrame([], ROWS)
+    frame = spark.createDataFrame(changes, "seq long, id string, op string, a int, b string, _set array<string>")
+    frame = frame.selectExpr("*", "date'2024-01-01' AS day").repartition(7)
+    sizes = [r["count"] for r in replay._chunked(frame, ("day", "seq"), 10).groupBy("_chunk").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) <= 60
+    done = replay.apply_changes(table, frame, order=("day", "seq"), chunks=10)
+    assert content(done.table) == state
+    assert {r["seq"]: r["ok"] for r in done.results.collect()} == ok
+
+
 def test_browse(spark):
     rows = [("a", 3, "t"), ("b", 2, "u"), ("c", 1, "v")]
     docs = spark.createDataFrame(rows, ROWS)
