@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from plumbline.llm.common import DOUBTFUL, Column, small_batches
 
 CACHED_PRETOKENS = 300_000
-# Chunks and pre-tokens with their counts, in each of two generations.
-CACHED_COUNTS = 500_000
+# Chunks, and the pre-tokens of new ones, with their counts, in each of two generations.
+CACHED_COUNTS = 340_000
+CACHED_PARTS = 60_000
 # The usual pattern of byte-level vocabularies, a fixed value. No match of it goes on across a
 # single space between two characters that are no white space: the space begins the next one.
 SPACED_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -90,7 +91,8 @@ def read_ranks(path: str) -> list[bytes]:
 class Remembered:
     """Numbers by text in two generations: what is asked for again moves to the younger one."""
 
-    def __init__(self) -> None:
+    def __init__(self, most: int) -> None:
+        self.most = most
         self.young: dict[str, int] = {}
         self.old: dict[str, int] = {}
         self.long: list[str] = []
@@ -111,7 +113,7 @@ class Remembered:
         for text in self.long:
             self.young.pop(text, None)
         self.long.clear()
-        if len(self.young) > CACHED_COUNTS:
+        if len(self.young) > self.most:
             self.young, self.old = {}, self.young
 
 
@@ -127,7 +129,7 @@ class Codec:
         self.whole = {token: rank for rank, token in enumerate(self.tokens)}
         self.cache: dict[str, bytes] = {}
         self.chunks = BEFORE_SPACE.split if pattern == SPACED_PATTERN else self.split
-        self.counted, self.pretokens = Remembered(), Remembered()
+        self.counted, self.pretokens = Remembered(CACHED_COUNTS), Remembered(CACHED_PARTS)
 
     def _fill(self, pretokens: set[str]) -> dict[str, bytes]:
         """The ids of new pre-tokens, as the bytes of 32-bit integers."""
@@ -218,14 +220,24 @@ def encode(
 
 
 def lengths(
-    docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    remembered: int = CACHED_COUNTS,
 ) -> DataFrame:
-    """``doc_id`` and ``n_tokens``, the number of ids of every whole text; rows as in ``encode``."""
+    """``doc_id`` and ``n_tokens``, the number of ids of every whole text; rows as in ``encode``.
+
+    A worker remembers the counts of up to twice ``remembered`` chunks: fewer take less memory and
+    more time.
+    """
     small_batches(docs.sparkSession)
     chosen = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(text_column, F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path, pattern)
+        coder.counted.most = remembered
         for batch in batches:
             found = [coder.count(text.as_py()) for text in batch.column("text")]
             arrays = [batch.column("doc_id"), pa.array(found, pa.int64())]

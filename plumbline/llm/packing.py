@@ -172,8 +172,14 @@ def pack(
     return dealt.select("doc_id", "piece", "start", "length", "shard").mapInArrow(run, schema)
 
 
-def pack_tokens(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id") -> DataFrame:
+def pack_tokens(
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    id_column: str = "doc_id",
+    remembered: int = byte_bpe.CACHED_COUNTS,
+) -> DataFrame:
     """``pack`` by the tokens of every whole text under the ranks of a file, and a separator each."""
-    counted = byte_bpe.lengths(docs, path, pattern, id_column)
+    counted = byte_bpe.lengths(docs, path, pattern, id_column, remembered=remembered)
     # Written, as the lengths are read twice.
     return pack(materialize(counted, "lengths"), F.col("n_tokens") + SEPARATOR)
