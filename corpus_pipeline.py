@@ -16,6 +16,8 @@ from plumbline.llm.common import load
 
 # The vocabulary whose tokens fill the sequences.
 RANKS = "byte_bpe_multi_50k.tiktoken"
+# Few chunks, as the workers of a long job hold memory from the stages before.
+REMEMBERED = 50_000
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +37,8 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of every document and the sequences they lie in, by exact token counts."""
-    return packing.pack_tokens(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    ranks, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
+    return packing.pack_tokens(docs, ranks, pattern, remembered=REMEMBERED)
 
 
 STAGES = [
