@@ -21,7 +21,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import DOUBTFUL, Column, small_batches
+from plumbline.llm.common import DOUBTFUL, Column, give_back, small_batches
 
 CACHED_PRETOKENS = 300_000
 # Chunks, and the pre-tokens of new ones, with their counts, in each of two generations.
@@ -226,11 +226,13 @@ def lengths(
     id_column: str = "doc_id",
     text_column: str = "text",
     remembered: int = CACHED_COUNTS,
+    release: bool = False,
 ) -> DataFrame:
     """``doc_id`` and ``n_tokens``, the number of ids of every whole text; rows as in ``encode``.
 
     A worker remembers the counts of up to twice ``remembered`` chunks: fewer take less memory and
-    more time.
+    more time. With ``release`` it gives the vocabulary and the counts back at the end of each task
+    and reads the vocabulary again in the next one, for jobs whose later stages need the memory.
     """
     small_batches(docs.sparkSession)
     chosen = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(text_column, F.lit("")).alias("text"))
@@ -242,6 +244,10 @@ def lengths(
             found = [coder.count(text.as_py()) for text in batch.column("text")]
             arrays = [batch.column("doc_id"), pa.array(found, pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens"])
+        if release:
+            del coder
+            codec.cache_clear()
+            give_back()
 
     kind = chosen.schema["doc_id"].dataType.simpleString()
     return chosen.mapInArrow(run, f"doc_id {kind}, n_tokens long")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,6 +36,16 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(INPUT_BYTES))
 
 
+def give_back() -> None:
+    """Return what a worker has freed to the system: workers are kept between tasks, and idle ones
+    share an executor's memory with those of later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` over ``value``, which is computed once per row however often it is used."""
     return F.transform(F.array(value), body)[0]

@@ -178,8 +178,10 @@ def pack_tokens(
     pattern: str,
     id_column: str = "doc_id",
     remembered: int = byte_bpe.CACHED_COUNTS,
+    release: bool = False,
 ) -> DataFrame:
-    """``pack`` by the tokens of every whole text under the ranks of a file, and a separator each."""
-    counted = byte_bpe.lengths(docs, path, pattern, id_column, remembered=remembered)
+    """``pack`` by the tokens of every whole text under the ranks of a file, and a separator each;
+    ``remembered`` and ``release`` as in ``byte_bpe.lengths``."""
+    counted = byte_bpe.lengths(docs, path, pattern, id_column, remembered=remembered, release=release)
     # Written, as the lengths are read twice.
     return pack(materialize(counted, "lengths"), F.col("n_tokens") + SEPARATOR)

@@ -126,3 +126,12 @@ def test_the_query_counts_tokens_also_without_white_space(spark, tmp_path):
         found[r.doc_id] += r.length
     assert found == {i: len(coder.encode(t or "")) + packing.SEPARATOR for i, t in enumerate(texts)}
     assert found[0] > 8192 and found[1] > 8192
+
+
+def test_counts_stay_the_same_when_memory_is_given_back(spark):
+    texts = [None, "", "a", "one two three " * 400, "x" * 3000] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    kept = byte_bpe.lengths(docs, path, pattern)
+    given = byte_bpe.lengths(docs, path, pattern, remembered=10, release=True)
+    assert sorted(kept.collect()) == sorted(given.collect())
