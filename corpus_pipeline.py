@@ -16,7 +16,7 @@ from plumbline.llm.common import load
 
 # The vocabulary whose tokens fill the sequences.
 RANKS = "byte_bpe_multi_50k.tiktoken"
-# Few chunks, as the workers of a long job hold memory from the stages before.
+# Few chunks, and given back after each task: workers of a long job share memory with other stages.
 REMEMBERED = 50_000
 
 
@@ -38,7 +38,7 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of every document and the sequences they lie in, by exact token counts."""
     ranks, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    return packing.pack_tokens(docs, ranks, pattern, remembered=REMEMBERED)
+    return packing.pack_tokens(docs, ranks, pattern, remembered=REMEMBERED, release=True)
 
 
 STAGES = [
