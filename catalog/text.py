@@ -11,7 +11,7 @@ from plumbline.functions.sizing import shared_dir
 from plumbline.operators import fulltext
 from plumbline.operators.fulltext import Analyzer, build_text_index, search_index, search_scan
 from plumbline.operators.sparse import sparse_knn
-from plumbline.plans.indexes import create_index, rebuild_indexes, search_text_stored
+from plumbline.plans.indexes import create_index, hybrid_stored, rebuild_indexes, search_text_stored
 from plumbline.plans.search import SubQuery, hybrid_search
 from plumbline.sources.schema import Field, Schema, index_settings
 from plumbline.sources.table import Table
@@ -170,6 +170,31 @@ def hybrid_rrf(spark, sf_dir):
     return _hybrid(spark, sf_dir)
 
 
+HYBRID_SCHEMA = Schema(
+    "texts and vectors",
+    (
+        Field("text", "string", nullable=True),
+        Field("lang", "string", nullable=True),
+        Field("embedding", "vectorFloat32", nullable=True, dim=64),
+    ),
+)
+CELLS = 16
+
+
+def hybrid_indexes(spark, sf_dir):
+    """Both parts through stored indexes, with German gone since they were built."""
+    stored = load(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    docs = documents(spark, sf_dir).select("id", "text", "lang").join(stored, "id", "left")
+    path = f"{shared_dir(spark).rstrip('/')}/plumbline/table-{uuid.uuid4().hex}"
+    table = create_index(Table.create(spark, path, HYBRID_SCHEMA, docs), "text", index_settings("fulltext"))
+    table = create_index(table, "embedding", index_settings("ivf", metric="cosine", cells=CELLS))
+    table = table.delete_where("lang = 'de'")
+    texts = benchmark(spark, sf_dir)
+    asked = texts.join(stored, F.col("qid") == F.col("id")).select("qid", F.col("embedding").alias("qvec"))
+    subs = [SubQuery("dense", "embedding", asked, CANDIDATES), SubQuery("text", "text", texts, CANDIDATES)]
+    return shown(hybrid_stored(table, subs, K, effort=CELLS))
+
+
 def hybrid_weighted(spark, sf_dir):
     return _hybrid(spark, sf_dir, where="lang = 'en'", weights=[0.4, 0.6])
 
@@ -193,6 +218,7 @@ QUERIES = {
     "fts_rebuilt": fts_rebuilt,
     "hybrid_sparse": hybrid_sparse,
     "hybrid_rrf": hybrid_rrf,
+    "hybrid_stored": hybrid_indexes,
     "hybrid_weighted": hybrid_weighted,
 }
 
@@ -252,11 +278,14 @@ _ENGLISH = "d.lang = 'en' AND d.n_chars >= 500"
 _OR = f"WITH {_sql_corpus(_DOCS)}, {_sql_roles(_BENCH)}, {_sql_scored()} {_SHOW}"
 
 
-def _sql_hybrid(fused: str, keep: str = "TRUE") -> str:
-    docs = (
-        "SELECT doc_id AS id, text, lang, embedding::DOUBLE[] AS v "
-        "FROM documents LEFT JOIN embeddings ON doc_id = vec_id"
-    )
+_BOTH = (
+    "SELECT doc_id AS id, text, lang, embedding::DOUBLE[] AS v "
+    "FROM documents LEFT JOIN embeddings ON doc_id = vec_id"
+)
+_RRF = "SELECT qid, id, 1.0::DOUBLE / (60 + rank) AS s FROM x UNION ALL SELECT qid, id, 1.0::DOUBLE / (60 + rank) FROM y"
+
+
+def _sql_hybrid(fused: str, keep: str = "TRUE", docs: str = _BOTH) -> str:
     return f"""
         WITH {_sql_corpus(docs)}, {_sql_roles(_BENCH)}, {_sql_scored(keep)},
         x AS (SELECT qid, id, s, rank FROM r WHERE rank <= {CANDIDATES}),
@@ -323,8 +352,11 @@ ORACLES = {
         s AS (SELECT qid, id, sum(d.val * q.val) AS s FROM d JOIN q ON d.idx = q.idx GROUP BY qid, id),
         r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(s, 9) DESC, id)::INT AS rank FROM s)
         {_SHOW}""",
-    "hybrid_rrf": _sql_hybrid(
-        "SELECT qid, id, 1.0::DOUBLE / (60 + rank) AS s FROM x UNION ALL SELECT qid, id, 1.0::DOUBLE / (60 + rank) FROM y"
+    "hybrid_rrf": _sql_hybrid(_RRF),
+    "hybrid_stored": _sql_hybrid(
+        _RRF,
+        docs="SELECT doc_id::VARCHAR AS id, text, lang, embedding::DOUBLE[] AS v "
+        "FROM documents LEFT JOIN embeddings ON doc_id = vec_id WHERE lang IS DISTINCT FROM 'de'",
     ),
     "hybrid_weighted": _sql_hybrid(
         "SELECT qid, id, 0.6 * 2 * atan(s) / pi() AS s FROM x UNION ALL SELECT qid, id, 0.4 * (1 - s / 2) FROM y",

@@ -20,6 +20,7 @@ from plumbline.functions.text import tokenize
 from plumbline.operators.blocks import SparseBest, values_of
 from plumbline.operators.knn import hit_schema
 from plumbline.operators.sparse import TermBlock, rank_entries, small_terms, term_block
+from plumbline.operators.together import Scorer
 
 # Usual BM25 constants and result size.
 K1 = 1.2
@@ -397,20 +398,13 @@ def search_scan(
     schema = hit_schema(queries.schema["qid"].dataType, docs.schema["id"].dataType)
     if head.num_rows == 0:
         return top_k(docs.sparkSession.createDataFrame([], schema), k, ascending=False)
-    words = pc.unique(head["term"])
-    listed = docs.select("id", analyzer.terms(F.col(text)).alias("terms"))
-    frequency, n_docs, total = _measure(listed, words)
-    block = _weighted_block(head, schema["qid"].dataType, words, frequency, n_docs)
-    held, qids = block.held, block.qids
-    avg_length = total / max(n_docs, 1)
-    arrow = to_arrow_schema(schema)
+    scorer = _text_scorer(docs, head, schema["qid"].dataType, k, text, analyzer)
+    start, feed, qids, arrow = scorer.start, scorer.feed, scorer.qids, to_arrow_schema(schema)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = SparseBest(held, k)
+        best = start()
         for batch in batches:
-            row, at, tf, length = _counts(batch.column(1), words)
-            part = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[row] / avg_length))
-            best.add(row, at, part, values_of(batch.column(0)))
+            feed(best, [batch.column(1)], values_of(batch.column(0)))
         yield best.batch(qids, arrow)
 
     passing = docs.where(where) if where and where.strip() else docs
@@ -419,6 +413,39 @@ def search_scan(
     return top_k(hits, k, ascending=False)
 
 
+def _text_scorer(docs, head, qid_type, k, text, analyzer) -> Scorer:
+    words = pc.unique(head["term"])
+    terms = analyzer.terms(F.col(text))
+    frequency, n_docs, total = _measure(docs.select("id", terms.alias("terms")), words)
+    block = _weighted_block(head, qid_type, words, frequency, n_docs)
+    held, avg_length = block.held, total / max(n_docs, 1)
+
+    def feed(best: SparseBest, arrays: list[pa.Array], ids: np.ndarray) -> None:
+        row, at, tf, length = _counts(arrays[0], words)
+        part = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[row] / avg_length))
+        best.add(row, at, part, ids)
+
+    return Scorer([terms], lambda: SparseBest(held, k), feed, block.qids, qid_type, k, False)
+
+
+def text_scorer(
+    docs: DataFrame,
+    queries: DataFrame,
+    k: int,
+    *,
+    text: str = "text",
+    analyzer: Analyzer = Analyzer(),
+    mode: str = "match",
+    operator: str = "or",
+) -> Scorer | None:
+    """``search_scan`` as a part of a common scan, with the statistics of ``docs``; None for query
+    tables without words or too large to travel."""
+    head = small_terms(_query_terms(queries, analyzer, mode, operator))
+    if head is None or head.num_rows == 0:
+        return None
+    return _text_scorer(docs, head, queries.schema["qid"].dataType, k, text, analyzer)
+
+
 def _counts(lists: pa.ListArray, words: pa.Array):
     """``(row, word, count)`` for the known words of each row, and all row lengths."""
     length = np.diff(np.asarray(lists.offsets))

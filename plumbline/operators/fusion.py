@@ -53,20 +53,34 @@ def _stack(parts: list[SubResult]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def stacked(hits: DataFrame, kinds: list[str]) -> DataFrame:
+    """Hits ``(sub, qid, id, score, rank)`` of several lists with their unit scores, ready to fuse."""
+    units = [unit_score(F.col("score"), kind) for kind in kinds]
+    unit = F.element_at(F.array(*units), F.col("sub") + 1)
+    return hits.select("qid", "id", "sub", "rank", unit.alias("unit"))
+
+
 def fuse_rrf(parts: list[SubResult], k: int, *, constant: int = RANK_CONSTANT) -> DataFrame:
     """``sum(1 / (constant + rank))`` over the lists a document appears in."""
-    positive_int32(k, "k")
-    positive_int32(constant, "constant")
-    share = F.lit(1.0) / (F.lit(constant) + F.col("rank"))
-    fused = _stack(parts).groupBy("qid", "id").agg(F.sum(share).alias("score"))
-    return top_k(fused, k, ascending=False)
+    return fuse_stacked(_stack(parts), k, constant=constant)
 
 
 def fuse_weighted(parts: list[SubResult], k: int, weights: list[float]) -> DataFrame:
     """Weighted sum of unit scores; a list without the document adds nothing."""
-    positive_int32(k, "k")
     if len(weights) != len(parts):
         raise InvalidArgument("one weight per sub-query is needed")
-    by_list = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.col("sub") + 1)
-    fused = _stack(parts).groupBy("qid", "id").agg(F.sum(by_list * F.col("unit")).alias("score"))
+    return fuse_stacked(_stack(parts), k, weights=weights)
+
+
+def fuse_stacked(
+    lists: DataFrame, k: int, *, weights: list[float] | None = None, constant: int = RANK_CONSTANT
+) -> DataFrame:
+    """Stacked lists ``(qid, id, sub, rank, unit)`` fused by weights, or by ranks without any."""
+    positive_int32(k, "k")
+    positive_int32(constant, "constant")
+    if weights is None:
+        share = F.lit(1.0) / (F.lit(constant) + F.col("rank"))
+    else:
+        share = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.col("sub") + 1) * F.col("unit")
+    fused = lists.groupBy("qid", "id").agg(F.sum(share).alias("score"))
     return top_k(fused, k, ascending=False)

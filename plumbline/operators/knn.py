@@ -127,6 +127,25 @@ def scan_best(
     return rows.mapInArrow(scan, schema)
 
 
+def dense_scorer(docs: DataFrame, queries: DataFrame, k: int, *, vector: str, metric: str):
+    """``knn`` as a part of a common scan (``together.Scorer``); None for query tables without
+    vectors or too large to travel, and for metrics that measure all rows first."""
+    from plumbline.operators.together import Scorer
+
+    check_search(docs, vector, metric, k)
+    block = None if metric == "mips_l2" else small_queries(queries)
+    if not block:
+        return None
+    vectors = block.vectors
+
+    def feed(best: Best, arrays: list[pa.Array], ids: np.ndarray) -> None:
+        best.add(matrix(arrays[0], vectors.shape[1]), ids)
+
+    columns = [F.col(vector)]
+    start = lambda: Best(vectors, k, metric)
+    return Scorer(columns, start, feed, block.qids, block.qid_type, k, ASCENDING[metric])
+
+
 def knn(
     docs: DataFrame,
     queries: DataFrame,

@@ -19,6 +19,7 @@ from plumbline.functions.ranking import top_k
 from plumbline.functions.sizing import BROADCAST_BYTES
 from plumbline.operators.blocks import SparseBest, SparseQueries, values_of
 from plumbline.operators.knn import MAX_BROADCAST_QUERIES, hit_schema
+from plumbline.operators.together import Scorer
 
 # Query entries that may travel to every task, about 24 bytes each.
 MAX_QUERY_ENTRIES = 2_000_000
@@ -147,6 +148,32 @@ def sparse_knn(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     return top_k(scored, k, ascending=False)
 
 
+def _sparse_scorer(head: pa.Table, qid_type: T.DataType, k: int, vector: str) -> Scorer:
+    weight = head["val"].to_numpy()
+    block = term_block(head["qid"], qid_type, head["idx"], weight, np.zeros(len(weight), int))
+    held, terms = block.held, block.terms
+
+    def feed(best: SparseBest, arrays: list[pa.Array], ids: np.ndarray) -> None:
+        indices, values = arrays
+        row = np.repeat(np.arange(len(ids)), np.diff(np.asarray(indices.offsets)))
+        at = pc.index_in(indices.flatten(), terms)
+        hit = np.asarray(at.is_valid())
+        value = np.asarray(values.flatten(), dtype=np.float64)[hit]
+        best.add(row[hit], at.drop_null().to_numpy(), value, ids)
+
+    columns = [F.col(f"{vector}.indices"), F.col(f"{vector}.values")]
+    return Scorer(columns, lambda: SparseBest(held, k), feed, block.qids, qid_type, k, False)
+
+
+def sparse_scorer(queries: DataFrame, k: int, *, vector: str) -> Scorer | None:
+    """``sparse_scan`` as a part of a common scan; None for query tables without entries or too
+    large to travel."""
+    head = small_terms(queries.select("qid", F.col("idx").cast("long"), F.col("val").cast("double")))
+    if head is None or head.num_rows == 0:
+        return None
+    return _sparse_scorer(head, queries.schema["qid"].dataType, k, vector)
+
+
 def sparse_scan(docs: DataFrame, queries: DataFrame, k: int, *, vector: str) -> DataFrame:
     """The same ranking over a ``struct<indices, values>`` column, without a shuffle.
 
@@ -160,19 +187,13 @@ def sparse_scan(docs: DataFrame, queries: DataFrame, k: int, *, vector: str) ->
     schema = hit_schema(queries.schema["qid"].dataType, docs.schema["id"].dataType)
     if head.num_rows == 0:
         return top_k(docs.sparkSession.createDataFrame([], schema), k, ascending=False)
-    weight = head["val"].to_numpy()
-    block = term_block(head["qid"], schema["qid"].dataType, head["idx"], weight, np.zeros(len(weight), int))
-    arrow, held, qids, terms = to_arrow_schema(schema), block.held, block.qids, block.terms
+    scorer = _sparse_scorer(head, schema["qid"].dataType, k, vector)
+    start, feed, qids, arrow = scorer.start, scorer.feed, scorer.qids, to_arrow_schema(schema)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = SparseBest(held, k)
+        best = start()
         for batch in batches:
-            indices, values = batch.column(1), batch.column(2)
-            row = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(indices.offsets)))
-            at = pc.index_in(indices.flatten(), terms)
-            hit = np.asarray(at.is_valid())
-            value = np.asarray(values.flatten(), dtype=np.float64)[hit]
-            best.add(row[hit], at.drop_null().to_numpy(), value, values_of(batch.column(0)))
+            feed(best, batch.columns[1:], values_of(batch.column(0)))
         yield best.batch(qids, arrow)
 
     rows = docs.where(F.col(vector).isNotNull()).select(

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from plumbline.errors import InvalidArgument, NotFound
 from plumbline.functions.ranking import ASCENDING, top_k
 from plumbline.functions.sizing import broadcast_if_small, materialize
-from plumbline.operators import fulltext, ivf, knn, lsh, quantize
+from plumbline.operators import fulltext, fusion, ivf, knn, lsh, quantize, reads, sparse
+from plumbline.operators.fusion import SubResult
+from plumbline.plans.search import SubQuery
 from plumbline.sources.schema import index_settings
 from plumbline.sources.table import StoredIndex, Table
 
@@ -217,6 +219,52 @@ def search_text_stored(
     return knn.attach(hits, table.scan(), list(output or []))
 
 
+def hybrid_stored(
+    table: Table,
+    parts: list[SubQuery],
+    k: int,
+    *,
+    effort: int = lsh.DEFAULT_EFFORT,
+    where: str | None = None,
+    weights: list[float] | None = None,
+    constant: int = fusion.RANK_CONSTANT,
+    output: list[str] | None = None,
+) -> DataFrame:
+    """``hybrid_search`` over the live rows of a table, each part through the index of its field.
+
+    Metric and analyzer are those of the field's index; a part that names another metric is an
+    error. ``effort`` is that of ``search_stored``. Sparse fields and fields without a stored index are scanned.
+    """
+    if len(parts) < 2:
+        raise InvalidArgument("a hybrid query needs at least two sub-queries")
+    if weights is not None and len(weights) != len(parts):
+        raise InvalidArgument("one weight per sub-query is needed")
+    results = [_part(table, part, effort, where) for part in parts]
+    if weights is None:
+        hits = fusion.fuse_rrf(results, k, constant=constant)
+    else:
+        hits = fusion.fuse_weighted(results, k, weights)
+    return knn.attach(hits, table.scan(), list(output or []))
+
+
+def _part(table: Table, part: SubQuery, effort: int, where: str | None) -> SubResult:
+    if part.kind == "dense":
+        metric = (table.schema[part.field].index or index_settings("flat"))["metric"]
+        if metric != part.metric:
+            raise InvalidArgument(f"field {part.field!r} is searched by {metric!r}")
+        hits = search_stored(table, part.field, part.queries, part.k, effort=effort, where=where)
+        return SubResult(hits, metric)
+    if part.kind == "text":
+        hits = search_text_stored(
+            table, part.field, part.queries, part.k, mode=part.mode, operator=part.operator, where=where
+        )
+        return SubResult(hits, "text")
+    if part.kind == "sparse":
+        rows = reads.filtered(table.scan(), where)
+        return SubResult(sparse.sparse_scan(rows, part.queries, part.k, vector=part.field), "sparse")
+    raise InvalidArgument(f"unknown sub-query kind {part.kind!r}")
+
+
 def _refreshed(table: Table, name: str, index: fulltext.TextIndex, live: _Live) -> fulltext.TextIndex:
     """The index without the postings of changed rows and with those of their new texts."""
     hinted, _ = broadcast_if_small(live.changed)

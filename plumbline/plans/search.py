@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from plumbline.errors import InvalidArgument, positive_int32
 from plumbline.operators import fulltext, fusion, ivf, knn, quantize, reads, sparse
 from plumbline.operators.fusion import SubResult
+from plumbline.operators.together import Scorer, scan_together
 
 
 @dataclass(frozen=True)
@@ -106,13 +107,22 @@ def hybrid_search(
 ) -> DataFrame:
     """Fuse the candidates of at least two sub-queries, by weights or reciprocal ranks.
 
-    The shared filter applies before each candidate cut.
+    The shared filter applies before each candidate cut. Sub-queries small enough to travel are all
+    scored in one scan of ``docs``, after the pass that measures a text field;
+    with others each runs on its own.
     """
     if len(parts) < 2:
         raise InvalidArgument("a hybrid query needs at least two sub-queries")
     if weights is not None and len(weights) != len(parts):
         raise InvalidArgument("one weight per sub-query is needed")
     positive_int32(k, "k")
+    scorers = _scorers(docs, parts)
+    if scorers is not None:
+        hits = scan_together(reads.filtered(docs, where), scorers)
+        kinds = [part.metric if part.kind == "dense" else part.kind for part in parts]
+        lists = fusion.stacked(hits, kinds)
+        hits = fusion.fuse_stacked(lists, k, weights=weights, constant=constant)
+        return knn.attach(hits, docs, list(output or []))
     results = [_run(docs, part, where) for part in parts]
     if weights is None:
         hits = fusion.fuse_rrf(results, k, constant=constant)
@@ -121,6 +131,29 @@ def hybrid_search(
     return knn.attach(hits, docs, list(output or []))
 
 
+def _scorers(docs: DataFrame, parts: list[SubQuery]) -> list[Scorer] | None:
+    """A scorer for every part, or None where one of them needs a search of its own."""
+    if len({part.queries.schema["qid"].dataType for part in parts}) > 1:
+        return None
+    found = []
+    for part in parts:
+        positive_int32(part.k, "k")
+        if part.kind == "dense":
+            scorer = knn.dense_scorer(docs, part.queries, part.k, vector=part.field, metric=part.metric)
+        elif part.kind == "sparse":
+            scorer = sparse.sparse_scorer(part.queries, part.k, vector=part.field)
+        elif part.kind == "text":
+            scorer = fulltext.text_scorer(
+                docs, part.queries, part.k, text=part.field, analyzer=part.analyzer, mode=part.mode, operator=part.operator
+            )
+        else:
+            raise InvalidArgument(f"unknown sub-query kind {part.kind!r}")
+        if scorer is None:
+            return None
+        found.append(scorer)
+    return found
+
+
 def _run(docs: DataFrame, part: SubQuery, where: str | None) -> SubResult:
     positive_int32(part.k, "k")
     if part.kind == "dense":

@@ -10,6 +10,7 @@ from plumbline.operators import fulltext, sparse
 from plumbline.operators.fulltext import Analyzer, build_text_index, search_index, search_scan
 from plumbline.operators.fusion import SubResult, fuse_rrf, fuse_weighted
 from plumbline.operators.sparse import sparse_knn, sparse_scan, valid_sparse
+from plumbline.plans import search
 from plumbline.plans.search import SubQuery, hybrid_search
 
 TITLES = [
@@ -319,3 +320,55 @@ def test_postings_out_of_reach_stay_where_they_are(spark, listed, monkeypatch):
     for rows, mode in ((10**9, "query"), (0, "query")):
         search_index(index, asked, 1, mode=mode, phase_rows=rows).collect()
     assert moved[1] < 0.1 * moved[0]
+
+
+def mixed_rows(spark):
+    """Rows where any of the three fields may be missing, with repeated vectors and words."""
+    kind = "id long, lang string, t string, v array<float>, s struct<indices: array<bigint>, values: array<float>>"
+    rows = []
+    for n in range(60):
+        text = None if n % 7 == 0 else "" if n % 7 == 1 else " ".join(["red", "green", "blue"][: n % 3 + 1] * (n % 4 + 1))
+        vector = None if n % 5 == 0 else [float(n % 6) - 2, 1.0]
+        sparse = None if n % 4 == 0 else ([n % 3, 5 + n % 2], [1.0 + n % 8, 2.0])
+        rows.append((n, "a" if n % 2 else "b", text, vector, sparse))
+    return spark.createDataFrame(rows, kind).repartition(5)
+
+
+def mixed_parts(spark, metric="l2"):
+    dense = spark.createDataFrame([(1, [1.0, 0.5]), (2, [-1.0, 2.0]), (3, None)], "qid int, qvec array<float>")
+    texts = spark.createDataFrame([(1, "green"), (2, "blue red"), (4, "nowhere")], "qid int, text string")
+    terms = spark.createDataFrame([(1, 0, 1.0), (1, 5, 0.5), (2, 6, 1.0)], "qid int, idx long, val double")
+    return [
+        SubQuery("dense", "v", dense, 9, metric=metric),
+        SubQuery("text", "t", texts, 5),
+        SubQuery("sparse", "s", terms, 7),
+    ]
+
+
+@pytest.mark.parametrize("metric", ["l2", "ip", "cosine", "mips_l2"])
+@pytest.mark.parametrize("weights", [None, [0.2, 0.5, 0.3]])
+def test_one_scan_fuses_like_several(spark, monkeypatch, metric, weights):
+    docs, parts = mixed_rows(spark), mixed_parts(spark, metric)
+    ask_all = lambda: [
+        (r["qid"], r["id"], round(r["score"], 9), r["rank"])
+        for where in (None, "lang = 'a'", "lang = 'none'")
+        for r in hybrid_search(docs, parts, 8, where=where, weights=weights).orderBy("qid", "rank").collect()
+    ]
+    together = ask_all()
+    monkeypatch.setattr(search, "_scorers", lambda *_: None)
+    assert together == ask_all() and together
+
+
+def test_scoring_reads_the_rows_once(spark, tmp_path, capsys):
+    path = str(tmp_path / "rows")
+    mixed_rows(spark).write.parquet(path)
+    hybrid_search(spark.read.parquet(path), mixed_parts(spark), 8).explain("formatted")
+    plan = capsys.readouterr().out.split("\n\n")[0]
+    assert plan.count("MapInArrow") == 1 and plan.count("Scan parquet") == 1
+
+
+def test_parts_with_other_ids_run_on_their_own(spark):
+    docs, parts = mixed_rows(spark), mixed_parts(spark)
+    named = SubQuery("text", "t", spark.createDataFrame([("1", "green")], "qid string, text string"), 5)
+    assert search._scorers(docs, [parts[0], named]) is None
+    assert search._scorers(docs, parts) is not None
