@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -66,9 +65,8 @@ def scan_together(docs: DataFrame, scorers: list[Scorer]) -> DataFrame:
             sub = pa.array(np.full(found.num_rows, number, dtype=np.int32))
             yield pa.RecordBatch.from_arrays([sub, *found.columns], names=names)
 
-    # A row that no scorer can score is not sent to Python.
-    firsts = [F.col(f"c{place[0] - 1}").isNotNull() for place in places]
-    rows = docs.select("id", *listed).where(reduce(lambda a, b: a | b, firsts))
+    # No filter on missing values: Catalyst would compute the columns a second time for it.
+    rows = docs.select("id", *listed)
     rising = F.array(*[F.lit(1.0 if s.ascending else -1.0) for s in scorers])
     most = F.array(*[F.lit(s.k) for s in scorers])
     cost = F.round(F.col("score") * F.element_at(rising, F.col("sub") + 1), TIE_DIGITS)
