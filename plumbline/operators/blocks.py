@@ -6,13 +6,21 @@ output does not grow with the rows it reads.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
 from plumbline.functions.ranking import ASCENDING, TIE_DIGITS
 
 QUERY_CHUNK = 512
+# Rows that are scored at a time: a block of scores stays in the processor's cache.
+ROW_CHUNK = 4_096
 GATHER_ROWS = 65_536
+# Lengths up to this keep products of single precision finite.
+SINGLE_MOST = 1e15
+# A screen that lets more than one in so many pairs through is no use.
+SCREEN_GAIN = 16
 MAX_TABLE_CELLS = 2_000_000
 PRODUCT_GAIN = 250
 
@@ -94,20 +102,53 @@ class Keeper:
             q = np.concatenate([self.q, q])
             cost = np.concatenate([self.cost, cost])
             ids = np.concatenate([self.ids, ids])
-        tie = np.unique(ids, return_inverse=True)[1]
-        order = np.lexsort((tie, np.round(cost, TIE_DIGITS), q))
-        q, cost, ids = q[order], cost[order], ids[order]
-        at = np.arange(len(q))
-        first = np.r_[True, q[1:] != q[:-1]] if len(q) else np.empty(0, dtype=bool)
-        place = at - np.maximum.accumulate(np.where(first, at, 0)) if len(q) else at
-        keep = place < self.k
+        keep = self._hopeful(q, cost)
         self.q, self.cost, self.ids = q[keep], cost[keep], ids[keep]
-        full = place[keep] == self.k - 1
-        self.bound[self.q[full]] = self.cost[full]
+        if len(self.q) > 2 * self.k * len(self.bound):
+            self.rank()
+
+    def _hopeful(self, q: np.ndarray, cost: np.ndarray) -> np.ndarray:
+        """Hits that reach their query's K-th cost, which becomes its bound; ties stay."""
+        counts = np.bincount(q, minlength=len(self.bound))
+        widest = int(counts.max(initial=0))
+        full = counts >= self.k
+        if not full.any() or widest * len(counts) > 4 * len(q) + self.MERGE_ROWS:
+            # Too uneven to lay out; the ranking finds the bounds.
+            return self._order(q, cost, None) if full.any() else np.arange(len(q))
+        number = q.astype(np.uint16) if len(counts) < 1 << 16 else q
+        order = np.argsort(number, kind="stable")
+        lines = np.full((len(counts), widest), np.inf)
+        lines[np.arange(widest) < counts[:, None]] = cost[order]
+        kth = np.partition(lines[full], self.k - 1, axis=1)[:, self.k - 1]
+        self.bound[full] = np.minimum(self.bound[full], kth)
+        return np.flatnonzero(cost <= self.bound[q] + 10.0 ** -TIE_DIGITS)
+
+    def _order(self, q: np.ndarray, cost: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
+        """Numbers of the best K hits per query, best first; without ``ids`` also those tied with the last."""
+        key = np.round(cost, TIE_DIGITS)
+        if ids is None:
+            order = np.lexsort((key, q))
+        else:
+            order = np.lexsort((ids if ids.dtype.kind in "iu" else np.unique(ids, return_inverse=True)[1], key, q))
+        at, line = np.arange(len(q)), q[order]
+        first = np.r_[True, line[1:] != line[:-1]] if len(q) else np.empty(0, dtype=bool)
+        place = at - np.maximum.accumulate(np.where(first, at, 0)) if len(at) else at
+        full = order[place == self.k - 1]
+        self.bound[q[full]] = np.minimum(self.bound[q[full]], cost[full])
+        if ids is None:
+            return order[(place < self.k) | (key[order] <= np.round(self.bound[line], TIE_DIGITS))]
+        return order[place < self.k]
+
+    def rank(self) -> None:
+        """Cut what is kept to the best K per query, ties by id."""
+        self.settle()
+        if self.ids is not None:
+            keep = self._order(self.q, self.cost, self.ids)
+            self.q, self.cost, self.ids = self.q[keep], self.cost[keep], self.ids[keep]
 
     def batch(self, qids: pa.Array, schema: pa.Schema) -> pa.RecordBatch:
         """What was kept, as ``(qid, id, score)``."""
-        self.settle()
+        self.rank()
         ids = self.ids if self.ids is not None else np.empty(0, dtype=object)
         return pa.RecordBatch.from_arrays(
             [
@@ -120,25 +161,40 @@ class Keeper:
 
 
 class Best(Keeper):
-    """Dense vectors: queries times a block of rows in one matrix product."""
+    """Dense vectors: queries times a block of rows in one matrix product.
+
+    Products of single precision tell which rows may enter the best K, give or take what rounding
+    can have moved them; only those are scored, in double precision.
+    """
 
     def __init__(self, queries: np.ndarray, k: int, metric: str, max_norm2: float = 0.0):
         super().__init__(len(queries), k, ASCENDING[metric])
         self.metric, self.max_norm2 = metric, max_norm2
         self.queries = unit(queries) if metric == "cosine" else queries
         self.norms2 = np.einsum("ij,ij->i", queries, queries)
+        self.single: np.ndarray | None = None
 
     def add(self, rows: np.ndarray, ids: np.ndarray, which: np.ndarray | None = None) -> None:
         """Score ``rows`` against all queries, or only those numbered in ``which``."""
-        if len(rows) == 0:
-            return
-        if self.metric == "cosine":
-            rows = unit(rows)
         picks = np.arange(len(self.queries)) if which is None else which
-        for start in range(0, len(picks), QUERY_CHUNK):
-            chunk = picks[start : start + QUERY_CHUNK]
-            q, r, cost = self._candidates(chunk, rows)
-            self.merge(q, cost, ids[r])
+        for at, part in self.row_chunks(rows):
+            right = self.right(part)
+            for start in range(0, len(picks), QUERY_CHUNK):
+                chunk = picks[start : start + QUERY_CHUNK]
+                q, r, cost = self.found(chunk, part, right)
+                self.merge(q, cost, ids[at[r]])
+
+    def row_chunks(self, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Numbers and vectors of the rows that can be scored, some at a time."""
+        for low in range(0, len(rows), ROW_CHUNK):
+            part = rows[low : low + ROW_CHUNK]
+            if self.metric == "cosine":
+                part = unit(part)
+            sound = np.isfinite(part).all(axis=1)
+            if sound.all():
+                yield np.arange(low, low + len(part)), part
+            elif sound.any():
+                yield low + np.flatnonzero(sound), part[sound]
 
     def add_pairs(self, rows: np.ndarray, ids: np.ndarray, q: np.ndarray, r: np.ndarray) -> None:
         """Score the listed (query, row) pairs only; each pair is listed once."""
@@ -151,7 +207,94 @@ class Best(Keeper):
             good = cost <= self.bound[q[part]] + 1e-8 * np.maximum(1.0, np.abs(cost))
             self.merge(q[part][good], cost[good], ids[r[part]][good])
 
-    def _candidates(self, chunk, rows):
+    def right(self, rows: np.ndarray) -> tuple[np.ndarray, float] | None:
+        """Rows in single precision and their greatest length; None where that would overflow.
+
+        Under l2 a coordinate more makes the product the one that orders rows by distance.
+        """
+        norms2 = np.einsum("ij,ij->i", rows, rows)
+        longest = float(np.sqrt(norms2.max()))
+        if self.single is None:
+            left = self.queries
+            if self.metric == "l2":
+                left = np.hstack([left, np.ones((len(left), 1))])
+            with np.errstate(over="ignore"):
+                self.single = left.astype(np.float32)
+            self.lengths = np.nan_to_num(np.linalg.norm(self.queries, axis=1))
+        if not longest < SINGLE_MOST:
+            return None
+        if self.metric == "l2":
+            rows = np.hstack([rows, -norms2[:, None] / 2])
+        return rows.astype(np.float32), longest
+
+    def gain_of(self, cost: np.ndarray, chunk: np.ndarray) -> np.ndarray:
+        """The product at which a row has ``cost``."""
+        if self.metric == "cosine":
+            return 1.0 - cost
+        if self.metric == "hamming":
+            return self.queries.shape[1] - 2 * cost
+        if self.metric in ("l2", "mips_l2"):
+            over = self.max_norm2 if self.metric == "mips_l2" else 0.0
+            return (self.norms2[chunk] + over - cost * cost) / 2
+        return -cost
+
+    def cost_of(self, gain: np.ndarray, chunk: np.ndarray) -> np.ndarray:
+        """The other way round."""
+        if self.metric == "cosine":
+            return 1.0 - gain
+        if self.metric == "hamming":
+            return (self.queries.shape[1] - gain) / 2
+        if self.metric in ("l2", "mips_l2"):
+            over = self.max_norm2 if self.metric == "mips_l2" else 0.0
+            return np.sqrt(np.maximum(self.norms2[chunk] + over - 2 * gain, 0.0))
+        return -gain
+
+    def found(self, chunk, rows, right, among: np.ndarray | None = None):
+        """Queries, row numbers and costs of pairs that may enter the best K; with ``among``
+        (queries x rows) only of pairs set there."""
+        if right is None or not self.lengths[chunk].max() < SINGLE_MOST:
+            return self._candidates(chunk, rows, among)
+        single, longest = right
+        gain = self.single[chunk] @ single.T
+        if among is not None:
+            gain[~among] = -np.inf
+        # Each product of D terms is off by at most D + 3 roundings of its terms' sizes.
+        size = np.maximum(self.lengths[chunk], 1e-20) * max(longest, 1e-20)
+        if self.metric == "l2":
+            size = size + longest * longest / 2
+        off = (self.queries.shape[1] + 8) * 2.0**-23 * size
+        limit = self.bound[chunk]
+        if gain.shape[1] > self.k and not np.isfinite(limit).all():
+            last = gain.shape[1] - self.k
+            kth = np.partition(gain, last, axis=1)[:, last].astype(np.float64)
+            limit = np.minimum(limit, np.where(kth == -np.inf, np.inf, self.cost_of(kth - off, chunk)))
+        bounded = np.isfinite(limit)
+        room = 1e-8 * np.maximum(1.0, np.where(bounded, np.abs(limit), 1.0))
+        limit = limit + room
+        least = np.finfo(np.float32).min
+        need = np.where(bounded, self.gain_of(np.where(bounded, limit, 0.0), chunk) - off, least)
+        with np.errstate(over="ignore"):
+            need = np.nextafter(np.maximum(need, least).astype(np.float32), np.float32(-np.inf))
+        need = np.maximum(need, least)
+        flat = np.flatnonzero(gain >= need[:, None])
+        if len(flat) * SCREEN_GAIN > gain.size and gain.shape[1] > SCREEN_GAIN * self.k:
+            return self._candidates(chunk, rows, among)
+        q, r = np.divmod(flat, gain.shape[1])
+        cost = np.empty(len(flat))
+        for start in range(0, len(flat), GATHER_ROWS):
+            part = slice(start, start + GATHER_ROWS)
+            cost[part] = self._exact(chunk[q[part]], rows[r[part]])
+        good = np.isfinite(cost) & (cost <= limit[q])
+        return chunk[q[good]], r[good], cost[good]
+
+    def _exact(self, numbers: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        left = self.queries[numbers]
+        if self.metric == "l2":
+            gap = left - rows
+            return np.sqrt(np.einsum("ij,ij->i", gap, gap))
+        return self.cost_of(np.einsum("ij,ij->i", left, rows), numbers)
+
+    def _candidates(self, chunk, rows, among=None):
         queries = self.queries[chunk]
         dots = queries @ rows.T
         slack = 1e-8
@@ -173,6 +316,8 @@ class Best(Keeper):
         else:
             cost = -dots
         cost = np.where(np.isnan(cost), np.inf, cost)
+        if among is not None:
+            cost = np.where(among, cost, np.inf)
         q, r = self.near(cost, chunk, slack)
         picked = cost[q, r]
         if self.metric == "l2":

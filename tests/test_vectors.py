@@ -511,3 +511,46 @@ def test_codes_bound_the_scores(spark):
     asked = queries_of(docs.where("id < 50"))
     pairs = bounded_candidates(quantize(docs, "int8"), exact.small_queries(asked), 5, 5, "cosine")
     assert 50 * 5 <= pairs.count() < 0.05 * 50 * 2000
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2", "ip", "mips_l2"])
+def test_screened_scores_keep_ties_and_odd_rows(metric):
+    """Single precision only screens: near ties, copies, long, short and unusable rows rank as in double precision."""
+    from plumbline.operators.blocks import Best, pair_scores
+
+    rng = np.random.default_rng(3)
+    rows = rng.normal(size=(9_000, 6)) + rng.choice([0.0, 300.0], size=(9_000, 1))
+    rows[4_000:4_200] = rows[5] + rng.normal(size=(200, 6)) * 1e-7
+    rows[6_000:6_050] = rows[7]
+    rows[8_000], rows[8_001, 2], rows[8_002, 0], rows[8_003] = 0.0, np.nan, np.inf, 1e-30
+    queries = np.vstack([rows[:30], rows[8_000][None], rows[8_003][None]])
+    for scale in (1.0, 1e-12, 1e20):
+        held, bound = rows * scale, float(np.nanmax(np.where(np.isfinite(rows), rows, 0) ** 2) * 6 * scale**2)
+        best = Best(queries * scale, 12, metric, bound)
+        for start in range(0, 9_000, 700):
+            best.add(held[start : start + 700], np.arange(start, min(start + 700, 9_000)))
+        best.rank()
+        for number, query in enumerate(queries * scale):
+            with np.errstate(invalid="ignore"):
+                score = best.sign * pair_scores(np.repeat(query[None], 9_000, axis=0), held, metric, bound)
+            score = np.where(np.isfinite(score) & np.isfinite(held).all(axis=1), score, np.inf)
+            expected = np.sort(score[np.isfinite(score)])[:12]
+            got = np.sort(best.cost[best.q == number])
+            assert len(got) == len(expected)
+            assert np.allclose(got, expected, rtol=1e-9, atol=1e-9)
+
+
+def test_scoring_takes_few_rows_at_a_time(monkeypatch):
+    """A whole cell of rows once met 512 queries in one block of scores: gigabytes in each worker."""
+    import tracemalloc
+
+    from plumbline.operators.blocks import Best
+
+    rng = np.random.default_rng(3)
+    rows = rng.normal(size=(40_000, 16))
+    best = Best(rows[:512], 10, "l2")
+    tracemalloc.start()
+    best.add(rows, np.arange(len(rows)))
+    best.rank()
+    assert tracemalloc.get_traced_memory()[1] < 100e6
+    tracemalloc.stop()
