@@ -19,19 +19,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from plumbline.functions.ranking import ASCENDING, top_k
 from plumbline.functions.sizing import broadcast_if_small, materialize
 from plumbline.operators import knn as exact
-from plumbline.operators.blocks import QUERY_CHUNK, Best, matrix, unit, values_of
+from plumbline.operators.blocks import GATHER_ROWS, QUERY_CHUNK, Best, matrix, unit, values_of
 
 ROW_BLOCK = 50_000
-QUERY_BLOCK = 2_048
+QUERY_BLOCK = 8_192
 BLOCK_BYTES = 64 << 20
 
 # An assignment compares at most so many (row, cell) pairs at a time.
 ASSIGN_PAIRS = 2_000_000
 
-# The exact join first searches one in so many row blocks, to bound the others.
+# A task of the exact join holds so many queries, or those of so many hits, while rows stream past.
+JOIN_QUERIES = 16_384
+JOIN_HITS = 4_000_000
+# Rows that meet queries without K hits at a time.
+SHARED_CHUNK = 512
+# Queries whose hits are kept together.
+KEPT_TOGETHER = 2_048
+# The rows that stream past are four row blocks; with a large K up to so many, as the hits
+# of the opening ones bound the rest.
 OPENING_SHARE = 16
 
 
@@ -339,80 +346,152 @@ def _expand(queries: DataFrame, pick) -> DataFrame:
 def exact_join(docs: DataFrame, queries: DataFrame, k: int, *, vector: str, metric: str) -> DataFrame:
     """Exact top-K candidates when both tables are large.
 
-    Rows are dealt to blocks, each row to one; the queries visit every block in batches, so
-    a task holds one block and one batch. A first pass over a share of the blocks gives each
-    query a K-th score; the other blocks only return hits that reach it.
+    Rows are dealt to stripes and queries to blocks; a task holds one block of queries and lets
+    one stripe stream past it, so it returns K hits per query and stripe.
     """
     rows = docs.select("id", F.col(vector).alias("vec")).where(F.col("vec").isNotNull())
     asked = queries.select("qid", "qvec").where(F.col("qvec").isNotNull())
     bound = exact.largest_norm2(docs, vector) if metric == "mips_l2" else 0.0
-    total = rows.count()
-    wide = rows.select(F.max(F.octet_length("vec") if metric == "hamming" else F.size("vec")))
-    width = (wide.first()[0] or 1) * 8 * (8 if metric == "hamming" else 1)
-    blocks = max(1, -(-total // max(1, min(ROW_BLOCK, BLOCK_BYTES // width))))
-    opening = -(-blocks // OPENING_SHARE)
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    options = {"k": k, "metric": metric, "max_norm2": bound}
-    if opening == blocks:
-        return _visit(rows, asked, range(blocks), **options)
-    ascending = ASCENDING[metric]
-    first = _visit(rows.where(F.col("block") < opening), asked, range(opening), **options)
-    first = materialize(top_k(first, k, ascending=ascending), "opening")
-    worst = F.max("score") if ascending else F.min("score")
-    full = first.groupBy("qid").agg(worst.alias("limit"), F.count("*").alias("n")).where(F.col("n") == k)
-    bounded = asked.join(full.drop("n"), "qid", "left")
-    rest = _visit(rows.where(F.col("block") >= opening), bounded, range(opening, blocks), **options)
-    return first.drop("rank").unionByName(rest)
-
-
-def _visit(rows: DataFrame, asked: DataFrame, blocks: range, *, k: int, metric: str, max_norm2: float) -> DataFrame:
-    """Each block's best ``k`` rows per query, within the query's ``limit`` if it has one."""
+    return striped(rows, asked, k, metric=metric, max_norm2=bound)
+
+
+def striped(
+    rows: DataFrame, asked: DataFrame, k: int, *, metric: str, max_norm2: float = 0.0, reach: int | None = None
+) -> DataFrame:
+    """Best ``k`` of ``rows (id, vec)`` per query of ``asked (qid, qvec)`` and stripe.
+
+    With ``reach`` both sides list ``cells``, one bucket key per hash table, and only pairs at
+    most so many buckets apart in some table count.
+    """
+    held = F.octet_length("vec") if metric == "hamming" else F.size("vec")
+    total, wide = rows.agg(F.count("*"), F.max(held)).first()
+    width = (wide or 1) * 8 * (8 if metric == "hamming" else 1)
+    block = max(1, min(ROW_BLOCK, BLOCK_BYTES // width))
+    stripes = max(1, -(-total // (block * max(4, min(OPENING_SHARE, k // 5)))))
+    number, cores = asked.count(), rows.sparkSession.sparkContext.defaultParallelism
+    most = max(QUERY_CHUNK, min(JOIN_QUERIES, JOIN_HITS // k))
+    shared = min(-(-number // KEPT_TOGETHER), -(-2 * cores // stripes))
+    blocks = max(1, -(-number // most), shared)
+    return _visit(rows, asked, stripes, blocks, k=k, metric=metric, max_norm2=max_norm2, reach=reach)
+
+
+class Sharing(Best):
+    """Pairs count only if their rows list a bucket at most ``reach`` away in some hash table."""
+
+    def __init__(self, queries: np.ndarray, keys: np.ndarray, k: int, metric: str, max_norm2: float, reach: int):
+        super().__init__(queries, k, metric, max_norm2)
+        self.keys, self.reach = keys, reach
+
+    def add_listed(self, rows: np.ndarray, ids: np.ndarray, keys: np.ndarray) -> None:
+        for at, part in self.row_chunks(rows):
+            # Until every query has K hits all pairs are looked at, so the first rows are few.
+            while len(at):
+                step = len(at) if np.isfinite(self.bound).all() else SHARED_CHUNK
+                self._add_listed(part[:step], ids[at[:step]], keys[at[:step]])
+                at, part = at[step:], part[step:]
+
+    def _add_listed(self, rows: np.ndarray, ids: np.ndarray, keys: np.ndarray) -> None:
+        right = self.right(rows)
+        for start in range(0, len(self.queries), QUERY_CHUNK):
+            chunk = np.arange(start, min(start + QUERY_CHUNK, len(self.queries)))
+            among = None
+            if not np.isfinite(self.bound[chunk]).all():
+                among = np.zeros((len(chunk), len(rows)), dtype=bool)
+                for table in range(keys.shape[1]):
+                    among |= self._near(self.keys[chunk, table][:, None], keys[:, table][None, :])
+                    if among.all():
+                        break
+            q, r, cost = self.found(chunk, rows, right, among)
+            if among is None and len(q):
+                parts = range(0, len(q), GATHER_ROWS)
+                near = [self._near(self.keys[q[n : n + GATHER_ROWS]], keys[r[n : n + GATHER_ROWS]]).any(axis=1) for n in parts]
+                near = np.concatenate(near)
+                q, r, cost = q[near], r[near], cost[near]
+            self.merge(q, cost, ids[r])
+        self.settle()
+
+    def _near(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return left == right if self.reach == 0 else np.abs(left - right) <= self.reach
+
+
+def _visit(
+    rows: DataFrame, asked: DataFrame, stripes: int, blocks: int, *, k: int, metric: str, max_norm2: float, reach: int | None
+) -> DataFrame:
+    """Each stripe's best ``k`` rows per query."""
     schema = exact.hit_schema(asked.schema["qid"].dataType, rows.schema["id"].dataType)
     arrow = to_arrow_schema(schema)
-    if "limit" not in asked.columns:
-        asked = asked.withColumn("limit", F.lit(None).cast("double"))
-    every = F.explode(F.sequence(F.lit(blocks.start), F.lit(blocks.stop - 1))).alias("block")
-    left = rows.select("block", F.lit(0).alias("side"), F.struct("id", "vec").alias("row"))
-    right = asked.select(
-        every, F.lit(1).alias("side"), F.struct("qid", "qvec", "limit").alias("asked")
+    listed = [] if reach is None else ["cells"]
+
+    def dealt(key: str, parts: int) -> F.Column:
+        return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+
+    def every(parts: int) -> F.Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+
+    # Queries come first in each unit of a stripe and a block.
+    left = asked.withColumn("stripe", every(stripes)).select(
+        (F.col("stripe") * blocks + dealt("qid", blocks)).alias("unit"),
+        F.lit(0).alias("side"),
+        F.struct("qid", "qvec", *listed).alias("asked"),
+    )
+    right = rows.withColumn("block", every(blocks)).select(
+        (dealt("id", stripes) * blocks + F.col("block")).alias("unit"),
+        F.lit(1).alias("side"),
+        F.struct("id", "vec", *listed).alias("row"),
     )
     both = left.unionByName(right, allowMissingColumns=True)
-    both = both.repartition("block").sortWithinPartitions("block", "side")
-
-    def hits(held: list[pa.StructArray], asked: pa.StructArray) -> Iterator[pa.RecordBatch]:
-        ids = np.concatenate([values_of(part.field("id")) for part in held])
-        vectors = np.vstack([matrix(part.field("vec")) for part in held])
-        for start in range(0, len(asked), QUERY_CHUNK):
-            part = asked.slice(start, QUERY_CHUNK)
-            best = Best(matrix(part.flatten()[1], vectors.shape[1]), k, metric, max_norm2)
-            limit = best.sign * part.flatten()[2].to_numpy(zero_copy_only=False).astype(float)
-            limit = np.where(np.isnan(limit), np.inf, limit)
-            best.bound = limit.copy()
-            best.add(vectors, ids)
-            best.settle()
-            good = best.cost <= limit[best.q] + 1e-9
-            if best.ids is not None:
-                best.q, best.cost, best.ids = best.q[good], best.cost[good], best.ids[good]
-            yield best.batch(part.flatten()[0], arrow)
+    # More partitions than units, so that few of them share a task.
+    both = both.repartition(min(4 * stripes * blocks, 2_000), "unit").sortWithinPartitions("unit", "side")
+
+    def held(parts: list[pa.StructArray]) -> list[tuple[pa.Array, Best]]:
+        found = []
+        asked = pa.concat_arrays(parts)
+        for start in range(0, len(asked), KEPT_TOGETHER):
+            part = asked.slice(start, KEPT_TOGETHER).flatten()
+            if reach is None:
+                best = Best(matrix(part[1]), k, metric, max_norm2)
+            else:
+                best = Sharing(matrix(part[1]), listed_keys(part[2]), k, metric, max_norm2, reach)
+            found.append((part[0], best))
+        return found
+
+    def add(best: list[tuple[pa.Array, Best]], row: pa.StructArray) -> None:
+        ids, vectors, *keys = row.flatten()
+        ids, vectors = values_of(ids), matrix(vectors)
+        for _, one in best:
+            if reach is None:
+                one.add(vectors, ids)
+            else:
+                one.add_listed(vectors, ids, listed_keys(keys[0]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, []
+        at, waiting, best = None, [], []
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            blocks, sides = values_of(batch.column(0)), values_of(batch.column(1))
-            change = np.flatnonzero((blocks[1:] != blocks[:-1]) | (sides[1:] != sides[:-1])) + 1
+            units, sides = values_of(batch.column(0)), values_of(batch.column(1))
+            change = np.flatnonzero((units[1:] != units[:-1]) | (sides[1:] != sides[:-1])) + 1
             cuts = [0, *change.tolist(), batch.num_rows]
             for start, end in zip(cuts, cuts[1:]):
-                if blocks[start] != at:
-                    at, held = blocks[start], []
+                if units[start] != at:
+                    yield from (one.batch(qids, arrow) for qids, one in best)
+                    at, waiting, best = units[start], [], []
                 part = batch.slice(start, end - start)
                 if sides[start] == 0:
-                    held.append(_dense(part.column(2)))
-                elif held:
-                    yield from hits(held, _dense(part.column(3)))
+                    waiting.append(_dense(part.column(2)))
+                    continue
+                if waiting:
+                    best, waiting = held(waiting), []
+                if best:
+                    add(best, _dense(part.column(3)))
+        yield from (one.batch(qids, arrow) for qids, one in best)
+
+    return both.select("unit", "side", "asked", "row").mapInArrow(scan, schema)
+
 
-    return both.select("block", "side", "row", "asked").mapInArrow(scan, schema)
+def listed_keys(column: pa.Array) -> np.ndarray:
+    """Bucket keys of each row, one per hash table."""
+    return np.asarray(column.flatten(), dtype=np.int64).reshape(len(column), -1)
 
 
 def _dense(column: pa.StructArray) -> pa.StructArray:

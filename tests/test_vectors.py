@@ -554,3 +554,16 @@ def test_scoring_takes_few_rows_at_a_time(monkeypatch):
     best.rank()
     assert tracemalloc.get_traced_memory()[1] < 100e6
     tracemalloc.stop()
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine", "ip", "mips_l2"])
+def test_stripes_and_blocks_of_many_units_are_exact(cloud, metric, monkeypatch):
+    expected = knn(cloud, queries_of(cloud), 6, metric=metric)
+    monkeypatch.setattr(cells, "ROW_BLOCK", 20)
+    monkeypatch.setattr(cells, "JOIN_QUERIES", 50)
+    monkeypatch.setattr(cells, "QUERY_CHUNK", 50)
+    monkeypatch.setattr(cells, "KEPT_TOGETHER", 7)
+    hits = cells.exact_join(cloud, queries_of(cloud), 6, vector="embedding", metric=metric)
+    tasks = [len({r["id"] for r in part}) for part in hits.rdd.glom().collect() if part]
+    assert len(tasks) > 4
+    same(top_k(hits, 6, ascending=ASCENDING[metric]), expected)
