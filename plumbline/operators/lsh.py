@@ -3,20 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from plumbline.errors import positive_int32
 from plumbline.functions.ranking import ASCENDING, top_k
 from plumbline.functions.sizing import broadcast_if_small, materialize
 from plumbline.operators import cells as grid
 from plumbline.operators import knn as exact
-from plumbline.operators.blocks import matrix
+from plumbline.operators.blocks import matrix, values_of
 
 # Fixed value: the usual default search effort.
 DEFAULT_EFFORT = 50
@@ -24,6 +25,8 @@ DEFAULT_EFFORT = 50
 TABLES = 16
 BUCKET_LENGTH = 0.5
 SEED = 7
+# Buckets are wide if one in so many pairs of a row and a query meets in them.
+WIDE_SHARE = 4
 
 # A key is the table's number above, the bucket's number below.
 MIDDLE = 1 << 31
@@ -105,24 +108,66 @@ def _widest(index: BucketIndex, queries: DataFrame) -> int:
     return int(spans.agg(F.max("span")).first()[0] or 0)
 
 
-def _hits(index: BucketIndex, queries: DataFrame, effort: int, reach: int) -> DataFrame:
-    """The best ``effort`` rows per query among those at most ``reach`` buckets away."""
-    placed = _bucketed(queries.select("qid", "qvec"), "qvec", index, query=True)
+def _meetings(index: BucketIndex, placed: DataFrame, reach: int) -> int:
+    """(row, query) pairs that are at most ``reach`` buckets apart, counted in every table."""
+    rows = index.rows.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count("*").alias("n"))
+    asked = placed.select(F.explode("cells").alias("key")).groupBy("key").agg(F.count("*").alias("m"))
+    asked = asked.select(F.explode(_steps("key", reach)).alias("cell"), "m")
+    pairs = rows.join(asked, "cell").agg(F.sum(F.col("n").cast("double") * F.col("m")))
+    return int(pairs.first()[0] or 0)
+
+
+def _steps(key: str | F.Column, reach: int) -> F.Column:
     steps = F.sequence(F.lit(-reach).cast("long"), F.lit(reach).cast("long"))
-    near = F.flatten(F.transform("cells", lambda key: F.transform(steps, lambda step: key + step)))
-    probes = placed.withColumn("cells", near)
+    return F.transform(steps, lambda step: (F.col(key) if isinstance(key, str) else key) + step)
+
+
+def _hits(index: BucketIndex, queries: DataFrame, cut: int, reach: int, whole: bool) -> DataFrame:
+    """The best ``cut`` rows per query among those at most ``reach`` buckets away; ``whole`` says
+    that those are all rows."""
+    placed = _bucketed(queries.select("qid", "qvec"), "qvec", index, query=True)
     block = exact.small_queries(queries)
-    options = {"vector": index.vector, "metric": index.metric, "max_norm2": index.max_norm2}
-    if block is not None:
+    options = {"metric": index.metric, "max_norm2": index.max_norm2}
+    if block is not None and whole:
+        hits = _scan_all(index, block, cut, reach)
+    elif block is not None:
+        probes = placed.withColumn("cells", F.flatten(F.transform("cells", lambda key: _steps(key, reach))))
         keys = probes.select("qid", F.explode("cells").alias("cell")).toArrow()
         numbers = pc.index_in(keys["qid"], block.qids).to_numpy()
         asked = (numbers.astype(np.int64), keys["cell"].to_numpy())
-        hits = grid.match_listed(index.rows, block, asked, effort, **options)
+        hits = grid.match_listed(index.rows, block, asked, cut, vector=index.vector, **options)
+    elif whole or _meetings(index, placed, reach) * WIDE_SHARE >= index.rows.count() * placed.count():
+        # Where most pairs meet, looking at each of them once is less than joining every table.
+        rows = index.rows.select("id", F.col(index.vector).alias("vec"), "cells")
+        hits = grid.striped(rows, placed, cut, reach=reach, **options)
+        return top_k(hits, cut, ascending=ASCENDING[index.metric])
     else:
         rows = index.rows.withColumn("cell", F.explode("cells"))
-        asked = probes.withColumn("cell", F.explode("cells")).drop("cells")
-        hits = grid.match_large(rows, asked, effort, **options)
-    return top_k(grid.one_per_pair(hits), effort, ascending=ASCENDING[index.metric])
+        near = F.flatten(F.transform("cells", lambda key: _steps(key, reach)))
+        asked = placed.withColumn("cell", F.explode(near)).drop("cells")
+        hits = grid.match_large(rows, asked, cut, vector=index.vector, **options)
+    return top_k(grid.one_per_pair(hits), cut, ascending=ASCENDING[index.metric])
+
+
+def _scan_all(index: BucketIndex, block: exact.QueryBlock, cut: int, reach: int) -> DataFrame:
+    """One pass over the rows; each task returns its best ``cut`` rows per query."""
+    schema = exact.hit_schema(block.qid_type, index.rows.schema["id"].dataType)
+    arrow = to_arrow_schema(schema)
+    plain = replace(index, rows=None)
+    qids, vectors = block.qids, block.vectors
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sound = np.flatnonzero(~np.isnan(grid.place(vectors, plain.metric, plain.max_norm2, True)).any(axis=1))
+        asked = vectors[sound]
+        keys = _keys(grid.place(asked, plain.metric, plain.max_norm2, True), plain)
+        best = grid.Sharing(asked, keys, cut, plain.metric, plain.max_norm2, reach)
+        for batch in batches:
+            if batch.num_rows and len(sound):
+                rows = matrix(batch.column(1), vectors.shape[1])
+                best.add_listed(rows, values_of(batch.column(0)), grid.listed_keys(batch.column(2)))
+        yield best.batch(qids.take(pa.array(sound)), arrow)
+
+    return index.rows.select("id", index.vector, "cells").mapInArrow(scan, schema)
 
 
 def search_lsh(
@@ -136,21 +181,33 @@ def search_lsh(
     """Top ``k`` by exact score among rows sharing a bucket with the query.
 
     A query that meets fewer than ``max(k, effort)`` rows looks into the neighbouring buckets,
-    twice as far each time, until it has met that many or there are no more.
+    twice as far each time, until it has met that many or there are no more. An effort beyond the
+    number of rows is never met, so such a search looks into all buckets at once.
     """
     positive_int32(k, "k")
     effort = max(k, positive_int32(effort, "effort"))
     exact.check_distinct(queries)
     widest, reach, kept = None, 0, None
     asked = queries.select("qid", "qvec").where(F.col("qvec").isNotNull())
+    if effort > index.rows.count():
+        reach = widest = _widest(index, queries)
     while True:
-        found = materialize(_hits(index, asked, effort, reach).drop("rank"), "lsh-hits")
+        whole = widest is not None and reach >= widest
+        # How many rows a query meets no longer matters once it has looked at all.
+        found = _hits(index, asked, k if whole else effort, reach, whole).drop("rank")
+        if whole:
+            kept = found if kept is None else kept.unionByName(found)
+            break
+        found = materialize(found, "lsh-hits")
         enough = found.groupBy("qid").count().where(F.col("count") >= effort).select("qid")
         enough = materialize(enough, "lsh-answered")
         lacking = asked.join(broadcast_if_small(enough)[0], "qid", "left_anti")
+        if lacking.isEmpty():
+            kept = found if kept is None else kept.unionByName(found)
+            break
         if widest is None:
             widest = _widest(index, queries)
-        if reach >= widest or lacking.isEmpty():
+        if reach >= widest:
             kept = found if kept is None else kept.unionByName(found)
             break
         done = found.join(broadcast_if_small(enough)[0], "qid", "left_semi")

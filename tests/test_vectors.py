@@ -567,3 +567,36 @@ def test_stripes_and_blocks_of_many_units_are_exact(cloud, metric, monkeypatch):
     tasks = [len({r["id"] for r in part}) for part in hits.rdd.glom().collect() if part]
     assert len(tasks) > 4
     same(top_k(hits, 6, ascending=ASCENDING[metric]), expected)
+
+
+@pytest.mark.parametrize("most", [10, 4_096])
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_an_effort_beyond_the_table_keeps_k_hits_a_query(cloud, metric, most, monkeypatch):
+    """All pairs were once written out for such an effort."""
+    from plumbline.operators import knn as exact
+    from plumbline.operators import lsh
+
+    monkeypatch.setattr(exact, "MAX_BROADCAST_QUERIES", most)
+    index = build_lsh(cloud, metric=metric)
+    written = []
+    original = lsh.materialize
+    monkeypatch.setattr(lsh, "materialize", lambda df, name: written.append(df.count()) or original(df, name))
+    hits = search_lsh(index, queries_of(cloud), 4, effort=1_000_000)
+    assert max(written, default=0) <= 4 * 300
+    same(hits, knn(cloud, queries_of(cloud), 4, metric=metric))
+
+
+@pytest.mark.parametrize("length", [0.5, 0.02])
+def test_wide_and_narrow_buckets_agree(cloud, length, monkeypatch):
+    """By hand: rows that share a bucket, or one next to it once those are too few."""
+    from plumbline.operators import knn as exact
+    from plumbline.operators import lsh
+
+    index = build_lsh(cloud, tables=3, bucket_length=length)
+    small = search_lsh(index, queries_of(cloud), 4, effort=6)
+    expected = sorted((r["qid"], r["rank"], r["id"]) for r in small.collect())
+    monkeypatch.setattr(exact, "MAX_BROADCAST_QUERIES", 10)
+    for share in (0, 10**9):
+        monkeypatch.setattr(lsh, "WIDE_SHARE", share)
+        found = search_lsh(index, queries_of(cloud), 4, effort=6).collect()
+        assert sorted((r["qid"], r["rank"], r["id"]) for r in found) == expected
