@@ -206,6 +206,8 @@ def changes_stream(spark, sf_dir):
 
 # The events of `changes_keyed` arrive in so many batches; some come one batch late, some three.
 ARRIVALS = 5
+# Ids whose states are stored together.
+IDS_A_BUCKET = 256
 
 
 def arriving(events):
@@ -231,7 +233,7 @@ def changes_keyed(spark, sf_dir):
     last = ids.withColumns({"seq": F.lit(-2).cast("long"), "op": F.lit(CLOSE), "ts": F.timestamp_seconds(F.lit(0))})
     shape = stored.schema
     fields = T.StructType([shape["value"], shape["kind"]])
-    stream = KeyedChanges(fields, width)
+    stream = KeyedChanges(fields, width, buckets=max(64, ids.count() // IDS_A_BUCKET))
     steps = [stored, *(changes.where(F.col("batch") == n).drop("batch") for n in range(ARRIVALS + 2)), last]
     for step in steps:
         missing = [c for c in shape.names if c not in step.columns]

@@ -13,6 +13,7 @@ import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from plumbline.errors import AlreadyExists, InvalidArgument, NotFound
+from plumbline.errors import AlreadyExists, InvalidArgument, NotFound, positive_int32
 
 OK, LATE, REPEATED = "ok", "late", "repeated"
 # An event that has all pending ones of its id applied.
@@ -29,6 +30,9 @@ NEVER = -(1 << 62)
 
 STATE = T.StructType([T.StructField("held", T.BinaryType())])
 
+# Ids that share an entry of the state store, which costs as much as the work of many ids.
+BUCKETS = 1_024
+
 
 @dataclass
 class Held:
@@ -86,11 +90,13 @@ class KeyedChanges:
 
     ``seq`` tells the events of an id apart; events of one time are applied by it. Documents that
     are there before the stream begins are upserts of an early time. An id's state is its
-    document and the events of the last ``delay`` microseconds.
+    document and the events of the last ``delay`` microseconds. The states of the ids that fall in
+    one of ``buckets`` are stored together; a stream keeps the number it began with.
     """
 
-    def __init__(self, fields: T.StructType, delay: int, *, time: str = "ts"):
+    def __init__(self, fields: T.StructType, delay: int, *, time: str = "ts", buckets: int = BUCKETS):
         self.fields, self.delay, self.time = fields, delay, time
+        self.buckets = positive_int32(buckets, "buckets")
 
     def outcomes(self, changes: DataFrame) -> DataFrame:
         """One row per settled event: ``id, at, seq, op, outcome, document`` (JSON of the fields after
@@ -98,18 +104,21 @@ class KeyedChanges:
         names = [f.name for f in self.fields]
         packed = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
         named = F.to_json("_set") if "_set" in changes.columns else F.lit(None).cast("string")
+        id_field = changes.schema["id"]
+        binary = isinstance(id_field.dataType, T.BinaryType)
         rows = changes.select(
-            "id",
+            F.pmod(F.xxhash64("id"), F.lit(self.buckets)).alias("bucket"),
+            # As text, because a null would turn whole numbers into floating ones in a task.
+            (F.base64("id") if binary else F.col("id").cast("string")).alias("name"),
             F.unix_micros(F.col(self.time).cast("timestamp")).alias("at"),
             F.col("seq").cast("long").alias("seq"),
             "op",
             packed.alias("fields"),
             named.alias("named"),
         )
-        id_field = changes.schema["id"]
         shape = T.StructType(
             [
-                T.StructField("id", id_field.dataType),
+                T.StructField("id", T.StringType()),
                 T.StructField("at", T.LongType()),
                 T.StructField("seq", T.LongType()),
                 T.StructField("op", T.StringType()),
@@ -117,22 +126,31 @@ class KeyedChanges:
                 T.StructField("document", T.StringType()),
             ]
         )
-        delay = self.delay
+        delay, out = self.delay, pd.Index(shape.names, dtype=object)
 
         def fold(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-            held = Held(*pickle.loads(state.get[0])) if state.exists else Held()
-            events = []
+            held = pickle.loads(state.get[0]) if state.exists else {}
+            events: dict[str | None, list[tuple]] = {}
             for frame in frames:
-                for at, seq, op, fields, listed in zip(*(frame[c] for c in ("at", "seq", "op", "fields", "named"))):
-                    events.append((int(at), int(seq), op, json.loads(fields), json.loads(listed) if listed else None))
-            settled = [
-                (key[0], at, seq, op, outcome, None if document is None else json.dumps(document))
-                for at, seq, op, outcome, document in held.receive(events, delay)
-            ]
-            state.update((pickle.dumps(tuple(vars(held).values())),))
-            yield pd.DataFrame(settled, columns=shape.names)
-
-        return rows.groupBy("id").applyInPandasWithState(fold, shape, STATE, "append", GroupStateTimeout.NoTimeout)
+                lists = (frame[c].tolist() for c in ("name", "at", "seq", "op", "fields", "named"))
+                for name, at, seq, op, fields, listed in zip(*lists):
+                    event = (int(at), int(seq), op, json.loads(fields), json.loads(listed) if listed else None)
+                    events.setdefault(name, []).append(event)
+            settled = []
+            for name, own in events.items():
+                known = Held(*held[name]) if name in held else Held()
+                for at, seq, op, outcome, document in known.receive(own, delay):
+                    settled.append((name, at, seq, op, outcome, None if document is None else json.dumps(document)))
+                held[name] = tuple(vars(known).values())
+            state.update((pickle.dumps(held),))
+            if settled:
+                lines = np.empty((len(settled), len(out)), dtype=object)
+                lines[:] = settled
+                yield pd.DataFrame(lines, columns=out, copy=False)
+
+        folded = rows.groupBy("bucket").applyInPandasWithState(fold, shape, STATE, "append", GroupStateTimeout.NoTimeout)
+        back = F.unbase64("id") if binary else F.col("id").cast(id_field.dataType)
+        return folded.withColumn("id", back)
 
     def start(self, changes: DataFrame, out: str, checkpoint: str, **trigger) -> StreamingQuery:
         """Begin writing outcomes as Parquet; by default all available input, then stop."""
