@@ -21,16 +21,17 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import DOUBTFUL, Column, give_back, small_batches
+from plumbline.llm.common import Column, give_back, small_batches
 
 CACHED_PRETOKENS = 300_000
-# Chunks, and the pre-tokens of new ones, with their counts, in each of two generations.
+# Chunks with their counts, in each of two generations.
 CACHED_COUNTS = 340_000
-CACHED_PARTS = 60_000
-# The usual pattern of byte-level vocabularies, a fixed value. No match of it goes on across a
-# single space between two characters that are no white space: the space begins the next one.
+# The usual pattern of byte-level vocabularies, a fixed value.
 SPACED_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-BEFORE_SPACE = re.compile(rf"(?<=[^\s{DOUBTFUL}])(?= [^\s{DOUBTFUL}])")
+# Chunks that are one match of it.
+ONE_MATCH = re.compile(rb" ?(?:[A-Za-z]+|[0-9]+|[!-&(-/:-@\[-`{-~]+)").fullmatch
+# Pre-tokens that are encoded as one string.
+JOINED = 1_000
 # Longer pre-tokens are rare and not worth remembering.
 LONG_PRETOKEN = 64
 # Texts handed over at once.
@@ -88,27 +89,82 @@ def read_ranks(path: str) -> list[bytes]:
     return [tokens[rank] for rank in range(len(tokens))]
 
 
+# What a byte is: a letter, a digit, an apostrophe, another visible ASCII character, a space, other
+# white space; 0 where that takes more than this byte.
+LETTER, DIGIT, APOSTROPHE, OTHER, SPACE, BREAK = range(1, 7)
+
+
+def _byte_kinds() -> np.ndarray:
+    kinds = np.zeros(256, dtype=np.uint8)
+    kinds[0x21:0x7F] = OTHER
+    for first, last, kind in (("A", "Z", LETTER), ("a", "z", LETTER), ("0", "9", DIGIT), ("\t", "\r", BREAK)):
+        kinds[ord(first) : ord(last) + 1] = kind
+    kinds[ord("'")], kinds[ord(" ")] = APOSTROPHE, SPACE
+    return kinds
+
+
+def _ends() -> np.ndarray:
+    """Whether a match of ``SPACED_PATTERN`` always ends between bytes of two kinds: letters, digits
+    and others only go on in their own kind, but for an apostrophe before letters, and none goes
+    on with white space; of white space only a space may begin the next match."""
+    ends = np.zeros((7, 7), dtype=bool)
+    ends[LETTER : OTHER + 1, SPACE : BREAK + 1] = True
+    ends[LETTER, DIGIT : OTHER + 1] = True
+    ends[DIGIT, [LETTER, APOSTROPHE, OTHER]] = True
+    ends[OTHER, LETTER : DIGIT + 1] = True
+    ends[BREAK, LETTER : OTHER + 1] = True
+    return ends
+
+
+BYTE_KINDS, ENDS = _byte_kinds(), _ends().ravel()
+
+
+def match_ends(data: np.ndarray) -> np.ndarray:
+    """Places in UTF-8 bytes where a match of ``SPACED_PATTERN`` surely ends; not all of them."""
+    kinds = BYTE_KINDS[data]
+    sure = ENDS[kinds[:-1] * np.uint8(7) + kinds[1:]]
+    # Before a space also behind letters and signs of two or three bytes; the leading bytes named
+    # here begin no white space and none of the characters that only some Unicode versions count as such.
+    at = np.flatnonzero((kinds[1:] == SPACE) & (data[:-1] >= 0x80)) + 1
+    two, three = data[np.maximum(at - 2, 0)], data[np.maximum(at - 3, 0)]
+    known = ((two >= 0xC3) & (two <= 0xDF)) | ((three >= 0xE4) & (three <= 0xEE))
+    sure[at[known] - 1] = True
+    return np.flatnonzero(sure) + 1
+
+
+def _merged(places: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """Ascending places without repeats, of two ascending lists."""
+    marked = np.zeros(int(places[-1]) + 1, dtype=bool)
+    marked[places] = True
+    marked[more] = True
+    return np.flatnonzero(marked)
+
+
 class Remembered:
     """Numbers by text in two generations: what is asked for again moves to the younger one."""
 
     def __init__(self, most: int) -> None:
         self.most = most
-        self.young: dict[str, int] = {}
-        self.old: dict[str, int] = {}
-        self.long: list[str] = []
-
-    def all(self, asked: set[str], compute: Callable[[list[str]], list[int]]) -> dict[str, int]:
-        """A table that holds all that is asked for, until ``settle`` is called."""
-        missing = asked.difference(self.young)
+        self.young: dict[bytes, int] = {}
+        self.old: dict[bytes, int] = {}
+        self.long: list[bytes] = []
+
+    def all(self, asked: list[bytes], compute: Callable[[list[bytes]], list[int]]) -> list[int]:
+        """The numbers of distinct texts."""
+        young, old = self.young, self.old
+        missing = [text for text in asked if text not in young]
         if missing:
-            new = [text for text in missing if text not in self.old]
-            self.young.update({text: self.old[text] for text in missing if text in self.old})
+            new = [text for text in missing if text not in old]
+            if len(new) < len(missing):
+                young.update({text: old[text] for text in missing if text in old})
             if new:
-                self.young.update(zip(new, compute(new)))
-            self.long += [text for text in missing if len(text) > LONG_PRETOKEN]
-        return self.young
+                young.update(zip(new, compute(new)))
+                self.long += [text for text in new if len(text) > LONG_PRETOKEN]
+        found = [young[text] for text in asked]
+        self._settle()
+        return found
 
-    def settle(self) -> None:
+    def _settle(self) -> None:
         """Forget long texts, and the older generation when the younger is full."""
         for text in self.long:
             self.young.pop(text, None)
@@ -128,8 +184,8 @@ class Codec:
         # A pre-token that is a token stays whole even where merges would not build it.
         self.whole = {token: rank for rank, token in enumerate(self.tokens)}
         self.cache: dict[str, bytes] = {}
-        self.chunks = BEFORE_SPACE.split if pattern == SPACED_PATTERN else self.split
-        self.counted, self.pretokens = Remembered(CACHED_COUNTS), Remembered(CACHED_PARTS)
+        self.spaced = pattern == SPACED_PATTERN
+        self.counted = Remembered(CACHED_COUNTS)
 
     def _fill(self, pretokens: set[str]) -> dict[str, bytes]:
         """The ids of new pre-tokens, as the bytes of 32-bit integers."""
@@ -154,32 +210,61 @@ class Codec:
                 del known[part]
         return ids
 
-    def _counts(self, pretokens: list[str]) -> list[int]:
-        """How many ids each pre-token has; all are encoded together, a line each, as a line end
+    def _counts(self, raw: list[bytes]) -> list[int]:
+        """How many ids each pre-token has; many are encoded together, a line each, as a line end
         is in no token and so comes back as the unknown piece."""
-        raw = [p.encode() for p in pretokens]
         shown = [r.decode("latin-1").translate(self.visible) for r in raw]
         ids = np.array(self.model.encode("\n".join(shown)), dtype=np.int32)
         ends = np.append(np.flatnonzero(ids == len(self.tokens)), len(ids))
         if len(ends) != len(raw):
-            return [len(self.encode_bytes(p)) // 4 for p in pretokens]
+            return [len(self.encode_bytes(r.decode())) // 4 for r in raw]
         sizes = np.diff(ends, prepend=-1) - 1
         return [1 if r in self.whole else n for r, n in zip(raw, sizes.tolist())]
 
-    def _count_chunks(self, chunks: list[str]) -> list[int]:
-        parts = [self.split(chunk) for chunk in chunks]
-        known = self.pretokens.all({p for part in parts for p in part}, self._counts)
-        counts = [sum([known[p] for p in part]) for part in parts]
-        self.pretokens.settle()
-        return counts
+    def _count_chunks(self, chunks: list[bytes]) -> list[int]:
+        parts: list[bytes] = []
+        more: list[tuple[int, int]] = []
+        for number, chunk in enumerate(chunks):
+            if self.spaced and ONE_MATCH(chunk):
+                parts.append(chunk)
+                continue
+            found = self.split(chunk.decode())
+            if len(found) != 1:
+                more.append((number, len(found)))
+            parts += [part.encode() for part in found]
+        counts: list[int] = []
+        for start in range(0, len(parts), JOINED):
+            counts += self._counts(parts[start : start + JOINED])
+        if not more:
+            return counts
+        # The parts of a chunk lie one after the other.
+        sizes = np.ones(len(chunks), dtype=np.int64)
+        for number, size in more:
+            sizes[number] = size
+        ends = np.concatenate([[0], np.cumsum(np.array(counts, dtype=np.int64))])
+        last = np.cumsum(sizes)
+        return (ends[last] - ends[last - sizes]).tolist()
+
+    def counts(self, texts: pa.Array) -> np.ndarray:
+        """The number of ids of each text, without building them. Texts are cut where matches surely
+        end, and of what comes again only one is counted."""
+        texts = texts.cast(pa.large_string())
+        places = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        if len(texts) == 0 or places[0] == places[-1]:
+            return np.zeros(len(texts), dtype=np.int64)
+        data = texts.buffers()[2].slice(places[0], places[-1] - places[0])
+        places = places - places[0]
+        more = match_ends(np.frombuffer(data, dtype=np.uint8)) if self.spaced else places
+        cuts = _merged(places, more)
+        chunks = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), data])
+        coded = chunks.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        counts = np.array(self.counted.all(distinct, self._count_chunks), dtype=np.int64)
+        ends = np.concatenate([[0], np.cumsum(counts[np.asarray(coded.indices)])])
+        return np.diff(ends[np.searchsorted(cuts, places)])
 
     def count(self, text: str) -> int:
-        """The number of ids, without building them."""
-        parts = self.chunks(text)
-        known = self.counted.all(set(parts), self._count_chunks)
-        total = sum([known[part] for part in parts])
-        self.counted.settle()
-        return total
+        return int(self.counts(pa.array([text]))[0])
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), dtype=np.int32).tolist()
@@ -241,8 +326,7 @@ def lengths(
         coder = codec(path, pattern)
         coder.counted.most = remembered
         for batch in batches:
-            found = [coder.count(text.as_py()) for text in batch.column("text")]
-            arrays = [batch.column("doc_id"), pa.array(found, pa.int64())]
+            arrays = [batch.column("doc_id"), pa.array(coder.counts(batch.column("text")))]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens"])
         if release:
             del coder

@@ -3,6 +3,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tiktoken
@@ -100,3 +101,19 @@ def test_token_that_merges_do_not_build_stays_whole():
 def test_no_documents(no_docs):
     assert token_counts.prefix_counts(no_docs, MODEL).count() == 0
     assert byte_bpe.decode(byte_bpe.encode(no_docs, RANKS, public_tokenizers.PATTERN), RANKS).count() == 0
+
+
+def test_a_batch_of_texts_is_counted_at_once():
+    rng = random.Random(8)
+    signs = [*"aZ9'.,_ \n\té中か½²\x1c\x7f\u3000\u00a0\u0085\u200b\u180e\ufeff\u0301", "  ", "'s", "'re", " ll", "😀", "\r\n", " the"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(30))) for _ in range(2000)] + ["", "x" * 5000, None]
+    for pattern in (public_tokenizers.PATTERN, r"\s+|\S+"):
+        coder, asked = byte_bpe.Codec(RANKS, pattern), []
+        inner = coder._counts
+        coder._counts = lambda raw: asked.append(len(raw)) or inner(raw)
+        # A slice begins inside the buffers.
+        found = coder.counts(pa.array(["before", *texts]).slice(1)).tolist()
+        assert found == [len(coder.encode(t or "")) for t in texts]
+        assert len(asked) <= sum(asked) // byte_bpe.JOINED + 1
+        coder.counts(pa.array(texts[:50]))
+        assert coder.counts(pa.array([], pa.string())).tolist() == [] and coder.count("") == 0
