@@ -442,3 +442,54 @@ class SparseBest(Keeper):
             cost = np.where(met, -score, np.inf).reshape(held.queries, rows)
             q, r = self.near(cost, self.all, 1e-8)
             self.merge(q, cost[q, r], ids[r])
+
+
+class SparseStripe:
+    """Entries of many sparse rows, listed by index; queries pass and take their best K rows."""
+
+    # Products of query and row entries that are laid out at a time; one query may have more.
+    PRODUCTS = 2_000_000
+
+    def __init__(self, ids: pa.ChunkedArray, index: pa.ChunkedArray, value: pa.ChunkedArray):
+        coded = ids.combine_chunks().dictionary_encode()
+        self.ids = values_of(coded.dictionary)
+        index = values_of(index)
+        order = np.argsort(index, kind="stable")
+        index = index[order]
+        self.start = np.flatnonzero(np.r_[True, index[1:] != index[:-1]])
+        self.index, self.start = index[self.start], np.append(self.start, len(index))
+        self.row, self.value = np.asarray(coded.indices)[order], values_of(value)[order]
+
+    def best(self, lists: pa.ListArray, weights: pa.ListArray, k: int) -> Iterator[tuple[Keeper, int, int]]:
+        """Some queries at a time, given by the indices and weights of each: their best ``k``, the number of
+        the first and the one behind the last."""
+        index, weight = values_of(lists.flatten()), values_of(weights.flatten())
+        query = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
+        at = np.minimum(np.searchsorted(self.index, index), len(self.index) - 1)
+        met = self.index[at] == index
+        at, weight, query = at[met], weight[met], query[met]
+        fan = self.start[at + 1] - self.start[at]
+        made = np.bincount(query, fan, len(lists)).cumsum()
+        low = 0
+        while low < len(lists):
+            before = made[low - 1] if low else 0
+            high = max(low + 1, int(np.searchsorted(made, before + self.PRODUCTS, side="right")))
+            part = slice(*np.searchsorted(query, [low, high]))
+            best = Keeper(high - low, k, ascending=False)
+            best.merge(*self._scores(query[part] - low, at[part], weight[part], fan[part]))
+            yield best, low, high
+            low = high
+
+    def _scores(self, query, at, weight, fan) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Queries, costs and ids of all pairs that share an index."""
+        entry = np.repeat(np.arange(len(at)), fan)
+        place = np.arange(len(entry)) + np.repeat(self.start[at] - (np.cumsum(fan) - fan), fan)
+        cell = query[entry] * len(self.ids) + self.row[place]
+        # Four-byte factors are exact, their product takes eight.
+        score = weight[entry].astype(np.float64) * self.value[place]
+        order = np.argsort(cell)
+        cell, score = cell[order], score[order]
+        first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.empty(0, dtype=np.int64)
+        score = np.add.reduceat(score, first) if len(first) else np.empty(0)
+        q, r = np.divmod(cell[first], len(self.ids))
+        return q, -score, self.ids[r]

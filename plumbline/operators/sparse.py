@@ -16,14 +16,22 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from plumbline.errors import positive_int32
 from plumbline.functions.joins import salted_join
 from plumbline.functions.ranking import top_k
-from plumbline.functions.sizing import BROADCAST_BYTES
-from plumbline.operators.blocks import SparseBest, SparseQueries, values_of
+from plumbline.functions.sizing import BROADCAST_BYTES, materialize
+from plumbline.operators.blocks import SparseBest, SparseQueries, SparseStripe, values_of
 from plumbline.operators.knn import MAX_BROADCAST_QUERIES, hit_schema
 from plumbline.operators.together import Scorer
 
 # Query entries that may travel to every task, about 24 bytes each.
 MAX_QUERY_ENTRIES = 2_000_000
 
+# When both tables are large a task holds so many entries of rows, while so many of queries pass.
+HELD_ENTRIES = 12_000_000
+PASSING_ENTRIES = 48_000_000
+# Smaller tables are cut all the same, as long as parts have so many entries.
+STRIPES, BLOCKS, LEAST_ENTRIES = 6, 4, 500_000
+# Entries of a query that travel as one row.
+LONGEST_QUERY = 4_000_000
+
 
 def explode_sparse(df: DataFrame, vector: str, key: str) -> DataFrame:
     """``(key, idx, val)`` from a ``struct<indices, values>`` column."""
@@ -129,7 +137,7 @@ def sparse_knn(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """Top ``k`` by inner product from ``rows (id, idx, val)`` and ``queries (qid, idx, val)``.
 
     Only rows sharing an index with the query are candidates. A query table too large to
-    travel meets the rows in a salted join.
+    travel meets the rows stripe by stripe.
     """
     positive_int32(k, "k")
     asked = queries.select("qid", "idx", F.col("val").cast("double").alias("weight"))
@@ -140,12 +148,111 @@ def sparse_knn(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
             head["qid"], queries.schema["qid"].dataType, head["idx"], weight, np.zeros(len(weight), int)
         )
         return rank_entries(rows.select("id", F.col("idx").alias("term"), "val"), block, k)
-    scored = (
-        salted_join(rows.select("id", "idx", "val"), asked, "idx", "id")
-        .groupBy("qid", "id")
-        .agg(F.sum(F.col("val") * F.col("weight")).alias("score"))
+    return top_k(_both_large(rows, asked, k), k, ascending=False)
+
+
+def _both_large(rows: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """Hits ``(qid, id, score)`` that hold the best ``k`` of every query.
+
+    Rows are dealt to stripes by id and queries to blocks; a task holds the entries of a stripe,
+    listed by index, while the queries of a block pass, so products are added up where they are made and at
+    most ``k`` hits per query and stripe move. Tables with keys or values that are null or not finite, or
+    with indices that are no whole numbers, are joined entry by entry.
+    """
+    whole = all(isinstance(f.schema["idx"].dataType, T.IntegralType) for f in (rows, asked))
+    rows = materialize(rows.select("id", "idx", F.col("val").cast("double")).where(F.col("idx").isNotNull()), "entries")
+    asked = materialize(asked.where(F.col("idx").isNotNull()), "asked")
+    held, passing = _survey(rows, "id", "val"), _survey(asked, "qid", "weight")
+    longest = asked.groupBy("qid").count().agg(F.max("count")).first()[0] or 0
+    if not whole or held["odd"] or passing["odd"] or longest > LONGEST_QUERY:
+        products = salted_join(rows, asked, "idx", "id")
+        return products.groupBy("qid", "id").agg(F.sum(F.col("val") * F.col("weight")).alias("score"))
+
+    def parts(number: int, most: int, few: int) -> int:
+        return max(1, -(-number // most), min(few, -(-number // LEAST_ENTRIES)))
+
+    stripes, blocks = parts(held["n"], HELD_ENTRIES, STRIPES), parts(passing["n"], PASSING_ENTRIES, BLOCKS)
+    # Four bytes do for most indices and values.
+    index = "long" if held["wide"] or passing["wide"] else "int"
+    value, weight = ("double" if found["fine"] else "float" for found in (held, passing))
+    right = _packed(rows.select("id", F.col("idx").cast(index), F.col("val").cast(value)), stripes)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    right = right.withColumn("block", every(blocks)).select(
+        (F.col("stripe") * blocks + F.col("block")).alias("unit"), F.lit(0).alias("side"), "row"
+    )
+    entry = F.struct(F.col("idx").cast(index).alias("idx"), F.col("weight").cast(weight).alias("weight"))
+    listed = asked.groupBy("qid").agg(F.sort_array(F.collect_list(entry)).alias("e"))
+    left = listed.withColumn("stripe", every(stripes)).select(
+        (F.col("stripe") * blocks + F.pmod(F.xxhash64("qid"), F.lit(blocks)).cast("int")).alias("unit"),
+        F.lit(1).alias("side"),
+        F.struct("qid", "e.idx", "e.weight").alias("asked"),
     )
-    return top_k(scored, k, ascending=False)
+    both = right.unionByName(left, allowMissingColumns=True)
+    both = both.repartition(min(4 * stripes * blocks, 2_000), "unit").sortWithinPartitions("unit", "side")
+    schema = hit_schema(asked.schema["qid"].dataType, rows.schema["id"].dataType)
+    arrow = to_arrow_schema(schema)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, waiting, stripe = None, [], None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            units, sides = values_of(batch.column(0)), values_of(batch.column(1))
+            change = np.flatnonzero((units[1:] != units[:-1]) | (sides[1:] != sides[:-1])) + 1
+            cuts = [0, *change.tolist(), batch.num_rows]
+            for start, end in zip(cuts, cuts[1:]):
+                if units[start] != at:
+                    at, waiting, stripe = units[start], [], None
+                part = batch.slice(start, end - start)
+                if sides[start] == 0:
+                    packed = part.column(2).flatten()
+                    waiting.append([column.flatten() for column in packed])
+                    continue
+                if waiting:
+                    stripe, waiting = SparseStripe(*(pa.chunked_array(c) for c in zip(*waiting))), []
+                if stripe is not None:
+                    qids, lists, weights = part.column(3).flatten()
+                    for best, low, high in stripe.best(lists, weights, k):
+                        yield best.batch(qids.slice(low, high - low), arrow)
+
+    return both.select("unit", "side", "row", "asked").mapInArrow(scan, schema)
+
+
+def _survey(entries: DataFrame, key: str, value: str) -> dict:
+    """How many entries there are, how many of them have no key or no finite value, and whether some
+    index or value takes more than four bytes."""
+    number = F.col(value)
+    finite = number.isNotNull() & ~F.isnan(number) & (F.abs(number) != float("inf"))
+    odd = F.col(key).isNull() | ~finite
+    found = entries.agg(
+        F.count("*").alias("n"),
+        F.count_if(odd).alias("odd"),
+        F.count_if(F.col("idx").cast("long").between(-(2**31), 2**31 - 1) == F.lit(False)).alias("wide"),
+        F.count_if(finite & (number.cast("float").cast("double") != number)).alias("fine"),
+    )
+    return found.first().asDict()
+
+
+def _packed(entries: DataFrame, stripes: int) -> DataFrame:
+    """``stripe`` and ``row``: the entries ``(id, idx, val)`` of an Arrow batch that belong there, as lists."""
+    fields = entries.schema.fields
+    packed = T.StructType([T.StructField(f.name, T.ArrayType(f.dataType)) for f in fields])
+    schema = T.StructType([T.StructField("stripe", T.IntegerType()), T.StructField("row", packed)])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stripe = values_of(batch.column(0))
+            order = np.argsort(stripe, kind="stable")
+            held, count = np.unique(stripe, return_counts=True)
+            ends = pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32))
+            taken = batch.take(pa.array(order)).columns[1:]
+            lists = [pa.ListArray.from_arrays(ends, column) for column in taken]
+            row = pa.StructArray.from_arrays(lists, names=[f.name for f in fields]).cast(arrow.field("row").type)
+            yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), row], schema=arrow)
+
+    stripe = F.pmod(F.xxhash64("id"), F.lit(stripes)).cast("int").alias("stripe")
+    return entries.select(stripe, *entries.columns).mapInArrow(run, schema)
 
 
 def _sparse_scorer(head: pa.Table, qid_type: T.DataType, k: int, vector: str) -> Scorer:

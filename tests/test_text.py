@@ -1,4 +1,6 @@
+import itertools
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +8,7 @@ from pyspark.sql import functions as F
 from plumbline.errors import InvalidArgument
 from plumbline.functions import joins
 from plumbline.functions.text import tokenize
-from plumbline.operators import fulltext, sparse
+from plumbline.operators import blocks, fulltext, sparse
 from plumbline.operators.fulltext import Analyzer, build_text_index, search_index, search_scan
 from plumbline.operators.fusion import SubResult, fuse_rrf, fuse_weighted
 from plumbline.operators.sparse import sparse_knn, sparse_scan, valid_sparse
@@ -166,6 +168,42 @@ def test_sparse_entries_across_batches(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
 
 
+@pytest.mark.parametrize("factor", [1.0, 0.1, float(1 << 40)])
+def test_two_large_sparse_tables_meet_in_stripes(spark, monkeypatch, factor):
+    rng = random.Random(11)
+    far = 1 if factor < 2 else 1 << 35
+    draw = lambda n: [(f"i{rng.randrange(60)}", rng.randrange(40) * far, rng.randrange(-9, 9) * factor) for _ in range(n)]
+    rows, asked = draw(500), draw(400)
+    monkeypatch.setattr(sparse, "MAX_QUERY_ENTRIES", 1)
+    monkeypatch.setattr(sparse, "LEAST_ENTRIES", 100)
+    monkeypatch.setattr(blocks.SparseStripe, "PRODUCTS", 300)
+    frame = spark.createDataFrame(rows, "id string, idx long, val double").repartition(3)
+    queries = spark.createDataFrame(asked, "qid string, idx long, val double").repartition(3)
+
+    def expected(rows, asked, k):
+        sums = {}
+        for (i, p, v), (q, t, w) in itertools.product(rows, asked):
+            if p == t and p is not None:
+                products = sums.setdefault((q, i), [])
+                products.append(None if v is None or w is None else v * w)
+        best = {}
+        for (q, i), products in sums.items():
+            known = [x for x in products if x is not None]
+            best.setdefault(q, []).append((round(-sum(known), 9) if known else float("inf"), i or ""))
+        return {(q, i) for q, hits in best.items() for _, i in sorted(hits)[:k]}
+
+    found = sparse_knn(frame, queries, 7)
+    assert {(r.qid, r.id) for r in found.collect()} == expected(rows, asked, 7)
+    # Every stripe returns its best only, not all pairs.
+    weights = queries.select("qid", "idx", F.col("val").alias("weight"))
+    assert sparse._both_large(frame, weights, 1).count() <= 60 * sparse.STRIPES
+    # Values and keys that are null, and indices that are, as before.
+    odd = [("i1", 3 * far, None), (None, 4 * far, 2 * factor), ("i2", None, 1.0)]
+    frame = frame.union(spark.createDataFrame(odd, "id string, idx long, val double"))
+    found = sparse_knn(frame, queries, 7)
+    assert {(r.qid, r.id or "") for r in found.collect()} == expected(rows + odd, asked, 7)
+
+
 def test_sparse_validity(spark):
     kind = "v struct<indices: array<bigint>, values: array<float>>"
     rows = [(([1, 3, 8], [1.0, 2.0, 3.0]),), (([1, 1], [1.0, 2.0]),), (([1], [1.0, 2.0]),), (([], []),)]
