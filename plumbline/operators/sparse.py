@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from plumbline.errors import positive_int32
 from plumbline.functions.joins import salted_join
 from plumbline.functions.ranking import top_k
-from plumbline.functions.sizing import BROADCAST_BYTES, materialize
+from plumbline.functions.sizing import BROADCAST_BYTES, broadcast_if_small, materialize
 from plumbline.operators.blocks import SparseBest, SparseQueries, SparseStripe, values_of
 from plumbline.operators.knn import MAX_BROADCAST_QUERIES, hit_schema
 from plumbline.operators.together import Scorer
@@ -156,18 +157,49 @@ def _both_large(rows: DataFrame, asked: DataFrame, k: int) -> DataFrame:
 
     Rows are dealt to stripes by id and queries to blocks; a task holds the entries of a stripe,
     listed by index, while the queries of a block pass, so products are added up where they are made and at
-    most ``k`` hits per query and stripe move. Tables with keys or values that are null or not finite, or
-    with indices that are no whole numbers, are joined entry by entry.
+    most ``k`` hits per query and stripe move. Rows and queries with a key or value that is null or not finite,
+    very long queries, and tables whose indices are no whole numbers, are joined entry by entry.
     """
     whole = all(isinstance(f.schema["idx"].dataType, T.IntegralType) for f in (rows, asked))
     rows = materialize(rows.select("id", "idx", F.col("val").cast("double")).where(F.col("idx").isNotNull()), "entries")
     asked = materialize(asked.where(F.col("idx").isNotNull()), "asked")
+    if not whole:
+        return _entry_by_entry(rows, asked)
     held, passing = _survey(rows, "id", "val"), _survey(asked, "qid", "weight")
-    longest = asked.groupBy("qid").count().agg(F.max("count")).first()[0] or 0
-    if not whole or held["odd"] or passing["odd"] or longest > LONGEST_QUERY:
-        products = salted_join(rows, asked, "idx", "id")
-        return products.groupBy("qid", "id").agg(F.sum(F.col("val") * F.col("weight")).alias("score"))
+    sizes = asked.groupBy("qid").count()
+    longest = sizes.agg(F.max("count")).first()[0] or 0
+    hits = []
+    if held["odd"]:
+        rows, others = _apart(rows, "id", rows.where(_odd("id", "val")).select("id"))
+        hits.append(_entry_by_entry(others, asked))
+    if passing["odd"] or longest > LONGEST_QUERY:
+        names = asked.where(_odd("qid", "weight")).select("qid").union(sizes.where(F.col("count") > LONGEST_QUERY).select("qid"))
+        asked, others = _apart(asked, "qid", names)
+        hits.append(_entry_by_entry(rows, others))
+    hits.append(_in_stripes(rows, asked, held, passing, k))
+    return reduce(DataFrame.unionByName, hits)
+
+
+def _entry_by_entry(rows: DataFrame, asked: DataFrame) -> DataFrame:
+    products = salted_join(rows, asked, "idx", "id")
+    return products.groupBy("qid", "id").agg(F.sum(F.col("val") * F.col("weight")).alias("score"))
+
+
+def _odd(key: str, value: str) -> F.Column:
+    number = F.col(value)
+    return F.col(key).isNull() | number.isNull() | F.isnan(number) | (F.abs(number) == float("inf"))
+
+
+def _apart(entries: DataFrame, key: str, names: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The entries of all other keys, and those of the named ones; a null is a key too."""
+    named = names.select(F.col(key).alias("_key"), F.lit(True).alias("_named")).distinct()
+    named, _ = broadcast_if_small(materialize(named, "odd-keys"))
+    marked = entries.join(named, F.col(key).eqNullSafe(F.col("_key")), "left")
+    kept = marked.where(F.col("_named").isNull()).select(*entries.columns)
+    return kept, marked.where(F.col("_named")).select(*entries.columns)
+
 
+def _in_stripes(rows: DataFrame, asked: DataFrame, held: dict, passing: dict, k: int) -> DataFrame:
     def parts(number: int, most: int, few: int) -> int:
         return max(1, -(-number // most), min(few, -(-number // LEAST_ENTRIES)))
 
@@ -222,13 +254,11 @@ def _survey(entries: DataFrame, key: str, value: str) -> dict:
     """How many entries there are, how many of them have no key or no finite value, and whether some
     index or value takes more than four bytes."""
     number = F.col(value)
-    finite = number.isNotNull() & ~F.isnan(number) & (F.abs(number) != float("inf"))
-    odd = F.col(key).isNull() | ~finite
     found = entries.agg(
         F.count("*").alias("n"),
-        F.count_if(odd).alias("odd"),
-        F.count_if(F.col("idx").cast("long").between(-(2**31), 2**31 - 1) == F.lit(False)).alias("wide"),
-        F.count_if(finite & (number.cast("float").cast("double") != number)).alias("fine"),
+        F.count_if(_odd(key, value)).alias("odd"),
+        F.count_if(~F.col("idx").cast("long").between(-(2**31), 2**31 - 1)).alias("wide"),
+        F.count_if(~F.isnan(number) & (number.cast("float").cast("double") != number)).alias("fine"),
     )
     return found.first().asDict()
 

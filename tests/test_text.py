@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -198,10 +199,13 @@ def test_two_large_sparse_tables_meet_in_stripes(spark, monkeypatch, factor):
     weights = queries.select("qid", "idx", F.col("val").alias("weight"))
     assert sparse._both_large(frame, weights, 1).count() <= 60 * sparse.STRIPES
     # Values and keys that are null, and indices that are, as before.
-    odd = [("i1", 3 * far, None), (None, 4 * far, 2 * factor), ("i2", None, 1.0)]
+    monkeypatch.setattr(sparse, "LONGEST_QUERY", max(Counter(q for q, *_ in asked).values()) - 1)
+    odd = [("i1", 3 * far, None), (None, 4 * far, 2 * factor), ("i2", None, 1.0), ("new", 5 * far, None)]
+    more = [(None, 3 * far, factor), ("i3", 4 * far, None)]
     frame = frame.union(spark.createDataFrame(odd, "id string, idx long, val double"))
+    queries = queries.union(spark.createDataFrame(more, "qid string, idx long, val double"))
     found = sparse_knn(frame, queries, 7)
-    assert {(r.qid, r.id or "") for r in found.collect()} == expected(rows + odd, asked, 7)
+    assert {(r.qid, r.id or "") for r in found.collect()} == expected(rows + odd, asked + more, 7)
 
 
 def test_sparse_validity(spark):
