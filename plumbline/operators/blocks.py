@@ -14,8 +14,11 @@ import pyarrow as pa
 from plumbline.functions.ranking import ASCENDING, TIE_DIGITS
 
 QUERY_CHUNK = 512
-# Rows that are scored at a time: a block of scores stays in the processor's cache.
-ROW_CHUNK = 4_096
+# Rows that are scored at a time: the blocks of scores of all cores stay in the cache they share.
+ROW_CHUNK = 1_024
+# With a large K the first rows are more, so many per hit and this many at most: their best K bound the rest.
+OPENING_PER_HIT = 64
+OPENING_ROWS = 32_768
 GATHER_ROWS = 65_536
 # Lengths up to this keep products of single precision finite.
 SINGLE_MOST = 1e15
@@ -27,27 +30,35 @@ PRODUCT_GAIN = 250
 
 def matrix(column: pa.Array | pa.ChunkedArray, dim: int | None = None) -> np.ndarray:
     """Rows of a list or binary column as a float64 matrix; bits become -1 / +1."""
+    if len(column) == 0:
+        return np.empty((0, dim or 0))
+    out = doubles(stored_rows(column))
+    if dim is not None and out.shape[1] != dim:
+        raise ValueError(f"expected {dim} dimensions, found {out.shape[1]}")
+    return out
+
+
+def stored_rows(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Rows of a list or binary column in the type they are stored in; binary ones as unsigned bytes."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     rows = len(column)
-    if rows == 0:
-        return np.empty((0, dim or 0))
     if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
         values = column.to_pylist()
         if len({len(v) for v in values}) > 1:
             raise ValueError("vectors of one column must have equal dimensions")
-        raw = np.frombuffer(b"".join(values), dtype=np.uint8)
-        bits = np.unpackbits(raw.reshape(rows, -1), axis=1)
-        out = bits.astype(np.float64) * 2 - 1
-    else:
-        lengths = np.diff(np.asarray(column.offsets))
-        if (lengths != lengths[0]).any():
-            raise ValueError("vectors of one column must have equal dimensions")
-        flat = np.asarray(column.flatten(), dtype=np.float64)
-        out = flat.reshape(rows, int(lengths[0]))
-    if dim is not None and out.shape[1] != dim:
-        raise ValueError(f"expected {dim} dimensions, found {out.shape[1]}")
-    return out
+        return np.frombuffer(b"".join(values), dtype=np.uint8).reshape(rows, -1)
+    lengths = np.diff(np.asarray(column.offsets))
+    if (lengths != lengths[0]).any():
+        raise ValueError("vectors of one column must have equal dimensions")
+    return np.asarray(column.flatten()).reshape(rows, int(lengths[0]))
+
+
+def doubles(rows: np.ndarray) -> np.ndarray:
+    """Stored rows as float64; the bits of unsigned bytes become -1 / +1."""
+    if rows.dtype == np.uint8:
+        return np.unpackbits(rows, axis=1).astype(np.float64) * 2 - 1
+    return rows.astype(np.float64)
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -63,6 +74,18 @@ def values_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False)
 
 
+def set_cells(mask: np.ndarray) -> np.ndarray:
+    """Numbers of the cells that are set, in order. Where few are, eight at a time are passed over."""
+    flat = mask.reshape(-1)
+    if flat.size % 8:
+        return np.flatnonzero(flat)
+    words = np.flatnonzero(flat.view(np.uint64))
+    if len(words) * 32 > flat.size:
+        return np.flatnonzero(flat)
+    at, place = np.nonzero(flat.reshape(-1, 8)[words])
+    return words[at] * 8 + place
+
+
 class Keeper:
     """Running best-K per query over any number of blocks; lower cost is better."""
 
@@ -160,6 +183,11 @@ class Keeper:
         )
 
 
+def opening_rows(k: int) -> int:
+    """How many rows are scored at once when nothing bounds the hits yet."""
+    return max(ROW_CHUNK, min(OPENING_PER_HIT * k, OPENING_ROWS))
+
+
 class Best(Keeper):
     """Dense vectors: queries times a block of rows in one matrix product.
 
@@ -167,6 +195,9 @@ class Best(Keeper):
     can have moved them; only those are scored, in double precision.
     """
 
+    # Room for one block of products, taken again by the next block.
+    room = np.empty(0, dtype=np.float32)
+
     def __init__(self, queries: np.ndarray, k: int, metric: str, max_norm2: float = 0.0):
         super().__init__(len(queries), k, ASCENDING[metric])
         self.metric, self.max_norm2 = metric, max_norm2
@@ -177,17 +208,24 @@ class Best(Keeper):
     def add(self, rows: np.ndarray, ids: np.ndarray, which: np.ndarray | None = None) -> None:
         """Score ``rows`` against all queries, or only those numbered in ``which``."""
         picks = np.arange(len(self.queries)) if which is None else which
-        for at, part in self.row_chunks(rows):
+        opening = 0
+        if self.ids is None and not self.waiting:
+            opening = min(opening_rows(self.k), len(rows))
+        for at, part in self.row_chunks(rows, opening):
             right = self.right(part)
-            for start in range(0, len(picks), QUERY_CHUNK):
-                chunk = picks[start : start + QUERY_CHUNK]
+            step = max(1, min(QUERY_CHUNK, QUERY_CHUNK * ROW_CHUNK // len(part)))
+            for start in range(0, len(picks), step):
+                chunk = picks[start : start + step]
                 q, r, cost = self.found(chunk, part, right)
                 self.merge(q, cost, ids[at[r]])
+            if len(part) > ROW_CHUNK:
+                self.settle()
 
-    def row_chunks(self, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def row_chunks(self, rows: np.ndarray, opening: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Numbers and vectors of the rows that can be scored, some at a time."""
-        for low in range(0, len(rows), ROW_CHUNK):
-            part = rows[low : low + ROW_CHUNK]
+        opening = max(opening, ROW_CHUNK)
+        for low in (0, *range(opening, len(rows), ROW_CHUNK)):
+            part = rows[low : low + (ROW_CHUNK if low else opening)]
             if self.metric == "cosine":
                 part = unit(part)
             sound = np.isfinite(part).all(axis=1)
@@ -255,7 +293,7 @@ class Best(Keeper):
         if right is None or not self.lengths[chunk].max() < SINGLE_MOST:
             return self._candidates(chunk, rows, among)
         single, longest = right
-        gain = self.single[chunk] @ single.T
+        gain = self._products(self.single[chunk], single)
         if among is not None:
             gain[~among] = -np.inf
         # Each product of D terms is off by at most D + 3 roundings of its terms' sizes.
@@ -276,10 +314,16 @@ class Best(Keeper):
         with np.errstate(over="ignore"):
             need = np.nextafter(np.maximum(need, least).astype(np.float32), np.float32(-np.inf))
         need = np.maximum(need, least)
-        flat = np.flatnonzero(gain >= need[:, None])
+        # Most queries find nothing among a few rows; the others are looked at pair by pair.
+        lines = np.flatnonzero(gain.max(axis=1) >= need)
+        some = gain[lines] if 2 * len(lines) < len(gain) else gain
+        if some is gain:
+            lines = np.arange(len(gain))
+        flat = set_cells(some >= need[lines, None])
         if len(flat) * SCREEN_GAIN > gain.size and gain.shape[1] > SCREEN_GAIN * self.k:
             return self._candidates(chunk, rows, among)
         q, r = np.divmod(flat, gain.shape[1])
+        q = lines[q]
         cost = np.empty(len(flat))
         for start in range(0, len(flat), GATHER_ROWS):
             part = slice(start, start + GATHER_ROWS)
@@ -287,6 +331,13 @@ class Best(Keeper):
         good = np.isfinite(cost) & (cost <= limit[q])
         return chunk[q[good]], r[good], cost[good]
 
+    @staticmethod
+    def _products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        cells = len(left) * len(right)
+        if len(Best.room) < cells:
+            Best.room = np.empty(cells, dtype=np.float32)
+        return np.matmul(left, right.T, out=Best.room[:cells].reshape(len(left), len(right)))
+
     def _exact(self, numbers: np.ndarray, rows: np.ndarray) -> np.ndarray:
         left = self.queries[numbers]
         if self.metric == "l2":

@@ -21,7 +21,18 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from plumbline.functions.sizing import broadcast_if_small, materialize
 from plumbline.operators import knn as exact
-from plumbline.operators.blocks import GATHER_ROWS, QUERY_CHUNK, Best, matrix, unit, values_of
+from plumbline.operators.blocks import (
+    GATHER_ROWS,
+    QUERY_CHUNK,
+    ROW_CHUNK,
+    Best,
+    doubles,
+    matrix,
+    opening_rows,
+    stored_rows,
+    unit,
+    values_of,
+)
 
 ROW_BLOCK = 50_000
 QUERY_BLOCK = 8_192
@@ -35,6 +46,8 @@ JOIN_QUERIES = 16_384
 JOIN_HITS = 4_000_000
 # Rows that meet queries without K hits at a time.
 SHARED_CHUNK = 512
+# Vectors of one stripe or block that are shuffled as one value, in bytes.
+PACK_BYTES = 1 << 20
 # Queries whose hits are kept together.
 KEPT_TOGETHER = 2_048
 # The rows that stream past are four row blocks; with a large K up to so many, as the hits
@@ -414,79 +427,151 @@ class Sharing(Best):
         return left == right if self.reach == 0 else np.abs(left - right) <= self.reach
 
 
+def packed(rows: DataFrame, key: str, vector: str, parts: int, listed: bool) -> DataFrame:
+    """Rows dealt to ``parts`` by their key, those of one part and batch together:
+    ``(part, keys, kind, vecs)``, with ``listed`` also ``cells``.
+
+    Every part goes to many tasks, and bytes are copied with less work than arrays. The part
+    follows from the key, so a task that runs again deals its rows as before.
+    """
+    dealt = F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+    source = rows.select(dealt.alias("part"), key, vector, *["cells"] * listed)
+    schema = T.StructType(
+        [
+            T.StructField("part", T.IntegerType()),
+            T.StructField("keys", T.ArrayType(rows.schema[key].dataType)),
+            T.StructField("kind", T.StringType()),
+            T.StructField("vecs", T.BinaryType()),
+        ]
+        + [T.StructField("cells", T.BinaryType())] * listed
+    )
+    arrow = to_arrow_schema(schema)
+    lists = arrow.field("keys").type
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            part, vecs = values_of(batch.column(0)), stored_rows(batch.column(2))
+            order = np.argsort(part, kind="stable")
+            part, vecs = part[order], vecs[order]
+            keys = batch.column(1).take(pa.array(order)).cast(lists.value_type)
+            step = max(1, PACK_BYTES // max(1, vecs.itemsize * vecs.shape[1]))
+            change = np.flatnonzero(part[1:] != part[:-1]) + 1
+            ends = [0, *change.tolist(), len(part)]
+            cuts = [n for low, high in zip(ends, ends[1:]) for n in range(low, high, step)]
+            spans = list(zip(cuts, [*cuts[1:], len(part)]))
+            columns = [
+                pa.array(part[cuts], pa.int32()),
+                pa.ListArray.from_arrays(pa.array([*cuts, len(part)], pa.int32()), keys, type=lists),
+                pa.array([vecs.dtype.str] * len(cuts)),
+                pa.array([vecs[low:high].tobytes() for low, high in spans], pa.binary()),
+            ]
+            if listed:
+                cells = listed_keys(batch.column(3))[order]
+                columns.append(pa.array([cells[low:high].tobytes() for low, high in spans], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    return source.mapInArrow(scan, schema)
+
+
+class Unit:
+    """A block of queries while the rows of one stripe stream past."""
+
+    def __init__(self, k: int, metric: str, max_norm2: float, reach: int | None):
+        self.options, self.reach = (k, metric, max_norm2), reach
+        self.asked: list[tuple] = []
+        self.best: list[tuple[pa.Array, Best]] = []
+        self.rows: list[tuple] = []
+        self.waiting, self.enough = 0, ROW_CHUNK
+
+    def ask(self, qids: pa.Array, vectors: np.ndarray, keys: np.ndarray | None) -> None:
+        self.asked.append((qids, vectors, keys))
+
+    def meet(self, ids: pa.Array, vectors: np.ndarray, keys: np.ndarray | None) -> None:
+        if self.asked:
+            qids, asked, listed = _joined(self.asked)
+            self.asked = []
+            for start in range(0, len(qids), KEPT_TOGETHER):
+                part = slice(start, start + KEPT_TOGETHER)
+                if self.reach is None:
+                    best = Best(asked[part], *self.options)
+                else:
+                    best = Sharing(asked[part], listed[part], *self.options, self.reach)
+                self.best.append((qids.slice(start, KEPT_TOGETHER), best))
+            if self.reach is None:
+                self.enough = min(opening_rows(self.options[0]), max(ROW_CHUNK, BLOCK_BYTES // max(1, vectors[0].nbytes)))
+        if self.best:
+            self.rows.append((ids, vectors, keys))
+            self.waiting += len(ids)
+        if self.waiting >= self.enough:
+            self.score()
+            self.enough = ROW_CHUNK
+
+    def score(self) -> None:
+        if not self.rows:
+            return
+        ids, vectors, keys = _joined(self.rows)
+        self.rows, self.waiting, ids = [], 0, values_of(ids)
+        for _, best in self.best:
+            if self.reach is None:
+                best.add(vectors, ids)
+            else:
+                best.add_listed(vectors, ids, keys)
+
+    def hits(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        self.score()
+        return (best.batch(qids, schema) for qids, best in self.best)
+
+
+def _joined(parts: list[tuple]) -> tuple[pa.Array, np.ndarray, np.ndarray | None]:
+    keys, vectors, cells = zip(*parts)
+    return pa.concat_arrays(keys), np.concatenate(vectors), None if cells[0] is None else np.concatenate(cells)
+
+
 def _visit(
     rows: DataFrame, asked: DataFrame, stripes: int, blocks: int, *, k: int, metric: str, max_norm2: float, reach: int | None
 ) -> DataFrame:
     """Each stripe's best ``k`` rows per query."""
     schema = exact.hit_schema(asked.schema["qid"].dataType, rows.schema["id"].dataType)
     arrow = to_arrow_schema(schema)
-    listed = [] if reach is None else ["cells"]
-
-    def dealt(key: str, parts: int) -> F.Column:
-        return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+    listed = reach is not None
 
     def every(parts: int) -> F.Column:
         return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
 
     # Queries come first in each unit of a stripe and a block.
-    left = asked.withColumn("stripe", every(stripes)).select(
-        (F.col("stripe") * blocks + dealt("qid", blocks)).alias("unit"),
-        F.lit(0).alias("side"),
-        F.struct("qid", "qvec", *listed).alias("asked"),
+    left = packed(asked, "qid", "qvec", blocks, listed).withColumn("stripe", every(stripes))
+    left = left.withColumn("unit", F.col("stripe") * blocks + F.col("part")).withColumn("side", F.lit(0))
+    right = packed(rows, "id", "vec", stripes, listed).withColumn("block", every(blocks))
+    right = right.withColumn("unit", F.col("part") * blocks + F.col("block")).withColumn("side", F.lit(1))
+    both = left.withColumnRenamed("keys", "qids").unionByName(
+        right.withColumnRenamed("keys", "ids"), allowMissingColumns=True
     )
-    right = rows.withColumn("block", every(blocks)).select(
-        (dealt("id", stripes) * blocks + F.col("block")).alias("unit"),
-        F.lit(1).alias("side"),
-        F.struct("id", "vec", *listed).alias("row"),
-    )
-    both = left.unionByName(right, allowMissingColumns=True)
-    # More partitions than units, so that few of them share a task.
-    both = both.repartition(min(4 * stripes * blocks, 2_000), "unit").sortWithinPartitions("unit", "side")
-
-    def held(parts: list[pa.StructArray]) -> list[tuple[pa.Array, Best]]:
-        found = []
-        asked = pa.concat_arrays(parts)
-        for start in range(0, len(asked), KEPT_TOGETHER):
-            part = asked.slice(start, KEPT_TOGETHER).flatten()
-            if reach is None:
-                best = Best(matrix(part[1]), k, metric, max_norm2)
-            else:
-                best = Sharing(matrix(part[1]), listed_keys(part[2]), k, metric, max_norm2, reach)
-            found.append((part[0], best))
-        return found
-
-    def add(best: list[tuple[pa.Array, Best]], row: pa.StructArray) -> None:
-        ids, vectors, *keys = row.flatten()
-        ids, vectors = values_of(ids), matrix(vectors)
-        for _, one in best:
-            if reach is None:
-                one.add(vectors, ids)
-            else:
-                one.add_listed(vectors, ids, listed_keys(keys[0]))
+    # A task per unit: hashed, some tasks would get several and others none.
+    tasks = min(stripes * blocks, 2_000)
+    both = both.repartitionById(tasks, F.pmod("unit", F.lit(tasks))).sortWithinPartitions("unit", "side")
+    both = both.select("unit", "side", "kind", "qids", "ids", "vecs", *["cells"] * listed)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, waiting, best = None, [], []
+        at, unit = None, None
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            units, sides = values_of(batch.column(0)), values_of(batch.column(1))
-            change = np.flatnonzero((units[1:] != units[:-1]) | (sides[1:] != sides[:-1])) + 1
-            cuts = [0, *change.tolist(), batch.num_rows]
-            for start, end in zip(cuts, cuts[1:]):
-                if units[start] != at:
-                    yield from (one.batch(qids, arrow) for qids, one in best)
-                    at, waiting, best = units[start], [], []
-                part = batch.slice(start, end - start)
-                if sides[start] == 0:
-                    waiting.append(_dense(part.column(2)))
-                    continue
-                if waiting:
-                    best, waiting = held(waiting), []
-                if best:
-                    add(best, _dense(part.column(3)))
-        yield from (one.batch(qids, arrow) for qids, one in best)
-
-    return both.select("unit", "side", "asked", "row").mapInArrow(scan, schema)
+            units, sides, kinds = (batch.column(n).to_pylist() for n in range(3))
+            for n, (number, side, kind) in enumerate(zip(units, sides, kinds)):
+                if number != at:
+                    if unit is not None:
+                        yield from unit.hits(arrow)
+                    at, unit = number, Unit(k, metric, max_norm2, reach)
+                keys = batch.column(3 + side)[n].values
+                vectors = np.frombuffer(batch.column(5)[n].as_buffer(), dtype=kind).reshape(len(keys), -1)
+                cells = None
+                if listed:
+                    cells = np.frombuffer(batch.column(6)[n].as_buffer(), dtype=np.int64).reshape(len(keys), -1)
+                (unit.meet if side else unit.ask)(keys, doubles(vectors), cells)
+        if unit is not None:
+            yield from unit.hits(arrow)
+
+    return both.mapInArrow(scan, schema)
 
 
 def listed_keys(column: pa.Array) -> np.ndarray:
@@ -494,11 +579,6 @@ def listed_keys(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten(), dtype=np.int64).reshape(len(column), -1)
 
 
-def _dense(column: pa.StructArray) -> pa.StructArray:
-    """A slice of a struct column as an array of its own."""
-    return pa.concat_arrays([column])
-
-
 def one_per_pair(hits: DataFrame) -> DataFrame:
     """One row per (query, document) when rows live in several cells."""
     return hits.groupBy("qid", "id").agg(F.min("score").alias("score"))

@@ -600,3 +600,64 @@ def test_wide_and_narrow_buckets_agree(cloud, length, monkeypatch):
         monkeypatch.setattr(lsh, "WIDE_SHARE", share)
         found = search_lsh(index, queries_of(cloud), 4, effort=6).collect()
         assert sorted((r["qid"], r["rank"], r["id"]) for r in found) == expected
+
+
+@pytest.mark.parametrize("kind", ["array<float>", "array<tinyint>", "array<double>", "binary"])
+def test_the_exact_join_shuffles_vectors_as_they_are_stored(spark, kind, monkeypatch):
+    """Each vector once went to every block of queries as a row of its own, its numbers as doubles or one by one;
+    units shared tasks by chance."""
+    rng = np.random.default_rng(5)
+    if kind == "binary":
+        rows, metric = [(f"v{i}", rng.bytes(4)) for i in range(400)], "hamming"
+    else:
+        rows, metric = [(f"v{i}", np.rint(rng.normal(size=6) * 30).tolist()) for i in range(400)], "l2"
+    if kind == "array<tinyint>":
+        rows = [(name, [int(x) for x in v]) for name, v in rows]
+    docs = spark.createDataFrame(rows, f"id string, embedding {kind}").repartition(3)
+    expected = knn(docs, queries_of(docs), 5, metric=metric)
+    monkeypatch.setattr(cells, "ROW_BLOCK", 30)
+    monkeypatch.setattr(cells, "JOIN_QUERIES", 100)
+    monkeypatch.setattr(cells, "QUERY_CHUNK", 100)
+    monkeypatch.setattr(cells, "PACK_BYTES", 200)
+    sent = []
+    original = cells.packed
+    monkeypatch.setattr(cells, "packed", lambda *a: sent.append(original(*a)) or sent[-1])
+    hits = cells.exact_join(docs, queries_of(docs), 5, vector="embedding", metric=metric)
+    same(top_k(hits, 5, ascending=ASCENDING[metric]), expected)
+    size = {"array<float>": 24, "array<tinyint>": 6, "array<double>": 48, "binary": 4}[kind]
+    for part in sent:
+        held = part.selectExpr("size(keys) as n", "octet_length(vecs) as bytes").collect()
+        assert sum(r["n"] for r in held) == 400
+        assert all(r["bytes"] == size * r["n"] <= 200 for r in held)
+    units = [len({r["qid"] for r in part}) for part in hits.rdd.glom().collect()]
+    assert min(units) > 0
+
+
+def test_cells_that_are_set_are_numbered():
+    from plumbline.operators.blocks import set_cells
+
+    rng = np.random.default_rng(5)
+    for shape in ((3, 5), (4, 16), (64, 64), (1, 8)):
+        for share in (0.0, 0.01, 0.5, 1.0):
+            mask = rng.random(shape) < share
+            assert set_cells(mask).tolist() == np.flatnonzero(mask).tolist()
+
+
+def test_a_large_k_opens_with_more_rows():
+    """The first rows were 4,096 whatever K, and with K 500 most of the hits looked at were dropped later."""
+    from plumbline.operators.blocks import Best
+
+    rng = np.random.default_rng(4)
+    rows = rng.normal(size=(20_000, 8))
+    rows[11, 3] = np.nan
+    best, seen = Best(rows[:40], 300, "ip"), []
+    merge = best.merge
+    best.merge = lambda q, cost, ids: seen.append(len(q)) or merge(q, cost, ids)
+    best.add(rows, np.arange(len(rows)))
+    best.rank()
+    score = rows[:40] @ np.delete(rows, 11, axis=0).T
+    expected = -np.sort(-score, axis=1)[:, :300]
+    finite = np.flatnonzero(np.isfinite(rows[:40]).all(axis=1))
+    for number in finite:
+        assert np.allclose(np.sort(best.cost[best.q == number]), -expected[number], atol=1e-9)
+    assert sum(seen) < 1.2 * 300 * 40
